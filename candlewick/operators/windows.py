@@ -75,18 +75,24 @@ class Spec:
 
 
 def combine(*specs: Spec) -> Spec:
-    """Merge specs stage by stage so they share one sort."""
+    """Merge independent specs stage by stage so they share one sort."""
     depth = max(len(s.stages) for s in specs)
     stages: list[Stage] = [dict() for _ in range(depth)]
-    # right-align: a spec's final stage lands in the last merged stage, so
-    # single-stage specs never wait on nothing and every stage stays valid
     for s in specs:
-        off = depth - len(s.stages)
         for i, st in enumerate(s.stages):
-            stages[off + i].update(st)
+            stages[i].update(st)
     return Spec(stages, max(s.lookback for s in specs), set().union(*[s.temps for s in specs]))
 
 
+def chain(*specs: Spec) -> Spec:
+    """Run specs one after another, for specs that read earlier outputs
+    (e.g. a cross flag over moving averages); lookbacks add up."""
+    stages: list[Stage] = []
+    for s in specs:
+        stages.extend(s.stages)
+    return Spec(stages, sum(s.lookback for s in specs), set().union(*[s.temps for s in specs]))
+
+
 def apply_specs(df: DataFrame, key, order, *specs: Spec, mode: str = "auto",
                 bucket: Column | None = None, **layout) -> DataFrame:
     """Evaluate specs over each key's ordered rows and drop helper columns."""

@@ -1,0 +1,118 @@
+"""Exchange-style stream messages derived from ``events``, and their
+validation into typed rows plus a dead-letter table.
+
+Mapping: ``click``/``purchase`` -> trade, ``view`` -> ticker, ``error`` ->
+orderbook, anything else keeps its own (unknown, skipped) type. The symbol is
+``KRW-U<user_id>``. ``props.k`` (0-99) picks the message shape, so every
+contract rule is exercised by the data itself:
+
+* k < 5: malformed JSON;  5-9: price field missing;  10-14: enum/levels
+  violation;  15-19: symbol sent as a number (all rejected)
+* 20-39: numeric text in a float field;  40-69: wire names, ms times;
+  70-99: canonical names, ISO times (all valid)
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from candlewick.operators import contract as C
+
+TYPE_OF_EVENT = {"click": "trade", "purchase": "trade", "view": "ticker", "error": "orderbook"}
+
+
+def _json(**fields: Column) -> Column:
+    return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
+
+
+def messages_from_events(events: DataFrame) -> DataFrame:
+    """``event_id, ts, value`` (JSON text) for every event."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    e = events.select("event_id", "user_id", "event_type", "value", "ts", k.alias("k"))
+    mtype = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in TYPE_OF_EVENT.items() for x in kv]),
+                                    F.col("event_type")), F.col("event_type"))
+    e = e.withColumn("mtype", mtype)
+    sym = F.concat(F.lit("KRW-U"), F.col("user_id").cast("string"))
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    price, qty, t = F.col("value"), F.col("k").cast("double"), F.col("mtype")
+    side = F.when(F.col("user_id") % 2 == 0, F.lit("BID")).otherwise(F.lit("ASK"))
+    K = F.col("k")
+    code_bad = F.col("user_id")                          # a number where text is required
+    units = F.array(*[F.struct(price.alias("ask_price"), (price - F.lit(0.01 * i)).alias("bid_price"),
+                               qty.alias("ask_size"), (qty + F.lit(float(i))).alias("bid_size")) for i in range(3)])
+    bad_units = F.array(F.struct(price.alias("ask_price"), price.alias("bid_price"), qty.alias("ask_size")))
+
+    def trade(code=sym, p=price, s=side, drop_price=False, canonical=False):
+        if canonical:
+            return _json(type=t, symbol=code, trade_price=p, trade_volume=qty, side=s, timestamp=iso)
+        f = dict(type=t, code=code, trade_price=p, trade_volume=qty, ask_bid=s, trade_timestamp=ms)
+        if drop_price:
+            f.pop("trade_price")
+        return _json(**f)
+
+    def ticker(code=sym, p=price, change=F.lit("RISE"), drop_price=False, canonical=False):
+        f = dict(type=t)
+        f["symbol" if canonical else "code"] = code
+        f["open_price" if canonical else "opening_price"] = price
+        f.update(high_price=price, low_price=price, trade_price=p, change=change, change_price=F.lit(0.0),
+                 signed_change_rate=F.lit(0.0), acc_trade_volume_24h=qty, timestamp=iso if canonical else ms)
+        if drop_price:
+            f.pop("trade_price")
+        return _json(**f)
+
+    def orderbook(code=sym, p=price, u=units, drop_price=False, canonical=False):
+        f = dict(type=t)
+        f["symbol" if canonical else "code"] = code
+        f.update(total_ask_size=qty, total_bid_size=p, orderbook_units=u, timestamp=iso if canonical else ms)
+        if drop_price:
+            f.pop("total_bid_size")
+        return _json(**f)
+
+    def shaped(build, bad_kwargs):
+        return (F.when(K < 10, build(drop_price=True))
+                 .when(K < 15, build(**bad_kwargs))
+                 .when(K < 20, build(code=code_bad))
+                 .when(K < 40, build(p=price.cast("string")))
+                 .when(K < 70, build())
+                 .otherwise(build(canonical=True)))
+
+    text = (F.when(K < 5, F.concat(F.lit('{"type": "'), t, F.lit('", "code": ')))
+             .when(t == "trade", shaped(trade, {"s": F.lit("SELL")}))
+             .when(t == "ticker", shaped(ticker, {"change": F.lit("UP")}))
+             .when(t == "orderbook", shaped(orderbook, {"u": bad_units}))
+             .otherwise(_json(type=t, code=sym, value=price)))
+    return e.select("event_id", "ts", text.alias("value"))
+
+
+COMMON = ("event_id", "type", "symbol", "price", "qty", "ts_ms")
+
+
+def _common(valid: DataFrame, contract: str) -> DataFrame:
+    price = "total_bid_size" if contract == "orderbook" else "trade_price"
+    qty = {"trade": "trade_volume", "ticker": "acc_trade_volume_24h", "orderbook": "total_ask_size"}[contract]
+    return valid.select("event_id", "type", "symbol", F.col(price).alias("price"), F.col(qty).alias("qty"),
+                        F.unix_millis("timestamp").alias("ts_ms"))
+
+
+def validate_all(msgs: DataFrame, keep=("event_id",)) -> tuple[DataFrame, DataFrame]:
+    """One parse, then every contract: (valid rows in a common shape,
+    rejected rows with their first reason)."""
+    parsed = C.parse_messages(msgs, "value", keep)
+    valids, rejects = [], [C.malformed_parsed(parsed, keep)]
+    for name in C.CONTRACTS:
+        v, r = C.check_contract(parsed, name, keep)
+        valids.append(_common(v, name))
+        rejects.append(r)
+    valid = valids[0].unionByName(valids[1]).unionByName(valids[2])
+    rej = rejects[0]
+    for r in rejects[1:]:
+        rej = rej.unionByName(r)
+    return valid, rej.select(*keep, "type", F.col("errors")[0].alias("reason"))
+
+
+def valid_by_type(msgs: DataFrame, contract: str, keep=("event_id",)) -> DataFrame:
+    parsed = C.parse_messages(msgs, "value", keep)
+    v, _ = C.check_contract(parsed, contract, keep)
+    return v
