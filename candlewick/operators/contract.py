@@ -110,22 +110,26 @@ def rename_canonical(df: DataFrame, contract: str, variant: str = "_v") -> DataF
 
 def parse_messages(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode message bytes/text once: ``_text``, ``_v`` (VARIANT) and ``_type``."""
-    p = df.select(*keep, F.col(value).cast("string").alias("_text")).withColumn("_v", F.try_parse_json("_text"))
-    return p.withColumn("_type", F.try_variant_get(F.col("_v"), "$.type", "string"))
+    text = F.col(value).cast("string")
+    v = F.try_parse_json(text)
+    row = F.struct(*[F.col(k) for k in keep], text.alias("_text"), v.alias("_v"),
+                   F.try_variant_get(v, "$.type", "string").alias("_type"))
+    # ``inline`` is a barrier for predicate pushdown: the filters that split
+    # valid from rejected rows read the parsed VARIANT instead of re-parsing
+    # the text once per referenced field.
+    return df.select(F.inline(F.array(row)))
 
 
 def check_contract(parsed: DataFrame, contract: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected) for the rows of ``parsed`` whose type is ``contract``."""
     fields = CONTRACTS[contract]
     mine = parsed.where(F.col("_type") == F.lit(contract))
-    cols, errs = [], []
-    for f in fields:
-        raw = _raw(F.col("_v"), f)
-        typed = _typed(raw, f)
-        cols.append(typed.alias(f.name))
-        errs.append(_error(raw, typed, f))
-    checked = mine.select(*keep, "_text", *cols,
-                          F.filter(F.array(*errs), lambda e: e.isNotNull()).alias("errors"))
+    # three projections so each extraction is evaluated once per row
+    raws = mine.select(*keep, "_text", *[_raw(F.col("_v"), f).alias(f"_r_{f.name}") for f in fields])
+    typed = raws.select("*", *[_typed(F.col(f"_r_{f.name}"), f).alias(f.name) for f in fields])
+    errs = [_error(F.col(f"_r_{f.name}"), F.col(f.name), f) for f in fields]
+    checked = typed.select(*keep, "_text", *[f.name for f in fields],
+                           F.filter(F.array(*errs), lambda e: e.isNotNull()).alias("errors"))
     valid = checked.where(F.size("errors") == 0).select(*keep, *[f.name for f in fields])
     rejected = checked.where(F.size("errors") > 0).select(
         *keep, F.col("_text").alias("raw"), F.lit(contract).alias("type"), "errors")
