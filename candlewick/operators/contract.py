@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.timestamps import smart_timestamp
+from candlewick.session import spread
 
 
 @dataclass(frozen=True)
@@ -71,66 +72,137 @@ CONTRACTS: dict[str, list[Field]] = {
 }
 
 
-def _raw(v: Column, f: Field) -> Column:
-    """The field as VARIANT, wire name first, then canonical; JSON null = absent."""
-    def get(name):
-        x = F.try_variant_get(v, f"$.{name}", "variant")
-        return F.when(F.schema_of_variant(x) != F.lit("VOID"), x)
-    return get(f.wire) if f.wire == f.name else F.coalesce(get(f.wire), get(f.name))
+def _key_type(kind: str) -> str:
+    return {"str": "variant", "enum": "variant", "float": "double", "ts": "string",
+            "levels": LEVELS_TYPE}[kind]
 
 
-def _typed(raw: Column, f: Field) -> Column:
+def _keys(contracts) -> dict[str, str]:
+    """Every wire and canonical key of the contracts with its field kind."""
+    out: dict[str, str] = {}
+    for c in contracts:
+        for f in CONTRACTS[c]:
+            for k in {f.wire, f.name}:
+                out[k] = f.kind
+    return out
+
+
+def _extract(v: Column, keys: dict[str, str]) -> tuple[Column, Column]:
+    """Two VARIANT casts for all keys at once: every key as text (presence:
+    non-NULL for any non-null JSON value) and every key typed by its kind."""
+    as_text = "struct<" + ",".join(f"`{k}`:string" for k in keys) + ">"
+    typed = "struct<" + ",".join(f"`{k}`:{_key_type(t)}" for k, t in keys.items()) + ">"
+    return F.try_variant_get(v, "$", as_text), F.try_variant_get(v, "$", typed)
+
+
+def _get(t: Column, f: Field) -> Column:
+    """Typed value from the typed extraction; NULL if it breaks the kind."""
     if f.kind in ("str", "enum"):
-        return F.when(F.schema_of_variant(raw) == "STRING", F.try_variant_get(raw, "$", "string"))
-    if f.kind == "float":
-        return F.try_variant_get(raw, "$", "double")
+        return F.when(F.schema_of_variant(t) == F.lit("STRING"), t.cast("string"))
+    if f.kind in ("float",):
+        return t
     if f.kind == "ts":
-        return smart_timestamp(F.try_variant_get(raw, "$", "string"))
+        return smart_timestamp(t)
     if f.kind == "levels":
-        arr = F.try_variant_get(raw, "$", LEVELS_TYPE)
-        ok = F.forall(arr, lambda e: F.greatest(*[e[x].isNull() for x in LEVEL_FIELDS]) == F.lit(False))
-        return F.when(ok, arr)
+        # a level missing any field: joined field values show the NULL marker
+        # (kept free of lambda functions so the stage stays code-generated)
+        joined = F.concat_ws("|", *[F.array_join(t[x].cast("array<string>"), ",", "#") for x in LEVEL_FIELDS])
+        return F.when(~F.contains(joined, F.lit("#")), t)
     raise ValueError(f.kind)
 
 
-def _error(raw: Column, typed: Column, f: Field) -> Column:
+def _field(S: Column, T: Column, f: Field) -> tuple[Column, Column]:
+    """(present, typed): the wire name wins when present, else the canonical."""
+    pw = S[f.wire].isNotNull()
+    if f.wire == f.name:
+        return pw, _get(T[f.name], f)
+    return pw | S[f.name].isNotNull(), F.when(pw, _get(T[f.wire], f)).otherwise(_get(T[f.name], f))
+
+
+def _error(present: Column, typed: Column, f: Field) -> Column:
     if f.kind == "enum":
         bad = typed.isNull() | ~typed.isin(list(f.allowed))
     else:
         bad = typed.isNull()
-    return F.when(raw.isNull(), F.lit(f"{f.name}: required")) \
+    return F.when(~present, F.lit(f"{f.name}: required")) \
             .when(bad, F.lit(f"{f.name}: invalid {f.kind}"))
 
 
 def rename_canonical(df: DataFrame, contract: str, variant: str = "_v") -> DataFrame:
     """Canonical columns pulled from either name (no validation)."""
-    v = F.col(variant)
-    return df.select("*", *[_typed(_raw(v, f), f).alias(f.name) for f in CONTRACTS[contract]])
+    S, T = _extract(F.col(variant), _keys([contract]))
+    return df.select("*", *[_field(S, T, f)[1].alias(f.name) for f in CONTRACTS[contract]])
 
 
 def parse_messages(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode message bytes/text once: ``_text``, ``_v`` (VARIANT) and ``_type``."""
     text = F.col(value).cast("string")
-    v = F.try_parse_json(text)
-    row = F.struct(*[F.col(k) for k in keep], text.alias("_text"), v.alias("_v"),
-                   F.try_variant_get(v, "$.type", "string").alias("_type"))
-    # ``inline`` is a barrier for predicate pushdown: the filters that split
-    # valid from rejected rows read the parsed VARIANT instead of re-parsing
-    # the text once per referenced field.
-    return df.select(F.inline(F.array(row)))
+    p = spread(df.select(*keep, text.alias("_text"))).withColumn("_v", F.try_parse_json("_text"))
+    # barrier: later filters read the parsed VARIANT instead of re-parsing
+    # the text once per referenced field
+    return _barrier(p.withColumn("_type", F.try_variant_get(F.col("_v"), "$.type", "string")))
+
+
+def _error_list(errs: list[Column]) -> Column:
+    """Non-NULL messages of ``errs`` as an array (no lambda functions)."""
+    empty = F.array().cast("array<string>")
+    return F.concat(*[F.when(e.isNotNull(), F.array(e)).otherwise(empty) for e in errs])
+
+
+def check_messages(parsed: DataFrame, keep: tuple[str, ...] = (), contracts=None) -> DataFrame:
+    """Validate every message against the contract of its type in one pass.
+
+    Output: ``keep``, ``_type``, ``_text``, one struct per contract with the
+    canonical typed fields (NULL for messages of other types) and ``errors``
+    (``malformed json`` for text that is not a JSON object; empty for valid
+    messages and for unknown types, which are skipped).
+    """
+    contracts = list(contracts or CONTRACTS)
+    fields = {(f.wire, f.name, f.kind, f.allowed): f for c in contracts for f in CONTRACTS[c]}
+    users: dict[tuple, list[str]] = {}
+    for c in contracts:
+        for f in CONTRACTS[c]:
+            users.setdefault((f.wire, f.name, f.kind, f.allowed), []).append(c)
+    slot = {k: f"_f{i}" for i, k in enumerate(fields)}
+    v = F.col("_v")
+    bad = v.isNull() | (F.substring(F.schema_of_variant(v), 1, 6) != F.lit("OBJECT"))
+    S, T = _extract(v, _keys(contracts))
+    ex = _barrier(parsed.select(*keep, "_type", "_text", bad.alias("_bad"), S.alias("_S"), T.alias("_T")))
+    cols = []
+    for k, f in fields.items():
+        present, typed = _field(F.col("_S"), F.col("_T"), f)
+        mine = F.col("_type").isin(*users[k])
+        cols += [F.when(mine, present).alias("_p" + slot[k]), F.when(mine, typed).alias("_t" + slot[k])]
+    # barrier: the error and struct projections read these columns instead of
+    # having the lookups inlined into every CASE branch
+    typed = _barrier(ex.select(*keep, "_type", "_text", "_bad", *cols))
+    per_type_errs = F.when(F.col("_bad"), F.array(F.lit("malformed json")))
+    for c in contracts:
+        keys = [(f.wire, f.name, f.kind, f.allowed) for f in CONTRACTS[c]]
+        errs = [_error(F.col("_p" + slot[k]), F.col("_t" + slot[k]), fields[k]) for k in keys]
+        per_type_errs = per_type_errs.when(F.col("_type") == F.lit(c), _error_list(errs))
+    per_type_errs = per_type_errs.otherwise(F.array().cast("array<string>"))
+    structs = []
+    for c in contracts:
+        keys = [(f.wire, f.name, f.kind, f.allowed) for f in CONTRACTS[c]]
+        st = F.struct(*[F.col("_t" + slot[k]).alias(fields[k].name) for k in keys])
+        structs.append(F.when(F.col("_type") == F.lit(c), st).alias(c))
+    out = typed.select(*keep, "_type", "_text", *structs, per_type_errs.alias("errors"))
+    return _barrier(out)
+
+
+def _barrier(df: DataFrame) -> DataFrame:
+    """Stop predicate pushdown below this point (``inline`` of a one-element
+    array): filters on the result read computed columns instead of
+    re-evaluating the validation expressions they were built from."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
 def check_contract(parsed: DataFrame, contract: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected) for the rows of ``parsed`` whose type is ``contract``."""
-    fields = CONTRACTS[contract]
     mine = parsed.where(F.col("_type") == F.lit(contract))
-    # three projections so each extraction is evaluated once per row
-    raws = mine.select(*keep, "_text", *[_raw(F.col("_v"), f).alias(f"_r_{f.name}") for f in fields])
-    typed = raws.select("*", *[_typed(F.col(f"_r_{f.name}"), f).alias(f.name) for f in fields])
-    errs = [_error(F.col(f"_r_{f.name}"), F.col(f.name), f) for f in fields]
-    checked = typed.select(*keep, "_text", *[f.name for f in fields],
-                           F.filter(F.array(*errs), lambda e: e.isNotNull()).alias("errors"))
-    valid = checked.where(F.size("errors") == 0).select(*keep, *[f.name for f in fields])
+    checked = check_messages(mine, keep, [contract])
+    valid = checked.where(F.size("errors") == 0).select(*keep, f"{contract}.*")
     rejected = checked.where(F.size("errors") > 0).select(
         *keep, F.col("_text").alias("raw"), F.lit(contract).alias("type"), "errors")
     return valid, rejected

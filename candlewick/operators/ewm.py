@@ -88,9 +88,19 @@ def ewm_mean(df: DataFrame, key, order, columns: Mapping[str, tuple[str, float]]
         loc_cols.append(loc.alias(f"_loc_{out}"))
     local = blocked.select("*", *loc_cols)
 
-    # block table: one row per (key, block) with its end value
-    ends = local.groupBy(*key, "_eb").agg(
-        *[F.max_by(f"_loc_{o}", rn).alias(f"_E_{o}") for o in columns])
+    # block table: one row per (key, block) with its zero-carry end value
+    # E_b = sum_j w_j d^(B-1-i_j), aggregated from the input directly (only
+    # full blocks' ends are ever used as carries)
+    end_aggs = []
+    for out, (x, span) in columns.items():
+        a = alpha_of_span(span)
+        d = 1.0 - a
+        w = F.when(R == 0, F.col(x)).otherwise(F.lit(a) * F.col(x))
+        term = w if d <= 0 else w * F.pow(F.lit(d), F.lit(B - 1) - F.col("_ei"))
+        if d <= 0:
+            term = F.when(F.col("_ei") == B - 1, w).otherwise(F.lit(0.0))
+        end_aggs.append(F.sum(term).alias(f"_E_{out}"))
+    ends = blocked.groupBy(*key, "_eb").agg(*end_aggs)
     stage = {}
     look = 1
     for out, (x, span) in columns.items():

@@ -65,22 +65,27 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix after listwise NULL removal, long form (col_a, col_b, r).
 
-    All pairs come from one aggregate. A constant column gives NULL
-    (``corr`` would raise under ANSI mode).
+    Rows with any NULL are skipped by the assembler; Spark ML's ``Correlation``
+    then tree-aggregates the centered Gram matrix (a partial aggregate of
+    ``len(cols)^2`` numbers per task), so only the k x k result reaches the
+    driver, whatever the row count. A constant column gives NULL.
     """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
     cols = list(cols)
-    clean = df.select(*cols).dropna(how="any")
-    pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    aggs = [F.covar_pop(cols[i], cols[j]).alias(f"_c{i}_{j}") for i, j in pairs] + \
-           [F.stddev_pop(c).alias(f"_s{i}") for i, c in enumerate(cols)]
-    row = clean.agg(*aggs)
-    items = []
-    for i, j in pairs:
-        r = F.try_divide(F.col(f"_c{i}_{j}"), F.col(f"_s{i}") * F.col(f"_s{j}"))
-        items.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), r.alias("r")))
-        if i != j:
-            items.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"), r.alias("r")))
-    return row.select(F.explode(F.array(*items)).alias("p")).select("p.*")
+    spark = df.sparkSession
+    clean = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna(how="any")
+    vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="skip").transform(clean)
+    rows = Correlation.corr(vec.select("_features"), "_features", "pearson").first()
+    data = []
+    if rows is not None:
+        m = rows[0].toArray()
+        for i, a in enumerate(cols):
+            for j, b in enumerate(cols):
+                v = float(m[i, j])
+                data.append((a, b, None if v != v else v))
+    return spark.createDataFrame(data, "col_a string, col_b string, r double")
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from candlewick.operators.windows import Spec, apply_specs, expand_features, rol
 from candlewick.plans import marts, messages
 from candlewick.plans.compare import shape
 from candlewick.sources import derived, landing
-from candlewick.sources.tables import table
+from candlewick.sources.tables import layout_for, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,7 +103,8 @@ report AS (
 
 
 def _trend(spark, sf):
-    return marts.build_trend_report(_candles(spark, sf), digits=4).drop("created_at")
+    return marts.build_trend_report(_candles(spark, sf), digits=4, mode=layout_for(spark, sf, "orders")) \
+        .drop("created_at")
 
 
 @register("trend_report", SQL_TREND_ROWS + "\nSELECT * FROM report")
@@ -164,7 +165,8 @@ WHERE rsi_14 IS NOT NULL AND macd IS NOT NULL AND macd_signal IS NOT NULL AND bb
 @register("feature_mart", SQL_FEATURES)
 def q_feature_mart(spark, sf):
     """PIP-02: candles x sentiment, RSI/MACD/Bollinger/MA, complete rows only."""
-    fm = marts.build_feature_mart(_candles(spark, sf), derived.sentiment(table(spark, sf, "lineitem")))
+    fm = marts.build_feature_mart(_candles(spark, sf), derived.sentiment(table(spark, sf, "lineitem")),
+                                  mode=layout_for(spark, sf, "orders"))
     return shape(fm.drop("updated_at"), {"rsi_14": 6, "macd": 4, "macd_signal": 4, "bb_upper": 2,
                                          "bb_lower": 2, "ma_7": 4, "ma_30": 4})
 
@@ -182,7 +184,8 @@ baseline AS (SELECT symbol, round(v30, 4) AS avg_volume_30d, round(atr, 4) AS at
 
 
 def _baseline(spark, sf):
-    return marts.build_anomaly_baseline(_candles(spark, sf), digits=4).drop("updated_at")
+    return marts.build_anomaly_baseline(_candles(spark, sf), digits=4, mode=layout_for(spark, sf, "orders")) \
+        .drop("updated_at")
 
 
 @register("anomaly_baseline", "WITH " + SQL_BASELINE + "\nSELECT * FROM baseline")
@@ -219,7 +222,7 @@ SELECT symbol, strftime(date, '%Y-%m-%d') AS date, kind, round(ma_short, 4) AS m
 FROM k WHERE kind IS NOT NULL""")
 def q_ma_cross_events(spark, sf):
     """WIN-14: every golden/dead cross of MA 5 over MA 20."""
-    out = marts.ma_cross_events(_candles(spark, sf), "symbol", "date", "close")
+    out = marts.ma_cross_events(_candles(spark, sf), "symbol", "date", "close", mode=layout_for(spark, sf, "orders"))
     return shape(out, {"ma_short": 4, "ma_long": 4})
 
 
@@ -235,7 +238,7 @@ def q_rolling_stats(spark, sf):
     from candlewick.operators.windows import diff
     sp = Spec([{"ma_5": rolling_mean("close", 5), "ma_20": rolling_mean("close", 20),
                 "std_20": rolling_std("close", 20), "diff_1": diff("close")}], 19)
-    out = apply_specs(_candles(spark, sf), "symbol", "date", sp)
+    out = apply_specs(_candles(spark, sf), "symbol", "date", sp, mode=layout_for(spark, sf, "orders"))
     return shape(out.select("symbol", "date", "close", "ma_5", "ma_20", "std_20", "diff_1"),
                  {"ma_5": 4, "ma_20": 4, "std_20": 2})
 
@@ -252,7 +255,7 @@ FROM f""")
 def q_rsi(spark, sf):
     """WIN-06/07: strict and neutral RSI(14) on every row."""
     out = apply_specs(_candles(spark, sf), "symbol", "date", rsi("close", 14, "strict"),
-                      rsi("close", 14, "neutral", name="rsi_neutral"))
+                      rsi("close", 14, "neutral", name="rsi_neutral"), mode=layout_for(spark, sf, "orders"))
     return shape(out.select("symbol", "date", "rsi_14", "rsi_neutral"), {"rsi_14": 6, "rsi_neutral": 6})
 
 
@@ -277,7 +280,8 @@ out AS (SELECT m.*, sg.sig AS macd_signal FROM m JOIN sg ON m.symbol = sg.symbol
 SELECT symbol, strftime(date, '%Y-%m-%d') AS date, round(e12, 4) AS ema_12, round(e26, 4) AS ema_26 FROM out""")
 def q_ewm(spark, sf):
     """WIN-08: EWM(span 12, 26), adjust=False, blocked parallel scan."""
-    out = ewm_mean(_candles(spark, sf), "symbol", "date", {"ema_12": ("close", 12), "ema_26": ("close", 26)})
+    out = ewm_mean(_candles(spark, sf), "symbol", "date", {"ema_12": ("close", 12), "ema_26": ("close", 26)},
+                   mode=layout_for(spark, sf, "orders"))
     return shape(out.select("symbol", "date", "ema_12", "ema_26"), {"ema_12": 4, "ema_26": 4})
 
 
@@ -285,7 +289,7 @@ def q_ewm(spark, sf):
 SELECT symbol, strftime(date, '%Y-%m-%d') AS date, round(macd, 4) AS macd, round(macd_signal, 4) AS macd_signal FROM out""")
 def q_macd(spark, sf):
     """WIN-09: MACD(12, 26) and its signal EWM(9)."""
-    out = macd(_candles(spark, sf), "symbol", "date", "close")
+    out = macd(_candles(spark, sf), "symbol", "date", "close", mode=layout_for(spark, sf, "orders"))
     return shape(out.select("symbol", "date", "macd", "macd_signal"), {"macd": 4, "macd_signal": 4})
 
 
@@ -296,7 +300,8 @@ SELECT symbol, strftime(date, '%Y-%m-%d') AS date, round(mid + sd * 2.0, 2) AS b
        round(mid - sd * 2.0, 2) AS bb_lower, round(mid, 4) AS bb_mid FROM f""")
 def q_bollinger(spark, sf):
     """WIN-10: 20-row mean +/- 2 sample deviations."""
-    out = apply_specs(_candles(spark, sf), "symbol", "date", bollinger("close", 20, 2.0, mid="bb_mid"))
+    out = apply_specs(_candles(spark, sf), "symbol", "date", bollinger("close", 20, 2.0, mid="bb_mid"),
+                      mode=layout_for(spark, sf, "orders"))
     return shape(out.select("symbol", "date", "bb_upper", "bb_lower", "bb_mid"),
                  {"bb_upper": 2, "bb_lower": 2, "bb_mid": 4})
 
@@ -309,7 +314,8 @@ SELECT symbol, strftime(date, '%Y-%m-%d') AS date, round(tr, 2) AS tr, round({_r
 FROM t""")
 def q_atr(spark, sf):
     """WIN-11/12: true range and its 14-row mean."""
-    out = apply_specs(_candles(spark, sf), "symbol", "date", atr("high", "low", "close", 14, name="atr_14"))
+    out = apply_specs(_candles(spark, sf), "symbol", "date", atr("high", "low", "close", 14, name="atr_14"),
+                      mode=layout_for(spark, sf, "orders"))
     return shape(out.select("symbol", "date", "tr", "atr_14"), {"tr": 2, "atr_14": 4})
 
 
@@ -321,7 +327,8 @@ def _ticks(spark, sf) -> DataFrame:
 
 def _tick_features(spark, sf) -> DataFrame:
     return apply_specs(_ticks(spark, sf), "symbol", ["ts_event", "event_id"],
-                       expand_features("acc_trade_price_24h", "acc_trade_volume_24h", "ts_event"))
+                       expand_features("acc_trade_price_24h", "acc_trade_volume_24h", "ts_event"),
+                       mode=layout_for(spark, sf, "events"))
 
 
 SQL_TICKS = """

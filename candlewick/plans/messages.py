@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators import contract as C
+from candlewick.session import spread
 
 TYPE_OF_EVENT = {"click": "trade", "purchase": "trade", "view": "ticker", "error": "orderbook"}
 
@@ -29,7 +30,7 @@ def _json(**fields: Column) -> Column:
 def messages_from_events(events: DataFrame) -> DataFrame:
     """``event_id, ts, value`` (JSON text) for every event."""
     k = F.get_json_object("props", "$.k").cast("int")
-    e = events.select("event_id", "user_id", "event_type", "value", "ts", k.alias("k"))
+    e = spread(events.select("event_id", "user_id", "event_type", "value", "ts", k.alias("k")))
     mtype = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in TYPE_OF_EVENT.items() for x in kv]),
                                     F.col("event_type")), F.col("event_type"))
     e = e.withColumn("mtype", mtype)
@@ -39,77 +40,65 @@ def messages_from_events(events: DataFrame) -> DataFrame:
     price, qty, t = F.col("value"), F.col("k").cast("double"), F.col("mtype")
     side = F.when(F.col("user_id") % 2 == 0, F.lit("BID")).otherwise(F.lit("ASK"))
     K = F.col("k")
-    code_bad = F.col("user_id")                          # a number where text is required
     units = F.array(*[F.struct(price.alias("ask_price"), (price - F.lit(0.01 * i)).alias("bid_price"),
                                qty.alias("ask_size"), (qty + F.lit(float(i))).alias("bid_size")) for i in range(3)])
-    bad_units = F.array(F.struct(price.alias("ask_price"), price.alias("bid_price"), qty.alias("ask_size")))
-
-    def trade(code=sym, p=price, s=side, drop_price=False, canonical=False):
-        if canonical:
-            return _json(type=t, symbol=code, trade_price=p, trade_volume=qty, side=s, timestamp=iso)
-        f = dict(type=t, code=code, trade_price=p, trade_volume=qty, ask_bid=s, trade_timestamp=ms)
-        if drop_price:
-            f.pop("trade_price")
-        return _json(**f)
-
-    def ticker(code=sym, p=price, change=F.lit("RISE"), drop_price=False, canonical=False):
-        f = dict(type=t)
-        f["symbol" if canonical else "code"] = code
-        f["open_price" if canonical else "opening_price"] = price
-        f.update(high_price=price, low_price=price, trade_price=p, change=change, change_price=F.lit(0.0),
-                 signed_change_rate=F.lit(0.0), acc_trade_volume_24h=qty, timestamp=iso if canonical else ms)
-        if drop_price:
-            f.pop("trade_price")
-        return _json(**f)
-
-    def orderbook(code=sym, p=price, u=units, drop_price=False, canonical=False):
-        f = dict(type=t)
-        f["symbol" if canonical else "code"] = code
-        f.update(total_ask_size=qty, total_bid_size=p, orderbook_units=u, timestamp=iso if canonical else ms)
-        if drop_price:
-            f.pop("total_bid_size")
-        return _json(**f)
-
-    def shaped(build, bad_kwargs):
-        return (F.when(K < 10, build(drop_price=True))
-                 .when(K < 15, build(**bad_kwargs))
-                 .when(K < 20, build(code=code_bad))
-                 .when(K < 40, build(p=price.cast("string")))
-                 .when(K < 70, build())
-                 .otherwise(build(canonical=True)))
-
-    text = (F.when(K < 5, F.concat(F.lit('{"type": "'), t, F.lit('", "code": ')))
-             .when(t == "trade", shaped(trade, {"s": F.lit("SELL")}))
-             .when(t == "ticker", shaped(ticker, {"change": F.lit("UP")}))
-             .when(t == "orderbook", shaped(orderbook, {"u": bad_units}))
-             .otherwise(_json(type=t, code=sym, value=price)))
+    bad_units = F.array(F.struct(price.alias("ask_price"), price.alias("bid_price"), qty.alias("ask_size"),
+                                 F.lit(None).cast("double").alias("bid_size")))   # omitted by to_json
+
+    wire = K < 70                                       # else canonical names, ISO time
+    as_text = (K >= 20) & (K < 40)                      # numeric text in the price field
+    drop = (K >= 5) & (K < 10)                          # price field missing
+    bad_enum = (K >= 10) & (K < 15)
+    code_num = (K >= 15) & (K < 20)                     # symbol sent as a JSON number
+
+    def name(w, c, v):
+        """(wire, canonical) field pair: only one is set; to_json omits NULLs."""
+        return {w: F.when(wire, v), c: F.when(~wire, v)}
+
+    def js(fields: dict, price_field: str) -> Column:
+        def build(text_price: bool):
+            f = dict(fields)
+            f[price_field] = F.when(~drop, price.cast("string") if text_price else price)
+            return _json(**f)
+        return F.when(as_text, build(True)).otherwise(build(False))
+
+    ts_text = F.when(wire, ms.cast("string")).otherwise(iso)   # digit text or ISO
+    trade = js({"type": t, **name("code", "symbol", sym), "trade_price": None, "trade_volume": qty,
+                **name("ask_bid", "side", F.when(bad_enum, F.lit("SELL")).otherwise(side)),
+                "trade_timestamp": F.when(wire, ms), "timestamp": F.when(~wire, iso)}, "trade_price")
+    ticker = js({"type": t, **name("code", "symbol", sym), **name("opening_price", "open_price", price),
+                 "high_price": price, "low_price": price, "trade_price": None,
+                 "change": F.when(bad_enum, F.lit("UP")).otherwise(F.lit("RISE")),
+                 "change_price": F.lit(0.0), "signed_change_rate": F.lit(0.0), "acc_trade_volume_24h": qty,
+                 "timestamp": ts_text}, "trade_price")
+    orderbook = js({"type": t, **name("code", "symbol", sym), "total_ask_size": qty, "total_bid_size": None,
+                    "orderbook_units": F.when(bad_enum, bad_units).otherwise(units), "timestamp": ts_text},
+                   "total_bid_size")
+    body = F.when(t == "trade", trade).when(t == "ticker", ticker).when(t == "orderbook", orderbook) \
+            .otherwise(_json(type=t, code=sym, value=price))
+    body = F.when(code_num, F.regexp_replace(body, '"code":"KRW-U([0-9]+)"', '"code":$1')).otherwise(body)
+    text = F.when(K < 5, F.concat(F.lit('{"type": "'), t, F.lit('", "code": '))).otherwise(body)
     return e.select("event_id", "ts", text.alias("value"))
 
 
-COMMON = ("event_id", "type", "symbol", "price", "qty", "ts_ms")
-
-
-def _common(valid: DataFrame, contract: str) -> DataFrame:
-    price = "total_bid_size" if contract == "orderbook" else "trade_price"
-    qty = {"trade": "trade_volume", "ticker": "acc_trade_volume_24h", "orderbook": "total_ask_size"}[contract]
-    return valid.select("event_id", "type", "symbol", F.col(price).alias("price"), F.col(qty).alias("qty"),
-                        F.unix_millis("timestamp").alias("ts_ms"))
-
-
 def validate_all(msgs: DataFrame, keep=("event_id",)) -> tuple[DataFrame, DataFrame]:
-    """One parse, then every contract: (valid rows in a common shape,
-    rejected rows with their first reason)."""
-    parsed = C.parse_messages(msgs, "value", keep)
-    valids, rejects = [], [C.malformed_parsed(parsed, keep)]
-    for name in C.CONTRACTS:
-        v, r = C.check_contract(parsed, name, keep)
-        valids.append(_common(v, name))
-        rejects.append(r)
-    valid = valids[0].unionByName(valids[1]).unionByName(valids[2])
-    rej = rejects[0]
-    for r in rejects[1:]:
-        rej = rej.unionByName(r)
-    return valid, rej.select(*keep, "type", F.col("errors")[0].alias("reason"))
+    """One parse and one validation pass over all contracts: (valid rows in a
+    common shape, rejected rows with their first reason)."""
+    checked = C.check_messages(C.parse_messages(msgs, "value", keep), keep)
+    t = F.col("_type")
+    price = F.when(t == "trade", F.col("trade.trade_price")).when(t == "ticker", F.col("ticker.trade_price")) \
+             .when(t == "orderbook", F.col("orderbook.total_bid_size"))
+    qty = F.when(t == "trade", F.col("trade.trade_volume")).when(t == "ticker", F.col("ticker.acc_trade_volume_24h")) \
+           .when(t == "orderbook", F.col("orderbook.total_ask_size"))
+    sym = F.coalesce(F.col("trade.symbol"), F.col("ticker.symbol"), F.col("orderbook.symbol"))
+    ts = F.coalesce(F.col("trade.timestamp"), F.col("ticker.timestamp"), F.col("orderbook.timestamp"))
+    valid = checked.where(t.isin(*C.CONTRACTS) & (F.size("errors") == 0)).select(
+        *keep, t.alias("type"), sym.alias("symbol"), price.alias("price"), qty.alias("qty"),
+        F.unix_millis(ts).alias("ts_ms"))
+    rejected = checked.where(F.size("errors") > 0).select(
+        *keep, F.when(~F.col("errors")[0].startswith("malformed"), t).alias("type"),
+        F.col("errors")[0].alias("reason"))
+    return valid, rejected
 
 
 def valid_by_type(msgs: DataFrame, contract: str, keep=("event_id",)) -> DataFrame:

@@ -62,3 +62,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint root."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a batch frame over the cluster when its input has fewer
+    splits than cores (e.g. one small Parquet row group), so CPU-heavy
+    row-wise work (JSON parse, validation) runs in parallel. A frame that is
+    already split at least that finely, or a streaming frame, is returned
+    unchanged, so on large inputs this adds no shuffle."""
+    if df.isStreaming:
+        return df
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

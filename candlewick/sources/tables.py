@@ -9,7 +9,38 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+_FRAMES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``spark.read.parquet`` of ``{sf_dir}/{name}.parquet``; columns and
-    filters chosen later are pushed into the scan by Catalyst."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    filters chosen later are pushed into the scan by Catalyst. The DataFrame
+    is memoized per session and path so the footer/schema listing runs once."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    k = (id(spark), path)
+    if k not in _FRAMES:
+        _FRAMES[k] = spark.read.parquet(path)
+    return _FRAMES[k]
+
+
+_ROWS: dict[str, int] = {}
+
+
+def table_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Row count of a table (Parquet footers only), memoized per path."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if path not in _ROWS:
+        _ROWS[path] = table(spark, sf_dir, name).count()
+    return _ROWS[path]
+
+
+def layout_for(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """``key`` when the source tables together fit one task's budget (then no
+    key of anything derived row-for-row or by aggregation can exceed it),
+    otherwise ``auto`` (measure the largest key)."""
+    from candlewick.operators.series import DEFAULT_MAX_ROWS_PER_TASK
+    forced = spark.conf.get("spark.candlewick.layout", "auto")
+    if forced != "auto":
+        return forced
+    total = sum(table_rows(spark, sf_dir, n) for n in names)
+    return "key" if total <= DEFAULT_MAX_ROWS_PER_TASK else "auto"
