@@ -665,3 +665,69 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# -- streaming hot path (replayed through a running query) ---------------------
+
+def _stream_stores(spark, sf):
+    from candlewick.streaming import replay
+    return replay.stores(spark, replay.replay(spark, sf, cap=25, days_per_batch=10), cap=25)
+
+
+SQL_STREAM_TRADES = f"""
+{SQL_MESSAGES},
+tr AS (SELECT 'KRW-U' || CAST(user_id AS VARCHAR) AS symbol, value AS price, (epoch_us(ts) // 1000) AS ts_ms,
+              event_id, (dayofyear(ts) - 1) // 10 AS blk
+       FROM msgs WHERE mtype = 'trade' AND k >= 20)"""
+
+
+@register("stream_snapshot", f"""
+WITH {SQL_MESSAGES},
+tk AS (SELECT 'KRW-U' || CAST(user_id AS VARCHAR) AS symbol, value AS price, (epoch_us(ts) // 1000) AS ts_ms,
+              event_id FROM msgs WHERE mtype = 'ticker' AND k >= 20)
+SELECT symbol, price, ts_ms, event_id AS "offset"
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC, event_id DESC) AS rk FROM tk)
+WHERE rk = 1""")
+def q_stream_snapshot(spark, sf):
+    """STR-02/03, SNK-06: latest ticker per symbol after replaying all
+    events as a stream (event time, then offset, wins)."""
+    s = _stream_stores(spark, sf)["snapshot_ticker"].read()
+    return s.select("symbol", "price", F.unix_millis("ts").alias("ts_ms"), "offset")
+
+
+@register("stream_recent", "WITH " + SQL_STREAM_TRADES + """
+SELECT symbol, event_id AS "offset", price, ts_ms
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC, event_id DESC) AS rk FROM tr)
+WHERE rk <= 25""")
+def q_stream_recent(spark, sf):
+    """STR-04, SNK-05: newest 25 trades per symbol kept by the stream."""
+    t = _stream_stores(spark, sf)["trades"].read()
+    return t.select("symbol", "offset", "price", F.unix_millis("ts").alias("ts_ms"))
+
+
+@register("stream_alerts", "WITH " + SQL_STREAM_TRADES + f""",
+m AS (SELECT *, {_roll('avg', 'price', 5, 'symbol', 'ts_ms, event_id')} AS ma_short,
+             {_roll('avg', 'price', 20, 'symbol', 'ts_ms, event_id')} AS ma_long,
+             lead(blk) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS next_blk FROM tr),
+l AS (SELECT *, lag(ma_short) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS ps,
+                lag(ma_long) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS pl FROM m),
+k AS (SELECT *, CASE WHEN ps <= pl AND ma_short > ma_long THEN 'golden'
+                     WHEN ps >= pl AND ma_short < ma_long THEN 'dead' END AS kind FROM l)
+SELECT symbol, kind, ts_ms AS event_time_ms, round(ma_short, 4) AS ma_short, round(ma_long, 4) AS ma_long
+FROM k WHERE kind IS NOT NULL AND (next_blk IS NULL OR next_blk <> blk)""")
+def q_stream_alerts(spark, sf):
+    """STR-05: MA(5)/MA(20) cross alerts at each micro-batch's newest trade
+    per symbol, emitted once per (symbol, kind, event_time)."""
+    a = _stream_stores(spark, sf)["alerts"].read()
+    return shape(a.select("symbol", "kind", F.unix_millis("event_time").alias("event_time_ms"), "ma_short",
+                          "ma_long"), {"ma_short": 4, "ma_long": 4})
+
+
+@register("stream_rejected", f"""
+WITH {SQL_MESSAGES}
+SELECT event_id AS "offset", CASE WHEN k < 5 THEN NULL ELSE mtype END AS type
+FROM msgs WHERE (mtype IN ('trade', 'ticker', 'orderbook') AND k < 20) OR k < 5""")
+def q_stream_rejected(spark, sf):
+    """STR-08: every invalid message lands in the dead-letter table."""
+    r = _stream_stores(spark, sf)["rejected"].read()
+    return r.select("offset", "type")

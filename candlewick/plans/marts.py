@@ -134,13 +134,16 @@ def ma_cross_events(series: DataFrame, key: str, ts: str, price: str, short: int
 
 
 def detect_ma_cross(series: DataFrame, key: str, ts: str, price: str, short: int = 5, long: int = 20,
-                    mode: str = "auto") -> DataFrame:
+                    mode: str = "auto", tiebreak: str | None = None) -> DataFrame:
     """PIP-05: per key, the newest ``long + 1`` rows, MA short/long, the last
-    two complete rows, and a golden/dead alert row with its message."""
-    recent = newest_n_per_key(series.select(key, ts, price), key, [ts], long + 1)
-    mas = apply_specs(recent, key, ts, Spec([{"ma_short": rolling_mean(price, short),
-                                              "ma_long": rolling_mean(price, long)}], long - 1), mode=mode)
-    two = latest_two(mas, key, [ts], require=["ma_short", "ma_long"])
+    two complete rows, and a golden/dead alert row with its message.
+    ``tiebreak`` (e.g. a source offset) orders rows with equal ``ts``."""
+    order = [ts, tiebreak] if tiebreak else [ts]
+    cols = [key, *order, price]
+    recent = newest_n_per_key(series.select(*cols), key, order, long + 1)
+    mas = apply_specs(recent, key, order, Spec([{"ma_short": rolling_mean(price, short),
+                                                 "ma_long": rolling_mean(price, long)}], long - 1), mode=mode)
+    two = latest_two(mas, key, order, require=["ma_short", "ma_long"])
     cur = two.where(F.col("pos") == 1).select(key, F.col(ts).alias("event_time"), "ma_short", "ma_long")
     prev = two.where(F.col("pos") == 2).select(key, F.col("ma_short").alias("_ps"), F.col("ma_long").alias("_pl"))
     j = cur.join(prev, on=key, how="inner")

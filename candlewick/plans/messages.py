@@ -78,7 +78,7 @@ def messages_from_events(events: DataFrame) -> DataFrame:
             .otherwise(_json(type=t, code=sym, value=price))
     body = F.when(code_num, F.regexp_replace(body, '"code":"KRW-U([0-9]+)"', '"code":$1')).otherwise(body)
     text = F.when(K < 5, F.concat(F.lit('{"type": "'), t, F.lit('", "code": '))).otherwise(body)
-    return e.select("event_id", "ts", text.alias("value"))
+    return e.select("event_id", "ts", "mtype", "user_id", text.alias("value"))
 
 
 def validate_all(msgs: DataFrame, keep=("event_id",)) -> tuple[DataFrame, DataFrame]:
