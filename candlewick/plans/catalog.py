@@ -731,3 +731,105 @@ def q_stream_rejected(spark, sf):
     """STR-08: every invalid message lands in the dead-letter table."""
     r = _stream_stores(spark, sf)["rejected"].read()
     return r.select("offset", "type")
+
+
+# -- serving reads (PIP-09) and ingest (PIP-08) --------------------------------
+
+def _stats_mart(spark, sf):
+    lt = derived.ticker_landing(table(spark, sf, "events"))
+    return marts.build_market_stats_24h(lt, created_at=F.lit(None).cast("timestamp"))
+
+
+SQL_STATS = """
+stats AS (SELECT symbol, CAST(acc_trade_price_24h AS DECIMAL(30,8)) AS acc_trade_price_24h,
+                 CAST(acc_trade_volume_24h AS DECIMAL(30,8)) AS acc_trade_volume_24h, 'upbit' AS source,
+                 strftime(to_timestamp(epoch_us(ts) // 1000000), '%Y-%m-%d %H:%M:%S') AS ts_event
+          FROM (SELECT event_type AS symbol, value AS acc_trade_price_24h,
+                       CAST(json_extract_string(props, '$.k') AS DOUBLE) AS acc_trade_volume_24h, ts,
+                       row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS rk FROM events)
+          WHERE rk = 1)"""
+
+
+def _as_text(df: DataFrame, cols) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("market_stats_list", f"""
+WITH {SQL_STATS}
+SELECT symbol, CAST(acc_trade_price_24h AS VARCHAR) AS acc_trade_price_24h,
+       CAST(acc_trade_volume_24h AS VARCHAR) AS acc_trade_volume_24h, source, ts_event,
+       (SELECT count(*) FROM stats) AS total
+FROM stats ORDER BY symbol LIMIT 100""")
+def q_market_stats_list(spark, sf):
+    """PIP-09 list: ordered by symbol, first page of 100, decimals as text
+    with 8 places (the published format), plus the total count."""
+    from candlewick.plans import serving
+    rows, total = serving.market_stats_list(_stats_mart(spark, sf))
+    n = total.first()["count"]
+    out = shape(rows.drop("created_at"))
+    return _as_text(out, {"acc_trade_price_24h", "acc_trade_volume_24h"}).withColumn("total", F.lit(n).cast("bigint"))
+
+
+@register("market_stats_detail", f"""
+WITH {SQL_STATS}
+SELECT symbol, CAST(acc_trade_price_24h AS VARCHAR) AS acc_trade_price_24h,
+       CAST(acc_trade_volume_24h AS VARCHAR) AS acc_trade_volume_24h, source, ts_event
+FROM stats WHERE symbol = 'view'""")
+def q_market_stats_detail(spark, sf):
+    """PIP-09 detail: one symbol (FLT-08)."""
+    from candlewick.plans import serving
+    out = shape(serving.market_stats_detail(_stats_mart(spark, sf), "view").drop("created_at"))
+    return _as_text(out, {"acc_trade_price_24h", "acc_trade_volume_24h"})
+
+
+@register("trend_list", SQL_TREND_ROWS + """
+SELECT symbol, CAST(CAST(close_price AS DECIMAL(20,4)) AS VARCHAR) AS close_price,
+       CAST(CAST(ma_5 AS DECIMAL(20,4)) AS VARCHAR) AS ma_5, CAST(CAST(ma_20 AS DECIMAL(20,4)) AS VARCHAR) AS ma_20,
+       CAST(CAST(ma_60 AS DECIMAL(20,4)) AS VARCHAR) AS ma_60, is_golden_cross, trend_score
+FROM report""")
+def q_trend_list(spark, sf):
+    """PIP-09 trend list: score order, decimals at the mart's scales (PRJ-13)."""
+    from candlewick.plans import serving
+    rows, _ = serving.trend_list(_trend(spark, sf).withColumn("created_at", F.lit(None).cast("timestamp")))
+    return _as_text(rows.drop("created_at", "rsi_14"), {"close_price", "ma_5", "ma_20", "ma_60"})
+
+
+@register("realtime_price", f"""
+WITH {SQL_MESSAGES},
+tk AS (SELECT 'KRW-U' || CAST(user_id AS VARCHAR) AS symbol, value AS price, (epoch_us(ts) // 1000) AS ts_ms,
+              event_id FROM msgs WHERE mtype = 'ticker' AND k >= 20 AND user_id = 1)
+SELECT symbol, price, ts_ms FROM tk ORDER BY ts_ms DESC, event_id DESC LIMIT 1""")
+def q_realtime_price(spark, sf):
+    """PRJ-12: latest price of one market from the stream snapshot."""
+    from candlewick.plans import serving
+    snap = _stream_stores(spark, sf)["snapshot_ticker"].read()
+    r = serving.realtime_price(snap, "KRW-U1")
+    return r.select("symbol", "price", F.unix_millis("timestamp").alias("ts_ms"))
+
+
+@register("ingest_backfill", f"""
+WITH {SQL_CANDLES}
+SELECT symbol, strftime(date, '%Y-%m-%d') AS date, open, high, low, close, volume FROM candles""")
+def q_ingest_backfill(spark, sf):
+    """PIP-08: candle API responses (one JSON array per symbol and month)
+    dumped twice (a backfill and an overlapping re-poll), landed element by
+    element, unioned, parsed and deduped to the newest ingest."""
+    from candlewick.session import scratch_path
+    c = _candles(spark, sf)
+    item = F.struct(F.col("symbol").alias("market"),
+                    F.date_format("date", "yyyy-MM-dd'T'00:00:00").alias("candle_date_time_utc"),
+                    F.col("open").alias("opening_price"), F.col("high").alias("high_price"),
+                    F.col("low").alias("low_price"), F.col("close").alias("trade_price"),
+                    F.col("volume").alias("candle_acc_trade_volume"))
+    docs = c.groupBy("symbol", F.trunc("date", "month").alias("m")) \
+            .agg(F.to_json(F.collect_list(item)).alias("value"))           # one response per symbol-month
+    root = scratch_path(spark, "responses")
+    docs.select("value").write.text(root + "/backfill")
+    docs.select("value").write.text(root + "/repoll")
+    first = landing.land_batch(spark.read.text(root + "/backfill"), "/v1/candles/days",
+                              ingested_at=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    again = landing.land_batch(spark.read.text(root + "/repoll"), "/v1/candles/days",
+                              ingested_at=F.lit("2024-01-02 00:00:00").cast("timestamp"))
+    typed = landing.candles_from_landing(landing.union_history(first, again))
+    out = dedupe_latest(typed, ["symbol", "date"], ["ingested_at"]).drop("ingested_at")
+    return shape(out.select("symbol", "date", "open", "high", "low", "close", "volume"))
