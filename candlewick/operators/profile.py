@@ -7,9 +7,10 @@ shuffle carries one small buffer per task and group, whatever the skew.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.timestamps import weekday_name
@@ -29,25 +30,88 @@ def mean_by_weekday(df: DataFrame, ts: str, x: str, name: str | None = None) ->
     return g.withColumn("day_name", weekday_name("day_of_week"))
 
 
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 1000) -> list[float | None]:
+    """Exact quantiles with linear interpolation (pandas / numpy default),
+    computed without gathering the column into one task.
+
+    1. A sketch (``percentile_approx``) gives about ``buckets`` equal-count
+       value buckets; ``Bucketizer`` assigns them (binary search, JVM).
+    2. One partial aggregate counts rows per bucket (a small table on the
+       driver) and locates the bucket holding each target rank.
+    3. Only in those buckets, rows are counted per distinct value and the
+       running count finds the value at the rank. A value that fills a third
+       of the table is one group of that count, never a sort of its rows.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    grid = [i / buckets for i in range(1, buckets)]
+    row = x.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", grid, 100 * buckets).alias("q")).first()
+    n = int(row["n"])
+    if n == 0:
+        return [None for _ in probs]
+    splits = [float("-inf")] + sorted(set(float(v) for v in row["q"])) + [float("inf")]
+    bx = Bucketizer(splits=splits, inputCol="x", outputCol="b").transform(x)
+    counts = sorted((int(r["b"]), int(r["c"])) for r in bx.groupBy("b").agg(F.count(F.lit(1)).alias("c")).collect())
+    starts, acc = {}, 0
+    for b, c in counts:
+        starts[b] = (acc, c)
+        acc += c
+
+    def locate(rank: int) -> tuple[int, int]:
+        for b, (s0, c) in starts.items():
+            if s0 <= rank < s0 + c:
+                return b, rank - s0
+        raise ValueError(rank)
+
+    ranks = set()
+    for p in probs:
+        pos = p * (n - 1)
+        ranks.update({int(pos // 1), int(-(-pos // 1))})
+    where = {r: locate(r) for r in ranks}
+    need = sorted({b for b, _ in where.values()})
+    vals = bx.where(F.col("b").isin(need)).groupBy("b", "x").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy("b").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    cum = vals.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
+    conds = [(F.col("b") == b) & (F.col("lo") <= k) & (F.col("hi") > k) for b, k in where.values()]
+    found = cum.where(reduce(lambda a, c: a | c, conds)).select("b", "x", "lo", "hi").collect()
+    value = {}
+    for r, (b, k) in where.items():
+        value[r] = next(row["x"] for row in found if row["b"] == b and row["lo"] <= k < row["hi"])
+    out = []
+    for p in probs:
+        pos = p * (n - 1)
+        lo, hi = int(pos // 1), int(-(-pos // 1))
+        a, b = value[lo], value[hi]
+        out.append(a + (b - a) * (pos - lo))
+    return out
+
+
 def describe(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """count, mean, std (n-1), min, 25/50/75 % (linear interpolation), max,
     one row per column.
 
-    The exact percentile keeps a value->count map per task (bounded by the
-    distinct values); ``approx=True`` uses a fixed-size sketch instead.
+    Moments come from one partial aggregate; the exact quartiles from
+    :func:`exact_quantiles` (distributed); ``approx=True`` uses a
+    fixed-size sketch instead. The result has one row per column.
     """
     aggs = []
     for c in cols:
         x = F.col(c)
-        q = (F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy) if approx
-             else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-        aggs.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).cast("double").alias("min"),
-            q[0].cast("double").alias("p25"), q[1].cast("double").alias("p50"),
-            q[2].cast("double").alias("p75"), F.max(x).cast("double").alias("max")).alias(f"_d{len(aggs)}"))
-    row = df.agg(*aggs)
-    return row.select(F.explode(F.array(*[F.col(f"_d{i}") for i in range(len(aggs))])).alias("d")).select("d.*")
+        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).cast("double").alias(f"{c}__min"),
+                 F.max(x).cast("double").alias(f"{c}__max")]
+        if approx:
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"))
+    row = df.agg(*aggs).first()
+    data = []
+    for c in cols:
+        q = [float(v) for v in row[f"{c}__q"]] if approx else exact_quantiles(df, c, [0.25, 0.5, 0.75])
+        data.append((c, int(row[f"{c}__count"]), row[f"{c}__mean"], row[f"{c}__std"], row[f"{c}__min"],
+                     q[0], q[1], q[2], row[f"{c}__max"]))
+    return df.sparkSession.createDataFrame(
+        data, "column string, count bigint, mean double, std double, min double, p25 double, p50 double, "
+              "p75 double, max double")
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
