@@ -30,60 +30,63 @@ def mean_by_weekday(df: DataFrame, ts: str, x: str, name: str | None = None) ->
     return g.withColumn("day_name", weekday_name("day_of_week"))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 1000) -> list[float | None]:
-    """Exact quantiles with linear interpolation (pandas / numpy default),
-    computed without gathering the column into one task.
-
-    1. A sketch (``percentile_approx``) gives about ``buckets`` equal-count
-       value buckets; ``Bucketizer`` assigns them (binary search, JVM).
-    2. One partial aggregate counts rows per bucket (a small table on the
-       driver) and locates the bucket holding each target rank.
-    3. Only in those buckets, rows are counted per distinct value and the
-       running count finds the value at the rank. A value that fills a third
-       of the table is one group of that count, never a sort of its rows.
+SMALL_DISTINCT = 500_000
+
+
+def _values_at(x: DataFrame, ranks: list[int], buckets: int) -> dict[int, float]:
+    """Values at 0-based ``ranks`` of column ``x`` (no NULLs), exactly.
+
+    When the frame has few distinct values, rows are counted per value (a
+    partial aggregate) and a running count over that small table finds the
+    ranks. Otherwise a sketch cuts the range into ``buckets`` value buckets
+    (``Bucketizer``, JVM binary search), per-bucket counts locate the ranks,
+    and only the buckets holding them are searched again, recursively. No
+    step sorts more than the distinct values of one small range, and a value
+    that fills a third of the table is just one counted group.
     """
     from pyspark.ml.feature import Bucketizer
 
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    r = x.agg(F.approx_count_distinct("x").alias("d")).first()
+    if r["d"] <= SMALL_DISTINCT:
+        vals = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+        w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)      # over distinct values only
+        cum = vals.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
+        conds = [(F.col("lo") <= k) & (F.col("hi") > k) for k in ranks]
+        found = cum.where(reduce(lambda a, c: a | c, conds)).select("x", "lo", "hi").collect()
+        return {k: next(f["x"] for f in found if f["lo"] <= k < f["hi"]) for k in ranks}
     grid = [i / buckets for i in range(1, buckets)]
-    row = x.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", grid, 100 * buckets).alias("q")).first()
-    n = int(row["n"])
-    if n == 0:
-        return [None for _ in probs]
-    splits = [float("-inf")] + sorted(set(float(v) for v in row["q"])) + [float("inf")]
+    q = x.agg(F.percentile_approx("x", grid, 100 * buckets).alias("q")).first()["q"]
+    splits = [float("-inf")] + sorted(set(float(v) for v in q)) + [float("inf")]
     bx = Bucketizer(splits=splits, inputCol="x", outputCol="b").transform(x)
     counts = sorted((int(r["b"]), int(r["c"])) for r in bx.groupBy("b").agg(F.count(F.lit(1)).alias("c")).collect())
-    starts, acc = {}, 0
+    where: dict[int, list[tuple[int, int]]] = {}
+    start = 0
     for b, c in counts:
-        starts[b] = (acc, c)
-        acc += c
-
-    def locate(rank: int) -> tuple[int, int]:
-        for b, (s0, c) in starts.items():
-            if s0 <= rank < s0 + c:
-                return b, rank - s0
-        raise ValueError(rank)
-
-    ranks = set()
-    for p in probs:
-        pos = p * (n - 1)
-        ranks.update({int(pos // 1), int(-(-pos // 1))})
-    where = {r: locate(r) for r in ranks}
-    need = sorted({b for b, _ in where.values()})
-    vals = bx.where(F.col("b").isin(need)).groupBy("b", "x").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("b").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    cum = vals.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
-    conds = [(F.col("b") == b) & (F.col("lo") <= k) & (F.col("hi") > k) for b, k in where.values()]
-    found = cum.where(reduce(lambda a, c: a | c, conds)).select("b", "x", "lo", "hi").collect()
-    value = {}
-    for r, (b, k) in where.items():
-        value[r] = next(row["x"] for row in found if row["b"] == b and row["lo"] <= k < row["hi"])
+        for k in ranks:
+            if start <= k < start + c:
+                where.setdefault(b, []).append((k, k - start))
+        start += c
+    out = {}
+    for b, pairs in where.items():
+        sub = _values_at(bx.where(F.col("b") == b).select("x"), sorted({lk for _, lk in pairs}), buckets)
+        out.update({k: sub[lk] for k, lk in pairs})
+    return out
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 64) -> list[float | None]:
+    """Exact quantiles with linear interpolation (the pandas / numpy
+    default), without gathering the column into one task."""
+    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    n = x.count()
+    if n == 0:
+        return [None for _ in probs]
+    pos = [p * (n - 1) for p in probs]
+    ranks = sorted({int(v // 1) for v in pos} | {int(-(-v // 1)) for v in pos})
+    value = _values_at(x, ranks, buckets)
     out = []
-    for p in probs:
-        pos = p * (n - 1)
-        lo, hi = int(pos // 1), int(-(-pos // 1))
-        a, b = value[lo], value[hi]
-        out.append(a + (b - a) * (pos - lo))
+    for v in pos:
+        lo, hi = int(v // 1), int(-(-v // 1))
+        out.append(value[lo] + (value[hi] - value[lo]) * (v - lo))
     return out
 
 
