@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,7 +74,11 @@ def ewm_mean(df: DataFrame, key, order, columns: Mapping[str, tuple[str, float]]
             rn = "_rn"
     B = block_size([s for _, s in columns.values()])
     R = F.col(rn)
-    blocked = df.withColumn("_eb", F.floor(R / F.lit(B))).withColumn("_ei", (R % F.lit(B)).cast("int"))
+    # consumed twice (running sums and block ends): computed once, kept in
+    # memory or spilled to local disk; lineage stays, so a lost executor
+    # recomputes its partitions
+    blocked = df.withColumn("_eb", F.floor(R / F.lit(B))).withColumn("_ei", (R % F.lit(B)).cast("int")) \
+                .persist(StorageLevel.MEMORY_AND_DISK)
     wb = Window.partitionBy(*key, "_eb").orderBy(rn).rowsBetween(Window.unboundedPreceding, 0)
     loc_cols = []
     for out, (x, span) in columns.items():

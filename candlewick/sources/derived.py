@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.session import spread
+
 # The sentiment index bands (upper bound inclusive) and names.
 SENTIMENT_BANDS = [
     (24, "Extreme Fear"),
@@ -78,8 +80,9 @@ def ticker_landing(events: DataFrame) -> DataFrame:
         F.col("value").alias("acc_trade_price_24h"),
         F.get_json_object("props", "$.k").cast("double").alias("acc_trade_volume_24h"),
         epoch_millis("ts").alias("timestamp")))
-    return events.select(payload.alias("payload"), F.lit("/v1/ticker").alias("endpoint"),
-                         F.col("ts").cast("timestamp").alias("ingested_at"))
+    # JSON building is per-row CPU work: spread a few-split input over the cores
+    return spread(events).select(payload.alias("payload"), F.lit("/v1/ticker").alias("endpoint"),
+                                 F.col("ts").cast("timestamp").alias("ingested_at"))
 
 
 def candle_landing(candle_df: DataFrame, ingested_at=None) -> DataFrame:
