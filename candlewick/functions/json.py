@@ -29,8 +29,8 @@ def json_fields(df: DataFrame, col: str, fields: Mapping[str, tuple[str, str]],
                 keep: bool = True, strict: bool = False) -> DataFrame:
     """Add ``{name: (path, type)}`` columns pulled from JSON text ``col``.
 
-    ``strict=True`` uses ``variant_get``: a value that cannot be cast fails
-    the query (the ``::NUMERIC`` behaviour); otherwise it becomes NULL.
+    PRJ-02: ``strict=True`` uses ``variant_get``: a value that cannot be cast
+    fails the query (the ``::NUMERIC`` behaviour); otherwise it becomes NULL.
     """
     v = "_v_" + col
     out = df.withColumn(v, parse(col))

@@ -11,7 +11,7 @@ def _c(x) -> Column:
 
 
 def round_half_up(x, digits: int = 2) -> Column:
-    """``round`` (half up). The pandas original rounds half to even; the two
+    """SCL-05: ``round`` (half up). The pandas original rounds half to even; the two
     differ only on exact ties."""
     return F.round(_c(x), digits)
 
@@ -22,15 +22,23 @@ def safe_ratio(a, b) -> Column:
 
 
 def fill(x, value) -> Column:
+    """SCL-06: ``fillna(value)``."""
     return F.coalesce(_c(x), F.lit(value))
 
 
 def null_if(x, value) -> Column:
+    """SCL-06: ``replace(value, NaN)``."""
     return F.nullif(_c(x), F.lit(value))
 
 
+def keep_where(cond, x, other=0.0) -> Column:
+    """SCL-07: ``x.where(cond, other)`` -- ``x`` where ``cond`` holds, else
+    ``other`` (a NULL condition also gives ``other``, as in pandas)."""
+    return F.when(cond, _c(x)).otherwise(F.lit(other))
+
+
 def thousands(x, digits: int = 0) -> Column:
-    """``1,234,567`` style text."""
+    """SCL-08: ``1,234,567`` style text."""
     return F.format_number(_c(x), digits)
 
 

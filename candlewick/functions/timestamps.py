@@ -25,7 +25,7 @@ def smart_timestamp(x) -> Column:
 
 
 def epoch_ms_to_ts_seconds(x) -> Column:
-    """Epoch ms to a timestamp truncated to whole seconds (integer division)."""
+    """PRJ-09: epoch ms to a timestamp truncated to whole seconds (integer division)."""
     return F.timestamp_seconds(F.floor(_c(x).cast("bigint") / F.lit(1000)))
 
 
@@ -40,19 +40,21 @@ def to_day(x) -> Column:
 
 
 def hour_of_day(x) -> Column:
+    """SCL-02: hour 0-23."""
     return F.hour(_c(x))
 
 
 def weekday(x) -> Column:
-    """Monday = 0 ... Sunday = 6 (not ``dayofweek``)."""
+    """SCL-02: Monday = 0 ... Sunday = 6 (not ``dayofweek``)."""
     return F.weekday(_c(x))
 
 
 def weekday_name(day_number) -> Column:
+    """SCL-03: weekday number to its short name."""
     names = F.array(*[F.lit(n) for n in WEEKDAY_NAMES])
     return F.element_at(names, _c(day_number) + 1)
 
 
 def iso_text(x) -> Column:
-    """Timestamp to ISO-8601 text with a ``Z`` zone (UTC session)."""
+    """SCL-09: timestamp to ISO-8601 text with a ``Z`` zone (UTC session)."""
     return F.date_format(_c(x), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

@@ -49,7 +49,7 @@ def drop_incomplete(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 def search(df: DataFrame, col: str, terms: str | Sequence[str]) -> DataFrame:
     """Case-insensitive substring search; whitespace-separated terms are ANDed
-    (FLT-07)."""
+    (FLT-07, with SCL-10 lower/contains)."""
     if isinstance(terms, str):
         terms = terms.split()
     cond: Column = F.lit(True)

@@ -13,7 +13,7 @@ from candlewick.operators.windows import Spec, diff, lag, plain, rolling_mean, r
 
 
 def rsi(x: str, n: int = 14, mode: str = "strict", name: str | None = None) -> Spec:
-    """Relative strength index.
+    """Relative strength index (WIN-06 ``strict``, WIN-07 ``neutral``).
 
     ``strict``: average loss 0 gives 100 when there was a gain and NULL when
     the window is flat; NULL during warm-up.
@@ -39,7 +39,7 @@ def rsi(x: str, n: int = 14, mode: str = "strict", name: str | None = None) -> S
 
 def bollinger(x: str, n: int = 20, k: float = 2.0, upper: str = "bb_upper", lower: str = "bb_lower",
               mid: str | None = None) -> Spec:
-    """Rolling mean plus/minus ``k`` sample standard deviations."""
+    """WIN-10: rolling mean plus/minus ``k`` sample standard deviations."""
     m, s = f"_{upper}_m", f"_{upper}_s"
     last = {upper: plain(F.col(m) + F.col(s) * F.lit(k)), lower: plain(F.col(m) - F.col(s) * F.lit(k))}
     temps = {m, s}
@@ -49,7 +49,7 @@ def bollinger(x: str, n: int = 20, k: float = 2.0, upper: str = "bb_upper", lowe
 
 
 def true_range(high: str, low: str, close: str, name: str = "tr") -> Spec:
-    """max(high-low, |high-prev close|, |low-prev close|), NULLs skipped."""
+    """WIN-11: max(high-low, |high-prev close|, |low-prev close|), NULLs skipped."""
     pc = f"_{name}_pc"
     tr = F.greatest(F.col(high) - F.col(low), F.abs(F.col(high) - F.col(pc)), F.abs(F.col(low) - F.col(pc)))
     return Spec([{pc: lag(close, 1)}, {name: plain(tr)}], 1, {pc})
@@ -57,7 +57,7 @@ def true_range(high: str, low: str, close: str, name: str = "tr") -> Spec:
 
 def atr(high: str, low: str, close: str, n: int = 14, name: str = "atr", tr_name: str = "tr",
         keep_tr: bool = True) -> Spec:
-    """Simple rolling mean of the true range."""
+    """WIN-12: simple rolling mean of the true range."""
     t = true_range(high, low, close, tr_name)
     sp = Spec([*t.stages, {name: rolling_mean(tr_name, n)}], 1 + (n - 1), set(t.temps))
     if not keep_tr:
@@ -71,7 +71,7 @@ def moving_averages(x: str, windows=(5, 20, 60), prefix: str = "ma_") -> Spec:
 
 def ma_cross(x: str, short: int = 5, long: int = 20, name: str = "cross",
              short_name: str | None = None, long_name: str | None = None) -> Spec:
-    """Per row: 'golden', 'dead' or NULL from the two rolling means.
+    """WIN-14: per row 'golden', 'dead' or NULL from the two rolling means.
 
     golden: previous short <= previous long and now short > long;
     dead: previous short >= previous long and now short < long. A NULL
@@ -102,7 +102,7 @@ def golden_cross_flag(short_col: str, long_col: str, name: str = "is_golden_cros
 
 
 def trend_score(ma5="ma_5", ma20="ma_20", ma60="ma_60", rsi_col="rsi_14", golden="is_golden_cross"):
-    """+30 ma5>ma20, +30 ma20>ma60, +20 rsi>50, +20 golden cross; NULL adds 0."""
+    """WIN-17: +30 ma5>ma20, +30 ma20>ma60, +20 rsi>50, +20 golden cross; NULL adds 0."""
     def pts(cond, p):
         return F.when(F.coalesce(cond, F.lit(False)), F.lit(p)).otherwise(F.lit(0))
     return (pts(F.col(ma5) > F.col(ma20), 30) + pts(F.col(ma20) > F.col(ma60), 30)

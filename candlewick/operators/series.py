@@ -45,12 +45,26 @@ def largest_key_rows(df: DataFrame, key: Sequence[str]) -> int:
     return int(r["m"] or 0)
 
 
-def resolve_layout(df: DataFrame, key, mode: str = "auto",
-                   max_rows_per_task: int = DEFAULT_MAX_ROWS_PER_TASK) -> str:
+def _conf_int(df: DataFrame, name: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(name, str(default)))
+
+
+def max_rows_per_task(df: DataFrame) -> int:
+    """Rows one task may sort for one key (``spark.candlewick.maxRowsPerTask``)."""
+    return _conf_int(df, "spark.candlewick.maxRowsPerTask", DEFAULT_MAX_ROWS_PER_TASK)
+
+
+def chunk_rows_for(df: DataFrame) -> int:
+    """Positions per chunk in the chunked layout (``spark.candlewick.chunkRows``)."""
+    return _conf_int(df, "spark.candlewick.chunkRows", DEFAULT_CHUNK_ROWS)
+
+
+def resolve_layout(df: DataFrame, key, mode: str = "auto", max_rows: int | None = None) -> str:
     """Turn ``auto`` into ``key`` or ``chunked`` by measuring the largest key."""
     if mode != "auto":
         return mode
-    return "chunked" if largest_key_rows(df, _cols(key)) > max_rows_per_task else "key"
+    limit = max_rows if max_rows is not None else max_rows_per_task(df)
+    return "chunked" if largest_key_rows(df, _cols(key)) > limit else "key"
 
 
 def default_bucket(df: DataFrame, order) -> Column | None:
@@ -97,11 +111,12 @@ def number_rows(df: DataFrame, key: Sequence[str], order: Sequence, bucket: Colu
 
 def ordered_stages(df: DataFrame, key: str | Sequence[str], order: str | Sequence,
                    stages: Sequence[Stage], lookback: int, mode: str = "auto",
-                   bucket: Column | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                   max_rows_per_task: int = DEFAULT_MAX_ROWS_PER_TASK) -> DataFrame:
+                   bucket: Column | None = None, chunk_rows: int | None = None,
+                   max_rows: int | None = None) -> DataFrame:
     """Evaluate window ``stages`` over each key's ordered rows."""
     key, order = _cols(key), _cols(order)
-    mode = resolve_layout(df, key, mode, max_rows_per_task)
+    mode = resolve_layout(df, key, mode, max_rows)
+    chunk_rows = chunk_rows or max(chunk_rows_for(df), lookback + 1)
     if mode == "key":
         w = Window.partitionBy(*key).orderBy(*order)
         out = df

@@ -32,7 +32,7 @@ def last_rows(w: WindowSpec, n: int) -> WindowSpec:
 
 
 def rolling_mean(x, n: int) -> Builder:
-    """Mean of the last ``n`` rows; NULL until ``n`` non-NULL values."""
+    """WIN-01: mean of the last ``n`` rows; NULL until ``n`` non-NULL values."""
     def build(w):
         f = last_rows(w, n)
         return F.when(F.count(_c(x)).over(f) == n, F.avg(_c(x)).over(f))
@@ -40,7 +40,7 @@ def rolling_mean(x, n: int) -> Builder:
 
 
 def rolling_std(x, n: int) -> Builder:
-    """Sample standard deviation (n-1) of the last ``n`` rows, same NULL rule."""
+    """WIN-02: sample standard deviation (n-1) of the last ``n`` rows, same NULL rule."""
     def build(w):
         f = last_rows(w, n)
         return F.when(F.count(_c(x)).over(f) == n, F.stddev_samp(_c(x)).over(f))
@@ -48,16 +48,17 @@ def rolling_std(x, n: int) -> Builder:
 
 
 def lag(x, k: int = 1) -> Builder:
+    """WIN-04: the value ``k`` rows earlier."""
     return lambda w: F.lag(_c(x), k).over(w)
 
 
 def diff(x, k: int = 1) -> Builder:
-    """x minus the value ``k`` rows earlier; first ``k`` rows NULL."""
+    """WIN-03: x minus the value ``k`` rows earlier; first ``k`` rows NULL."""
     return lambda w: _c(x) - F.lag(_c(x), k).over(w)
 
 
 def rate_of_change(x, p: int) -> Builder:
-    """(x / x[-p] - 1) * 100; NULL on the first ``p`` rows and on a zero base."""
+    """WIN-05: (x / x[-p] - 1) * 100; NULL on the first ``p`` rows and on a zero base."""
     return lambda w: (F.try_divide(_c(x), F.lag(_c(x), p).over(w)) - F.lit(1)) * F.lit(100)
 
 

@@ -113,8 +113,8 @@ def build_trend_report(candles: DataFrame, symbols: Sequence[str] | None = None,
 def build_anomaly_baseline(candles: DataFrame, symbols: Sequence[str] | None = None, days: int | None = None,
                            as_of=None, min_rows: int = 30, digits: int = 2, mode: str = "auto",
                            updated_at=None) -> DataFrame:
-    """PIP-04: per symbol the 30-row mean volume and the 14-row ATR at the
-    latest row, rounded to ``digits``."""
+    """PIP-04: per symbol the 30-row mean volume (WIN-13) and the 14-row ATR
+    (WIN-12) at the latest row (WIN-15), rounded to ``digits`` (SCL-05)."""
     c = _prepare_candles(candles, symbols, days, as_of, min_rows)
     rows = apply_specs(c, "symbol", "date",
                        Spec([{"avg_volume_30d": rolling_mean("volume", 30)}], 29),

@@ -33,7 +33,8 @@ def trend_view(df: DataFrame) -> DataFrame:
 
 
 def market_stats_list(stats: DataFrame, symbol: str | None = None, page: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Ordered by symbol, optional exact ``symbol`` filter, paged (rows, count)."""
+    """Ordered by symbol (ORD-04), optional exact ``symbol`` filter (FLT-08),
+    paged (ORD-05): (rows, count)."""
     src = equals(stats, "symbol", symbol) if symbol else stats
     return paginate(market_stats_view(src), ["symbol"], page, PAGE_SIZE)
 
@@ -43,7 +44,7 @@ def market_stats_detail(stats: DataFrame, symbol: str) -> DataFrame:
 
 
 def trend_list(trend: DataFrame, terms: str | None = None, page: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Score descending (symbol breaks ties), optional case-insensitive search."""
+    """Score descending, symbol breaking ties (ORD-04), optional search (FLT-07)."""
     src = search(trend, "symbol", terms) if terms else trend
     return paginate(trend_view(src), ["-trend_score", "symbol"], page, PAGE_SIZE)
 

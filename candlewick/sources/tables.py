@@ -38,9 +38,9 @@ def layout_for(spark: SparkSession, sf_dir: str, *names: str) -> str:
     """``key`` when the source tables together fit one task's budget (then no
     key of anything derived row-for-row or by aggregation can exceed it),
     otherwise ``auto`` (measure the largest key)."""
-    from candlewick.operators.series import DEFAULT_MAX_ROWS_PER_TASK
     forced = spark.conf.get("spark.candlewick.layout", "auto")
     if forced != "auto":
         return forced
+    limit = int(spark.conf.get("spark.candlewick.maxRowsPerTask", "4000000"))
     total = sum(table_rows(spark, sf_dir, n) for n in names)
-    return "key" if total <= DEFAULT_MAX_ROWS_PER_TASK else "auto"
+    return "key" if total <= limit else "auto"

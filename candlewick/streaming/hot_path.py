@@ -1,4 +1,4 @@
-"""Structured Streaming hot path (STR-01..08, SNK-04..06).
+"""Structured Streaming hot path (PIP-07: STR-01..08, SNK-04..06).
 
 Source -> micro-batch -> one VARIANT parse -> contract check -> one
 ``foreachBatch`` that persists the batch once and updates:
