@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +32,7 @@ def mean_by_weekday(df: DataFrame, ts: str, x: str, name: str | None = None) ->
 SMALL_DISTINCT = 500_000
 
 
-def _values_at(x: DataFrame, ranks: list[int], buckets: int) -> dict[int, float]:
+def _values_at(x: DataFrame, ranks: list[int], buckets: int, distinct: int | None = None) -> dict[int, float]:
     """Values at 0-based ``ranks`` of column ``x`` (no NULLs), exactly.
 
     When the frame has few distinct values, rows are counted per value (a
@@ -46,8 +45,9 @@ def _values_at(x: DataFrame, ranks: list[int], buckets: int) -> dict[int, float]
     """
     from pyspark.ml.feature import Bucketizer
 
-    r = x.agg(F.approx_count_distinct("x").alias("d")).first()
-    if r["d"] <= SMALL_DISTINCT:
+    if distinct is None:
+        distinct = x.agg(F.approx_count_distinct("x").alias("d")).first()["d"]
+    if distinct <= SMALL_DISTINCT:
         vals = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
         w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)      # over distinct values only
         cum = vals.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
@@ -73,16 +73,20 @@ def _values_at(x: DataFrame, ranks: list[int], buckets: int) -> dict[int, float]
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 64) -> list[float | None]:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 64,
+                    n: int | None = None, distinct: int | None = None) -> list[float | None]:
     """Exact quantiles with linear interpolation (the pandas / numpy
-    default), without gathering the column into one task."""
+    default), without gathering the column into one task. ``n`` (non-NULL
+    count) and ``distinct`` (approximate distinct count) may be passed when a
+    caller's aggregate already has them."""
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    n = x.count()
+    if n is None:
+        n = x.count()
     if n == 0:
         return [None for _ in probs]
     pos = [p * (n - 1) for p in probs]
     ranks = sorted({int(v // 1) for v in pos} | {int(-(-v // 1)) for v in pos})
-    value = _values_at(x, ranks, buckets)
+    value = _values_at(x, ranks, buckets, distinct)
     out = []
     for v in pos:
         lo, hi = int(v // 1), int(-(-v // 1))
@@ -103,13 +107,16 @@ def describe(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy:
         x = F.col(c)
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).cast("double").alias(f"{c}__min"),
-                 F.max(x).cast("double").alias(f"{c}__max")]
+                 F.max(x).cast("double").alias(f"{c}__max"),
+                 F.count(F.when(~F.isnan(x.cast("double")), x)).alias(f"{c}__n"),
+                 F.approx_count_distinct(x.cast("double")).alias(f"{c}__d")]
         if approx:
             aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"))
     row = df.agg(*aggs).first()
     data = []
     for c in cols:
-        q = [float(v) for v in row[f"{c}__q"]] if approx else exact_quantiles(df, c, [0.25, 0.5, 0.75])
+        q = [float(v) for v in row[f"{c}__q"]] if approx else \
+            exact_quantiles(df, c, [0.25, 0.5, 0.75], n=row[f"{c}__n"], distinct=row[f"{c}__d"])
         data.append((c, int(row[f"{c}__count"]), row[f"{c}__mean"], row[f"{c}__std"], row[f"{c}__min"],
                      q[0], q[1], q[2], row[f"{c}__max"]))
     return df.sparkSession.createDataFrame(

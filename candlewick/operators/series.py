@@ -144,8 +144,3 @@ def ordered_stages(df: DataFrame, key: str | Sequence[str], order: str | Sequenc
     for st in stages:
         out = out.select("*", *[fn(w).alias(n) for n, fn in st.items()])
     return out.where(F.col("_native")).drop("_chunk", "_native", "_rn")
-
-
-def with_row_position(df: DataFrame, key, order, name: str = "_rn", bucket: Column | None = None) -> DataFrame:
-    """Public alias of :func:`number_rows`."""
-    return number_rows(df, _cols(key), _cols(order), bucket, name)

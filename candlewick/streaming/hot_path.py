@@ -138,7 +138,7 @@ class HotPath:
             if not hit.get("trade"):
                 return
             touched = trades.select("symbol").distinct()
-            series = st["trades"].read().join(touched, "symbol", "left_semi")
+            series = st["trades"].read(only=hit["trade"]).join(touched, "symbol", "left_semi")
             fresh = detect_ma_cross(series, "symbol", "ts", "price", self.short, self.long, mode="key",
                                     tiebreak="offset")
             seen = st["alerts"].read(before=batch_id).select("symbol", "kind", "event_time")

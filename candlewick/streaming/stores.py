@@ -69,9 +69,10 @@ class KeyedStore:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def read(self) -> DataFrame:
-        """Current state: every bucket's newest version."""
-        return self._read(self._paths())
+    def read(self, only: set[int] | None = None) -> DataFrame:
+        """Current state: every bucket's newest version (or only the buckets
+        in ``only``, which prunes the files read)."""
+        return self._read(self._paths(only=only))
 
     def merge(self, rows: DataFrame, batch_id: int, combine: Callable[[DataFrame], DataFrame],
               touched: set[int] | None = None) -> None:

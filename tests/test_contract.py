@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick.functions.timestamps import epoch_ms_to_ts_seconds, epoch_s_to_ts, smart_timestamp, weekday_name
-from candlewick.operators import contract as C
 from candlewick.streaming.hot_path import parse_stream, route_by_type
 
 TRADE_WIRE = {"type": "trade", "code": "KRW-BTC", "trade_price": 100.5, "trade_volume": 2.0, "ask_bid": "BID",
