@@ -17,9 +17,11 @@ from candlewick.functions.timestamps import weekday_name
 DESCRIBE_STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def mean_by_hour(df: DataFrame, ts: str, x: str, name: str | None = None) -> DataFrame:
-    """Mean of ``x`` per hour of day 0-23."""
-    return df.groupBy(F.hour(ts).alias("hour_of_day")).agg(F.avg(x).alias(name or f"avg_{x}"))
+def mean_by_hour(df: DataFrame, ts: str, x: str | dict[str, str], name: str | None = None) -> DataFrame:
+    """Mean of ``x`` per hour of day 0-23; ``x`` may be ``{name: column}``
+    for several means in the same aggregate."""
+    cols = x if isinstance(x, dict) else {name or f"avg_{x}": x}
+    return df.groupBy(F.hour(ts).alias("hour_of_day")).agg(*[F.avg(c).alias(n) for n, c in cols.items()])
 
 
 def mean_by_weekday(df: DataFrame, ts: str, x: str, name: str | None = None) -> DataFrame:

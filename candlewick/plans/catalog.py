@@ -383,10 +383,9 @@ SELECT CAST(hour(ts_event) AS INTEGER) AS hour_of_day, round(avg(acc_trade_volum
 FROM ticks GROUP BY 1""")
 def q_mean_by_hour(spark, sf):
     """AGG-01: mean volume and price per hour of day."""
-    t = _ticks(spark, sf)
-    v = mean_by_hour(t, "ts_event", "acc_trade_volume_24h", "avg_volume")
-    p = mean_by_hour(t, "ts_event", "acc_trade_price_24h", "avg_price")
-    return shape(v.join(p, "hour_of_day"), {"avg_volume": 6, "avg_price": 6})
+    out = mean_by_hour(_ticks(spark, sf), "ts_event",
+                       {"avg_volume": "acc_trade_volume_24h", "avg_price": "acc_trade_price_24h"})
+    return shape(out, {"avg_volume": 6, "avg_price": 6})
 
 
 @register("mean_by_weekday", "WITH " + SQL_TICK_FEATURES + """
