@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.session import num_partitions
+
 
 def _cols(xs) -> list:
     return [xs] if isinstance(xs, (str, Column)) else list(xs)
@@ -84,7 +86,7 @@ def newest_n_per_key(df: DataFrame, key, order, n: int, fan_in: int = 64,
         r = F.row_number().over(Window.partitionBy(*by).orderBy(*desc))
         return frame.withColumn("_rank", r).where(F.col("_rank") <= n)
 
-    parts = df.rdd.getNumPartitions()
+    parts = num_partitions(df) or 10 ** 6        # unknown: assume many splits (more merge levels)
     s = top(df.withColumn("_g", F.spark_partition_id()), [*key, "_g"]).drop("_rank")
     while parts > fan_in:
         parts = -(-parts // fan_in)

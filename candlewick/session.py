@@ -72,5 +72,17 @@ def spread(df, min_partitions: int | None = None):
     unchanged, so on large inputs this adds no shuffle."""
     if df.isStreaming:
         return df
+    have = num_partitions(df)
+    if have is None:
+        return df
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    return df.repartition(n) if have < n else df
+
+
+def num_partitions(df) -> int | None:
+    """Partitions of a batch frame's plan (no job runs), or None where the
+    session exposes no RDD view (e.g. a remote Connect session)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return None
