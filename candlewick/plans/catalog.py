@@ -15,19 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.json import json_fields
+from candlewick.functions.timestamps import epoch_s_to_ts
 from candlewick.operators import contract as C
-from candlewick.operators.dedupe import dedupe_latest, enforce_unique, min_history, newest_n_per_key
+from candlewick.operators.dedupe import dedupe_latest, enforce_unique, min_history, newest_n_per_key, unique_violations
 from candlewick.operators.ewm import ewm_mean, macd
 from candlewick.operators.filters import search
 from candlewick.operators.indicators import atr, bollinger, rsi
 from candlewick.operators.joins import detect_anomalies, join_calls_events, orphan_events
 from candlewick.operators.ordering import paginate, top_k
 from candlewick.operators.profile import correlation_matrix, describe, mean_by_hour, mean_by_weekday, null_profile
-from candlewick.operators.windows import Spec, apply_specs, expand_features, rolling_mean, rolling_std
-from candlewick.plans import marts, messages
+from candlewick.operators.windows import Spec, apply_specs, diff, expand_features, rolling_mean, rolling_std
+from candlewick.plans import marts, messages, serving
 from candlewick.plans.compare import shape
 from candlewick.sources import derived, landing
+from candlewick.session import scratch_path
 from candlewick.sources.tables import layout_for, table
+from candlewick.streaming import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -235,7 +238,6 @@ SELECT symbol, strftime(date, '%Y-%m-%d') AS date, close,
 FROM candles""")
 def q_rolling_stats(spark, sf):
     """WIN-01..03: rolling mean, sample std, first difference."""
-    from candlewick.operators.windows import diff
     sp = Spec([{"ma_5": rolling_mean("close", 5), "ma_20": rolling_mean("close", 20),
                 "std_20": rolling_std("close", 20), "diff_1": diff("close")}], 19)
     out = apply_specs(_candles(spark, sf), "symbol", "date", sp, mode=layout_for(spark, sf, "orders"))
@@ -510,7 +512,6 @@ def q_sentiment_from_landing(spark, sf):
                                  F.col("fng_class").alias("value_classification"),
                                  F.unix_timestamp(F.col("date").cast("timestamp")).cast("string").alias("timestamp")))
     land = s.select(payload.alias("payload"))
-    from candlewick.functions.timestamps import epoch_s_to_ts
     land = land.select("payload",
                        F.get_json_object("payload", "$.value_classification").alias("value_classification"),
                        epoch_s_to_ts(F.get_json_object("payload", "$.timestamp")).alias("timestamp"))
@@ -588,7 +589,6 @@ def q_dedupe_latest(spark, sf):
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
 def q_unique_violations(spark, sf):
     """DED-02 report: keys that occur more than once."""
-    from candlewick.operators.dedupe import unique_violations
     return unique_violations(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
@@ -669,7 +669,6 @@ def oracle_sql() -> dict[str, str]:
 # -- streaming hot path (replayed through a running query) ---------------------
 
 def _stream_stores(spark, sf):
-    from candlewick.streaming import replay
     return replay.stores(spark, replay.replay(spark, sf, cap=25, days_per_batch=10), cap=25)
 
 
@@ -762,7 +761,6 @@ FROM stats ORDER BY symbol LIMIT 100""")
 def q_market_stats_list(spark, sf):
     """PIP-09 list: ordered by symbol, first page of 100, decimals as text
     with 8 places (the published format), plus the total count."""
-    from candlewick.plans import serving
     rows, total = serving.market_stats_list(_stats_mart(spark, sf))
     n = total.first()["count"]
     out = shape(rows.drop("created_at"))
@@ -776,7 +774,6 @@ SELECT symbol, CAST(acc_trade_price_24h AS VARCHAR) AS acc_trade_price_24h,
 FROM stats WHERE symbol = 'view'""")
 def q_market_stats_detail(spark, sf):
     """PIP-09 detail: one symbol (FLT-08)."""
-    from candlewick.plans import serving
     out = shape(serving.market_stats_detail(_stats_mart(spark, sf), "view").drop("created_at"))
     return _as_text(out, {"acc_trade_price_24h", "acc_trade_volume_24h"})
 
@@ -788,7 +785,6 @@ SELECT symbol, CAST(CAST(close_price AS DECIMAL(20,4)) AS VARCHAR) AS close_pric
 FROM report""")
 def q_trend_list(spark, sf):
     """PIP-09 trend list: score order, decimals at the mart's scales (PRJ-13)."""
-    from candlewick.plans import serving
     rows, _ = serving.trend_list(_trend(spark, sf).withColumn("created_at", F.lit(None).cast("timestamp")))
     return _as_text(rows.drop("created_at", "rsi_14"), {"close_price", "ma_5", "ma_20", "ma_60"})
 
@@ -800,7 +796,6 @@ tk AS (SELECT 'KRW-U' || CAST(user_id AS VARCHAR) AS symbol, value AS price, (ep
 SELECT symbol, price, ts_ms FROM tk ORDER BY ts_ms DESC, event_id DESC LIMIT 1""")
 def q_realtime_price(spark, sf):
     """PRJ-12: latest price of one market from the stream snapshot."""
-    from candlewick.plans import serving
     snap = _stream_stores(spark, sf)["snapshot_ticker"].read()
     r = serving.realtime_price(snap, "KRW-U1")
     return r.select("symbol", "price", F.unix_millis("timestamp").alias("ts_ms"))
@@ -813,7 +808,6 @@ def q_ingest_backfill(spark, sf):
     """PIP-08: candle API responses (one JSON array per symbol and month)
     dumped twice (a backfill and an overlapping re-poll), landed element by
     element, unioned, parsed and deduped to the newest ingest."""
-    from candlewick.session import scratch_path
     c = _candles(spark, sf)
     item = F.struct(F.col("symbol").alias("market"),
                     F.date_format("date", "yyyy-MM-dd'T'00:00:00").alias("candle_date_time_utc"),
