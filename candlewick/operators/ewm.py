@@ -32,6 +32,14 @@ from pyspark.sql import functions as F
 from candlewick.operators.series import default_bucket, number_rows, ordered_stages, resolve_layout
 
 MAX_BLOCK = 256
+_CACHED: list[DataFrame] = []
+
+
+def release_cached() -> None:
+    """Unpersist the intermediates cached by EWM passes; call after the
+    results that depend on them have been written."""
+    while _CACHED:
+        _CACHED.pop().unpersist()
 
 
 def alpha_of_span(span: float) -> float:
@@ -82,6 +90,7 @@ def ewm_mean(df: DataFrame, key, order, columns: Mapping[str, tuple[str, float]]
     # cost ~2.5x more at sf0.1.
     blocked = df.withColumn("_eb", F.floor(R / F.lit(B))).withColumn("_ei", (R % F.lit(B)).cast("int")) \
                 .persist(StorageLevel.MEMORY_AND_DISK)
+    _CACHED.append(blocked)
     wb = Window.partitionBy(*key, "_eb").orderBy(rn).rowsBetween(Window.unboundedPreceding, 0)
     loc_cols = []
     for out, (x, span) in columns.items():

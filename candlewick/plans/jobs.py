@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from candlewick.operators.ewm import release_cached
 from candlewick.plans import marts
 from candlewick.sources.landing import candles_from_landing, read_landing, read_sentiment_landing
 from candlewick.sources.sinks import overwrite_mart
@@ -52,4 +53,7 @@ def refresh_feature_mart(spark: SparkSession, candle_landing_path: str, sentimen
     """PIP-02 job: candles x sentiment -> feature mart."""
     fm = marts.build_feature_mart(_candles(spark, candle_landing_path),
                                   read_sentiment_landing(spark, sentiment_landing_path), symbols)
-    return overwrite_mart(fm, mart_path, version)
+    try:
+        return overwrite_mart(fm, mart_path, version)
+    finally:
+        release_cached()

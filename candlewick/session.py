@@ -40,18 +40,30 @@ def get_spark(master: str | None = None, app: str = "candlewick",
     return spark
 
 
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage. Only when it is
-    unset (local tests) do we create one and register it with the context.
+    On a cluster this is set to shared storage (as a conf or with
+    ``setCheckpointDir``) and is read from the session. Only when it is
+    unset (local tests) is a folder created once per session and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        try:
+            opt = spark.sparkContext._jsc.sc().getCheckpointDir()
+            d = opt.get() if opt.isDefined() else None
+        except Exception:  # noqa: BLE001 - no JVM context (remote session)
+            d = None
     if not d:
-        d = tempfile.mkdtemp(prefix="candlewick-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = _LOCAL_ROOTS.setdefault(id(spark), tempfile.mkdtemp(prefix="candlewick-ckpt-"))
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - some builds reject runtime core confs
+            pass
     try:
         spark.sparkContext.setCheckpointDir(d)
     except Exception:  # pragma: no cover - Connect sessions have no context
