@@ -36,3 +36,20 @@ def test_refresh_jobs(spark, tmp_dir):
     assert current_version(spark, base) is None
     assert jobs.refresh_anomaly_baseline(spark, land, base, days=None, version=2) == "2"
     assert read_current(spark, base).count() == 5
+
+
+def test_refresh_feature_mart(spark, tmp_dir):
+    land, fng, mart = (os.path.join(tmp_dir, n) for n in ("landing", "fng", "fm"))
+    c = derived.candles(table(spark, SF, "orders"))
+    append_landing(derived.candle_landing(c), land, partition_by=("endpoint",))
+    s = derived.sentiment(table(spark, SF, "lineitem"))
+    s.select(F.to_json(F.struct(F.col("fng_value").cast("string").alias("value"),
+                                F.col("fng_class").alias("value_classification"))).alias("payload"),
+             F.col("fng_class").alias("value_classification"),
+             F.col("date").cast("timestamp").alias("timestamp")).write.parquet(fng)
+    assert jobs.refresh_feature_mart(spark, land, fng, mart, version=1) == "1"
+    from candlewick.plans.marts import build_feature_mart
+    direct = build_feature_mart(c, s).drop("updated_at")
+    got = read_current(spark, mart).drop("updated_at")
+    assert got.count() == direct.count() > 0
+    assert got.select("symbol", "date", "fng_value").exceptAll(direct.select("symbol", "date", "fng_value")).isEmpty()
