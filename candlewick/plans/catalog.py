@@ -819,9 +819,9 @@ def q_ingest_backfill(spark, sf):
     root = scratch_path(spark, "responses")
     docs.select("value").write.text(root + "/backfill")
     docs.select("value").write.text(root + "/repoll")
-    first = landing.land_batch(spark.read.text(root + "/backfill"), "/v1/candles/days",
+    first = landing.land_batch(spark.read.text(root + "/backfill"), landing.CANDLE_ENDPOINT,
                               ingested_at=F.lit("2024-01-01 00:00:00").cast("timestamp"))
-    again = landing.land_batch(spark.read.text(root + "/repoll"), "/v1/candles/days",
+    again = landing.land_batch(spark.read.text(root + "/repoll"), landing.CANDLE_ENDPOINT,
                               ingested_at=F.lit("2024-01-02 00:00:00").cast("timestamp"))
     typed = landing.candles_from_landing(landing.union_history(first, again))
     out = dedupe_latest(typed, ["symbol", "date"], ["ingested_at"]).drop("ingested_at")

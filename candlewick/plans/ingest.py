@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators.filters import prefix
-from candlewick.sources.landing import land_batch, union_history
+from candlewick.sources.landing import MARKET_PREFIX, land_batch, union_history
 from candlewick.sources.sinks import append_landing
 
 
@@ -34,7 +34,7 @@ def land_responses(spark: SparkSession, paths: dict[str, str], items_path: dict[
 def krw_markets(landing: DataFrame, market_path: str = "$.market") -> DataFrame:
     """Only KRW- markets (FLT-04)."""
     m = F.try_variant_get(F.try_parse_json("payload"), market_path, "string")
-    return prefix(landing.withColumn("_market", m), "_market", "KRW-").drop("_market")
+    return prefix(landing.withColumn("_market", m), "_market", MARKET_PREFIX).drop("_market")
 
 
 def ingest(spark: SparkSession, paths: dict[str, str], landing_path: str, items_path=None) -> None:

@@ -16,11 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.operators.ewm import release_cached
 from candlewick.plans import marts
-from candlewick.sources.landing import candles_from_landing, read_landing, read_sentiment_landing
+from candlewick.sources.landing import (CANDLE_ENDPOINT, TICKER_ENDPOINT, candles_from_landing, read_landing,
+                                        read_sentiment_landing)
 from candlewick.sources.sinks import overwrite_mart
 
-CANDLE_ENDPOINT = "/v1/candles/days"
-TICKER_ENDPOINT = "/v1/ticker"
 
 
 def _candles(spark: SparkSession, landing_path: str) -> DataFrame:

@@ -24,6 +24,7 @@ from candlewick.operators.joins import join_on_day
 from candlewick.operators.profile import correlation_matrix, describe, mean_by_hour, mean_by_weekday, null_profile
 from candlewick.operators.series import resolve_layout
 from candlewick.operators.windows import Spec, apply_specs, chain, combine, expand_features, rolling_mean
+from candlewick.sources.landing import SOURCE_TAG, TICKER_ENDPOINT
 
 # The seven markets the original scanners were limited to.
 MAJOR_SYMBOLS = ["KRW-BTC", "KRW-ETH", "KRW-XRP", "KRW-SOL", "KRW-DOGE", "KRW-ADA", "KRW-AVAX"]
@@ -51,13 +52,13 @@ def _prepare_candles(candles: DataFrame, symbols: Sequence[str] | None, days: in
     return df
 
 
-def build_market_stats_24h(landing: DataFrame, source: str = "upbit", created_at=None) -> DataFrame:
+def build_market_stats_24h(landing: DataFrame, source: str = SOURCE_TAG, created_at=None) -> DataFrame:
     """PIP-01: newest ticker item per market from the landing table.
 
     Output: symbol, acc_trade_price_24h, acc_trade_volume_24h (decimal(30,8)),
     source, ts_event (epoch ms truncated to seconds), created_at.
     """
-    t = landing.where(F.col("endpoint") == "/v1/ticker").select("payload", "ingested_at")
+    t = landing.where(F.col("endpoint") == TICKER_ENDPOINT).select("payload", "ingested_at")
     t = json_fields(t, "payload", TICKER_FIELDS).drop("payload")
     latest = latest_per_key(t, "symbol", ["ingested_at", "_ts_ms"])
     return latest.select(

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.session import spread
+from candlewick.sources.landing import CANDLE_ENDPOINT, TICKER_ENDPOINT
 
 # The sentiment index bands (upper bound inclusive) and names.
 SENTIMENT_BANDS = [
@@ -81,7 +82,7 @@ def ticker_landing(events: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").cast("double").alias("acc_trade_volume_24h"),
         epoch_millis("ts").alias("timestamp")))
     # JSON building is per-row CPU work: spread a few-split input over the cores
-    return spread(events).select(payload.alias("payload"), F.lit("/v1/ticker").alias("endpoint"),
+    return spread(events).select(payload.alias("payload"), F.lit(TICKER_ENDPOINT).alias("endpoint"),
                                  F.col("ts").cast("timestamp").alias("ingested_at"))
 
 
@@ -96,5 +97,5 @@ def candle_landing(candle_df: DataFrame, ingested_at=None) -> DataFrame:
         F.col("close").alias("trade_price"),
         F.col("volume").alias("candle_acc_trade_volume")))
     ing = ingested_at if ingested_at is not None else F.col("date").cast("timestamp")
-    return candle_df.select(payload.alias("payload"), F.lit("/v1/candles/days").alias("endpoint"),
+    return candle_df.select(payload.alias("payload"), F.lit(CANDLE_ENDPOINT).alias("endpoint"),
                             ing.alias("ingested_at"))

@@ -14,6 +14,13 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.json import json_fields
 
+# The exchange source tag, the API endpoint tags and the
+# quote-currency prefix of the markets the original collected.
+SOURCE_TAG = "upbit"
+TICKER_ENDPOINT = "/v1/ticker"
+CANDLE_ENDPOINT = "/v1/candles/days"
+MARKET_PREFIX = "KRW-"
+
 LANDING_SCHEMA = "payload STRING, endpoint STRING, ingested_at TIMESTAMP"
 CANDLE_FIELDS = {
     "symbol": ("$.market", "string"),
