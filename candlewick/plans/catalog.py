@@ -24,7 +24,8 @@ from candlewick.operators.indicators import atr, bollinger, rsi
 from candlewick.operators.joins import detect_anomalies, join_calls_events, orphan_events
 from candlewick.operators.ordering import paginate, top_k
 from candlewick.operators.profile import correlation_matrix, describe, mean_by_hour, mean_by_weekday, null_profile
-from candlewick.operators.windows import Spec, apply_specs, diff, expand_features, rolling_mean, rolling_std
+from candlewick.operators.windows import (Spec, apply_specs, diff, expand_features, rate_of_change, rolling_mean,
+                                          rolling_std)
 from candlewick.plans import marts, messages, serving
 from candlewick.plans.compare import shape
 from candlewick.sources import derived, landing
@@ -826,3 +827,24 @@ def q_ingest_backfill(spark, sf):
     typed = landing.candles_from_landing(landing.union_history(first, again))
     out = dedupe_latest(typed, ["symbol", "date"], ["ingested_at"]).drop("ingested_at")
     return shape(out.select("symbol", "date", "open", "high", "low", "close", "volume"))
+
+
+# -- many keys: one series per customer ----------------------------------------
+
+@register("customer_series", f"""
+WITH candles AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS symbol, CAST(o_orderdate AS DATE) AS date,
+         arg_max(o_totalprice, o_orderkey) AS close, CAST(count(*) AS DOUBLE) AS volume
+  FROM orders GROUP BY 1, 2)
+SELECT symbol, strftime(date, '%Y-%m-%d') AS date, close,
+       round({_roll('avg', 'close', 3)}, 4) AS ma_3,
+       close - lag(close) OVER (PARTITION BY symbol ORDER BY date) AS diff_1,
+       round((close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1) * 100, 6) AS roc_1
+FROM candles""")
+def q_customer_series(spark, sf):
+    """Any number of keys: daily candles per customer (SURVEY 7.4 many-key
+    variant), MA 3, first difference and 1-period RoC over every series."""
+    c = derived.candles(table(spark, sf, "orders"), symbol="o_custkey")
+    sp = Spec([{"ma_3": rolling_mean("close", 3), "diff_1": diff("close"), "roc_1": rate_of_change("close", 1)}], 2)
+    out = apply_specs(c, "symbol", "date", sp, mode=layout_for(spark, sf, "orders"))
+    return shape(out.select("symbol", "date", "close", "ma_3", "diff_1", "roc_1"), {"ma_3": 4, "roc_1": 6})

@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 FAST = ["trend_report", "trend_top_picks", "feature_mart", "anomaly_baseline", "anomaly_alerts", "ma_cross_events",
         "macd", "rsi_strict", "bollinger", "atr", "roc_lag_features", "describe", "correlation_matrix",
         "market_stats_latest", "json_extract", "contract_valid", "contract_rejected", "dedupe_latest",
-        "recent_n_per_key", "page_two", "history_union", "call_event_join", "ingest_backfill", "market_stats_list"]
+        "recent_n_per_key", "page_two", "history_union", "call_event_join", "ingest_backfill", "market_stats_list",
+        "customer_series"]
 
 
 def norm(rows):
