@@ -11,8 +11,9 @@ Blocked scan, all steps parallel:
    ``local_i = d^i * sum_{j<=i} w_j d^-j`` with ``w = alpha*x`` (``x`` on the
    key's first row): a running window sum. ``B`` is chosen from the span so
    ``d^-B`` cannot overflow.
-3. Per block, ``E_b = local`` at its last row; every block but the key's last
-   holds exactly ``B`` rows, so the carry into block ``b`` is
+3. Per block, ``E_b = sum_j w_j d^(B-1-i_j)`` (its zero-carry end value, a
+   partial aggregate straight from the numbered rows); every block but the
+   key's last holds exactly ``B`` rows, so the carry into block ``b`` is
    ``C_b = sum_{k>=1} E_{b-k} D^(k-1)`` with ``D = d^B``. Terms with
    ``D^k < e^-800`` are zero in double precision, so the sum runs over a
    bounded frame of ``K`` earlier blocks: a sliding window over the small
