@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.json import json_fields
@@ -85,14 +85,33 @@ def build_feature_mart(candles: DataFrame, sentiment: DataFrame, symbols: Sequen
     return out.withColumn("updated_at", updated_at if updated_at is not None else F.current_timestamp())
 
 
+def _with_history_filter(c: DataFrame, spec: Spec, min_rows: int | None, mode: str) -> DataFrame:
+    """Indicators for keys with at least ``min_rows`` rows (FLT-06).
+
+    Indicators are per key, so the filter may run after them. With the
+    per-key layout the row count comes from the same Window node (no second
+    scan); with the chunked layout a partial-aggregate count and a semi join
+    are used, since no task holds the whole key.
+    """
+    mode = resolve_layout(c, "symbol", mode)
+    if not min_rows:
+        return apply_specs(c, "symbol", "date", spec, mode=mode)
+    if mode == "chunked":
+        return apply_specs(min_history(c, "symbol", min_rows), "symbol", "date", spec, mode=mode)
+    everything = Window.unboundedPreceding, Window.unboundedFollowing
+    n = Spec([{"_hist_n": lambda w: F.count(F.lit(1)).over(w.rowsBetween(*everything))}], 0)
+    rows = apply_specs(c, "symbol", "date", combine(spec, n), mode=mode)
+    return rows.where(F.col("_hist_n") >= min_rows).drop("_hist_n")
+
+
 def trend_rows(candles: DataFrame, symbols: Sequence[str] | None = None, days: int | None = None,
                as_of=None, min_rows: int = 60, mode: str = "auto") -> DataFrame:
     """Every row of the trend indicators: MA 5/20/60, neutral RSI(14) and the
     golden-cross flag, for symbols with at least ``min_rows`` days."""
-    c = _prepare_candles(candles, symbols, days, as_of, min_rows)
+    c = _prepare_candles(candles, symbols, days, as_of, None)
     spec = chain(combine(moving_averages("close", (5, 20, 60)), rsi("close", 14, "neutral")),
                  golden_cross_flag("ma_5", "ma_20"))
-    return apply_specs(c, "symbol", "date", spec, mode=mode)
+    return _with_history_filter(c, spec, min_rows, mode)
 
 
 def build_trend_report(candles: DataFrame, symbols: Sequence[str] | None = None, days: int | None = None,
@@ -116,10 +135,10 @@ def build_anomaly_baseline(candles: DataFrame, symbols: Sequence[str] | None = N
                            updated_at=None) -> DataFrame:
     """PIP-04: per symbol the 30-row mean volume (WIN-13) and the 14-row ATR
     (WIN-12) at the latest row (WIN-15), rounded to ``digits`` (SCL-05)."""
-    c = _prepare_candles(candles, symbols, days, as_of, min_rows)
-    rows = apply_specs(c, "symbol", "date",
-                       Spec([{"avg_volume_30d": rolling_mean("volume", 30)}], 29),
-                       atr("high", "low", "close", 14, name="atr_14d"), mode=mode)
+    c = _prepare_candles(candles, symbols, days, as_of, None)
+    spec = combine(Spec([{"avg_volume_30d": rolling_mean("volume", 30)}], 29),
+                   atr("high", "low", "close", 14, name="atr_14d"))
+    rows = _with_history_filter(c, spec, min_rows, mode)
     last = latest_per_key(rows.select("symbol", "date", "avg_volume_30d", "atr_14d"), "symbol", "date")
     return last.select("symbol", F.round("avg_volume_30d", digits).alias("avg_volume_30d"),
                        F.round("atr_14d", digits).alias("atr_14d"),

@@ -41,3 +41,16 @@ def test_trend_symbols_filter_and_alert(spark):
     alerts = detect_ma_cross(c, "symbol", "date", "close")
     for r in alerts.collect():
         assert r["kind"] in ("golden", "dead") and r["message"].startswith(r["symbol"])
+
+
+def test_min_history_in_both_layouts(spark):
+    from pyspark.sql import functions as F
+    from candlewick.plans.marts import build_anomaly_baseline
+    c = derived.candles(table(spark, SF, "orders"))
+    tiny = c.where("symbol = '1-URGENT'").orderBy("date").limit(40).withColumn("symbol", F.lit("TINY"))
+    both = c.unionByName(tiny)
+    for mode in ("key", "chunked"):
+        rep = {r["symbol"] for r in build_trend_report(both, mode=mode).collect()}
+        assert "TINY" not in rep and len(rep) == 5, mode                      # 40 < 60 rows
+        base = {r["symbol"] for r in build_anomaly_baseline(both, mode=mode).collect()}
+        assert "TINY" in base and len(base) == 6, mode                        # 40 >= 30 rows
