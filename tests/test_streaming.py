@@ -67,3 +67,19 @@ def test_file_stream_restart_from_checkpoint(spark, tmp_dir):
     st = HotPath(root).stores(spark)
     assert st["trades"].read().count() == 10                          # each file processed once
     assert st["rejected"].read().where(F.col("reason") == "malformed json").count() == 2
+
+
+def test_anomaly_stream_static_join(spark, tmp_dir):
+    from candlewick.operators.joins import detect_anomalies
+    base = spark.createDataFrame([("KRW-BTC", 10.0, 2.0), ("KRW-ETH", 100.0, 5.0)],
+                                 "symbol string, avg_volume_30d double, atr_14d double")
+    src = os.path.join(tmp_dir, "ticks")
+    spark.createDataFrame([("KRW-BTC", 60.0, 1.0), ("KRW-BTC", 5.0, 9.0), ("KRW-ETH", 50.0, 1.0), ("KRW-XRP", 1e9, 1e9)],
+                          "symbol string, volume double, range double").write.json(src)
+    ticks = spark.readStream.schema("symbol string, volume double, range double").json(src)
+    got = []
+    q = detect_anomalies(ticks, base, vol_mult=5.0, atr_mult=3.0).writeStream \
+        .foreachBatch(lambda df, i: got.extend((r["symbol"], r["kind"]) for r in df.collect())) \
+        .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(got) == [("KRW-BTC", "move"), ("KRW-BTC", "volume")]   # unknown symbol: no baseline
