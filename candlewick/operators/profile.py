@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -152,8 +153,12 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cols = list(cols)
     spark = df.sparkSession
     clean = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna(how="any")
-    vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="skip").transform(clean)
-    rows = Correlation.corr(vec.select("_features"), "_features", "pearson").first()
+    vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="skip").transform(clean) \
+        .select("_features").persist(StorageLevel.MEMORY_AND_DISK)   # Correlation makes several passes
+    try:
+        rows = Correlation.corr(vec, "_features", "pearson").first()
+    finally:
+        vec.unpersist()
     data = []
     if rows is not None:
         m = rows[0].toArray()
