@@ -50,8 +50,10 @@ def _listing(spark: SparkSession, root: str) -> dict[int, list[int]]:
 class KeyedStore:
     """State keyed by ``key`` and spread over ``buckets`` hash buckets."""
 
-    def __init__(self, spark: SparkSession, root: str, key: str, schema: str, buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str, key: str, schema: str, buckets: int = 16,
+                 keep_versions: int = 2):
         self.spark, self.root, self.key, self.schema, self.buckets = spark, root, key, schema, buckets
+        self.keep_versions = keep_versions
 
     def bucket_of(self, col: str | None = None):
         return F.pmod(F.xxhash64(F.col(col or self.key)), F.lit(self.buckets)).cast("int")
@@ -89,6 +91,20 @@ class KeyedStore:
         merged = combine(old.unionByName(tagged))
         merged.select(*fields, "bucket").write.mode("overwrite").partitionBy("bucket") \
               .parquet(os.path.join(self.root, f"v={batch_id}"))
+        self._retain(touched, keep=self.keep_versions)
+
+    def _retain(self, buckets: set[int], keep: int) -> None:
+        """Delete all but the ``keep`` newest versions of ``buckets``. Two
+        are enough: a replay of the newest batch rebuilds it from the one
+        before it."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for b, vs in _listing(self.spark, self.root).items():
+            if b not in buckets:
+                continue
+            for v in sorted(vs)[:-keep]:
+                p = jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, f"v={v}", f"bucket={b}"))
+                p.getFileSystem(conf).delete(p, True)
 
 
 class AppendLog:

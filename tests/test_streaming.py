@@ -83,3 +83,14 @@ def test_anomaly_stream_static_join(spark, tmp_dir):
         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(got) == [("KRW-BTC", "move"), ("KRW-BTC", "volume")]   # unknown symbol: no baseline
+
+
+def test_state_versions_are_retained_two_deep(spark, tmp_dir):
+    from candlewick.streaming.stores import _listing
+    hp = HotPath(os.path.join(tmp_dir, "r"), cap=5, buckets=2)
+    for i in range(5):
+        hp(spark.createDataFrame([ticker("A", 1000 + i, float(i), i)], SCHEMA), i)
+    versions = _listing(spark, os.path.join(tmp_dir, "r", "snapshot_ticker"))
+    assert all(len(v) <= 2 for v in versions.values()) and max(max(v) for v in versions.values()) == 4
+    hp(spark.createDataFrame([ticker("A", 1004, 4.0, 4)], SCHEMA), 4)          # replay of the newest batch
+    assert state(spark, hp)[0]["A"] == (4.0, 4)
