@@ -96,7 +96,7 @@ class HotPath:
             "snapshot_ticker": KeyedStore(spark, j("snapshot_ticker"), "symbol", SNAPSHOT_SCHEMA, self.buckets),
             "snapshot_orderbook": KeyedStore(spark, j("snapshot_orderbook"), "symbol", SNAPSHOT_SCHEMA,
                                              self.buckets),
-            "alerts": AppendLog(spark, j("alerts"), ALERT_SCHEMA),
+            "alerts": AppendLog(spark, j("alerts"), ALERT_SCHEMA, key="symbol", buckets=self.buckets),
             "rejected": AppendLog(spark, j("rejected"), REJECT_SCHEMA),
         }
 
@@ -141,7 +141,7 @@ class HotPath:
             series = st["trades"].read(only=hit["trade"]).join(touched, "symbol", "left_semi")
             fresh = detect_ma_cross(series, "symbol", "ts", "price", self.short, self.long, mode="key",
                                     tiebreak="offset")
-            seen = st["alerts"].read(before=batch_id).select("symbol", "kind", "event_time")
+            seen = st["alerts"].read(before=batch_id, only=hit["trade"]).select("symbol", "kind", "event_time")
             st["alerts"].write(fresh.join(seen, ["symbol", "kind", "event_time"], "left_anti"), batch_id)
         finally:
             checked.unpersist()
