@@ -68,14 +68,15 @@ def resolve_layout(df: DataFrame, key, mode: str = "auto", max_rows: int | None
 
 
 def default_bucket(df: DataFrame, order) -> Column | None:
-    """A bucket that rises with the first order column: hour of a timestamp,
-    month of a date, 4096-wide ranges of an integer position."""
+    """A bucket that rises with the first order column: minute of a
+    timestamp (a hot tick key keeps ~1e7 rows per bucket even at a third of
+    100 TB over a month), month of a date, 4096-wide ranges of an integer."""
     first = _cols(order)[0]
     if not isinstance(first, str):
         return None
     t = df.schema[first].dataType.typeName()
     if t.startswith("timestamp"):
-        return F.date_trunc("hour", F.col(first))
+        return F.date_trunc("minute", F.col(first))
     if t == "date":
         return F.trunc(F.col(first), "month")
     if t in ("long", "integer", "short"):
