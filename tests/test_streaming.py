@@ -94,3 +94,15 @@ def test_state_versions_are_retained_two_deep(spark, tmp_dir):
     assert all(len(v) <= 2 for v in versions.values()) and max(max(v) for v in versions.values()) == 4
     hp(spark.createDataFrame([ticker("A", 1004, 4.0, 4)], SCHEMA), 4)          # replay of the newest batch
     assert state(spark, hp)[0]["A"] == (4.0, 4)
+
+
+def test_start_hot_path(spark, tmp_dir):
+    from candlewick.streaming.hot_path import start_hot_path
+    src, root = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "st")
+    spark.createDataFrame([trade("C", 1000 + i, float(i), i) for i in range(3)] + [ticker("C", 999, 7.0, 9)],
+                          SCHEMA).write.json(src)
+    q = start_hot_path(read_message_files(spark, src), root, os.path.join(tmp_dir, "ck"), cap=2,
+                       trigger={"availableNow": True})
+    q.awaitTermination()
+    snap, trades = state(spark, HotPath(root))
+    assert snap == {"C": (7.0, 9)} and trades == [("C", 1), ("C", 2)]
