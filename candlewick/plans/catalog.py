@@ -187,9 +187,9 @@ a AS (SELECT symbol, date, {_roll('avg', 'volume', 30)} AS v30, {_roll('avg', 't
 baseline AS (SELECT symbol, round(v30, 4) AS avg_volume_30d, round(atr, 4) AS atr_14d FROM a WHERE rk = 1)"""
 
 
-def _baseline(spark, sf):
-    return marts.build_anomaly_baseline(_candles(spark, sf), digits=4, mode=layout_for(spark, sf, "orders")) \
-        .drop("updated_at")
+def _baseline(spark, sf, candles: DataFrame | None = None):
+    c = candles if candles is not None else _candles(spark, sf)
+    return marts.build_anomaly_baseline(c, digits=4, mode=layout_for(spark, sf, "orders")).drop("updated_at")
 
 
 @register("anomaly_baseline", "WITH " + SQL_BASELINE + "\nSELECT * FROM baseline")
@@ -207,8 +207,9 @@ FROM candles c JOIN baseline b ON c.symbol = b.symbol
 WHERE c.volume > b.avg_volume_30d * 1.5 OR (c.high - c.low) > b.atr_14d * 2.0""")
 def q_anomaly_alerts(spark, sf):
     """JON-03: daily candles against the per-symbol baseline."""
-    c = _candles(spark, sf).withColumn("range", F.col("high") - F.col("low"))
-    out = detect_anomalies(c, _baseline(spark, sf), vol_mult=1.5, atr_mult=2.0)
+    candles = _candles(spark, sf)                       # one candle plan feeds both sides
+    c = candles.withColumn("range", F.col("high") - F.col("low"))
+    out = detect_anomalies(c, _baseline(spark, sf, candles), vol_mult=1.5, atr_mult=2.0)
     return shape(out.select("symbol", "date", "volume", "range", "volume_ratio", "move_ratio", "kind"),
                  {"range": 2, "volume_ratio": 6, "move_ratio": 6})
 
