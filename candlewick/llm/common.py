@@ -68,13 +68,13 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def annotate(df: DataFrame, text: str, make: Callable[[], Callable[[bytes | None], tuple]], outputs: list[tuple[str, T.DataType]]) -> DataFrame:
+def annotate(df: DataFrame, text: str, make: Callable[[], Callable], outputs: list[tuple[str, T.DataType]], together: bool = False) -> DataFrame:
     """All rows and columns of ``df`` plus ``outputs`` computed from the text.
 
     ``make()`` runs once in each task and returns the function of one text
-    (UTF-8 bytes or None) that gives the output values. The rows stay where
-    they are: no shuffle. Output names must not clash with columns of ``df``
-    (see ``fresh_name``).
+    (UTF-8 bytes or None) that gives the output values, or, if ``together``,
+    of the texts of a batch. The rows stay where they are: no shuffle. Output
+    names must not clash with columns of ``df`` (see ``fresh_name``).
     """
     raw = fresh_name(df, "utf8")
     arrow = {T.BooleanType(): pa.bool_(), T.DoubleType(): pa.float64(), T.LongType(): pa.int64(), T.StringType(): pa.string(),
@@ -85,7 +85,8 @@ def annotate(df: DataFrame, text: str, make: Callable[[], Callable[[bytes | None
     def run(batches):
         fn = make()
         for b in batches:
-            rows = [fn(x) for x in b.column(raw).to_pylist()]
+            texts = b.column(raw).to_pylist()
+            rows = fn(texts) if together else [fn(x) for x in texts]
             keep = [i for i, n in enumerate(b.schema.names) if n != raw]
             cols = [b.column(i) for i in keep]
             cols += [pa.array([r[j] for r in rows], type=t) for j, t in enumerate(types)]

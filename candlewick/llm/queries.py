@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import sha256
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, simhash, toxicity
-from .common import documents
+from . import chat, decontam, fingerprints, langid, licenses, masked_lm, mixing, simhash, toxicity, urls
+from .common import documents, map_rows
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,11 +20,48 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade(docs.select("doc_id", "text"), model).drop("text")
 
 
+#: Fixed values of the contract: the conversation added to the table, and the URL rules.
+ADDED = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+RULES = [urls.Rule("net", "/", urls.BLOCK), urls.Rule("example.net", "/en/", urls.ALLOW), urls.Rule("example.com", "/de/", urls.BLOCK), urls.Rule("org", "/fr/", urls.ALLOW)]
+
+
+def _read_back(batches):
+    for b in batches:
+        out = []
+        for i, text, loss in zip(*(c.to_pylist() for c in b.columns)):
+            turns, mask = chat.read_back(text), chat.under_mask(text, [(x["start"], x["end"]) for x in loss])
+            told = "".join(f"{r}\n{t}\n" for r, t in turns)
+            out.append((i, len(turns), sha256(told.encode()).hexdigest(), len(mask), sha256(mask.encode()).hexdigest(), len(text)))
+        types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)],
+                                         names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and what the formatted text gives back."""
+    table = documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    table = table.unionByName(spark.createDataFrame(ADDED, table.schema))
+    chosen = chat.paths(chat.chain(table, "conv_id", ["turn", "role", "text"]), tree="conv_id")
+    done = chat.conversations(chosen, tree="conv_id").select(F.col("tree").cast("long").alias("conv_id"), "formatted", "loss")
+    return map_rows(done, _read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    return urls.judge(documents(spark, sf_dir, "pages"), RULES)
+
+
+def op5_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every document."""
+    docs = documents(spark, sf_dir)
+    return masked_lm.score(docs.select("doc_id", "text"), masked_lm.fit(docs)).drop("text")
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned without the held-out quarter."""
     docs = documents(spark, sf_dir)
@@ -31,6 +70,17 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence paragraphs of every document."""
+    docs = documents(spark, sf_dir)
+    return licenses.scan(docs, licenses.fit(docs))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likeness."""
+    return fingerprints.compare_in_order(documents(spark, sf_dir))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -44,7 +94,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_toxicity, op3_mixing, op6_langid, op9_decontamination, op10_simhash)}
+    op1_toxicity, op2_chat, op3_mixing, op4_urls, op5_masked_lm, op6_langid, op7_licenses, op8_fingerprints, op9_decontamination, op10_simhash)}
 
 #: Queries that SQL expresses on whole tables in reasonable time.
 ORACLE_SQL: dict[str, str] = {}
