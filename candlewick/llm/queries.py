@@ -97,4 +97,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_toxicity, op2_chat, op3_mixing, op4_urls, op5_masked_lm, op6_langid, op7_licenses, op8_fingerprints, op9_decontamination, op10_simhash)}
 
 #: Queries that SQL expresses on whole tables in reasonable time.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat": r"""
+WITH added(conv_id, turn, role, "text") AS (
+  VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce("text", '') AS t
+  FROM (SELECT conv_id, turn, role, "text" FROM conversations UNION ALL SELECT * FROM added)),
+told AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t) AS turns,
+    coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (WHERE r = 'assistant'), '') AS said,
+    sum(9 + 7 + 4 + length(r) + length(t) + len(regexp_extract_all(r, '[<\[]\\*(?:/?s>|/?INST\])')) + len(regexp_extract_all(t, '[<\[]\\*(?:/?s>|/?INST\])'))) AS n
+  FROM rows_ GROUP BY conv_id)
+SELECT conv_id::BIGINT AS conv_id, n_turns::BIGINT AS n_turns, sha256(turns) AS turns_sha256, length(said)::BIGINT AS loss_chars, sha256(said) AS loss_sha256, n::BIGINT AS formatted_chars
+FROM told""",
+    "op9_decontamination": r"""
+WITH item AS (
+  SELECT item_id, regexp_extract_all(translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE "text" IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(list_slice(w, i, i + 12), ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+place AS (
+  SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+found AS (SELECT place.doc_id, place.n, place.i, win.item_id FROM place JOIN win ON place.n = win.n AND place.s = win.s),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM found)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM found) GROUP BY doc_id)
+SELECT doc.doc_id, len(doc.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(doc.w), false) AS contaminated
+FROM doc LEFT JOIN hit ON hit.doc_id = doc.doc_id LEFT JOIN items ON items.doc_id = doc.doc_id""",
+}
