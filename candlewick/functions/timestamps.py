@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 WEEKDAY_NAMES = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 
 
+# Fixed value: the last millisecond of the year 9999.
+MAX_EPOCH_MS = 253_402_300_799_999
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -16,17 +20,19 @@ def _c(x) -> Column:
 def smart_timestamp(x) -> Column:
     """Digits (number or digit string) are epoch milliseconds; anything else is
     ISO-8601 (``Z`` or an offset accepted) converted to UTC. Milliseconds are
-    kept. Unparseable input gives NULL."""
+    kept. Unparseable input gives NULL, as do milliseconds beyond the year 9999."""
     s = _c(x).cast("string")
     digits = s.rlike("^[0-9]+$")
     iso = F.regexp_replace(s, "Z$", "+00:00")
-    return F.when(digits, F.timestamp_millis(s.try_cast("bigint"))) \
-            .otherwise(F.try_to_timestamp(iso))
+    ms = s.try_cast("bigint")
+    in_range = F.when(ms <= F.lit(MAX_EPOCH_MS), ms)          # more would overflow microseconds and end the job
+    return F.when(digits, F.timestamp_millis(in_range)).otherwise(F.try_to_timestamp(iso))
 
 
 def epoch_ms_to_ts_seconds(x) -> Column:
     """PRJ-09: epoch ms to a timestamp truncated to whole seconds (integer division)."""
-    return F.timestamp_seconds(F.floor(_c(x).cast("bigint") / F.lit(1000)))
+    ms = _c(x).cast("bigint")
+    return F.timestamp_seconds((ms - F.pmod(ms, F.lit(1000))) / F.lit(1000))
 
 
 def epoch_s_to_ts(x) -> Column:

@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.timestamps import smart_timestamp
-from candlewick.session import spread
 
 
 @dataclass(frozen=True)
@@ -137,7 +136,7 @@ def rename_canonical(df: DataFrame, contract: str, variant: str = "_v") -> DataF
 def parse_messages(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode message bytes/text once: ``_text``, ``_v`` (VARIANT) and ``_type``."""
     text = F.col(value).cast("string")
-    p = spread(df.select(*keep, text.alias("_text"))).withColumn("_v", F.try_parse_json("_text"))
+    p = df.select(*keep, text.alias("_text")).withColumn("_v", F.try_parse_json("_text"))
     # barrier: later filters read the parsed VARIANT instead of re-parsing
     # the text once per referenced field
     return _barrier(p.withColumn("_type", F.try_variant_get(F.col("_v"), "$.type", "string")))

@@ -1,10 +1,8 @@
 """Latest rows, dedupe and history filters (WIN-15/16, DED-01/02, FLT-06, ORD-02).
 
-Every operator here is safe when one key holds a third of all rows:
-``latest_per_key`` is a partial aggregate (map-side ``max_by``), and the
-newest-n operators trim to ``n`` rows per key inside each task before any
-shuffle and merge the survivors as a tree, so a single task only ever ranks
-``fan_in * n`` rows of a hot key.
+The newest rows per key are plain ranked windows: Spark limits each key's
+rows in every task before the exchange (WindowGroupLimit) and again after it,
+so of a key that holds a third of all rows only ``n`` rows per task travel.
 """
 
 from __future__ import annotations
@@ -14,27 +12,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.session import num_partitions
-
 
 def _cols(xs) -> list:
     return [xs] if isinstance(xs, (str, Column)) else list(xs)
 
 
-def _order_struct(order: Sequence) -> Column:
-    return F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
+def _newest(df: DataFrame, key: list, order: list, n: int, rank_name: str) -> DataFrame:
+    desc = [(F.col(o) if isinstance(o, str) else o).desc() for o in order]
+    return df.withColumn(rank_name, F.row_number().over(Window.partitionBy(*key).orderBy(*desc))).where(F.col(rank_name) <= n)
 
 
 def latest_per_key(df: DataFrame, key, order) -> DataFrame:
     """The row with the greatest ``order`` per key (``DISTINCT ON`` newest).
 
-    ``order`` should end with a unique column so the pick is deterministic.
-    Runs as a partial aggregate: each task keeps one candidate per key.
+    ``order`` should end with a unique column so the pick is deterministic;
+    NULL is smallest, NaN greatest.
     """
-    key, order = _cols(key), _cols(order)
-    rest = [c for c in df.columns if c not in key]
-    picked = df.groupBy(*key).agg(F.max_by(F.struct(*rest), _order_struct(order)).alias("_r"))
-    return picked.select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    key = _cols(key)
+    return _newest(df, key, _cols(order), 1, "_rank").select(*key, *[c for c in df.columns if c not in key])
 
 
 def dedupe_latest(df: DataFrame, keys, order) -> DataFrame:
@@ -69,65 +64,13 @@ def min_history(df: DataFrame, key, n: int) -> DataFrame:
     return df.join(ok, on=key, how="left_semi")
 
 
-def _local_top_n(key: list[str], order: list[str], n: int):
-    """Per-task pre-trim for :func:`newest_n_per_key` (runs inside
-    ``mapInArrow``): keep at most ``n`` rows per key of the task's rows,
-    newest first, with vectorized Arrow sorts; candidates are carried across
-    the task's batches, so memory stays at n rows per key seen."""
-    def trim(t):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        if t.num_rows <= n:
-            return t
-        idx = pc.sort_indices(t, sort_keys=[(k, "ascending") for k in key] + [(o, "descending") for o in order])
-        s = t.take(idx)
-        start = np.zeros(s.num_rows, dtype=bool)
-        start[0] = True
-        for k in key:
-            a = s.column(k).to_numpy(zero_copy_only=False)
-            start[1:] |= a[1:] != a[:-1]
-        first = np.flatnonzero(start)
-        pos = np.arange(s.num_rows) - first[np.cumsum(start) - 1]
-        return s.filter(pa.array(pos < n))
-
-    def run(batches):
-        import pyarrow as pa
-        keep = None
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            keep = trim(t if keep is None else pa.concat_tables([keep, t]))
-        if keep is not None and keep.num_rows:
-            yield from keep.to_batches()
-    return run
-
-
-def newest_n_per_key(df: DataFrame, key, order, n: int, fan_in: int = 64,
-                     rank_name: str | None = None) -> DataFrame:
-    """The ``n`` newest rows per key by ``order`` desc (ORD-02 all keys, SNK-05).
-
-    Exact tree top-n that pre-aggregates before shuffling: each task first
-    keeps its own ``n`` newest rows per key (Arrow, inside the task, no
-    shuffle); the survivors are ranked inside (key, task) groups and merged
-    ``fan_in`` groups at a time until one group per key remains. A hot key
-    therefore never lands whole in a task and only candidates are shuffled.
-    ``order`` must be a total order of plain columns. ``rank_name`` keeps
-    the 1-based rank.
-    """
-    key, order = _cols(key), _cols(order)
-    desc = [F.col(o).desc() for o in order]
-
-    def top(frame: DataFrame, by: list) -> DataFrame:
-        r = F.row_number().over(Window.partitionBy(*by).orderBy(*desc))
-        return frame.withColumn("_rank", r).where(F.col("_rank") <= n)
-
-    parts = num_partitions(df) or 10 ** 6        # unknown: assume many splits (more merge levels)
-    s = df.mapInArrow(_local_top_n(key, order, n), df.schema).withColumn("_g", F.spark_partition_id())
-    while parts > fan_in:
-        parts = -(-parts // fan_in)
-        s = top(s.withColumn("_g", F.floor(F.col("_g") / F.lit(fan_in))), [*key, "_g"]).drop("_rank")
-    out = top(s.drop("_g"), key)
-    return out.withColumnRenamed("_rank", rank_name) if rank_name else out.drop("_rank")
+def newest_n_per_key(df: DataFrame, key, order, n: int, rank_name: str | None = None) -> DataFrame:
+    """The ``n`` newest rows per key by ``order`` desc (ORD-02 all keys, SNK-05);
+    ``rank_name`` keeps the 1-based rank. The group limit before the exchange
+    applies up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (see
+    :mod:`candlewick.session`)."""
+    out = _newest(df, _cols(key), _cols(order), n, rank_name or "_rank")
+    return out if rank_name else out.drop("_rank")
 
 
 def latest_two(df: DataFrame, key, order, require: Sequence[str] | None = None) -> DataFrame:

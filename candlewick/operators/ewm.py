@@ -1,154 +1,99 @@
-"""Exponentially weighted mean without a recursive window (WIN-08, WIN-09).
+"""Exponentially weighted means (WIN-08, WIN-09).
 
 pandas ``ewm(span, adjust=False)``: alpha = 2/(span+1), d = 1-alpha,
-y0 = x0 and y_t = d*y_{t-1} + alpha*x_t.
-
-Blocked scan, all steps parallel:
-
-1. Each row gets its 0-based position ``rn`` within the key (skew-safe
-   numbering), block ``b = rn div B`` and offset ``i = rn mod B``.
-2. Inside a (key, block) partition the zero-carry value is
-   ``local_i = d^i * sum_{j<=i} w_j d^-j`` with ``w = alpha*x`` (``x`` on the
-   key's first row): a running window sum. ``B`` is chosen from the span so
-   ``d^-B`` cannot overflow.
-3. Per block, ``E_b = sum_j w_j d^(B-1-i_j)`` (its zero-carry end value, a
-   partial aggregate straight from the numbered rows); every block but the
-   key's last holds exactly ``B`` rows, so the carry into block ``b`` is
-   ``C_b = sum_{k>=1} E_{b-k} D^(k-1)`` with ``D = d^B``. Terms with
-   ``D^k < e^-800`` are zero in double precision, so the sum runs over a
-   bounded frame of ``K`` earlier blocks: a sliding window over the small
-   block table, itself laid out skew-safe.
-4. ``y = local + d^(i+1) * C_b`` after joining carries back on (key, block).
+y0 = x0 and y_t = d*y_{t-1} + alpha*x_t; a NULL x keeps the last mean and
+still ages the older weights.
+
+A recurrence has no built-in window form, so it runs chunk by chunk in Arrow
+on the layout of :mod:`candlewick.operators.series`. A chunk starts with a
+halo long enough that the weight of anything before it is below the smallest
+double (d^K < e^-745): every output is what one pass over the whole series
+gives. Fast mean, slow mean and signal come from the same pass. (After more
+than K NULLs in a row the mean starts anew.)
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 
-from candlewick.operators.series import default_bucket, number_rows, ordered_stages, resolve_layout
+from candlewick.operators.series import ordered_stages
 
-MAX_BLOCK = 256
-_CACHED: list[DataFrame] = []
 
+def alpha_of_span(span: float) -> float:
+    return 2.0 / (span + 1.0)
 
-def release_cached() -> None:
-    """Unpersist the intermediates cached by EWM passes; call after the
-    results that depend on them have been written."""
-    while _CACHED:
-        _CACHED.pop().unpersist()
 
+def memory_rows(span: float) -> int:
+    """Rows after which a value's weight is zero in double precision."""
+    d = 1.0 - alpha_of_span(span)
+    return 1 if d <= 0 else math.ceil(745.0 / math.log(1.0 / d)) + 1
 
-def alpha_of_span(span: float) -> float:
-    return 2.0 / (span + 1.0)
 
+def _mean(x, span: float):
+    import pandas as pd
+    return pd.Series(x).ewm(span=span, adjust=False).mean().to_numpy()
 
-def block_size(spans) -> int:
-    b = MAX_BLOCK
-    for s in spans:
-        d = 1.0 - alpha_of_span(s)
-        if d > 0:
-            b = min(b, max(1, int(600.0 / math.log(1.0 / d))))
-    return b
 
+@dataclass(frozen=True)
+class Ewm:
+    """EWM of ``x`` with ``span`` as column ``out``."""
+    out: str
+    x: str
+    span: float
 
-def carry_depth(span: float, b: int) -> int:
-    d = 1.0 - alpha_of_span(span)
-    if d <= 0:
-        return 1
-    return int(math.ceil(800.0 / (b * math.log(1.0 / d)))) + 1
+    @property
+    def inputs(self):
+        return (self.x,)
+
+    @property
+    def outputs(self):
+        return (self.out,)
+
+    @property
+    def lookback(self):
+        return memory_rows(self.span)
+
+    def compute(self, ins: dict) -> dict:
+        return {self.out: _mean(ins[self.x], self.span)}
+
+
+@dataclass(frozen=True)
+class Macd:
+    """EWM(fast) - EWM(slow) of ``x``, and its EWM(signal)."""
+    x: str
+    fast: float = 12
+    slow: float = 26
+    signal: float = 9
+    names: tuple[str, str] = ("macd", "macd_signal")
+
+    @property
+    def inputs(self):
+        return (self.x,)
+
+    @property
+    def outputs(self):
+        return self.names
+
+    @property
+    def lookback(self):
+        return max(memory_rows(self.fast), memory_rows(self.slow)) + memory_rows(self.signal)
+
+    def compute(self, ins: dict) -> dict:
+        m = _mean(ins[self.x], self.fast) - _mean(ins[self.x], self.slow)
+        return {self.names[0]: m, self.names[1]: _mean(m, self.signal)}
 
 
 def ewm_mean(df: DataFrame, key, order, columns: Mapping[str, tuple[str, float]],
-             rn: str | None = None, bucket: Column | None = None, mode: str = "auto") -> DataFrame:
-    """Add ``{out: (x, span)}`` EWM columns; keeps a ``_rn`` position column.
-
-    Pass ``rn`` to reuse an existing 0-based position column. ``x`` must not
-    be NULL.
-    """
-    key = [key] if isinstance(key, str) else list(key)
-    order = [order] if isinstance(order, (str, Column)) else list(order)
-    mode = resolve_layout(df, key, mode)
-    if rn is None:
-        if "_rn" in df.columns:
-            rn = "_rn"
-        else:
-            if bucket is None and mode == "chunked":
-                bucket = default_bucket(df, order)
-            df = number_rows(df, key, order, bucket, "_rn")
-            rn = "_rn"
-    B = block_size([s for _, s in columns.values()])
-    R = F.col(rn)
-    # consumed twice (running sums and block ends): computed once, kept in
-    # memory or spilled to local disk; lineage stays, so a lost executor
-    # recomputes its partitions. Measured trade-off: the cached relation does
-    # not advertise its hash-by-key layout, so the block window reshuffles by
-    # (key, block) once; re-deriving the upstream plan per consumer instead
-    # cost ~2.5x more at sf0.1.
-    blocked = df.withColumn("_eb", F.floor(R / F.lit(B))).withColumn("_ei", (R % F.lit(B)).cast("int")) \
-                .persist(StorageLevel.MEMORY_AND_DISK)
-    _CACHED.append(blocked)
-    wb = Window.partitionBy(*key, "_eb").orderBy(rn).rowsBetween(Window.unboundedPreceding, 0)
-    loc_cols = []
-    for out, (x, span) in columns.items():
-        a = alpha_of_span(span)
-        d = 1.0 - a
-        w = F.when(R == 0, F.col(x)).otherwise(F.lit(a) * F.col(x))
-        if d <= 0:
-            loc = F.col(x)
-        else:
-            # d^i * running sum of w_j * d^-j; d^-j <= e^600 by the choice of B
-            loc = F.pow(F.lit(d), F.col("_ei")) * F.sum(w * F.pow(F.lit(d), -F.col("_ei"))).over(wb)
-        loc_cols.append(loc.alias(f"_loc_{out}"))
-    local = blocked.select("*", *loc_cols)
-
-    # block table: one row per (key, block) with its zero-carry end value
-    # E_b = sum_j w_j d^(B-1-i_j), aggregated from the input directly (only
-    # full blocks' ends are ever used as carries)
-    end_aggs = []
-    for out, (x, span) in columns.items():
-        a = alpha_of_span(span)
-        d = 1.0 - a
-        w = F.when(R == 0, F.col(x)).otherwise(F.lit(a) * F.col(x))
-        term = w if d <= 0 else w * F.pow(F.lit(d), F.lit(B - 1) - F.col("_ei"))
-        if d <= 0:
-            term = F.when(F.col("_ei") == B - 1, w).otherwise(F.lit(0.0))
-        end_aggs.append(F.sum(term).alias(f"_E_{out}"))
-    ends = blocked.groupBy(*key, "_eb").agg(*end_aggs)
-    stage = {}
-    look = 1
-    for out, (x, span) in columns.items():
-        d = 1.0 - alpha_of_span(span)
-        K = carry_depth(span, B)
-        look = max(look, K)
-        D = d ** B if d > 0 else 0.0
-
-        def carry(w, o=out, K=K, D=D):
-            frame = w.rowsBetween(-K, -1)
-            return F.aggregate(F.collect_list(F.col(f"_E_{o}")).over(frame), F.lit(0.0),
-                               lambda acc, e: acc * F.lit(D) + e)
-        stage[f"_C_{out}"] = carry
-    carries = ordered_stages(ends, key, "_eb", [stage], look, mode=mode,
-                             bucket=F.floor(F.col("_eb") / F.lit(4096)))
-    carries = carries.select(*key, "_eb", *[f"_C_{o}" for o in columns])
-    j = local.join(carries, on=[*key, "_eb"], how="inner")
-    outs = []
-    for out, (x, span) in columns.items():
-        d = 1.0 - alpha_of_span(span)
-        outs.append((F.col(f"_loc_{out}") + F.pow(F.lit(d), F.col("_ei") + 1) * F.col(f"_C_{out}")).alias(out))
-    keep = [c for c in df.columns]
-    return j.select(*keep, *outs)
+             bucket: Column | None = None, chunk_rows: int | None = None) -> DataFrame:
+    """Add ``{out: (x, span)}`` EWM columns."""
+    return ordered_stages(df, key, order, [], 0, bucket, chunk_rows, [Ewm(o, x, s) for o, (x, s) in columns.items()])
 
 
 def macd(df: DataFrame, key, order, x: str, fast: int = 12, slow: int = 26, signal: int = 9,
-         names=("macd", "macd_signal"), bucket: Column | None = None, mode: str = "auto") -> DataFrame:
-    """EWM(fast) - EWM(slow) and its EWM(signal); keeps ``_rn``."""
-    m, s = names
-    mode = resolve_layout(df, key, mode)
-    e = ewm_mean(df, key, order, {"_ema_fast": (x, fast), "_ema_slow": (x, slow)}, bucket=bucket, mode=mode)
-    e = e.withColumn(m, F.col("_ema_fast") - F.col("_ema_slow")).drop("_ema_fast", "_ema_slow")
-    return ewm_mean(e, key, order, {s: (m, signal)}, rn="_rn", mode=mode)
+         names=("macd", "macd_signal"), bucket: Column | None = None, chunk_rows: int | None = None) -> DataFrame:
+    """EWM(fast) - EWM(slow) and its EWM(signal)."""
+    return ordered_stages(df, key, order, [], 0, bucket, chunk_rows, [Macd(x, fast, slow, signal, tuple(names))])

@@ -7,34 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Above this many values an IN list becomes a semi join against a table.
-INLIST_MAX = 1000
-
-
 def equals(df: DataFrame, col: str, value) -> DataFrame:
     """Exact match (FLT-01, FLT-08); pushed into the Parquet scan."""
     return df.where(F.col(col) == F.lit(value))
 
 
 def in_list(df: DataFrame, col: str, values: Sequence | DataFrame) -> DataFrame:
-    """IN list (FLT-02). A long list, or a DataFrame of values, is applied as
-    a left-semi join; AQE broadcasts the value side when it is measured small."""
+    """IN list (FLT-02). Values in a DataFrame (any number) are a left-semi
+    join; AQE broadcasts the value side when it is measured small."""
     if isinstance(values, DataFrame):
         v = values.select(F.col(values.columns[0]).alias(col)).distinct()
         return df.join(v, on=col, how="left_semi")
-    values = list(values)
-    if len(values) <= INLIST_MAX:
-        return df.where(F.col(col).isin(values))
-    spark = df.sparkSession
-    v = spark.createDataFrame([(x,) for x in values], [col])
-    return df.join(v, on=col, how="left_semi")
+    return df.where(F.col(col).isin(list(values)))
 
 
-def lookback(df: DataFrame, ts: str, days: int, as_of=None) -> DataFrame:
+def lookback(df: DataFrame, ts: str, days: int, as_of=None, day: str | None = "ingest_date") -> DataFrame:
     """``ts >= as_of - INTERVAL days`` (FLT-03). ``as_of`` defaults to now;
-    pass a value so reruns are repeatable."""
+    pass a value so reruns are repeatable. Where the table has the partition
+    column ``day``, whole days before the range are pruned."""
     ref = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    return df.where(F.col(ts).cast("timestamp") >= ref - F.make_interval(days=F.lit(days)))
+    since = ref - F.make_interval(days=F.lit(days))
+    out = df.where(F.col(ts).cast("timestamp") >= since)
+    return out.where(F.col(day) >= F.to_date(since)) if day and day in df.columns else out
 
 
 def prefix(df: DataFrame, col: str, pre: str) -> DataFrame:

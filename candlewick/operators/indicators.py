@@ -101,9 +101,14 @@ def golden_cross_flag(short_col: str, long_col: str, name: str = "is_golden_cros
     return Spec([{ps: lag(short_col, 1), pl: lag(long_col, 1)}, {name: plain(flag)}], 1, {ps, pl})
 
 
+# Points of the trend score (short over middle, middle over long, RSI above half, golden cross).
+SCORE_POINTS, SCORE_RSI = (30, 30, 20, 20), 50
+
+
 def trend_score(ma5="ma_5", ma20="ma_20", ma60="ma_60", rsi_col="rsi_14", golden="is_golden_cross"):
     """WIN-17: +30 ma5>ma20, +30 ma20>ma60, +20 rsi>50, +20 golden cross; NULL adds 0."""
     def pts(cond, p):
         return F.when(F.coalesce(cond, F.lit(False)), F.lit(p)).otherwise(F.lit(0))
-    return (pts(F.col(ma5) > F.col(ma20), 30) + pts(F.col(ma20) > F.col(ma60), 30)
-            + pts(F.col(rsi_col) > 50, 20) + pts(F.col(golden), 20)).cast("int")
+    short, middle, strong, cross = SCORE_POINTS
+    return (pts(F.col(ma5) > F.col(ma20), short) + pts(F.col(ma20) > F.col(ma60), middle)
+            + pts(F.col(rsi_col) > SCORE_RSI, strong) + pts(F.col(golden), cross)).cast("int")

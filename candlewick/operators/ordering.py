@@ -38,6 +38,19 @@ def paginate(df: DataFrame, order: Sequence, page: int = 1, size: int = 100) ->
     return rows, total
 
 
+def with_total(rows: DataFrame, total: DataFrame) -> DataFrame:
+    """The page plus its total as a column, in one lazy plan: the one-row total
+    joins on a constant."""
+    one = total.select(F.col("count").cast("bigint").alias("total"), F.lit(1).alias("_one"))
+    return rows.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one").drop("_one")
+
+
+def after(df: DataFrame, order: str, last, size: int = 100) -> DataFrame:
+    """The page that follows the row whose (ascending, unique) ``order`` value
+    is ``last``: a pushed-down filter and a top-n, however deep the page."""
+    return df.where(F.col(order) > F.lit(last)).orderBy(order).limit(size)
+
+
 def head(df: DataFrame, n: int, *order) -> DataFrame:
     return df.orderBy(*_sort(order)).limit(n)
 

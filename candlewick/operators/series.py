@@ -1,147 +1,139 @@
-"""Ordered keyed series: the window layout every indicator runs on.
+"""Ordered keyed series: the one window layout every indicator runs on.
 
 A "stage" is a dict ``{name: build(w) -> Column}``; ``build`` receives the
 window spec to use (already partitioned and ordered) and returns a window
 expression. Stages are evaluated in order, so a later stage may reference an
 earlier one (e.g. ``lag`` of a rolling mean).
 
-Two layouts give identical results:
-
-* ``key``: ``Window.partitionBy(key).orderBy(order)``. One sort per key in one
-  task; cheapest when no key is huge.
-* ``chunked``: rows get a 0-based position ``_rn`` within their key (numbered
-  per (key, bucket) in parallel plus bucket offsets), are cut into chunks of
-  ``chunk_rows`` positions, and the last ``lookback`` rows of each chunk are
-  copied into the next chunk as a halo. Windows then run per (key, chunk), so
-  a key holding a third of all rows is spread over many tasks; only native
-  rows are kept. ``lookback`` must cover every frame and lag of all stages
-  combined.
-
-``auto`` measures the largest key with one aggregate and picks ``chunked``
-when it exceeds ``max_rows_per_task``.
+The layout is the same at every size: rows get a 0-based position ``_rn``
+within their key (numbered per (key, bucket) in parallel plus bucket
+offsets), are cut into chunks of ``chunk_rows`` positions, and the last
+``lookback`` rows of each chunk are copied into the next one as a halo.
+Windows run per (key, chunk), so a key that holds a third of all rows is spread
+over many tasks, and only native rows are kept. ``lookback`` must cover every
+frame, lag and recurrence of all stages combined.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 Stage = dict[str, Callable[[WindowSpec], Column]]
 
-DEFAULT_MAX_ROWS_PER_TASK = 4_000_000
-DEFAULT_CHUNK_ROWS = 1_000_000
-
-
-def _cols(xs: str | Sequence[str | Column]) -> list:
-    return [xs] if isinstance(xs, (str, Column)) else list(xs)
+DEFAULT_CHUNK_ROWS = 100_000
 
 
-def largest_key_rows(df: DataFrame, key: Sequence[str]) -> int:
-    """Row count of the biggest key (partial aggregate, one small result)."""
-    r = df.groupBy(*key).count().agg(F.max("count").alias("m")).first()
-    return int(r["m"] or 0)
+class Recurrence(Protocol):
+    """Columns that depend on the whole past of a series but forget it within
+    ``lookback`` rows; ``compute`` gets the numpy inputs of one chunk in order."""
 
+    inputs: tuple[str, ...]
+    outputs: tuple[str, ...]
+    lookback: int
 
-def _conf_int(df: DataFrame, name: str, default: int) -> int:
-    return int(df.sparkSession.conf.get(name, str(default)))
+    def compute(self, inputs: dict) -> dict: ...
 
 
-def max_rows_per_task(df: DataFrame) -> int:
-    """Rows one task may sort for one key (``spark.candlewick.maxRowsPerTask``)."""
-    return _conf_int(df, "spark.candlewick.maxRowsPerTask", DEFAULT_MAX_ROWS_PER_TASK)
+def _cols(xs: str | Sequence[str]) -> list[str]:
+    return [xs] if isinstance(xs, str) else list(xs)
 
 
 def chunk_rows_for(df: DataFrame) -> int:
-    """Positions per chunk in the chunked layout (``spark.candlewick.chunkRows``)."""
-    return _conf_int(df, "spark.candlewick.chunkRows", DEFAULT_CHUNK_ROWS)
-
-
-def resolve_layout(df: DataFrame, key, mode: str = "auto", max_rows: int | None = None) -> str:
-    """Turn ``auto`` into ``key`` or ``chunked`` by measuring the largest key."""
-    if mode != "auto":
-        return mode
-    limit = max_rows if max_rows is not None else max_rows_per_task(df)
-    return "chunked" if largest_key_rows(df, _cols(key)) > limit else "key"
-
-
-def default_bucket(df: DataFrame, order) -> Column | None:
-    """A bucket that rises with the first order column: minute of a
-    timestamp (a hot tick key keeps ~1e7 rows per bucket even at a third of
-    100 TB over a month), month of a date, 4096-wide ranges of an integer."""
-    first = _cols(order)[0]
-    if not isinstance(first, str):
-        return None
-    t = df.schema[first].dataType.typeName()
-    if t.startswith("timestamp"):
-        return F.date_trunc("minute", F.col(first))
-    if t == "date":
-        return F.trunc(F.col(first), "month")
-    if t in ("long", "integer", "short"):
-        return F.floor(F.col(first) / F.lit(4096))
-    return None
-
-
-def number_rows(df: DataFrame, key: Sequence[str], order: Sequence, bucket: Column | None = None,
+    """Positions per chunk (``spark.candlewick.chunkRows``)."""
+    return int(df.sparkSession.conf.get("spark.candlewick.chunkRows", str(DEFAULT_CHUNK_ROWS)))
+
+
+def default_bucket(df: DataFrame, order) -> Column:
+    """A bucket that never falls along the first order column: minute of a
+    timestamp, month of a date, ranges of a number, the first characters of a
+    string; any other orderable value is a bucket of its own."""
+    name = _cols(order)[0]
+    x, t = F.col(name), df.schema[name].dataType
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("minute", x)
+    if isinstance(t, T.DateType):
+        return F.trunc(x, "month")
+    if isinstance(t, (T.FloatType, T.DoubleType)):          # NaN sorts above all numbers
+        return F.when(F.isnan(x), F.lit(float("inf"))).otherwise(F.rint(x / F.lit(4096.0)))
+    if isinstance(t, T.NumericType):
+        return F.floor(x / F.lit(4096))
+    if isinstance(t, T.StringType):
+        return F.substring(x, 1, 3)
+    return x
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys meet; the right side's keys are dropped."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in on])
+
+
+def number_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column | None = None,
                 name: str = "_rn") -> DataFrame:
     """Add the 0-based position of each row within its key, in ``order``.
 
-    ``bucket`` must be non-decreasing along ``order`` (e.g. the hour or month
-    of the timestamp). Rows are numbered per (key, bucket) in parallel and
+    ``bucket`` must be non-decreasing along ``order`` (default: by the type of
+    its first column). Rows are numbered per (key, bucket) in parallel and
     shifted by the running count of earlier buckets, so no task ever sorts a
-    whole key. Without a bucket a plain per-key ``row_number`` is used.
-    ``order`` must be a total order (end it with a unique column).
+    whole key. ``order`` must be a total order (end it with a unique column).
+    NULL keys form a series, NULL order values come first.
     """
     key, order = _cols(key), _cols(order)
-    if bucket is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1)
-    b = df.withColumn("_bk", bucket)
+    b = df.withColumn("_bk", bucket if bucket is not None else default_bucket(df, order))
     counts = b.groupBy(*key, "_bk").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        *key, "_bk",
-        F.coalesce(F.sum("_n").over(Window.partitionBy(*key).orderBy("_bk")
-                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    earlier = Window.partitionBy(*key).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*key, "_bk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
     # offsets has one row per (key, bucket): AQE broadcasts it when it is
     # measured small, otherwise this stays a shuffle join.
-    j = b.join(offsets, on=[*key, "_bk"], how="inner")
+    j = join_null_safe(b, offsets, [*key, "_bk"])
     w = Window.partitionBy(*key, "_bk").orderBy(*order)
     return j.withColumn(name, F.col("_off") + F.row_number().over(w) - 1).drop("_bk", "_off")
 
 
-def ordered_stages(df: DataFrame, key: str | Sequence[str], order: str | Sequence,
-                   stages: Sequence[Stage], lookback: int, mode: str = "auto",
-                   bucket: Column | None = None, chunk_rows: int | None = None,
-                   max_rows: int | None = None) -> DataFrame:
-    """Evaluate window ``stages`` over each key's ordered rows."""
+def _run_recurrences(df: DataFrame, group: list[str], recurrences: Sequence[Recurrence]) -> DataFrame:
+    """Chunk by chunk (bounded rows) in Arrow: sort by position, append the outputs."""
+    names = [o for r in recurrences for o in r.outputs]
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(n, T.DoubleType()) for n in names])
+
+    def run(t):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        t = t.take(pc.sort_indices(t.column("_rn")))
+        for r in recurrences:
+            ins = {c: t.column(c).cast(pa.float64()).fill_null(float("nan")).to_numpy() for c in r.inputs}
+            for name, values in r.compute(ins).items():
+                t = t.append_column(name, pa.array(np.asarray(values, dtype="float64"), from_pandas=True))
+        return t.select(schema.names)
+
+    return df.groupBy(*group).applyInArrow(run, schema)
+
+
+def ordered_stages(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
+                   stages: Sequence[Stage], lookback: int, bucket: Column | None = None,
+                   chunk_rows: int | None = None, recurrences: Sequence[Recurrence] = ()) -> DataFrame:
+    """Evaluate window ``stages``, then ``recurrences``, over each key's ordered rows."""
     key, order = _cols(key), _cols(order)
-    mode = resolve_layout(df, key, mode, max_rows)
-    chunk_rows = chunk_rows or max(chunk_rows_for(df), lookback + 1)
-    if mode == "key":
-        w = Window.partitionBy(*key).orderBy(*order)
-        out = df
-        for st in stages:
-            out = out.select("*", *[fn(w).alias(n) for n, fn in st.items()])
-        return out
-    if mode != "chunked":
-        raise ValueError(f"unknown layout {mode!r}")
-    if chunk_rows <= lookback:
-        raise ValueError("chunk_rows must exceed lookback")
-    if bucket is None:
-        bucket = default_bucket(df, order)
+    lookback = max([lookback, *(r.lookback for r in recurrences)])
+    chunk_rows = max(chunk_rows or chunk_rows_for(df), lookback + 1)
     numbered = number_rows(df, key, order, bucket)
     c = F.floor(F.col("_rn") / F.lit(chunk_rows))
     in_halo = (F.col("_rn") % F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
-    # native copy (flag true) plus, for the tail rows, a halo copy in the next chunk
-    copies = F.when(in_halo & F.lit(lookback > 0),
-                    F.array(F.struct(c.alias("c"), F.lit(True).alias("nat")),
-                            F.struct((c + 1).alias("c"), F.lit(False).alias("nat")))) \
-              .otherwise(F.array(F.struct(c.alias("c"), F.lit(True).alias("nat"))))
-    ex = numbered.withColumn("_cp", F.explode(copies)) \
-                 .withColumn("_chunk", F.col("_cp.c")).withColumn("_native", F.col("_cp.nat")).drop("_cp")
+    native = F.struct(c.alias("c"), F.lit(True).alias("nat"))
+    halo = F.struct((c + 1).alias("c"), F.lit(False).alias("nat"))
+    copies = F.when(in_halo, F.array(native, halo)).otherwise(F.array(native))
+    out = numbered.withColumn("_cp", F.explode(copies)).select("*", F.col("_cp.c").alias("_chunk"), F.col("_cp.nat").alias("_native")).drop("_cp")
     w = Window.partitionBy(*key, "_chunk").orderBy("_rn")
-    out = ex
     for st in stages:
         out = out.select("*", *[fn(w).alias(n) for n, fn in st.items()])
+    if recurrences:
+        out = _run_recurrences(out, [*key, "_chunk"], recurrences)
     return out.where(F.col("_native")).drop("_chunk", "_native", "_rn")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from candlewick.operators.series import Stage, ordered_stages
+from candlewick.operators.series import Recurrence, Stage, ordered_stages
 
 Builder = Callable[[WindowSpec], Column]
 
@@ -94,18 +94,22 @@ def chain(*specs: Spec) -> Spec:
     return Spec(stages, sum(s.lookback for s in specs), set().union(*[s.temps for s in specs]))
 
 
-def apply_specs(df: DataFrame, key, order, *specs: Spec, mode: str = "auto",
-                bucket: Column | None = None, **layout) -> DataFrame:
-    """Evaluate specs over each key's ordered rows and drop helper columns."""
+def apply_specs(df: DataFrame, key, order, *specs: Spec, bucket: Column | None = None, chunk_rows: int | None = None,
+                recurrences: Sequence[Recurrence] = ()) -> DataFrame:
+    """Evaluate specs (and recurrences) over each key's ordered rows and drop helper columns."""
     sp = combine(*specs)
-    out = ordered_stages(df, key, order, sp.stages, sp.lookback, mode=mode, bucket=bucket, **layout)
+    out = ordered_stages(df, key, order, sp.stages, sp.lookback, bucket, chunk_rows, recurrences)
     return out.drop(*sorted(sp.temps)) if sp.temps else out
 
 
+# The windows, periods and lags of the feature expansion.
+FEATURE_MA, FEATURE_ROC, FEATURE_LAGS = (5, 10, 20), (1, 3, 5), (1, 2, 3)
+
+
 # -- WIN-18: feature expansion ------------------------------------------------
 
-def expand_features(price: str, volume: str | None, ts: str, ma: Sequence[int] = (5, 10, 20),
-                    roc: Sequence[int] = (1, 3, 5), lags: Sequence[int] = (1, 2, 3),
+def expand_features(price: str, volume: str | None, ts: str, ma: Sequence[int] = FEATURE_MA,
+                    roc: Sequence[int] = FEATURE_ROC, lags: Sequence[int] = FEATURE_LAGS,
                     prefix_price: str = "price", prefix_volume: str = "volume") -> Spec:
     """MA and lags of price and volume, RoC of price, hour and weekday (Mon=0)."""
     st: Stage = {}

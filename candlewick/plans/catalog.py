@@ -15,22 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.json import json_fields
-from candlewick.functions.timestamps import epoch_s_to_ts
+from candlewick.functions.timestamps import epoch_s_to_ts, iso_text
 from candlewick.operators import contract as C
 from candlewick.operators.dedupe import dedupe_latest, enforce_unique, min_history, newest_n_per_key, unique_violations
 from candlewick.operators.ewm import ewm_mean, macd
 from candlewick.operators.filters import search
 from candlewick.operators.indicators import atr, bollinger, rsi
 from candlewick.operators.joins import detect_anomalies, join_calls_events, orphan_events
-from candlewick.operators.ordering import paginate, top_k
+from candlewick.operators.ordering import after, head, order_by, paginate, tail, top_k, with_total
 from candlewick.operators.profile import correlation_matrix, describe, mean_by_hour, mean_by_weekday, null_profile
 from candlewick.operators.windows import (Spec, apply_specs, diff, expand_features, rate_of_change, rolling_mean,
                                           rolling_std)
-from candlewick.plans import marts, messages, serving
+from candlewick.functions.scalar import thousands
+from candlewick.plans import jobs, marts, messages, serving
 from candlewick.plans.compare import shape
+from candlewick.plans.ingest import ingest
 from candlewick.sources import derived, landing
+from candlewick.sources.sinks import append_landing, read_mart
 from candlewick.session import scratch_path
-from candlewick.sources.tables import layout_for, table
+from candlewick.sources.tables import table
 from candlewick.streaming import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,7 +110,7 @@ report AS (
 
 
 def _trend(spark, sf):
-    return marts.build_trend_report(_candles(spark, sf), digits=4, mode=layout_for(spark, sf, "orders")) \
+    return marts.build_trend_report(_candles(spark, sf), digits=4) \
         .drop("created_at")
 
 
@@ -169,8 +172,7 @@ WHERE rsi_14 IS NOT NULL AND macd IS NOT NULL AND macd_signal IS NOT NULL AND bb
 @register("feature_mart", SQL_FEATURES)
 def q_feature_mart(spark, sf):
     """PIP-02: candles x sentiment, RSI/MACD/Bollinger/MA, complete rows only."""
-    fm = marts.build_feature_mart(_candles(spark, sf), derived.sentiment(table(spark, sf, "lineitem")),
-                                  mode=layout_for(spark, sf, "orders"))
+    fm = marts.build_feature_mart(_candles(spark, sf), derived.sentiment(table(spark, sf, "lineitem")))
     return shape(fm.drop("updated_at"), {"rsi_14": 6, "macd": 4, "macd_signal": 4, "bb_upper": 2,
                                          "bb_lower": 2, "ma_7": 4, "ma_30": 4})
 
@@ -189,7 +191,7 @@ baseline AS (SELECT symbol, round(v30, 4) AS avg_volume_30d, round(atr, 4) AS at
 
 def _baseline(spark, sf, candles: DataFrame | None = None):
     c = candles if candles is not None else _candles(spark, sf)
-    return marts.build_anomaly_baseline(c, digits=4, mode=layout_for(spark, sf, "orders")).drop("updated_at")
+    return marts.build_anomaly_baseline(c, digits=4).drop("updated_at")
 
 
 @register("anomaly_baseline", "WITH " + SQL_BASELINE + "\nSELECT * FROM baseline")
@@ -227,7 +229,7 @@ SELECT symbol, strftime(date, '%Y-%m-%d') AS date, kind, round(ma_short, 4) AS m
 FROM k WHERE kind IS NOT NULL""")
 def q_ma_cross_events(spark, sf):
     """WIN-14: every golden/dead cross of MA 5 over MA 20."""
-    out = marts.ma_cross_events(_candles(spark, sf), "symbol", "date", "close", mode=layout_for(spark, sf, "orders"))
+    out = marts.ma_cross_events(_candles(spark, sf), "symbol", "date", "close")
     return shape(out, {"ma_short": 4, "ma_long": 4})
 
 
@@ -242,7 +244,7 @@ def q_rolling_stats(spark, sf):
     """WIN-01..03: rolling mean, sample std, first difference."""
     sp = Spec([{"ma_5": rolling_mean("close", 5), "ma_20": rolling_mean("close", 20),
                 "std_20": rolling_std("close", 20), "diff_1": diff("close")}], 19)
-    out = apply_specs(_candles(spark, sf), "symbol", "date", sp, mode=layout_for(spark, sf, "orders"))
+    out = apply_specs(_candles(spark, sf), "symbol", "date", sp)
     return shape(out.select("symbol", "date", "close", "ma_5", "ma_20", "std_20", "diff_1"),
                  {"ma_5": 4, "ma_20": 4, "std_20": 2})
 
@@ -259,7 +261,7 @@ FROM f""")
 def q_rsi(spark, sf):
     """WIN-06/07: strict and neutral RSI(14) on every row."""
     out = apply_specs(_candles(spark, sf), "symbol", "date", rsi("close", 14, "strict"),
-                      rsi("close", 14, "neutral", name="rsi_neutral"), mode=layout_for(spark, sf, "orders"))
+                      rsi("close", 14, "neutral", name="rsi_neutral"))
     return shape(out.select("symbol", "date", "rsi_14", "rsi_neutral"), {"rsi_14": 6, "rsi_neutral": 6})
 
 
@@ -284,8 +286,7 @@ out AS (SELECT m.*, sg.sig AS macd_signal FROM m JOIN sg ON m.symbol = sg.symbol
 SELECT symbol, strftime(date, '%Y-%m-%d') AS date, round(e12, 4) AS ema_12, round(e26, 4) AS ema_26 FROM out""")
 def q_ewm(spark, sf):
     """WIN-08: EWM(span 12, 26), adjust=False, blocked parallel scan."""
-    out = ewm_mean(_candles(spark, sf), "symbol", "date", {"ema_12": ("close", 12), "ema_26": ("close", 26)},
-                   mode=layout_for(spark, sf, "orders"))
+    out = ewm_mean(_candles(spark, sf), "symbol", "date", {"ema_12": ("close", 12), "ema_26": ("close", 26)})
     return shape(out.select("symbol", "date", "ema_12", "ema_26"), {"ema_12": 4, "ema_26": 4})
 
 
@@ -293,7 +294,7 @@ def q_ewm(spark, sf):
 SELECT symbol, strftime(date, '%Y-%m-%d') AS date, round(macd, 4) AS macd, round(macd_signal, 4) AS macd_signal FROM out""")
 def q_macd(spark, sf):
     """WIN-09: MACD(12, 26) and its signal EWM(9)."""
-    out = macd(_candles(spark, sf), "symbol", "date", "close", mode=layout_for(spark, sf, "orders"))
+    out = macd(_candles(spark, sf), "symbol", "date", "close")
     return shape(out.select("symbol", "date", "macd", "macd_signal"), {"macd": 4, "macd_signal": 4})
 
 
@@ -304,8 +305,7 @@ SELECT symbol, strftime(date, '%Y-%m-%d') AS date, round(mid + sd * 2.0, 2) AS b
        round(mid - sd * 2.0, 2) AS bb_lower, round(mid, 4) AS bb_mid FROM f""")
 def q_bollinger(spark, sf):
     """WIN-10: 20-row mean +/- 2 sample deviations."""
-    out = apply_specs(_candles(spark, sf), "symbol", "date", bollinger("close", 20, 2.0, mid="bb_mid"),
-                      mode=layout_for(spark, sf, "orders"))
+    out = apply_specs(_candles(spark, sf), "symbol", "date", bollinger("close", 20, 2.0, mid="bb_mid"))
     return shape(out.select("symbol", "date", "bb_upper", "bb_lower", "bb_mid"),
                  {"bb_upper": 2, "bb_lower": 2, "bb_mid": 4})
 
@@ -318,8 +318,7 @@ SELECT symbol, strftime(date, '%Y-%m-%d') AS date, round(tr, 2) AS tr, round({_r
 FROM t""")
 def q_atr(spark, sf):
     """WIN-11/12: true range and its 14-row mean."""
-    out = apply_specs(_candles(spark, sf), "symbol", "date", atr("high", "low", "close", 14, name="atr_14"),
-                      mode=layout_for(spark, sf, "orders"))
+    out = apply_specs(_candles(spark, sf), "symbol", "date", atr("high", "low", "close", 14, name="atr_14"))
     return shape(out.select("symbol", "date", "tr", "atr_14"), {"tr": 2, "atr_14": 4})
 
 
@@ -331,8 +330,7 @@ def _ticks(spark, sf) -> DataFrame:
 
 def _tick_features(spark, sf) -> DataFrame:
     return apply_specs(_ticks(spark, sf), "symbol", ["ts_event", "event_id"],
-                       expand_features("acc_trade_price_24h", "acc_trade_volume_24h", "ts_event"),
-                       mode=layout_for(spark, sf, "events"))
+                       expand_features("acc_trade_price_24h", "acc_trade_volume_24h", "ts_event"))
 
 
 SQL_TICKS = """
@@ -432,8 +430,7 @@ def q_null_profile(spark, sf):
     return null_profile(_tick_features(spark, sf), NULL_COLS).drop("dtype")
 
 
-CORR_COLS = ["acc_trade_price_24h", "acc_trade_volume_24h", "price_ma5", "volume_ma5", "price_ma20", "volume_ma20",
-             "price_roc1", "price_roc5", "price_lag1", "volume_lag1", "price_lag3", "volume_lag3", "hour_of_day"]
+CORR_COLS = marts.CORRELATION_COLUMNS
 
 
 def _corr_sql() -> str:
@@ -528,6 +525,13 @@ msgs AS (
   FROM events)"""
 
 
+SQL_REASON = """CASE WHEN k < 5 THEN 'malformed json'
+            WHEN k < 10 THEN (CASE mtype WHEN 'orderbook' THEN 'total_bid_size' ELSE 'trade_price' END) || ': required'
+            WHEN k < 15 THEN (CASE mtype WHEN 'trade' THEN 'side: invalid enum' WHEN 'ticker' THEN 'change: invalid enum'
+                                         ELSE 'orderbook_units: invalid levels' END)
+            ELSE 'symbol: invalid str' END"""
+
+
 @register("contract_valid", f"""
 WITH {SQL_MESSAGES}
 SELECT event_id, mtype AS type, 'KRW-U' || CAST(user_id AS VARCHAR) AS symbol,
@@ -542,12 +546,7 @@ def q_contract_valid(spark, sf):
 
 @register("contract_rejected", f"""
 WITH {SQL_MESSAGES}
-SELECT event_id, CASE WHEN k < 5 THEN NULL ELSE mtype END AS type,
-       CASE WHEN k < 5 THEN 'malformed json'
-            WHEN k < 10 THEN (CASE mtype WHEN 'orderbook' THEN 'total_bid_size' ELSE 'trade_price' END) || ': required'
-            WHEN k < 15 THEN (CASE mtype WHEN 'trade' THEN 'side: invalid enum' WHEN 'ticker' THEN 'change: invalid enum'
-                                         ELSE 'orderbook_units: invalid levels' END)
-            ELSE 'symbol: invalid str' END AS reason
+SELECT event_id, CASE WHEN k < 5 THEN NULL ELSE mtype END AS type, {SQL_REASON} AS reason
 FROM msgs WHERE (mtype IN ('trade', 'ticker', 'orderbook') AND k < 20) OR k < 5""")
 def q_contract_rejected(spark, sf):
     """PRJ-06 / STR-08: dead-letter rows with their first reason."""
@@ -620,8 +619,7 @@ def q_page_two(spark, sf):
     """ORD-05: page 2 of 100 rows plus the total count."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     rows, total = paginate(o, ["-o_totalprice", "o_orderkey"], page=2, size=100)
-    n = total.first()["count"]
-    return rows.withColumn("total", F.lit(n).cast("bigint"))
+    return with_total(rows, total)
 
 
 @register("history_union", """
@@ -630,7 +628,7 @@ def q_history_union(spark, sf):
     """SRC-07 / SET-01: overlapping history and update pages, unioned and
     made unique again by key."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    hist = o.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp"))
+    hist = o.where(F.col("o_orderdate").isNull() | (F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp")))
     upd = o.where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp"))
     u = landing.union_history(hist, upd)
     out = enforce_unique(u, ["o_orderkey"])
@@ -668,16 +666,16 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 
 
-# -- streaming hot path (replayed through a running query) ---------------------
+# -- streaming hot path (events through a running file-source query) -----------
 
 def _stream_stores(spark, sf):
-    return replay.stores(spark, replay.replay(spark, sf, cap=25, days_per_batch=10), cap=25)
+    return replay.stores(spark, replay.run_hot_path(spark, sf))
 
 
 SQL_STREAM_TRADES = f"""
 {SQL_MESSAGES},
 tr AS (SELECT 'KRW-U' || CAST(user_id AS VARCHAR) AS symbol, value AS price, (epoch_us(ts) // 1000) AS ts_ms,
-              event_id, (dayofyear(ts) - 1) // 10 AS blk
+              event_id
        FROM msgs WHERE mtype = 'trade' AND k >= 20)"""
 
 
@@ -689,8 +687,8 @@ SELECT symbol, price, ts_ms, event_id AS "offset"
 FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC, event_id DESC) AS rk FROM tk)
 WHERE rk = 1""")
 def q_stream_snapshot(spark, sf):
-    """STR-02/03, SNK-06: latest ticker per symbol after replaying all
-    events as a stream (event time, then offset, wins)."""
+    """STR-02/03, SNK-06: latest ticker per symbol after streaming all
+    events (event time, then offset, wins)."""
     s = _stream_stores(spark, sf)["snapshot_ticker"].read()
     return s.select("symbol", "price", F.unix_millis("ts").alias("ts_ms"), "offset")
 
@@ -698,9 +696,9 @@ def q_stream_snapshot(spark, sf):
 @register("stream_recent", "WITH " + SQL_STREAM_TRADES + """
 SELECT symbol, event_id AS "offset", price, ts_ms
 FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC, event_id DESC) AS rk FROM tr)
-WHERE rk <= 25""")
+WHERE rk <= 10000""")
 def q_stream_recent(spark, sf):
-    """STR-04, SNK-05: newest 25 trades per symbol kept by the stream."""
+    """STR-04, SNK-05: newest 10,000 trades per symbol kept by the stream."""
     t = _stream_stores(spark, sf)["trades"].read()
     return t.select("symbol", "offset", "price", F.unix_millis("ts").alias("ts_ms"))
 
@@ -708,13 +706,13 @@ def q_stream_recent(spark, sf):
 @register("stream_alerts", "WITH " + SQL_STREAM_TRADES + f""",
 m AS (SELECT *, {_roll('avg', 'price', 5, 'symbol', 'ts_ms, event_id')} AS ma_short,
              {_roll('avg', 'price', 20, 'symbol', 'ts_ms, event_id')} AS ma_long,
-             lead(blk) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS next_blk FROM tr),
+             row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC, event_id DESC) AS back FROM tr),
 l AS (SELECT *, lag(ma_short) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS ps,
                 lag(ma_long) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS pl FROM m),
 k AS (SELECT *, CASE WHEN ps <= pl AND ma_short > ma_long THEN 'golden'
                      WHEN ps >= pl AND ma_short < ma_long THEN 'dead' END AS kind FROM l)
 SELECT symbol, kind, ts_ms AS event_time_ms, round(ma_short, 4) AS ma_short, round(ma_long, 4) AS ma_long
-FROM k WHERE kind IS NOT NULL AND (next_blk IS NULL OR next_blk <> blk)""")
+FROM k WHERE kind IS NOT NULL AND back = 1""")
 def q_stream_alerts(spark, sf):
     """STR-05: MA(5)/MA(20) cross alerts at each micro-batch's newest trade
     per symbol, emitted once per (symbol, kind, event_time)."""
@@ -725,12 +723,25 @@ def q_stream_alerts(spark, sf):
 
 @register("stream_rejected", f"""
 WITH {SQL_MESSAGES}
-SELECT event_id AS "offset", CASE WHEN k < 5 THEN NULL ELSE mtype END AS type
+SELECT event_id AS "offset", CASE WHEN k < 5 THEN NULL ELSE mtype END AS type, {SQL_REASON} AS reason
 FROM msgs WHERE (mtype IN ('trade', 'ticker', 'orderbook') AND k < 20) OR k < 5""")
 def q_stream_rejected(spark, sf):
-    """STR-08: every invalid message lands in the dead-letter table."""
+    """STR-08: every invalid message lands in the dead-letter table with its reason."""
     r = _stream_stores(spark, sf)["rejected"].read()
-    return r.select("offset", "type")
+    return r.select("offset", "type", "reason")
+
+
+@register("stream_orderbook", f"""
+WITH {SQL_MESSAGES},
+ob AS (SELECT 'KRW-U' || CAST(user_id AS VARCHAR) AS symbol, CAST(k AS DOUBLE) AS total_ask_size, value AS total_bid_size,
+              (epoch_us(ts) // 1000) AS ts_ms, event_id FROM msgs WHERE mtype = 'orderbook' AND k >= 20)
+SELECT symbol, total_ask_size, total_bid_size, ts_ms, event_id AS "offset"
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC, event_id DESC) AS rk FROM ob)
+WHERE rk = 1""")
+def q_stream_orderbook(spark, sf):
+    """SNK-06: latest order book per symbol, read back from its snapshot store."""
+    s = _stream_stores(spark, sf)["snapshot_orderbook"].read()
+    return s.select("symbol", "total_ask_size", "total_bid_size", F.unix_millis("ts").alias("ts_ms"), "offset")
 
 
 # -- serving reads (PIP-09) and ingest (PIP-08) --------------------------------
@@ -764,9 +775,8 @@ def q_market_stats_list(spark, sf):
     """PIP-09 list: ordered by symbol, first page of 100, decimals as text
     with 8 places (the published format), plus the total count."""
     rows, total = serving.market_stats_list(_stats_mart(spark, sf))
-    n = total.first()["count"]
     out = shape(rows.drop("created_at"))
-    return _as_text(out, {"acc_trade_price_24h", "acc_trade_volume_24h"}).withColumn("total", F.lit(n).cast("bigint"))
+    return with_total(_as_text(out, {"acc_trade_price_24h", "acc_trade_volume_24h"}), total)
 
 
 @register("market_stats_detail", f"""
@@ -783,12 +793,14 @@ def q_market_stats_detail(spark, sf):
 @register("trend_list", SQL_TREND_ROWS + """
 SELECT symbol, CAST(CAST(close_price AS DECIMAL(20,4)) AS VARCHAR) AS close_price,
        CAST(CAST(ma_5 AS DECIMAL(20,4)) AS VARCHAR) AS ma_5, CAST(CAST(ma_20 AS DECIMAL(20,4)) AS VARCHAR) AS ma_20,
-       CAST(CAST(ma_60 AS DECIMAL(20,4)) AS VARCHAR) AS ma_60, is_golden_cross, trend_score
+       CAST(CAST(ma_60 AS DECIMAL(20,4)) AS VARCHAR) AS ma_60, CAST(CAST(rsi_14 AS DECIMAL(10,2)) AS VARCHAR) AS rsi_14,
+       is_golden_cross, trend_score, row_number() OVER (ORDER BY trend_score DESC, symbol) AS pos
 FROM report""")
 def q_trend_list(spark, sf):
     """PIP-09 trend list: score order, decimals at the mart's scales (PRJ-13)."""
     rows, _ = serving.trend_list(_trend(spark, sf).withColumn("created_at", F.lit(None).cast("timestamp")))
-    return _as_text(rows.drop("created_at", "rsi_14"), {"close_price", "ma_5", "ma_20", "ma_60"})
+    placed = rows.withColumn("pos", F.monotonically_increasing_id() + 1)     # the page is one ordered partition
+    return _as_text(placed.drop("created_at"), {"close_price", "ma_5", "ma_20", "ma_60", "rsi_14"})
 
 
 @register("realtime_price", f"""
@@ -847,5 +859,161 @@ def q_customer_series(spark, sf):
     variant), MA 3, first difference and 1-period RoC over every series."""
     c = derived.candles(table(spark, sf, "orders"), symbol="o_custkey")
     sp = Spec([{"ma_3": rolling_mean("close", 3), "diff_1": diff("close"), "roc_1": rate_of_change("close", 1)}], 2)
-    out = apply_specs(c, "symbol", "date", sp, mode=layout_for(spark, sf, "orders"))
+    out = apply_specs(c, "symbol", "date", sp)
     return shape(out.select("symbol", "date", "close", "ma_3", "diff_1", "roc_1"), {"ma_3": 4, "roc_1": 6})
+
+
+# -- storage round trips, gaps, re-polls, alerts --------------------------------
+
+def _landing_table(spark, sf, name: str) -> str:
+    """Candle payloads appended to a landing table (SNK-01), ingested on their day."""
+    path = scratch_path(spark, name)
+    append_landing(derived.candle_landing(_candles(spark, sf)), path)
+    return path
+
+
+AS_OF, RECENT_DAYS, RECENT_SYMBOLS = "1998-08-02", 200, ["1-URGENT", "5-LOW"]
+SQL_RECENT = SQL_TREND_ROWS.replace(
+    "hist AS (SELECT * FROM candles WHERE symbol IN (SELECT symbol FROM candles GROUP BY symbol HAVING count(*) >= 60))",
+    f"""rec AS (SELECT * FROM candles WHERE date >= DATE '{AS_OF}' - INTERVAL {RECENT_DAYS} DAY AND symbol IN ('1-URGENT', '5-LOW')),
+hist AS (SELECT * FROM rec WHERE symbol IN (SELECT symbol FROM rec GROUP BY symbol HAVING count(*) >= 60))""")
+for _c in ("ma_5", "ma_20", "ma_60", "rsi_14"):
+    SQL_RECENT = SQL_RECENT.replace(f"round({_c}, 4)", f"round({_c}, 2)")
+
+
+@register("trend_report_recent", SQL_RECENT + "\nSELECT * FROM report")
+def q_trend_report_recent(spark, sf):
+    """PIP-03 as scheduled: landing table read from storage (SRC-01), 200-day
+    lookback with partition pruning (FLT-03), symbol list (FLT-02), default rounding."""
+    land = landing.read_landing(spark, _landing_table(spark, sf, "candles"), landing.CANDLE_ENDPOINT)
+    out = marts.build_trend_report(landing.candles_from_landing(land), RECENT_SYMBOLS, RECENT_DAYS, AS_OF)
+    return out.drop("created_at")
+
+
+@register("candles_from_candle_landing", f"""
+WITH {SQL_CANDLES}
+SELECT symbol, strftime(date, '%Y-%m-%d') AS date, open, high, low, close, volume FROM candles""")
+def q_candles_from_candle_landing(spark, sf):
+    """SRC-02: the candle landing as collected (market, payload, candle time; no
+    ingest time), written by market and read back typed, re-polled days dropped."""
+    path = scratch_path(spark, "candle-landing")
+    one = derived.candle_landing(_candles(spark, sf)).select(
+        F.get_json_object("payload", "$.market").alias("market"), "payload",
+        F.to_timestamp(F.get_json_object("payload", "$.candle_date_time_utc")).alias("candle_date_time_utc"))
+    for _ in range(2):                                      # the same poll twice
+        append_landing(one, path, partition_by=("market",))
+    typed = landing.read_candle_landing(spark, path)
+    out = dedupe_latest(typed, ["symbol", "date"], ["open", "high", "low", "close", "volume"])
+    return shape(out.select("symbol", "date", "open", "high", "low", "close", "volume"))
+
+
+@register("feature_mart_repolled", SQL_FEATURES)
+def q_feature_mart_repolled(spark, sf):
+    """DED-01 before JON-01: older polls of candles and of the daily index, with
+    other values, change nothing."""
+    def polls(df, column):
+        old = df.withColumn(column, F.col(column) * 2).withColumn("ingested_at", F.lit("2024-01-01").cast("timestamp"))
+        return old.withColumn(column, F.col(column).cast(dict(df.dtypes)[column])).unionByName(
+            df.withColumn("ingested_at", F.lit("2024-01-02").cast("timestamp")))
+    fm = marts.build_feature_mart(polls(_candles(spark, sf), "close"), polls(derived.sentiment(table(spark, sf, "lineitem")), "fng_value"))
+    return shape(fm.drop("updated_at"), {"rsi_14": 6, "macd": 4, "macd_signal": 4, "bb_upper": 2,
+                                         "bb_lower": 2, "ma_7": 4, "ma_30": 4})
+
+
+@register("ewm_with_gaps", f"""
+WITH RECURSIVE {SQL_CANDLES},
+j AS (SELECT symbol, date, CASE WHEN day(date) % 7 <> 0 THEN close END AS x,
+             row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS rn FROM candles),
+e AS (SELECT symbol, rn, x AS y, 1.0::DOUBLE AS o FROM j WHERE rn = 0
+      UNION ALL
+      SELECT j.symbol, j.rn,
+             CASE WHEN j.x IS NULL THEN e.y WHEN e.y IS NULL THEN j.x ELSE (e.o * 0.5 * e.y + 0.5 * j.x) / (e.o * 0.5 + 0.5) END,
+             CASE WHEN j.x IS NULL AND e.y IS NOT NULL THEN e.o * 0.5 ELSE 1.0 END
+      FROM e JOIN j ON j.symbol = e.symbol AND j.rn = e.rn + 1)
+SELECT j.symbol, strftime(j.date, '%Y-%m-%d') AS date, round(e.y, 4) AS ema_3 FROM j JOIN e ON j.symbol = e.symbol AND j.rn = e.rn""")
+def q_ewm_with_gaps(spark, sf):
+    """WIN-08 on NULLs: a gap keeps the mean and ages the older weights."""
+    c = _candles(spark, sf).withColumn("x", F.when(F.dayofmonth("date") % 7 != 0, F.col("close")))
+    out = ewm_mean(c, "symbol", "date", {"ema_3": ("x", 3)})
+    return shape(out.select("symbol", "date", "ema_3"), {"ema_3": 4})
+
+
+@register("ma_cross_alerts", f"""
+WITH candles AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS symbol, CAST(o_orderdate AS DATE) AS date, arg_max(o_totalprice, o_orderkey) AS close
+  FROM orders GROUP BY 1, 2),
+m AS (SELECT symbol, date, {_roll('avg', 'close', 2)} AS ma_short, {_roll('avg', 'close', 4)} AS ma_long,
+             row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS back FROM candles),
+l AS (SELECT *, lag(ma_short) OVER (PARTITION BY symbol ORDER BY date) AS ps,
+                lag(ma_long) OVER (PARTITION BY symbol ORDER BY date) AS pl FROM m),
+k AS (SELECT *, CASE WHEN ps <= pl AND ma_short > ma_long THEN 'golden'
+                     WHEN ps >= pl AND ma_short < ma_long THEN 'dead' END AS kind FROM l WHERE back = 1)
+SELECT symbol, kind, strftime(date, '%Y-%m-%d') AS event_time, round(ma_short, 4) AS ma_short, round(ma_long, 4) AS ma_long,
+       symbol || ' ' || kind || ' cross: MA2 ' || format('{{:,}}', CAST(round_even(ma_short, 0) AS BIGINT)) || ', MA4 '
+       || format('{{:,}}', CAST(round_even(ma_long, 0) AS BIGINT)) || ' at ' || strftime(date, '%Y-%m-%d') AS message
+FROM k WHERE kind IS NOT NULL""")
+def q_ma_cross_alerts(spark, sf):
+    """PIP-05: alert and its text (SCL-08) at the newest day of every customer's series."""
+    c = derived.candles(table(spark, sf, "orders"), symbol="o_custkey")
+    return shape(marts.detect_ma_cross(c, "symbol", "date", "close", 2, 4), {"ma_short": 4, "ma_long": 4})
+
+
+@register("market_stats_mart", f"""
+WITH {SQL_STATS}
+SELECT symbol, CAST(acc_trade_price_24h AS VARCHAR) AS acc_trade_price_24h,
+       CAST(acc_trade_volume_24h AS VARCHAR) AS acc_trade_volume_24h, source, ts_event FROM stats""")
+def q_market_stats_mart(spark, sf):
+    """SNK-02/03, SRC-04: the refresh job writes the typed mart twice (old version
+    replaced), and the current version is read back."""
+    land, mart = scratch_path(spark, "ticker-landing"), scratch_path(spark, "stats-mart")
+    append_landing(derived.ticker_landing(table(spark, sf, "events")), land)
+    for version in ("one", "two"):
+        jobs.refresh_market_stats(spark, land, mart, version)
+    return _as_text(shape(read_mart(spark, mart).drop("created_at")), {"acc_trade_price_24h", "acc_trade_volume_24h"})
+
+
+@register("ingest_markets", """
+SELECT CASE WHEN event_id % 3 = 0 THEN 'BTC-' ELSE 'KRW-' END || event_type AS market, count(*) AS items
+FROM events WHERE event_id % 3 <> 0 GROUP BY 1""")
+def q_ingest_markets(spark, sf):
+    """PIP-08: dumped responses through ``ingest`` (array elements, KRW markets
+    only, append), read back from the landing table."""
+    root = scratch_path(spark, "dumps")
+    item = F.struct(F.concat(F.when(F.col("event_id") % 3 == 0, "BTC-").otherwise("KRW-"), "event_type").alias("market"), F.col("value").alias("trade_price"))
+    table(spark, sf, "events").groupBy("user_id").agg(F.to_json(F.collect_list(item)).alias("value")).select("value").write.text(root + "/in")
+    ingest(spark, {landing.TICKER_ENDPOINT: root + "/in"}, root + "/landing", wholetext=False)
+    land = landing.read_landing(spark, root + "/landing", landing.TICKER_ENDPOINT)
+    return json_fields(land, "payload", {"market": ("$.market", "string")}).groupBy("market").agg(F.count(F.lit(1)).alias("items"))
+
+
+@register("head_and_tail", """
+SELECT * FROM (SELECT 'head' AS side, o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 7)
+UNION ALL SELECT * FROM (SELECT 'tail', o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 7)""")
+def q_head_and_tail(spark, sf):
+    """ORD-06: first and last 7 rows of the whole order."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    side = lambda name, df: df.select(F.lit(name).alias("side"), "*")
+    return side("head", head(o, 7, "o_totalprice", "o_orderkey")).unionByName(side("tail", tail(o, 7, "o_totalprice", "o_orderkey")))
+
+
+@register("page_after", """
+SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 1 OFFSET 199)
+ORDER BY o_orderkey LIMIT 100""")
+def q_page_after(spark, sf):
+    """ORD-05 by key: the page after the 200th key, however deep."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    last = order_by(o, "o_orderkey").limit(200).agg(F.max("o_orderkey").alias("k")).first()["k"]
+    return after(o, "o_orderkey", last, 100)
+
+
+@register("text_forms", """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS iso, format('{:,}', CAST(floor(value * 1000) AS BIGINT)) AS amount FROM events""")
+def q_text_forms(spark, sf):
+    """SCL-08/09: thousands separators and ISO-8601 text."""
+    return table(spark, sf, "events").select("event_id", iso_text("ts").alias("iso"), thousands(F.floor(F.col("value") * 1000)).alias("amount"))
+
+
+@register("explore_one_symbol", _corr_sql().replace("FROM feats WHERE", "FROM feats WHERE symbol = 'view' AND"))
+def q_explore_one_symbol(spark, sf):
+    """PIP-06 as one pipeline: one symbol's features to its correlation matrix."""
+    return shape(marts.explore_symbol(_ticks(spark, sf), "view")["correlation"], {"r": 6})

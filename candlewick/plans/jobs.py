@@ -14,12 +14,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.operators.ewm import release_cached
 from candlewick.plans import marts
 from candlewick.sources.landing import (CANDLE_ENDPOINT, TICKER_ENDPOINT, candles_from_landing, read_landing,
                                         read_sentiment_landing)
-from candlewick.sources.sinks import overwrite_mart
+from candlewick.sources.sinks import conform, overwrite_mart
+from candlewick.streaming.hot_path import refresh_on_landing
 
+# The marts' columns and types.
+STATS_MART = ("symbol string, acc_trade_price_24h decimal(30,8), acc_trade_volume_24h decimal(30,8), source string, "
+              "ts_event timestamp, created_at timestamp")
+TREND_MART = ("symbol string, close_price decimal(20,4), ma_5 decimal(20,4), ma_20 decimal(20,4), ma_60 decimal(20,4), "
+              "rsi_14 decimal(10,2), is_golden_cross boolean, trend_score int, created_at timestamp")
+BASELINE_MART = "symbol string, avg_volume_30d decimal(30,8), atr_14d decimal(30,8), updated_at timestamp"
+FEATURE_MART = ("symbol string, date date, open double, high double, low double, close double, volume double, fng_value int, "
+                "fng_class string, rsi_14 double, macd double, macd_signal double, bb_upper double, bb_lower double, ma_7 double, "
+                "ma_30 double, updated_at timestamp")
 
 
 def _candles(spark: SparkSession, landing_path: str) -> DataFrame:
@@ -29,21 +38,21 @@ def _candles(spark: SparkSession, landing_path: str) -> DataFrame:
 
 def refresh_market_stats(spark: SparkSession, landing_path: str, mart_path: str, version=None):
     """PIP-01 daily job: newest ticker per market -> ``market_stats_24h``."""
-    return overwrite_mart(marts.build_market_stats_24h(read_landing(spark, landing_path, TICKER_ENDPOINT)),
+    return overwrite_mart(conform(marts.build_market_stats_24h(read_landing(spark, landing_path, TICKER_ENDPOINT)), STATS_MART),
                           mart_path, version)
 
 
 def refresh_trend_report(spark: SparkSession, landing_path: str, mart_path: str,
                          symbols: Sequence[str] | None = None, days: int | None = 200, as_of=None, version=None):
     """PIP-03 job: 200-day lookback on ingest time, then the trend report."""
-    return overwrite_mart(marts.build_trend_report(_candles(spark, landing_path), symbols, days, as_of),
+    return overwrite_mart(conform(marts.build_trend_report(_candles(spark, landing_path), symbols, days, as_of), TREND_MART),
                           mart_path, version)
 
 
 def refresh_anomaly_baseline(spark: SparkSession, landing_path: str, mart_path: str,
                              symbols: Sequence[str] | None = None, days: int | None = 60, as_of=None, version=None):
     """PIP-04 job: 60-day lookback, 30-day volume mean and 14-day ATR."""
-    return overwrite_mart(marts.build_anomaly_baseline(_candles(spark, landing_path), symbols, days, as_of),
+    return overwrite_mart(conform(marts.build_anomaly_baseline(_candles(spark, landing_path), symbols, days, as_of), BASELINE_MART),
                           mart_path, version)
 
 
@@ -52,7 +61,11 @@ def refresh_feature_mart(spark: SparkSession, candle_landing_path: str, sentimen
     """PIP-02 job: candles x sentiment -> feature mart."""
     fm = marts.build_feature_mart(_candles(spark, candle_landing_path),
                                   read_sentiment_landing(spark, sentiment_landing_path), symbols)
-    try:
-        return overwrite_mart(fm, mart_path, version)
-    finally:
-        release_cached()
+    return overwrite_mart(conform(fm, FEATURE_MART), mart_path, version)
+
+
+def stats_on_landing(spark: SparkSession, landing_path: str, schema: str, mart_path: str, checkpoint: str):
+    """STR-07 wired up: whenever files have landed, refresh the market stats
+    once, with the batch id as version (a replayed batch rewrites it)."""
+    return refresh_on_landing(spark, landing_path, schema,
+                              lambda batch, batch_id: refresh_market_stats(spark, landing_path, mart_path, f"batch-{batch_id}"), checkpoint)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -16,7 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "20000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -40,61 +42,25 @@ def get_spark(master: str | None = None, app: str = "candlewick",
     return spark
 
 
-_LOCAL_ROOTS: dict[int, str] = {}
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this is set to shared storage (as a conf or with
-    ``setCheckpointDir``) and is read from the session. Only when it is
-    unset (local tests) is a folder created once per session and registered.
+    It is read from the session (as a conf or from ``setCheckpointDir``). A
+    folder of its own is made only where none is named and everything runs in
+    one process (``local`` masters, as in tests); on a cluster a missing
+    setting is an error, as a machine's own folder is not shared.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        try:
-            opt = spark.sparkContext._jsc.sc().getCheckpointDir()
-            d = opt.get() if opt.isDefined() else None
-        except Exception:  # noqa: BLE001 - no JVM context (remote session)
-            d = None
-    if not d:
-        d = _LOCAL_ROOTS.setdefault(id(spark), tempfile.mkdtemp(prefix="candlewick-ckpt-"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - some builds reject runtime core confs
-            pass
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # pragma: no cover - Connect sessions have no context
-        pass
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="candlewick-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint root."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a batch frame over the cluster when its input has fewer
-    splits than cores (e.g. one small Parquet row group), so CPU-heavy
-    row-wise work (JSON parse, validation) runs in parallel. A frame that is
-    already split at least that finely, or a streaming frame, is returned
-    unchanged, so on large inputs this adds no shuffle."""
-    if df.isStreaming:
-        return df
-    have = num_partitions(df)
-    if have is None:
-        return df
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if have < n else df
-
-
-def num_partitions(df) -> int | None:
-    """Partitions of a batch frame's plan (no job runs), or None where the
-    session exposes no RDD view (e.g. a remote Connect session)."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        return None

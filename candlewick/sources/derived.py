@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.session import spread
 from candlewick.sources.landing import CANDLE_ENDPOINT, TICKER_ENDPOINT
 
 # The sentiment index bands (upper bound inclusive) and names.
@@ -81,8 +80,7 @@ def ticker_landing(events: DataFrame) -> DataFrame:
         F.col("value").alias("acc_trade_price_24h"),
         F.get_json_object("props", "$.k").cast("double").alias("acc_trade_volume_24h"),
         epoch_millis("ts").alias("timestamp")))
-    # JSON building is per-row CPU work: spread a few-split input over the cores
-    return spread(events).select(payload.alias("payload"), F.lit(TICKER_ENDPOINT).alias("endpoint"),
+    return events.select(payload.alias("payload"), F.lit(TICKER_ENDPOINT).alias("endpoint"),
                                  F.col("ts").cast("timestamp").alias("ingested_at"))
 
 

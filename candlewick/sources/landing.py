@@ -41,13 +41,16 @@ def read_landing(spark: SparkSession, path: str, endpoint: str | None = None) ->
 
 def candles_from_landing(landing: DataFrame, symbol: str | None = None) -> DataFrame:
     """Typed OHLCV from candle payloads (SRC-02 projection), keeping
-    ``ingested_at`` for dedupe."""
-    out = json_fields(landing.select("payload", "ingested_at"), "payload", CANDLE_FIELDS).drop("payload")
+    ``ingested_at`` (and the partition day) for dedupe and lookback, where the
+    landing has them."""
+    keep = [c for c in ("ingested_at", "ingest_date") if c in landing.columns]
+    out = json_fields(landing.select("payload", *keep), "payload", CANDLE_FIELDS).drop("payload")
     return out.where(F.col("symbol") == symbol) if symbol else out
 
 
 def read_candle_landing(spark: SparkSession, path: str, market: str | None = None) -> DataFrame:
-    """Daily candles landing (``market``-partitioned) to typed OHLCV."""
+    """Daily candles landing (``market, payload, candle_date_time_utc``, with
+    or without an ingest time) to typed OHLCV."""
     df = spark.read.parquet(path)
     if market:
         df = df.where(F.col("market") == market)
@@ -55,22 +58,19 @@ def read_candle_landing(spark: SparkSession, path: str, market: str | None = Non
 
 
 def sentiment_from_landing(df: DataFrame) -> DataFrame:
-    """Sentiment landing to ``date, fng_value INT, fng_class`` (SRC-03)."""
+    """Sentiment landing to ``date, fng_value INT, fng_class`` (SRC-03), plus
+    ``ingested_at`` where the landing has it."""
     out = json_fields(df, "payload", {"fng_value": ("$.value", "int"),
                                       "_cls": ("$.value_classification", "string")})
     return out.select(F.to_date("timestamp").alias("date"), "fng_value",
-                      F.coalesce("value_classification", "_cls").alias("fng_class"))
+                      F.coalesce("value_classification", "_cls").alias("fng_class"),
+                      *[c for c in ("ingested_at",) if c in df.columns])
 
 
 def read_sentiment_landing(spark: SparkSession, path: str) -> DataFrame:
     return sentiment_from_landing(spark.read.parquet(path))
 
 
-def read_mart(spark: SparkSession, path: str, order: str = "ts_event") -> DataFrame:
-    """Full mart read, newest first (SRC-04)."""
-    return spark.read.parquet(path).orderBy(F.col(order).desc())
-
-
 def land_batch(responses: DataFrame, endpoint: str, text_col: str = "value",
                items_path: str = "$", ingested_at=None) -> DataFrame:
     """API response documents to one landing row per array element (SRC-06).

@@ -1,22 +1,26 @@
-"""Sinks (SNK-01..03).
+"""Sinks (SNK-01..03) and the mart read (SRC-04).
 
 Marts are overwritten without the empty-table gap of TRUNCATE + INSERT: each
-write goes to a new version directory and a small ``_CURRENT`` pointer file
-is replaced afterwards, so readers see either the old or the new version.
-Writing a given version id twice rewrites the same directory, which makes a
-replayed streaming batch idempotent.
+write goes to a new version directory, and only then a new numbered pointer
+file names it. Pointers are added, never replaced, so a reader always finds one
+and sees either the old or the new version. Writing a given version id twice
+rewrites the same directory, which makes a replayed batch idempotent.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-POINTER = "_CURRENT"
+POINTERS = "_pointers"
+
+#: Versions that stay readable after a newer one was written.
+KEEP_VERSIONS = 3
 
 
 def append_landing(df: DataFrame, path: str, partition_by=("endpoint", "ingest_date")) -> None:
@@ -33,44 +37,53 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p, jvm = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    fs.delete(p, False)
-    fs.rename(tmp, p)
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p, jvm = _fs(spark, path)
+def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, version) of each pointer, oldest first: names of a short folder."""
+    fs, p, _ = _fs(spark, os.path.join(path, POINTERS))
     if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    line = reader.readLine()
-    reader.close()
-    return line
+        return []
+    found = (re.fullmatch(r"(\d+)~(.+)", st.getPath().getName()) for st in fs.listStatus(p))
+    return sorted((int(m[1]), m[2]) for m in found if m)
+
+
+def _point(spark: SparkSession, path: str, version: str, keep: int) -> None:
+    """Add the next pointer (creating an empty file is atomic), then drop
+    pointers and versions beyond the ``keep`` newest."""
+    old = _pointers(spark, path)
+    number = old[-1][0] + 1 if old else 0
+    fs, p, jvm = _fs(spark, os.path.join(path, POINTERS, f"{number:012d}~{version}"))
+    fs.create(p, False).close()
+    known = old + [(number, version)]
+    live = {v for _, v in known[-keep:]}
+    for n, v in known[:-keep]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(os.path.join(path, POINTERS, f"{n:012d}~{v}")), False)
+        if v not in live:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(os.path.join(path, f"v={v}")), True)
 
 
 def overwrite_mart(df: DataFrame, path: str, version: str | int | None = None,
-                   require_rows: bool = True) -> str | None:
-    """Write a new version of the mart and switch the pointer (SNK-02).
+                   require_rows: bool = True, keep: int = KEEP_VERSIONS) -> str | None:
+    """Write a new version of the mart and point to it (SNK-02). The plan runs once.
 
-    With ``require_rows`` an empty input writes nothing and keeps the old
-    version (FLT-09). Returns the version written, or None.
+    With ``require_rows`` a version without rows is not pointed to, so the old
+    one stays (FLT-09). Returns the version written, or None.
     """
-    if require_rows and df.isEmpty():
-        return None
+    spark = df.sparkSession
     v = str(version if version is not None else time.strftime("%Y%m%dT%H%M%S") + f"-{time.time_ns() % 1_000_000:06d}")
-    df.write.mode("overwrite").parquet(os.path.join(path, f"v={v}"))
-    _write_text(df.sparkSession, os.path.join(path, POINTER), v)
+    out = os.path.join(path, f"v={v}")
+    df.write.mode("overwrite").parquet(out)
+    if require_rows and spark.read.schema(df.schema).parquet(out).isEmpty():
+        if v not in {x for _, x in _pointers(spark, path)}:
+            fs, p, _ = _fs(spark, out)
+            fs.delete(p, True)
+        return None
+    _point(spark, path, v, keep)
     return v
 
 
 def current_version(spark: SparkSession, path: str) -> str | None:
-    return _read_text(spark, os.path.join(path, POINTER))
+    found = _pointers(spark, path)
+    return found[-1][1] if found else None
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
@@ -80,6 +93,11 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(os.path.join(path, f"v={v}"))
 
 
+def read_mart(spark: SparkSession, path: str, order: str = "ts_event") -> DataFrame:
+    """Full read of the mart's current version, newest first (SRC-04)."""
+    return read_current(spark, path).orderBy(F.col(order).desc())
+
+
 def ensure_table(spark: SparkSession, name: str, schema: StructType | str, path: str | None = None) -> None:
     """CREATE TABLE IF NOT EXISTS with typed columns (SNK-03)."""
     ddl = schema if isinstance(schema, str) else ", ".join(
@@ -88,6 +106,7 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType | str, path:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{loc}")
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
+def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
     """Cast and order columns to a mart schema before writing."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])

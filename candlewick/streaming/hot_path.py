@@ -37,8 +37,13 @@ KEEP = ("topic", "partition", "offset")
 # Topic per message type.
 TOPICS = {"trade": "upbit-trades", "ticker": "upbit-tickers", "orderbook": "upbit-orderbooks"}
 
-TRADE_SCHEMA = "symbol string, ts timestamp, offset bigint, price double, volume double, side string"
-SNAPSHOT_SCHEMA = "symbol string, ts timestamp, offset bigint, price double, data string, last_updated timestamp"
+TRADE_SCHEMA = "symbol string, ts timestamp, topic string, partition int, offset bigint, price double, volume double, side string"
+TICKER_SCHEMA = "symbol string, ts timestamp, topic string, partition int, offset bigint, price double, data string, last_updated timestamp"
+ORDERBOOK_SCHEMA = ("symbol string, ts timestamp, topic string, partition int, offset bigint, total_ask_size double, total_bid_size double, "
+                    "data string, last_updated timestamp")
+SNAPSHOT_VALUES = {"ticker": {"price": "trade_price"}, "orderbook": {"total_ask_size": "total_ask_size", "total_bid_size": "total_bid_size"}}
+# Event time decides; equal times are ordered by where the message stands in the source.
+NEWEST = ["ts", *KEEP]
 ALERT_SCHEMA = "symbol string, kind string, event_time timestamp, ma_short double, ma_long double, message string"
 REJECT_SCHEMA = "topic string, partition int, offset bigint, type string, reason string, raw string"
 
@@ -89,12 +94,16 @@ class HotPath:
     long: int = 20
     buckets: int = 16
 
+    def __post_init__(self):
+        if self.cap < self.long + 1:
+            raise ValueError(f"cap {self.cap} keeps fewer trades than the {self.long + 1} that a cross needs")
+
     def stores(self, spark: SparkSession) -> dict:
         j = lambda n: os.path.join(self.root, n)
         return {
             "trades": KeyedStore(spark, j("trades"), "symbol", TRADE_SCHEMA, self.buckets),
-            "snapshot_ticker": KeyedStore(spark, j("snapshot_ticker"), "symbol", SNAPSHOT_SCHEMA, self.buckets),
-            "snapshot_orderbook": KeyedStore(spark, j("snapshot_orderbook"), "symbol", SNAPSHOT_SCHEMA,
+            "snapshot_ticker": KeyedStore(spark, j("snapshot_ticker"), "symbol", TICKER_SCHEMA, self.buckets),
+            "snapshot_orderbook": KeyedStore(spark, j("snapshot_orderbook"), "symbol", ORDERBOOK_SCHEMA,
                                              self.buckets),
             "alerts": AppendLog(spark, j("alerts"), ALERT_SCHEMA, key="symbol", buckets=self.buckets),
             "rejected": AppendLog(spark, j("rejected"), REJECT_SCHEMA),
@@ -108,7 +117,7 @@ class HotPath:
             ok = F.size("errors") == 0
             now = F.current_timestamp()
             trades = checked.where((F.col("_type") == "trade") & ok).select(
-                F.col("trade.symbol").alias("symbol"), F.col("trade.timestamp").alias("ts"), "offset",
+                F.col("trade.symbol").alias("symbol"), F.col("trade.timestamp").alias("ts"), *KEEP,
                 F.col("trade.trade_price").alias("price"), F.col("trade.trade_volume").alias("volume"),
                 F.col("trade.side").alias("side"))
             # buckets touched per store, for all stores in one small job
@@ -120,15 +129,15 @@ class HotPath:
                             .distinct().collect():                # <= 3 * buckets rows
                 hit.setdefault(r["_type"], set()).add(r["b"])
             st["trades"].merge(trades, batch_id,
-                               lambda d: newest_n_per_key(d, "symbol", ["ts", "offset"], self.cap),
+                               lambda d: newest_n_per_key(d.dropDuplicates(["symbol", *KEEP]), "symbol", NEWEST, self.cap),
                                touched=hit.get("trade", set()))
-            for kind, price in (("ticker", "trade_price"), ("orderbook", "total_bid_size")):
+            for kind, values in SNAPSHOT_VALUES.items():
                 snap = checked.where((F.col("_type") == kind) & ok).select(
-                    F.col(f"{kind}.symbol").alias("symbol"), F.col(f"{kind}.timestamp").alias("ts"), "offset",
-                    F.col(f"{kind}.{price}").alias("price"), F.to_json(kind).alias("data"),
+                    F.col(f"{kind}.symbol").alias("symbol"), F.col(f"{kind}.timestamp").alias("ts"), *KEEP,
+                    *[F.col(f"{kind}.{v}").alias(c) for c, v in values.items()], F.to_json(kind).alias("data"),
                     now.alias("last_updated"))
                 st[f"snapshot_{kind}"].merge(snap, batch_id,
-                                             lambda d: latest_per_key(d, "symbol", ["ts", "offset"]),
+                                             lambda d: latest_per_key(d, "symbol", NEWEST),
                                              touched=hit.get(kind, set()))
             rej = checked.where(F.size("errors") > 0).select(
                 *KEEP, F.when(~F.col("errors")[0].startswith("malformed"), F.col("_type")).alias("type"),
@@ -139,8 +148,8 @@ class HotPath:
                 return
             touched = trades.select("symbol").distinct()
             series = st["trades"].read(only=hit["trade"]).join(touched, "symbol", "left_semi")
-            fresh = detect_ma_cross(series, "symbol", "ts", "price", self.short, self.long, mode="key",
-                                    tiebreak="offset")
+            fresh = detect_ma_cross(series, "symbol", "ts", "price", self.short, self.long,
+                                    tiebreak=list(KEEP))
             seen = st["alerts"].read(before=batch_id, only=hit["trade"]).select("symbol", "kind", "event_time")
             st["alerts"].write(fresh.join(seen, ["symbol", "kind", "event_time"], "left_anti"), batch_id)
         finally:
@@ -148,10 +157,11 @@ class HotPath:
 
 
 def start_hot_path(raw: DataFrame, root: str, checkpoint: str, cap: int = 10000, trigger: dict | None = None,
-                   short: int = 5, long: int = 20):
+                   short: int = 5, long: int = 20, buckets: int = 16):
     """STR-02: one subscription feeding every store through one
-    ``foreachBatch``; returns the running query."""
-    w = raw.writeStream.foreachBatch(HotPath(root, cap, short, long)).option("checkpointLocation", checkpoint)
+    ``foreachBatch``; returns the running query. With many symbols choose more
+    ``buckets``: a batch rewrites the buckets that its symbols fall in."""
+    w = raw.writeStream.foreachBatch(HotPath(root, cap, short, long, buckets)).option("checkpointLocation", checkpoint)
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
@@ -166,7 +176,18 @@ def refresh_on_landing(spark: SparkSession, landing_path: str, schema: str, refr
     return q
 
 
-def realtime_price(snapshot: DataFrame, symbol: str) -> DataFrame:
-    """PRJ-12: ``symbol, price, timestamp`` of the latest ticker; an empty
-    frame means not found."""
-    return snapshot.where(F.col("symbol") == symbol).select("symbol", "price", F.col("ts").alias("timestamp"))
+def route_stream(raw: DataFrame, checkpoint: str, sink: str = "kafka", trigger: dict | None = None, **options):
+    """SNK-04 as a running query: valid messages to the topic of their type
+    (``kafka.bootstrap.servers`` etc. as options; any sink with the columns
+    topic, key, value will do)."""
+    w = route_by_type(parse_stream(raw)).writeStream.format(sink).options(**options).option("checkpointLocation", checkpoint)
+    return (w.trigger(**trigger) if trigger else w).start()
+
+
+def periodic_cross_check(spark: SparkSession, root: str, seconds: int = 600, short: int = 5, long: int = 20, cap: int = 10000, buckets: int = 16) -> DataFrame:
+    """STR-05: crosses at the newest trade of every stored series, one row per
+    symbol with its message; ``seconds`` is the age of the newest trade from
+    which a series counts as stale and is left out (0: none). Run it on a schedule."""
+    trades = HotPath(root, cap, short, long, buckets).stores(spark)["trades"].read()
+    alerts = detect_ma_cross(trades, "symbol", "ts", "price", short, long, tiebreak=list(KEEP))
+    return alerts.where(F.col("event_time") >= F.current_timestamp() - F.make_interval(secs=F.lit(seconds))) if seconds else alerts

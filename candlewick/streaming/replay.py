@@ -1,11 +1,9 @@
-"""Replay the driver ``events`` as a message stream through the hot path.
-
-The messages built from ``events`` (see :mod:`candlewick.plans.messages`)
-get the Kafka column layout (offset = event id) and are written into a
-watched folder in arrival order, ``days_per_batch`` days at a time; after
-each complete delivery the query restarts from its checkpoint with
-``availableNow`` and processes it as one micro-batch (STR-06 restart). Every event is delivered. Folders are created under the shared
-checkpoint root the session names.
+"""The driver ``events`` as a message stream through the hot path.
+
+``events`` is read by a file-source stream (``availableNow``); its rows become
+messages with the Kafka column layout (offset = event id) inside the streaming
+plan and feed :class:`candlewick.streaming.hot_path.HotPath`. Stores and
+checkpoint lie under the shared checkpoint root that the session names.
 """
 
 from __future__ import annotations
@@ -18,46 +16,35 @@ from pyspark.sql import functions as F
 from candlewick.plans.messages import messages_from_events
 from candlewick.session import scratch_path
 from candlewick.sources.tables import table
-from candlewick.streaming.hot_path import TOPICS, HotPath, read_message_files
+from candlewick.streaming.hot_path import TOPICS, HotPath, start_hot_path
 
 _DONE: dict[tuple, str] = {}
 
 
-def kafka_records(events: DataFrame, days_per_batch: int = 3) -> DataFrame:
-    """key, value, topic, partition, offset, timestamp + delivery block."""
+def kafka_records(events: DataFrame) -> DataFrame:
+    """key, value, topic, partition, offset, timestamp."""
     m = messages_from_events(events)
     topic = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in TOPICS.items() for x in kv]),
                                     F.col("mtype")), F.concat(F.lit("upbit-"), F.col("mtype")))
     return m.select(F.concat(F.lit("KRW-U"), F.col("user_id").cast("string")).alias("key"), "value",
                     topic.alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
-                    F.col("ts").cast("timestamp").alias("timestamp"),
-                    F.floor((F.dayofyear("ts") - 1) / F.lit(days_per_batch)).cast("int").alias("block"))
-
-
-def replay(spark: SparkSession, sf_dir: str, cap: int = 25, days_per_batch: int = 3) -> str:
-    """Run the hot path over all events; returns the stores root (memoized
-    per session, table folder and parameters)."""
-    k = (id(spark), sf_dir, cap, days_per_batch)
-    if k in _DONE:
-        return _DONE[k]
-    base = scratch_path(spark, "hotpath")
-    src, stores, ckpt = (os.path.join(base, n) for n in ("source", "stores", "checkpoint"))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(src)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
-    recs = kafka_records(table(spark, sf_dir, "events"), days_per_batch)
-    blocks = [r["block"] for r in recs.select("block").distinct().orderBy("block").collect()]  # one per days
-    for b in blocks:
-        # deliver a block completely, then restart the query from its
-        # checkpoint to process what has arrived (one micro-batch per block,
-        # never a half-committed delivery)
-        recs.where(F.col("block") == b).drop("block").write.mode("append").json(src)
-        q = read_message_files(spark, src).writeStream.foreachBatch(HotPath(stores, cap)) \
-            .option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-        q.awaitTermination()
-    _DONE[k] = stores
-    return stores
-
-
-def stores(spark: SparkSession, root: str, cap: int = 25) -> dict:
+                    F.col("ts").cast("timestamp").alias("timestamp"))
+
+
+def run_hot_path(spark: SparkSession, sf_dir: str, cap: int = 10000) -> str:
+    """Stream all events through the hot path; returns the stores root (one
+    run per application, table folder and cap)."""
+    k = (spark.sparkContext.applicationId, sf_dir, cap)
+    if k not in _DONE:
+        base = scratch_path(spark, "hotpath")
+        schema = table(spark, sf_dir, "events").schema
+        # as a pattern the path may name one file or a folder of part files
+        events = spark.readStream.schema(schema).parquet(os.path.join(sf_dir, "events.parque[t]"))
+        root = os.path.join(base, "stores")
+        start_hot_path(kafka_records(events), root, os.path.join(base, "checkpoint"), cap, {"availableNow": True}).awaitTermination()
+        _DONE[k] = root
+    return _DONE[k]
+
+
+def stores(spark: SparkSession, root: str, cap: int = 10000) -> dict:
     return HotPath(root, cap).stores(spark)

@@ -16,7 +16,7 @@ def test_newest_n_matches_row_number(spark):
     w = W.partitionBy("event_type").orderBy(F.col("ts").desc(), F.col("event_id").desc())
     exp = {tuple(r) for r in ev.withColumn("r", F.row_number().over(w)).where("r <= 7")
            .select("event_type", "event_id", "r").collect()}
-    got = {tuple(r) for r in newest_n_per_key(ev, "event_type", ["ts", "event_id"], 7, fan_in=2, rank_name="r")
+    got = {tuple(r) for r in newest_n_per_key(ev, "event_type", ["ts", "event_id"], 7, rank_name="r")
            .select("event_type", "event_id", "r").collect()}
     assert got == exp
 
@@ -54,3 +54,13 @@ def test_bucketed_numbering_equals_plain(spark):
     a = number_rows(ev, ["event_type"], ["ts", "event_id"]).select("event_id", "_rn")
     b = number_rows(ev, ["event_type"], ["ts", "event_id"], F.date_trunc("day", "ts")).select("event_id", "_rn")
     assert {tuple(r) for r in a.collect()} == {tuple(r) for r in b.collect()}
+
+
+def test_newest_n_on_nan_and_null_and_its_plan(spark):
+    """NaN is newest, NULL oldest, as in a plain ranked window; groups are limited on both sides of the exchange."""
+    rows = [("a", x) for x in (1.0, float("nan"), None, 3.0, 2.0)] + [(None, 1.0), (None, None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = newest_n_per_key(df, "k", "v", 2).collect()
+    assert sorted(repr(tuple(r)) for r in got) == sorted(["('a', nan)", "('a', 3.0)", "(None, 1.0)", "(None, None)"])
+    plan = newest_n_per_key(table(spark, SF, "events"), "event_type", ["ts", "event_id"], 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Python" not in plan and "Arrow" not in plan

@@ -9,7 +9,7 @@ from candlewick.functions.scalar import audit_columns, fill, keep_where, null_if
 from candlewick.functions.timestamps import iso_text, to_day
 from candlewick.operators.contract import parse_messages, rename_canonical
 from candlewick.operators.profile import row_count
-from candlewick.sources.landing import read_mart
+from candlewick.sources.sinks import overwrite_mart, read_mart
 
 
 def test_scalars(spark):
@@ -33,7 +33,18 @@ def test_payload_audit_rename_and_mart(spark, tmp_dir):
     msgs = spark.createDataFrame([(json.dumps({"type": "trade", "code": "KRW-BTC", "ask_bid": "BID"}),)], "value string")
     r = rename_canonical(parse_messages(msgs), "trade").first()
     assert r["symbol"] == "KRW-BTC" and r["side"] == "BID"
-    spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2))], "id int, ts_event timestamp") \
-         .write.parquet(tmp_dir + "/mart")
+    mart = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2))], "id int, ts_event timestamp")
+    for _ in range(2):                                    # only the current version is read
+        overwrite_mart(mart, tmp_dir + "/mart")
     assert [r["id"] for r in read_mart(spark, tmp_dir + "/mart").collect()] == [2, 1]
     assert row_count(df).first()["rows"] == 1
+
+
+def test_timestamps_out_of_range_are_null(spark):
+    """Digits that fit a long but not a timestamp must not end the job."""
+    from candlewick.functions.timestamps import epoch_ms_to_ts_seconds, smart_timestamp
+    df = spark.createDataFrame([("9223372036854775807",), ("253402300799999",), ("253402300800000",), ("99999999999999999999",), ("1700000000123",), (None,)], "x string")
+    got = [r["t"] for r in df.select(F.unix_millis(smart_timestamp("x")).alias("t")).collect()]
+    assert got == [None, 253402300799999, None, None, 1700000000123, None]
+    ms = spark.createDataFrame([(-1,), (1999,), (None,)], "x long")
+    assert [r["t"] for r in ms.select(F.unix_seconds(epoch_ms_to_ts_seconds("x")).alias("t")).collect()] == [-1, 1, None]

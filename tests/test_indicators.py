@@ -1,4 +1,4 @@
-"""Indicators: hand-computed goldens, pandas parity, both layouts."""
+"""Indicators: hand-computed goldens, pandas parity, one or many chunks."""
 
 import numpy as np
 import pandas as pd
@@ -31,7 +31,7 @@ def collect(df, cols):
 def test_constant_series_rsi(spark):
     df = series(spark, [("A", i, 10.0, 10.0, 10.0) for i in range(20)])
     out = collect(apply_specs(df, "symbol", "t", rsi("close", 14, "strict"),
-                              rsi("close", 14, "neutral", name="rsi_n"), mode="key"), ["rsi_14", "rsi_n"])
+                              rsi("close", 14, "neutral", name="rsi_n")), ["rsi_14", "rsi_n"])
     assert out.rsi_14.isna().all()            # flat window: undefined in strict mode
     assert (out.rsi_n == 50).all()            # neutral mode
 
@@ -39,7 +39,7 @@ def test_constant_series_rsi(spark):
 def test_all_gain_series_and_warmup(spark):
     df = series(spark, [("A", i, float(i), float(i), float(i)) for i in range(20)])
     out = collect(apply_specs(df, "symbol", "t", rsi("close", 14, "strict"),
-                              rsi("close", 14, "neutral", name="rsi_n"), mode="key"), ["rsi_14", "rsi_n"])
+                              rsi("close", 14, "neutral", name="rsi_n")), ["rsi_14", "rsi_n"])
     # the first missing diff counts as zero: first value on row 14 (index 13)
     assert out.rsi_14[:13].isna().all() and out.rsi_14[13] == 100
     assert (out.rsi_14[13:] == 100).all()
@@ -48,22 +48,21 @@ def test_all_gain_series_and_warmup(spark):
 
 def test_true_range_first_row(spark):
     df = series(spark, [("A", 0, 10.0, 12.0, 9.0), ("A", 1, 11.0, 11.5, 10.5), ("A", 2, 8.0, 9.0, 7.0)])
-    out = collect(apply_specs(df, "symbol", "t", atr("high", "low", "close", 2), mode="key"), ["tr", "atr"])
+    out = collect(apply_specs(df, "symbol", "t", atr("high", "low", "close", 2)), ["tr", "atr"])
     # row 1 = high-low; then the largest of high-low, |high-prev close|, |low-prev close|
     assert out.tr.tolist() == [3.0, 1.5, 4.0]
     assert np.isnan(out.atr[0]) and out.atr[1] == 2.25 and out.atr[2] == 2.75
 
 
-@pytest.mark.parametrize("mode", ["key", "chunked"])
-def test_pandas_parity(spark, mode):
+@pytest.mark.parametrize("chunk_rows", [None, 64])
+def test_pandas_parity(spark, chunk_rows):
     df, pdf = walk(spark)
-    layout = {"chunk_rows": 64} if mode == "chunked" else {}
     out = apply_specs(df, "symbol", "t", moving_averages("close", (5, 20, 60)), rsi("close", 14, "strict"),
                       rsi("close", 14, "neutral", name="rsi_n"), bollinger("close", 20, 2.0, mid="bb_mid"),
                       atr("high", "low", "close", 14),
                       Spec([{"std_20": rolling_std("close", 20), "d1": diff("close"),
                              "roc3": rate_of_change("close", 3), "ma7": rolling_mean("close", 7)}], 19),
-                      mode=mode, **layout)
+                      chunk_rows=chunk_rows)
     got = collect(out, ["ma_5", "ma_20", "ma_60", "rsi_14", "rsi_n", "bb_upper", "bb_lower", "bb_mid", "tr",
                         "atr", "std_20", "d1", "roc3", "ma7"])
     exp = []
@@ -95,15 +94,15 @@ def test_pandas_parity(spark, mode):
 @pytest.mark.parametrize("span", [2, 9, 12, 26, 200])
 def test_ewm_matches_pandas(spark, span):
     df, pdf = walk(spark, keys=2, n=1500, seed=span)
-    out = collect(ewm_mean(df, "symbol", "t", {"e": ("close", span)}, mode="key"), ["e"])
+    out = collect(ewm_mean(df, "symbol", "t", {"e": ("close", span)}), ["e"])
     exp = pd.concat([g.close.ewm(span=span, adjust=False).mean() for _, g in pdf.groupby("symbol")])
     assert np.max(np.abs(out.e.to_numpy() - exp.to_numpy()) / np.abs(exp.to_numpy())) < 1e-12
 
 
 def test_ewm_chunked_layout_and_macd(spark):
     df, pdf = walk(spark, keys=2, n=900, seed=3)
-    a = collect(macd(df, "symbol", "t", "close", mode="key"), ["macd", "macd_signal"])
-    b = collect(macd(df, "symbol", "t", "close", mode="chunked"), ["macd", "macd_signal"])
+    a = collect(macd(df, "symbol", "t", "close"), ["macd", "macd_signal"])
+    b = collect(macd(df, "symbol", "t", "close", chunk_rows=64), ["macd", "macd_signal"])
     exp = []
     for _, g in pdf.groupby("symbol"):
         m = g.close.ewm(span=12, adjust=False).mean() - g.close.ewm(span=26, adjust=False).mean()
@@ -117,7 +116,7 @@ def test_ewm_chunked_layout_and_macd(spark):
 def test_ma_cross_kinds(spark):
     prices = [10.0] * 20 + [20.0, 20.0, 1.0, 1.0, 1.0, 1.0]
     df = series(spark, [("A", i, p, p, p) for i, p in enumerate(prices)])
-    out = collect(apply_specs(df, "symbol", "t", ma_cross("close", 2, 4), mode="key"), ["t", "cross"])
+    out = collect(apply_specs(df, "symbol", "t", ma_cross("close", 2, 4)), ["t", "cross"])
     kinds = dict(zip(out.t, out.cross))
     assert kinds[20] == "golden"              # short rises above long
     assert kinds[22] == "dead" or kinds[23] == "dead"
@@ -126,7 +125,35 @@ def test_ma_cross_kinds(spark):
 
 def test_result_independent_of_input_order(spark):
     df, _ = walk(spark, keys=2, n=120)
-    a = collect(apply_specs(df, "symbol", "t", rsi("close"), mode="key"), ["rsi_14"])
-    b = collect(apply_specs(df.orderBy(F.rand(1)).repartition(5), "symbol", "t", rsi("close"), mode="key"),
+    a = collect(apply_specs(df, "symbol", "t", rsi("close")), ["rsi_14"])
+    b = collect(apply_specs(df.orderBy(F.rand(1)).repartition(5), "symbol", "t", rsi("close")),
                 ["rsi_14"])
     assert np.allclose(a.rsi_14.fillna(-1), b.rsi_14.fillna(-1))
+
+
+def test_ewm_over_many_chunks_and_gaps(spark):
+    """Short memory, so that chunks are small: every chunk starts from its halo."""
+    from candlewick.operators.ewm import memory_rows
+    df, pdf = walk(spark, keys=2, n=6000, seed=11)
+    gaps = df.withColumn("close", F.when(F.col("t") % 5 != 3, F.col("close")))
+    out = collect(ewm_mean(gaps, "symbol", "t", {"e": ("close", 3)}, chunk_rows=memory_rows(3) + 1), ["e"])
+    pdf = pdf.assign(close=pdf.close.where(pdf.t % 5 != 3))
+    exp = pd.concat([g.close.ewm(span=3, adjust=False).mean() for _, g in pdf.groupby("symbol")])
+    assert np.max(np.abs(out.e.to_numpy() - exp.to_numpy())) < 1e-9
+    small = collect(ewm_mean(spark.createDataFrame([("A", 0, 1.0), ("A", 1, None), ("A", 2, 3.0)], "symbol string, t long, close double"),
+                             "symbol", "t", {"e": ("close", 3)}), ["e"])
+    assert np.allclose(small.e, [1.0, 1.0, 7 / 3])
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "decimal(20,4)", "date", "timestamp", "binary", "int"])
+def test_every_orderable_type_has_a_bucket(spark, kind):
+    """One key holds a third of the rows; positions equal the plain rank for any order type, NULL first."""
+    from candlewick.operators.series import number_rows
+    base = spark.range(900).selectExpr("if(id % 3 = 0, 'hot', cast(id % 40 as string)) as k", "id", "(id * 7919) % 900 as v")
+    text = {"date": "cast(date_add(date'2020-01-01', cast(v as int)) as date)", "timestamp": "timestamp_seconds(v * 37)", "binary": "cast(lpad(v, 5, '0') as binary)",
+            "string": "lpad(v, 5, '0')"}.get(kind, f"cast(v * 31.5 - 9000 as {kind})")
+    df = base.selectExpr("nullif(k, '7') as k", "id", f"if(v % 50 = 0, null, {text}) as o")
+    from pyspark.sql import Window
+    want = df.withColumn("_rn", F.row_number().over(Window.partitionBy("k").orderBy("o", "id")) - 1)
+    got = number_rows(df, ["k"], ["o", "id"])
+    assert sorted(map(tuple, got.select("id", "_rn").collect())) == sorted(map(tuple, want.select("id", "_rn").collect()))

@@ -30,7 +30,8 @@ def test_refresh_jobs(spark, tmp_dir):
     # the report over deduped landing rows equals the report over the candles themselves
     from candlewick.plans.marts import build_trend_report
     direct = {r["symbol"]: r["ma_60"] for r in build_trend_report(c).collect()}
-    assert {r["symbol"]: r["ma_60"] for r in t.collect()} == direct
+    assert {r["symbol"]: float(r["ma_60"]) for r in t.collect()} == direct
+    assert dict(t.dtypes)["ma_60"] == "decimal(20,4)" and dict(t.dtypes)["rsi_14"] == "decimal(10,2)"
     # a 60-day lookback far after the data finds nothing: the old version stays
     assert jobs.refresh_anomaly_baseline(spark, land, base, days=60, as_of="2030-01-01 00:00:00", version=1) is None
     assert current_version(spark, base) is None

@@ -31,7 +31,7 @@ def test_ingest_from_dumped_responses(spark, tmp_dir):
                        {"market": f"BTC-C{i}", "timestamp": 1700000000000 + i}], f, indent=2)
     ingest(spark, {"/v1/ticker": d}, os.path.join(tmp_dir, "landing"))
     land = read_landing(spark, os.path.join(tmp_dir, "landing"), "/v1/ticker")
-    assert land.count() == 6 and set(land.columns) >= {"payload", "endpoint", "ingested_at", "ingest_date"}
+    assert land.count() == 3 and set(land.columns) >= {"payload", "endpoint", "ingested_at", "ingest_date"}
 
 
 def test_trend_symbols_filter_and_alert(spark):
@@ -43,14 +43,13 @@ def test_trend_symbols_filter_and_alert(spark):
         assert r["kind"] in ("golden", "dead") and r["message"].startswith(r["symbol"])
 
 
-def test_min_history_in_both_layouts(spark):
+def test_min_history(spark):
     from pyspark.sql import functions as F
     from candlewick.plans.marts import build_anomaly_baseline
     c = derived.candles(table(spark, SF, "orders"))
     tiny = c.where("symbol = '1-URGENT'").orderBy("date").limit(40).withColumn("symbol", F.lit("TINY"))
     both = c.unionByName(tiny)
-    for mode in ("key", "chunked"):
-        rep = {r["symbol"] for r in build_trend_report(both, mode=mode).collect()}
-        assert "TINY" not in rep and len(rep) == 5, mode                      # 40 < 60 rows
-        base = {r["symbol"] for r in build_anomaly_baseline(both, mode=mode).collect()}
-        assert "TINY" in base and len(base) == 6, mode                        # 40 >= 30 rows
+    rep = {r["symbol"] for r in build_trend_report(both).collect()}
+    assert "TINY" not in rep and len(rep) == 5                                # 40 < 60 rows
+    base = {r["symbol"] for r in build_anomaly_baseline(both).collect()}
+    assert "TINY" in base and len(base) == 6                                  # 40 >= 30 rows

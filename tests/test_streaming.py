@@ -31,7 +31,7 @@ def state(spark, hp):
 
 
 def test_replayed_batch_is_idempotent(spark, tmp_dir):
-    hp = HotPath(os.path.join(tmp_dir, "s"), cap=3)
+    hp = HotPath(os.path.join(tmp_dir, "s"), cap=3, short=1, long=2)
     b0 = spark.createDataFrame([trade("A", 1000 + i, 10.0 + i, i) for i in range(5)] +
                                [ticker("A", 1000, 5.0, 10)], SCHEMA)
     b1 = spark.createDataFrame([trade("A", 2000, 99.0, 20), ticker("A", 500, 1.0, 21)], SCHEMA)
@@ -87,7 +87,7 @@ def test_anomaly_stream_static_join(spark, tmp_dir):
 
 def test_state_versions_are_retained_two_deep(spark, tmp_dir):
     from candlewick.streaming.stores import _listing
-    hp = HotPath(os.path.join(tmp_dir, "r"), cap=5, buckets=2)
+    hp = HotPath(os.path.join(tmp_dir, "r"), cap=25, buckets=2)
     for i in range(5):
         hp(spark.createDataFrame([ticker("A", 1000 + i, float(i), i)], SCHEMA), i)
     versions = _listing(spark, os.path.join(tmp_dir, "r", "snapshot_ticker"))
@@ -101,8 +101,44 @@ def test_start_hot_path(spark, tmp_dir):
     src, root = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "st")
     spark.createDataFrame([trade("C", 1000 + i, float(i), i) for i in range(3)] + [ticker("C", 999, 7.0, 9)],
                           SCHEMA).write.json(src)
-    q = start_hot_path(read_message_files(spark, src), root, os.path.join(tmp_dir, "ck"), cap=2,
+    q = start_hot_path(read_message_files(spark, src), root, os.path.join(tmp_dir, "ck"), cap=2, short=1, long=1,
                        trigger={"availableNow": True})
     q.awaitTermination()
     snap, trades = state(spark, HotPath(root))
     assert snap == {"C": (7.0, 9)} and trades == [("C", 1), ("C", 2)]
+
+
+def test_poison_message_is_rejected_and_the_rest_goes_on(spark, tmp_dir):
+    hp = HotPath(os.path.join(tmp_dir, "p"))
+    hp(spark.createDataFrame([trade("A", 9223372036854775807, 1.0, 1), trade("A", 1000, 2.0, 2)], SCHEMA), 0)
+    st = hp.stores(spark)
+    assert [(r["offset"], r["reason"]) for r in st["rejected"].read().collect()] == [(1, "timestamp: invalid ts")]
+    assert [r["offset"] for r in st["trades"].read().collect()] == [2]
+
+
+def test_redelivered_trades_and_equal_times(spark, tmp_dir):
+    hp = HotPath(os.path.join(tmp_dir, "d"))
+    a, b = trade("A", 1000, 1.0, 7), ("A", trade("A", 1000, 2.0, 3)[1], "upbit-trades", 1, 3, None)
+    hp(spark.createDataFrame([a, b], SCHEMA), 0)
+    hp(spark.createDataFrame([a], SCHEMA), 1)
+    assert sorted((r["partition"], r["offset"]) for r in hp.stores(spark)["trades"].read().collect()) == [(0, 7), (1, 3)]
+
+
+def test_cap_must_hold_a_cross(tmp_dir):
+    import pytest
+    with pytest.raises(ValueError):
+        HotPath(tmp_dir, cap=20, long=20)
+
+
+def test_route_stream_and_periodic_check(spark, tmp_dir):
+    from candlewick.streaming.hot_path import periodic_cross_check, route_stream
+    src, out, root = (os.path.join(tmp_dir, n) for n in ("in", "out", "st"))
+    rows = [trade("X", 1000 + i, 10.0 if i < 21 else 30.0, i) for i in range(22)]
+    spark.createDataFrame(rows + [ticker("X", 999, 7.0, 99)], SCHEMA).write.json(src)
+    route_stream(read_message_files(spark, src), os.path.join(tmp_dir, "ck"), "json", {"availableNow": True}, path=out).awaitTermination()
+    got = spark.read.json(out).groupBy("topic").count().collect()
+    assert {r["topic"]: r["count"] for r in got} == {"upbit-trades": 22, "upbit-tickers": 1}
+    HotPath(root)(spark.createDataFrame(rows, SCHEMA), 0)
+    alerts = periodic_cross_check(spark, root, seconds=0).collect()
+    assert [(a["symbol"], a["kind"]) for a in alerts] == [("X", "golden")] and alerts[0]["message"].startswith("X golden cross: MA5 14, MA20 11")
+    assert periodic_cross_check(spark, root, seconds=600).count() == 0
