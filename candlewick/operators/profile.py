@@ -1,23 +1,18 @@
 """Profiling aggregates (AGG-01..06).
 
-All of them are single-pass partial aggregates (map-side combine), so the
-shuffle carries one small buffer per task and group, whatever the skew.
+All of them are partial aggregates (map-side combine), so the shuffle carries
+one small buffer per task and group, whatever the skew, and all are lazy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.timestamps import weekday_name
 
-DESCRIBE_STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
-
-
 def mean_by_hour(df: DataFrame, ts: str, x: str | dict[str, str], name: str | None = None) -> DataFrame:
     """Mean of ``x`` per hour of day 0-23; ``x`` may be ``{name: column}``
     for several means in the same aggregate."""
@@ -32,99 +27,69 @@ def mean_by_weekday(df: DataFrame, ts: str, x: str, name: str | None = None) ->
     return g.withColumn("day_name", weekday_name("day_of_week"))
 
 
-SMALL_DISTINCT = 500_000
+def _magnitude(x: Column) -> Column:
+    """A bucket that never falls as x rises: steps of about 0.02 % of the
+    magnitude, so a few million buckets hold every double there is."""
+    return F.signum(x) * F.floor(F.log1p(F.abs(x)) * F.lit(4096.0))
 
 
-def _values_at(x: DataFrame, ranks: list[int], buckets: int, distinct: int | None = None) -> dict[int, float]:
-    """Values at 0-based ``ranks`` of column ``x`` (no NULLs), exactly.
+def quantile_row(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """One row with ``q``: exact quantiles (linear interpolation, the pandas /
+    numpy default) of the numbers in ``col``, NULL without any.
 
-    When the frame has few distinct values, rows are counted per value (a
-    partial aggregate) and a running count over that small table finds the
-    ranks. Otherwise a sketch cuts the range into ``buckets`` value buckets
-    (``Bucketizer``, JVM binary search), per-bucket counts locate the ranks,
-    and only the buckets holding them are searched again, recursively. No
-    step sorts more than the distinct values of one small range, and a value
-    that fills a third of the table is just one counted group.
+    One lazy plan of the same shape at every size. Rows are counted per value
+    (partial aggregates, so a value that fills a third of the table is one row
+    per task), values are totalled per magnitude bucket, a running total over
+    the few buckets gives each its first rank, and running counts inside the
+    buckets place every value; the rows around each rank are picked by an
+    aggregate. Nothing is sorted as a whole.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    if distinct is None:
-        distinct = x.agg(F.approx_count_distinct("x").alias("d")).first()["d"]
-    if distinct <= SMALL_DISTINCT:
-        vals = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-        w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)      # over distinct values only
-        cum = vals.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
-        conds = [(F.col("lo") <= k) & (F.col("hi") > k) for k in ranks]
-        found = cum.where(reduce(lambda a, c: a | c, conds)).select("x", "lo", "hi").collect()
-        return {k: next(f["x"] for f in found if f["lo"] <= k < f["hi"]) for k in ranks}
-    grid = [i / buckets for i in range(1, buckets)]
-    q = x.agg(F.percentile_approx("x", grid, 100 * buckets).alias("q")).first()["q"]
-    splits = [float("-inf")] + sorted(set(float(v) for v in q)) + [float("inf")]
-    bx = Bucketizer(splits=splits, inputCol="x", outputCol="b").transform(x)
-    counts = sorted((int(r["b"]), int(r["c"])) for r in bx.groupBy("b").agg(F.count(F.lit(1)).alias("c")).collect())
-    where: dict[int, list[tuple[int, int]]] = {}
-    start = 0
-    for b, c in counts:
-        for k in ranks:
-            if start <= k < start + c:
-                where.setdefault(b, []).append((k, k - start))
-        start += c
-    out = {}
-    for b, pairs in where.items():
-        sub = _values_at(bx.where(F.col("b") == b).select("x"), sorted({lk for _, lk in pairs}), buckets)
-        out.update({k: sub[lk] for k, lk in pairs})
-    return out
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 64,
-                    n: int | None = None, distinct: int | None = None) -> list[float | None]:
-    """Exact quantiles with linear interpolation (the pandas / numpy
-    default), without gathering the column into one task. ``n`` (non-NULL
-    count) and ``distinct`` (approximate distinct count) may be passed when a
-    caller's aggregate already has them."""
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    if n is None:
-        n = x.count()
-    if n == 0:
-        return [None for _ in probs]
-    pos = [p * (n - 1) for p in probs]
-    ranks = sorted({int(v // 1) for v in pos} | {int(-(-v // 1)) for v in pos})
-    value = _values_at(x, ranks, buckets, distinct)
-    out = []
-    for v in pos:
-        lo, hi = int(v // 1), int(-(-v // 1))
-        out.append(value[lo] + (value[hi] - value[lo]) * (v - lo))
-    return out
+    x = F.col("x")
+    src = df.select(F.col(col).cast("double").alias("x")).where(x.isNotNull() & ~F.isnan(x))
+    values = src.groupBy("x").agg(F.count(F.lit(1)).alias("c")).withColumn("b", _magnitude(x))
+    totals = values.groupBy("b").agg(F.sum("c").alias("t"))
+    order = Window.orderBy("b")                              # buckets, not rows or values
+    first = totals.select(F.col("b").alias("_b"), (F.sum("t").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("t")).alias("before"),
+                          F.sum("t").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"))
+    inside = Window.partitionBy("b").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    placed = values.withColumn("run", F.sum("c").over(inside)).join(first, F.col("b") == F.col("_b"))
+    hi = F.col("before") + F.col("run")
+    lo = hi - F.col("c")
+    picks = []
+    for i, p in enumerate(probs):
+        at = F.lit(float(p)) * (F.col("n") - 1)
+        for name, k in (("l", F.floor(at)), ("h", F.ceil(at))):
+            picks.append(F.max(F.when((lo <= k) & (k < hi), x)).alias(f"{name}{i}"))
+        picks.append(F.max(at - F.floor(at)).alias(f"f{i}"))
+    row = placed.agg(*picks)
+    return row.select(F.array(*[F.col(f"l{i}") + (F.col(f"h{i}") - F.col(f"l{i}")) * F.col(f"f{i}") for i in range(len(probs))]).alias("q"))
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
+    """The quantiles of :func:`quantile_row` as numbers."""
+    return list(quantile_row(df, col, probs).first()["q"])
 
 
 def describe(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """count, mean, std (n-1), min, 25/50/75 % (linear interpolation), max,
-    one row per column.
+    one row per column, as one lazy plan.
 
-    Moments come from one partial aggregate; the exact quartiles from
-    :func:`exact_quantiles` (distributed); ``approx=True`` uses a
-    fixed-size sketch instead. The result has one row per column.
+    Moments come from partial aggregates; the exact quartiles from
+    :func:`quantile_row`; ``approx=True`` uses a fixed-size sketch instead.
     """
-    aggs = []
+    probs, out = [0.25, 0.5, 0.75], None
     for c in cols:
         x = F.col(c)
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).cast("double").alias(f"{c}__min"),
-                 F.max(x).cast("double").alias(f"{c}__max"),
-                 F.count(F.when(~F.isnan(x.cast("double")), x)).alias(f"{c}__n"),
-                 F.approx_count_distinct(x.cast("double")).alias(f"{c}__d")]
+        aggs = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max")]
         if approx:
-            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"))
-    row = df.agg(*aggs).first()
-    data = []
-    for c in cols:
-        q = [float(v) for v in row[f"{c}__q"]] if approx else \
-            exact_quantiles(df, c, [0.25, 0.5, 0.75], n=row[f"{c}__n"], distinct=row[f"{c}__d"])
-        data.append((c, int(row[f"{c}__count"]), row[f"{c}__mean"], row[f"{c}__std"], row[f"{c}__min"],
-                     q[0], q[1], q[2], row[f"{c}__max"]))
-    return df.sparkSession.createDataFrame(
-        data, "column string, count bigint, mean double, std double, min double, p25 double, p50 double, "
-              "p75 double, max double")
+            row = df.agg(*aggs, F.percentile_approx(x, probs, accuracy).cast("array<double>").alias("q"))
+        else:
+            one = quantile_row(df, c, probs).withColumn("_one", F.lit(1))
+            row = df.agg(*aggs).withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one")      # one row each
+        row = row.select(F.lit(c).alias("column"), "count", "mean", "std", "min", *[F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))], "max")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -142,31 +107,18 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix after listwise NULL removal, long form (col_a, col_b, r).
 
-    Rows with any NULL are skipped by the assembler; Spark ML's ``Correlation``
-    then tree-aggregates the centered Gram matrix (a partial aggregate of
-    ``len(cols)^2`` numbers per task), so only the k x k result reaches the
-    driver, whatever the row count. A constant column gives NULL.
+    One lazy pass: covariances of all pairs are partial aggregates, so each
+    task sends ``len(cols)^2`` numbers, whatever the row count. A constant
+    column gives NULL.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
     cols = list(cols)
-    spark = df.sparkSession
-    clean = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna(how="any")
-    vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="skip").transform(clean) \
-        .select("_features").persist(StorageLevel.MEMORY_AND_DISK)   # Correlation makes several passes
-    try:
-        rows = Correlation.corr(vec, "_features", "pearson").first()
-    finally:
-        vec.unpersist()
-    data = []
-    if rows is not None:
-        m = rows[0].toArray()
-        for i, a in enumerate(cols):
-            for j, b in enumerate(cols):
-                v = float(m[i, j])
-                data.append((a, b, None if v != v else v))
-    return spark.createDataFrame(data, "col_a string, col_b string, r double")
+    clean = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(cols)]).dropna(how="any")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    row = clean.agg(*[F.covar_pop(f"_{i}", f"_{j}").alias(f"c{i}_{j}") for i, j in pairs], F.count(F.lit(1)).alias("n"))
+    scale = lambda i: F.sqrt(F.col(f"c{i}_{i}"))
+    r = lambda i, j: F.try_divide(F.col(f"c{min(i, j)}_{max(i, j)}"), scale(i) * scale(j))
+    items = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r(i, j).alias("r")) for i, a in enumerate(cols) for j, b in enumerate(cols)])
+    return row.where(F.col("n") > 0).select(F.explode(items).alias("p")).select("p.*")
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.operators import contract as C
@@ -44,7 +44,7 @@ ORDERBOOK_SCHEMA = ("symbol string, ts timestamp, topic string, partition int, o
 SNAPSHOT_VALUES = {"ticker": {"price": "trade_price"}, "orderbook": {"total_ask_size": "total_ask_size", "total_bid_size": "total_bid_size"}}
 # Event time decides; equal times are ordered by where the message stands in the source.
 NEWEST = ["ts", *KEEP]
-ALERT_SCHEMA = "symbol string, kind string, event_time timestamp, ma_short double, ma_long double, message string"
+ALERT_SCHEMA = "symbol string, kind string, event_time timestamp, ma_short double, ma_long double, message string, batch bigint"
 REJECT_SCHEMA = "topic string, partition int, offset bigint, type string, reason string, raw string"
 
 
@@ -105,7 +105,7 @@ class HotPath:
             "snapshot_ticker": KeyedStore(spark, j("snapshot_ticker"), "symbol", TICKER_SCHEMA, self.buckets),
             "snapshot_orderbook": KeyedStore(spark, j("snapshot_orderbook"), "symbol", ORDERBOOK_SCHEMA,
                                              self.buckets),
-            "alerts": AppendLog(spark, j("alerts"), ALERT_SCHEMA, key="symbol", buckets=self.buckets),
+            "alerts": KeyedStore(spark, j("alerts"), "symbol", ALERT_SCHEMA, self.buckets),
             "rejected": AppendLog(spark, j("rejected"), REJECT_SCHEMA),
         }
 
@@ -150,8 +150,10 @@ class HotPath:
             series = st["trades"].read(only=hit["trade"]).join(touched, "symbol", "left_semi")
             fresh = detect_ma_cross(series, "symbol", "ts", "price", self.short, self.long,
                                     tiebreak=list(KEEP))
-            seen = st["alerts"].read(before=batch_id, only=hit["trade"]).select("symbol", "kind", "event_time")
-            st["alerts"].write(fresh.join(seen, ["symbol", "kind", "event_time"], "left_anti"), batch_id)
+            # an alert counts once, as the batch that found it first told it
+            w = Window.partitionBy("symbol", "kind", "event_time").orderBy("batch")
+            once = lambda d: d.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
+            st["alerts"].merge(fresh.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id, once, touched=hit["trade"])
         finally:
             checked.unpersist()
 

@@ -105,59 +105,30 @@ class KeyedStore:
             for v in sorted(vs)[:-keep]:
                 p = jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, f"v={v}", f"bucket={b}"))
                 p.getFileSystem(conf).delete(p, True)
+        live = {v for vs in _listing(self.spark, self.root).values() for v in vs}
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(conf)
+        for st in fs.listStatus(root):                       # versions of which no bucket is left
+            m = _V.match(st.getPath().getName())
+            if m and int(m.group(1)) not in live and int(m.group(1)) < max(live, default=0):
+                fs.delete(st.getPath(), True)
 
 
 class AppendLog:
     """Append-only table written one ``v=<batch_id>`` directory per batch
-    (overwritten on replay), read as the union of all versions. With a
-    ``key`` the rows are also split into hash buckets, so a reader can take
-    only the buckets it needs (e.g. the symbols touched by a batch)."""
-
-    def __init__(self, spark: SparkSession, root: str, schema: str, key: str | None = None, buckets: int = 16):
-        self.spark, self.root, self.schema, self.key, self.buckets = spark, root, schema, key, buckets
+    (overwritten on replay), read as the union of all finished versions."""
 
-    def bucket_of(self, col: str | None = None):
-        return F.pmod(F.xxhash64(F.col(col or self.key)), F.lit(self.buckets)).cast("int")
+    def __init__(self, spark: SparkSession, root: str, schema: str):
+        self.spark, self.root, self.schema = spark, root, schema
 
-    def _versions(self, before: int | None = None) -> list[str]:
+    def read(self) -> DataFrame:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        out = []
-        for st in fs.listStatus(path):
-            m = _V.match(st.getPath().getName())
-            if st.isDirectory() and m and (before is None or int(m.group(1)) < before) and \
-                    fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(st.getPath().toString())
-        return out
-
-    def read(self, before: int | None = None, only: set[int] | None = None) -> DataFrame:
-        """All rows written by batches older than ``before``; with a key,
-        only the buckets in ``only`` (leaf folders are read directly)."""
-        paths = self._versions(before)
-        if self.key:
-            paths = [leaf for v in paths for leaf in self._buckets(v, only)]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def _buckets(self, version_path: str, only: set[int] | None) -> list[str]:
-        jvm = self.spark.sparkContext._jvm
-        vp = jvm.org.apache.hadoop.fs.Path(version_path)
-        out = []
-        for st in vp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(vp):
-            m = _B.match(st.getPath().getName())
-            if st.isDirectory() and m and (only is None or int(m.group(1)) in only):
-                out.append(st.getPath().toString())
-        return out
+        done = [st.getPath().toString() for st in (fs.listStatus(path) if fs.exists(path) else [])
+                if _V.match(st.getPath().getName()) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+        return self.spark.read.schema(self.schema).parquet(*done) if done else self.spark.createDataFrame([], self.schema)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         fields = self.spark.createDataFrame([], self.schema).columns
-        out = os.path.join(self.root, f"v={batch_id}")
-        if self.key:
-            rows.select(*fields).withColumn("bucket", self.bucket_of()).write.mode("overwrite") \
-                .partitionBy("bucket").parquet(out)
-        else:
-            rows.select(*fields).write.mode("overwrite").parquet(out)
+        rows.select(*fields).write.mode("overwrite").parquet(os.path.join(self.root, f"v={batch_id}"))

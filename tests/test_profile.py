@@ -39,3 +39,16 @@ def test_null_profile_and_weekday(spark):
               .withColumn("t", F.col("t").cast("timestamp"))
     r = mean_by_weekday(ts, "t", "x").collect()
     assert len(r) == 1 and r[0]["day_name"] == "Mon" and r[0]["day_of_week"] == 0   # NULL x dropped
+
+
+def test_quantiles_on_hot_values_and_no_jobs_before_use(spark):
+    from candlewick.operators.profile import exact_quantiles, quantile_row
+    rng = np.random.default_rng(4)
+    x = np.concatenate([np.zeros(900), rng.normal(0, 1e6, 700), rng.normal(0, 1e-6, 300), [-1e300, 1e300], rng.integers(-5, 5, 800)])
+    df = spark.createDataFrame([(float(v),) for v in rng.permutation(x)] + [(None,), (float("nan"),)], "v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.73, 0.999, 1.0]
+    assert np.allclose(exact_quantiles(df, "v", probs), np.quantile(x, probs), rtol=1e-12, atol=0)
+    assert exact_quantiles(df.where("v > 1e301"), "v", [0.5]) == [None]
+    assert exact_quantiles(spark.createDataFrame([(3,)], "v int"), "v", [0.2]) == [3.0]
+    broken = df.select(F.raise_error(F.lit("never run")).cast("double").alias("v"))
+    assert quantile_row(broken, "v", [0.5]).columns == ["q"]                     # building the plan runs nothing
