@@ -1,13 +1,15 @@
 """Profiling aggregates (AGG-01..06).
 
 All of them are partial aggregates (map-side combine), so the shuffle carries
-one small buffer per task and group, whatever the skew, and all are lazy.
+one small buffer per task and group, whatever the skew. All but the
+correlation matrix (a k x k result of Spark ML) are lazy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,18 +109,31 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix after listwise NULL removal, long form (col_a, col_b, r).
 
-    One lazy pass: covariances of all pairs are partial aggregates, so each
-    task sends ``len(cols)^2`` numbers, whatever the row count. A constant
-    column gives NULL.
+    Rows with any NULL are skipped by the assembler; Spark ML's ``Correlation``
+    then tree-aggregates the centered Gram matrix (a partial aggregate of
+    ``len(cols)^2`` numbers per task), so only the k x k result reaches the
+    driver, whatever the row count. A constant column gives NULL.
     """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
     cols = list(cols)
-    clean = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(cols)]).dropna(how="any")
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    row = clean.agg(*[F.covar_pop(f"_{i}", f"_{j}").alias(f"c{i}_{j}") for i, j in pairs], F.count(F.lit(1)).alias("n"))
-    scale = lambda i: F.sqrt(F.col(f"c{i}_{i}"))
-    r = lambda i, j: F.try_divide(F.col(f"c{min(i, j)}_{max(i, j)}"), scale(i) * scale(j))
-    items = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r(i, j).alias("r")) for i, a in enumerate(cols) for j, b in enumerate(cols)])
-    return row.where(F.col("n") > 0).select(F.explode(items).alias("p")).select("p.*")
+    spark = df.sparkSession
+    clean = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna(how="any")
+    vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="skip").transform(clean) \
+        .select("_features").persist(StorageLevel.MEMORY_AND_DISK)   # Correlation makes several passes
+    try:
+        rows = Correlation.corr(vec, "_features", "pearson").first()
+    finally:
+        vec.unpersist()
+    data = []
+    if rows is not None:
+        m = rows[0].toArray()
+        for i, a in enumerate(cols):
+            for j, b in enumerate(cols):
+                v = float(m[i, j])
+                data.append((a, b, None if v != v else v))
+    return spark.createDataFrame(data, "col_a string, col_b string, r double")
 
 
 def row_count(df: DataFrame) -> DataFrame:

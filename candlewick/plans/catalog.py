@@ -866,16 +866,16 @@ def q_customer_series(spark, sf):
 # -- storage round trips, gaps, re-polls, alerts --------------------------------
 
 def _landing_table(spark, sf, name: str) -> str:
-    """Candle payloads appended to a landing table (SNK-01), ingested on their day."""
+    """Candle payloads appended to a landing table (SNK-01), polled at the end of their month."""
     path = scratch_path(spark, name)
-    append_landing(derived.candle_landing(_candles(spark, sf)), path)
+    append_landing(derived.candle_landing(_candles(spark, sf), F.last_day("date").cast("timestamp")), path)
     return path
 
 
 AS_OF, RECENT_DAYS, RECENT_SYMBOLS = "1998-08-02", 200, ["1-URGENT", "5-LOW"]
 SQL_RECENT = SQL_TREND_ROWS.replace(
     "hist AS (SELECT * FROM candles WHERE symbol IN (SELECT symbol FROM candles GROUP BY symbol HAVING count(*) >= 60))",
-    f"""rec AS (SELECT * FROM candles WHERE date >= DATE '{AS_OF}' - INTERVAL {RECENT_DAYS} DAY AND symbol IN ('1-URGENT', '5-LOW')),
+    f"""rec AS (SELECT * FROM candles WHERE last_day(date) >= DATE '{AS_OF}' - INTERVAL {RECENT_DAYS} DAY AND symbol IN ('1-URGENT', '5-LOW')),
 hist AS (SELECT * FROM rec WHERE symbol IN (SELECT symbol FROM rec GROUP BY symbol HAVING count(*) >= 60))""")
 for _c in ("ma_5", "ma_20", "ma_60", "rsi_14"):
     SQL_RECENT = SQL_RECENT.replace(f"round({_c}, 4)", f"round({_c}, 2)")

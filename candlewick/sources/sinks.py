@@ -24,11 +24,13 @@ KEEP_VERSIONS = 3
 
 
 def append_landing(df: DataFrame, path: str, partition_by=("endpoint", "ingest_date")) -> None:
-    """Plain append, partitioned by endpoint and ingest day (SNK-01)."""
+    """Plain append, partitioned by endpoint and ingest day (SNK-01). Rows are
+    rebalanced by partition first: few files per day, and a day with most of
+    the rows is split over tasks."""
     out = df
     if "ingest_date" in partition_by and "ingest_date" not in df.columns:
         out = out.withColumn("ingest_date", F.to_date("ingested_at"))
-    out.write.mode("append").partitionBy(*partition_by).parquet(path)
+    out.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def _fs(spark: SparkSession, path: str):
