@@ -77,20 +77,25 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
 
 def number_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column | None = None,
-                name: str = "_rn") -> DataFrame:
+                name: str = "_rn", min_rows: int = 0) -> DataFrame:
     """Add the 0-based position of each row within its key, in ``order``.
 
     ``bucket`` must be non-decreasing along ``order`` (default: by the type of
     its first column). Rows are numbered per (key, bucket) in parallel and
     shifted by the running count of earlier buckets, so no task ever sorts a
     whole key. ``order`` must be a total order (end it with a unique column).
-    NULL keys form a series, NULL order values come first.
+    NULL keys form a series, NULL order values come first. Keys with fewer
+    than ``min_rows`` rows are left out: their count is the total of the bucket
+    counts, so that costs no pass of its own.
     """
     key, order = _cols(key), _cols(order)
     b = df.withColumn("_bk", bucket if bucket is not None else default_bucket(df, order))
     counts = b.groupBy(*key, "_bk").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*key).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*key, "_bk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    offsets = counts.select(*key, "_bk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
+                            *([F.sum("_n").over(Window.partitionBy(*key)).alias("_total")] if min_rows else []))
+    if min_rows:
+        offsets = offsets.where(F.col("_total") >= min_rows).drop("_total")
     # offsets has one row per (key, bucket): AQE broadcasts it when it is
     # measured small, otherwise this stays a shuffle join.
     j = join_null_safe(b, offsets, [*key, "_bk"])
@@ -119,12 +124,13 @@ def _run_recurrences(df: DataFrame, group: list[str], recurrences: Sequence[Recu
 
 def ordered_stages(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
                    stages: Sequence[Stage], lookback: int, bucket: Column | None = None,
-                   chunk_rows: int | None = None, recurrences: Sequence[Recurrence] = ()) -> DataFrame:
-    """Evaluate window ``stages``, then ``recurrences``, over each key's ordered rows."""
+                   chunk_rows: int | None = None, recurrences: Sequence[Recurrence] = (), min_rows: int = 0) -> DataFrame:
+    """Evaluate window ``stages``, then ``recurrences``, over each key's ordered
+    rows; keys with fewer than ``min_rows`` rows are left out (FLT-06)."""
     key, order = _cols(key), _cols(order)
     lookback = max([lookback, *(r.lookback for r in recurrences)])
     chunk_rows = max(chunk_rows or chunk_rows_for(df), lookback + 1)
-    numbered = number_rows(df, key, order, bucket)
+    numbered = number_rows(df, key, order, bucket, min_rows=min_rows)
     c = F.floor(F.col("_rn") / F.lit(chunk_rows))
     in_halo = (F.col("_rn") % F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
     native = F.struct(c.alias("c"), F.lit(True).alias("nat"))

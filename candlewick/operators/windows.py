@@ -95,10 +95,11 @@ def chain(*specs: Spec) -> Spec:
 
 
 def apply_specs(df: DataFrame, key, order, *specs: Spec, bucket: Column | None = None, chunk_rows: int | None = None,
-                recurrences: Sequence[Recurrence] = ()) -> DataFrame:
-    """Evaluate specs (and recurrences) over each key's ordered rows and drop helper columns."""
+                recurrences: Sequence[Recurrence] = (), min_rows: int = 0) -> DataFrame:
+    """Evaluate specs (and recurrences) over each key's ordered rows and drop
+    helper columns; keys with fewer than ``min_rows`` rows are left out."""
     sp = combine(*specs)
-    out = ordered_stages(df, key, order, sp.stages, sp.lookback, bucket, chunk_rows, recurrences)
+    out = ordered_stages(df, key, order, sp.stages, sp.lookback, bucket, chunk_rows, recurrences, min_rows)
     return out.drop(*sorted(sp.temps)) if sp.temps else out
 
 

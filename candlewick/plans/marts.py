@@ -93,8 +93,9 @@ def build_feature_mart(candles: DataFrame, sentiment: DataFrame, symbols: Sequen
 
 
 def _with_history_filter(c: DataFrame, spec: Spec, min_rows: int | None) -> DataFrame:
-    """Indicators for keys with at least ``min_rows`` rows (FLT-06)."""
-    return apply_specs(min_history(c, "symbol", min_rows) if min_rows else c, "symbol", "date", spec)
+    """Indicators for keys with at least ``min_rows`` rows (FLT-06); the count
+    comes with the numbering of the rows."""
+    return apply_specs(c, "symbol", "date", spec, min_rows=min_rows or 0)
 
 
 def trend_rows(candles: DataFrame, symbols: Sequence[str] | None = None, days: int | None = None,
