@@ -116,8 +116,8 @@ def _best_cut(logit: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> float
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic",
         max_per_class: int = 4_000, max_words: int = 500, min_documents: int = 5, min_evidence: float = 24.0, least: float = 0.1) -> OrdinalModel:
     """Fit on a bounded sample: ``max_per_class`` labelled documents of each
-    class, those with the smallest ``xxhash64(doc_id)``, weighted back to
-    their class's share.
+    class, those with the smallest ``xxhash64(doc_id)`` modulo 2**40, weighted
+    back to their class's share.
 
     Words (and word beginnings, see ``signs``) enter when at least ``min_documents`` sampled texts hold them and
     their log-likelihood ratio against the label reaches ``min_evidence``; the
@@ -136,8 +136,12 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     none = OrdinalModel((), np.zeros(0), np.full(GRADES - 1, 30.0))
     if len(size) < 2:
         return none
-    w = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = ids.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= max_per_class).select("doc_id", "toxic")
+    # Ids beyond about twice the bound in hash order go before the ranking, whatever the number of tasks.
+    hashed, parts = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)), 1 << 40
+    edge = {t: min(parts, 1 + 2 * max_per_class * parts // n) for t, n in size.items()}
+    near = ids.where(hashed < F.when(F.col("toxic") == 1, F.lit(edge[1])).otherwise(F.lit(edge[0])))
+    w = Window.partitionBy("toxic").orderBy(hashed, "doc_id")
+    ranked = near.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= max_per_class).select("doc_id", "toxic")
     chosen = ranked.collect()                                # 2 x max_per_class ids
     small = F.broadcast(spark.createDataFrame(chosen, ranked.schema))
     sample = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_bytes(docs, text).alias("raw")).join(small, "doc_id")
