@@ -1,9 +1,9 @@
 """Joins (JON-01..03).
 
-No join here carries a blind broadcast hint: the small side (one row per day,
-per symbol, ...) is left to AQE, which broadcasts it only after measuring the
-materialized side below ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and
-keeps the shuffle join otherwise.
+No join here carries a broadcast hint. The planner broadcasts a side whose
+file statistics lie below ``spark.sql.autoBroadcastJoinThreshold``, AQE one that
+it has measured below ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond
+these limits the shuffle join stays, and skewed partitions are split.
 """
 
 from __future__ import annotations
