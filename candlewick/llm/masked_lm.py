@@ -2,7 +2,9 @@
 
 A bidirectional window network predicts each token from the tokens on both
 sides of it; a document's score is the sum of the log-probabilities of its
-tokens, each given all others in its window.
+tokens, each given all others in its window. The network's vocabulary grows
+with the corpus; a word outside it is predicted as its ending's class, times
+the word's share of all such words by the counts of the corpus.
 
 The network is trained in numpy inside Spark tasks: each task takes one pass
 over its documents from the shared weights, and the weights of all tasks are
@@ -11,59 +13,77 @@ averaged by their tokens. Every document is in exactly one round.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import alnum_words, annotate, cut, map_rows, text_bytes
+from .common import alnum_words, cut, fresh_name, map_rows, text_bytes
 
-#: Tokens on either side, width, and the two-level softmax: CLASSES of MEMBERS tokens each.
+#: Tokens on either side, width, and the least two-level softmax: CLASSES of MEMBERS tokens each.
+#: A network of k classes has k members in each; k grows with the vocabulary.
 SIDE, WIDTH, CLASSES, MEMBERS = 2, 16, 32, 32
 TOKENS = CLASSES * MEMBERS
 
 #: The last ids stand for words outside the vocabulary, by their ending.
 ENDINGS = 64
 
+#: What a word's share adds to each count; one more type of each ending stands for unseen words.
+SMOOTH = 0.5
+
+#: Words outside the vocabulary whose shares are sent to every task; those of all others are joined.
+NEAR = 100_000
+
 #: Tokens that one training step sees, and the slices in which tasks hand over their weights.
 STEP_TOKENS, SLICES = 16_384, 16
 
-_SHAPES = (("embed", (2 * SIDE, TOKENS + 1, WIDTH)), ("bias", (WIDTH,)), ("cls", (WIDTH, CLASSES)), ("cls_bias", (CLASSES,)),
-           ("mem", (CLASSES, WIDTH, MEMBERS)), ("mem_bias", (CLASSES, MEMBERS)))
+
+def _shapes(k: int):
+    return (("embed", (2 * SIDE, k * k + 1, WIDTH)), ("bias", (WIDTH,)), ("cls", (WIDTH, k)), ("cls_bias", (k,)),
+            ("mem", (k, WIDTH, k)), ("mem_bias", (k, k)))
+
+
+def _weights(k: int) -> int:
+    return sum(math.prod(s) for _, s in _shapes(k))
 
 
 def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
+    k = round(math.sqrt(len(flat) / ((2 * SIDE + 1) * WIDTH + 1)))
+    while _weights(k) > len(flat):
+        k -= 1
     out, at = {}, 0
-    for name, shape in _SHAPES:
-        n = int(np.prod(shape))
+    for name, shape in _shapes(k):
+        n = math.prod(shape)
         out[name] = flat[at:at + n].reshape(shape)
         at += n
     return out
 
 
-def initial(seed: int = 42) -> np.ndarray:
-    n = sum(int(np.prod(s)) for _, s in _SHAPES)
-    flat = np.zeros(n, np.float32)
+def initial(seed: int = 42, k: int = CLASSES) -> np.ndarray:
+    flat = np.zeros(_weights(k), np.float32)
     w, rng = unpack(flat), np.random.default_rng(seed)
     for name in ("embed", "cls", "mem"):
         w[name][...] = rng.normal(0, 0.1, w[name].shape)
     return flat
 
 
-def encode(texts: list[bytes | None], ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all texts with SIDE pads (id TOKENS) around each, and the number of tokens of each."""
-    out, sizes = [TOKENS] * SIDE, []
-    get, first_ending = ids.get, TOKENS - ENDINGS
+def encode(texts: list[bytes | None], ids: dict[bytes, int], k: int = CLASSES, outside: list[list[bytes]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all texts with SIDE pads (id k * k) around each, and the number of tokens of each.
+    ``outside`` gets each text's words outside the vocabulary."""
+    out, sizes = [k * k] * SIDE, []
+    get, first_ending = ids.get, k * k - ENDINGS
     for t in texts:
         words = alnum_words(t)
         sizes.append(len(words))
+        if outside is not None:
+            outside.append([w for w in words if w not in ids])
         out += [i if (i := get(w)) is not None else first_ending + zlib.crc32(w[-2:]) % ENDINGS for w in words]
-        out += [TOKENS] * SIDE
+        out += [k * k] * SIDE
     return np.array(out, np.int32), np.array(sizes, np.int64)
 
 
@@ -72,8 +92,10 @@ def _context(stream: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(axis=-1, keepdims=True))
-    return z / z.sum(axis=-1, keepdims=True)
+    z -= z.max(axis=-1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(axis=-1, keepdims=True)
+    return z
 
 
 def forward(w: dict, stream: np.ndarray, at: np.ndarray):
@@ -84,44 +106,46 @@ def forward(w: dict, stream: np.ndarray, at: np.ndarray):
         h += w["embed"][o][ctx[o]]
     h = np.tanh(h)
     pc = _softmax(h @ w["cls"] + w["cls_bias"])
-    c = stream[at] // MEMBERS
-    edges = np.searchsorted(c, np.arange(CLASSES + 1))
-    pm = np.empty((len(at), MEMBERS), np.float32)
+    k = w["cls"].shape[1]
+    c = stream[at] // k
+    edges = np.searchsorted(c, np.arange(k + 1))
+    pm = np.empty((len(at), k), np.float32)
     for k in np.flatnonzero(np.diff(edges)):
         s = slice(edges[k], edges[k + 1])
         pm[s] = h[s] @ w["mem"][k] + w["mem_bias"][k]
     return ctx, h, pc, _softmax(pm), c, edges
 
 
-def _steps(stream: np.ndarray):
-    at = np.flatnonzero(stream != TOKENS)
+def _steps(stream: np.ndarray, k: int):
+    at = np.flatnonzero(stream != k * k)
     for i in range(0, len(at), STEP_TOKENS):
         part = at[i:i + STEP_TOKENS]
-        yield part[np.argsort(stream[part] // MEMBERS, kind="stable")]
+        yield part[np.argsort(stream[part] // k, kind="stable")]
 
 
 def log_probabilities(w: dict, stream: np.ndarray) -> np.ndarray:
     """Of each position of the stream its token's log-probability given both sides (pads: 0)."""
-    out = np.zeros(len(stream))
-    for at in _steps(stream):
+    out, k = np.zeros(len(stream)), w["cls"].shape[1]
+    for at in _steps(stream, k):
         _, _, pc, pm, c, _ = forward(w, stream, at)
         rows = np.arange(len(at))
-        out[at] = np.log(np.maximum(pc[rows, c], 1e-12)) + np.log(np.maximum(pm[rows, stream[at] % MEMBERS], 1e-12))
+        out[at] = np.log(np.maximum(pc[rows, c], 1e-12)) + np.log(np.maximum(pm[rows, stream[at] % k], 1e-12))
     return out
 
 
 def train(flat: np.ndarray, squares: np.ndarray, stream: np.ndarray, rate: float = 0.1) -> int:
     """One pass of Adagrad steps over the stream, in place; returns the tokens seen."""
     w, g2, seen = unpack(flat), unpack(squares), 0
+    size = w["cls"].shape[1]
 
     def move(name, k, g):
         g2[name][k] += g * g
         w[name][k] -= rate * g / (np.sqrt(g2[name][k]) + 1e-6)
-    for at in _steps(stream):
+    for at in _steps(stream, size):
         ctx, h, pc, pm, c, edges = forward(w, stream, at)
         n, rows = len(at), np.arange(len(at))
         pc[rows, c] -= 1
-        pm[rows, stream[at] % MEMBERS] -= 1
+        pm[rows, stream[at] % size] -= 1
         pc /= n
         pm /= n
         gh = pc @ w["cls"].T
@@ -144,12 +168,36 @@ def train(flat: np.ndarray, squares: np.ndarray, stream: np.ndarray, rate: float
 
 @dataclass(frozen=True)
 class WindowModel:
+    """The network, and of the words outside its vocabulary: tokens and types by
+    ending, log shares of the most frequent, and the counts of the others."""
     ids: dict[bytes, int]
     flat: np.ndarray
+    tokens: list[int]
+    types: list[int]
+    near: dict[bytes, float]
+    far: DataFrame
+
+    @property
+    def size(self) -> int:
+        return unpack(self.flat)["cls"].shape[1]
+
+
+def ending(word: bytes) -> int:
+    return zlib.crc32(word[-2:]) % ENDINGS
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> dict[bytes, int]:
-    """The most frequent words over all documents, ids by falling count (ties by word)."""
+def ending_of(word: str) -> Column:
+    """``ending`` as a column expression."""
+    return F.pmod(F.crc32(F.substring(word, F.greatest(F.length(word) - 1, F.lit(1)), F.lit(2))), F.lit(ENDINGS)).cast("int")
+
+
+def log_share(n: int, tokens: int, types: int) -> float:
+    """Of a word counted ``n`` times among the outside words of its ending (0: unseen)."""
+    return math.log((n + SMOOTH) / (tokens + SMOOTH * (types + 1)))
+
+
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(w, n): every word of all documents and its count."""
     def run(batches):
         for b in batches:
             n = Counter()
@@ -157,8 +205,36 @@ def vocabulary(docs: DataFrame, text: str = "text") -> dict[bytes, int]:
                 n.update(alnum_words(t))
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], names=["w", "n"])
     counts = map_rows(docs.select(text_bytes(docs, text).alias("raw")), run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "w").limit(TOKENS - ENDINGS).collect()        # the vocabulary is of fixed size
-    return {bytes(r["w"]): i for i, r in enumerate(top)}
+    return cut(counts, "words")
+
+
+def _least_count(of_count: list[tuple[int, int]], room: int) -> int:
+    """The smallest count from which on at most ``room`` words are counted; ``of_count``: (count, words) by falling count."""
+    least = of_count[0][0] + 1 if of_count else 1
+    for n, words in of_count:
+        room -= words
+        if room < 0:
+            break
+        least = n
+    return least
+
+
+def vocabulary(counts: DataFrame) -> WindowModel:
+    """Untrained model of a corpus of the given word counts. The vocabulary are
+    the words above a count that about a third of the tokens' square root reach
+    (960 words at least); ids by falling count (ties by word)."""
+    spark = counts.sparkSession
+    of_count = [(r["n"], r["words"]) for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.col("n").desc()).collect()]   # n values need n * n / 2 tokens
+    room = max(TOKENS - ENDINGS, math.isqrt(sum(n * words for n, words in of_count)) // 3)
+    least, low = _least_count(of_count, room), _least_count(of_count, room + NEAR)
+    top = sorted(((r["n"], bytes(r["w"])) for r in counts.where(F.col("n") >= low).toLocalIterator()), key=lambda x: (-x[0], x[1]))
+    ids = {w: i for i, (n, w) in enumerate(top) if n >= least}
+    tokens, types = [0] * ENDINGS, [0] * ENDINGS
+    for r in counts.where(F.col("n") < least).groupBy(ending_of("w").alias("e")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
+        tokens[r["e"]], types[r["e"]] = r["n"], r["words"]
+    near = {w: log_share(n, tokens[ending(w)], types[ending(w)]) for n, w in top if n < least}
+    k = max(CLASSES, math.isqrt(len(ids) + ENDINGS - 1) + 1)
+    return WindowModel(ids, initial(k=k), tokens, types, near, counts.where(F.col("n") < low))
 
 
 def _average(spark, parts: DataFrame) -> np.ndarray | None:
@@ -186,10 +262,9 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = 3, seed: int = 42) ->
     """Vocabulary and network from all documents. Round r trains on the documents
     whose text hash falls to r, from the averaged weights of the round before."""
     spark = docs.sparkSession
-    ids = vocabulary(docs, text)
-    flat = initial(seed)
-    if not ids:
-        return WindowModel(ids, flat)
+    model = vocabulary(word_counts(docs, text))
+    ids, k = model.ids, model.size
+    flat = initial(seed, k)
     src = docs.select(text_bytes(docs, text).alias("raw")).where(F.col("raw").isNotNull())
     for r in range(rounds):
         shared = spark.sparkContext.broadcast((ids, flat))
@@ -204,9 +279,9 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = 3, seed: int = 42) ->
                     held.append(t)
                     size += len(t)
                     if size > 8 * STEP_TOKENS:
-                        seen += train(w, squares, encode(held, ids)[0])
+                        seen += train(w, squares, encode(held, ids, k)[0])
                         held, size = [], 0
-            seen += train(w, squares, encode(held, ids)[0])
+            seen += train(w, squares, encode(held, ids, k)[0])
             if seen:
                 pieces = np.array_split(w, SLICES)
                 pid = TaskContext.get().partitionId()
@@ -216,7 +291,7 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = 3, seed: int = 42) ->
         parts = cut(map_rows(src.where(mine), run, "bucket long, part long, n long, raw binary"), "weights")
         new = _average(spark, parts)
         flat = flat if new is None else new
-    return WindowModel(ids, flat)
+    return replace(model, flat=flat)
 
 
 def score(docs: DataFrame, model: WindowModel, text: str = "text",
@@ -225,18 +300,37 @@ def score(docs: DataFrame, model: WindowModel, text: str = "text",
 
     Whole texts are scored. NULL, empty and wordless texts have 0 tokens, sum
     0.0 and mean NULL. Rows are scored one by one; other columns pass through.
+
+    The shares of words beyond the most frequent are joined by word (each is
+    rare, so no word is hot) and added up by the text's digest; copies of a
+    text bring the same words and are averaged.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.ids, model.flat))
+    shared = docs.sparkSession.sparkContext.broadcast((model.ids, model.flat, model.near))
+    k = model.size
 
-    def make():
-        ids, flat = shared.value
+    def run(batches):
+        ids, flat, near = shared.value
         w = unpack(flat)
-
-        def several(texts: list[bytes | None]) -> list[tuple[int, float, float | None]]:
-            stream, sizes = encode(texts, ids)
+        for b in batches:
+            outside: list[list[bytes]] = []
+            stream, sizes = encode(b.column("raw").to_pylist(), ids, k, outside)
             sums = np.concatenate([[0.0], np.cumsum(log_probabilities(w, stream))])
             ends = np.cumsum(sizes + SIDE) + SIDE            # a text ends before the pads that follow it
             totals = sums[ends - SIDE] - sums[ends - SIDE - sizes]
-            return [(int(n), float(t), float(t / n) if n else None) for n, t in zip(sizes, totals)]
-        return several
-    return annotate(docs, text, make, [(names[0], T.LongType()), (names[1], T.DoubleType()), (names[2], T.DoubleType())], together=True)
+            totals += [sum(near.get(x, 0.0) for x in words) for words in outside]
+            far = [[x for x in words if x not in near] for words in outside]
+            yield pa.RecordBatch.from_arrays([b.column("text_key"), pa.array(sizes, pa.int64()), pa.array(totals, pa.float64()), pa.array(far, pa.list_(pa.binary()))], names=["text_key", "n", "ll", "far"])
+    raw = text_bytes(docs, text)
+    src = docs.select(F.unhex(F.md5(raw)).alias("text_key"), raw.alias("raw")).where(F.col("raw").isNotNull())
+    told = cut(map_rows(src, run, "text_key binary, n long, ll double, far array<binary>"), "scored")
+    words = told.select("text_key", F.size("far").alias("size"), F.explode("far").alias("w"))
+    e = ending_of("w") + 1
+    total = F.element_at(F.array(*[F.lit(float(n + SMOOTH * (m + 1))) for n, m in zip(model.tokens, model.types)]), e)
+    share = F.log((F.coalesce("n", F.lit(0)) + SMOOTH) / total)
+    rest = words.join(model.far, "w", "left").groupBy("text_key").agg((F.sum(share) * F.first("size") / F.count("*")).alias("rest"))
+    texts = told.groupBy("text_key").agg(F.first("n").alias("n"), F.first("ll").alias("ll")).join(rest, "text_key", "left")
+    key, c = fresh_name(docs, "text_key"), [fresh_name(docs, x) for x in ("_n", "_ll")]
+    texts = texts.select(F.col("text_key").alias(key), F.col("n").alias(c[0]), (F.col("ll") + F.coalesce("rest", F.lit(0.0))).alias(c[1]))
+    n, ll = F.coalesce(c[0], F.lit(0)), F.coalesce(c[1], F.lit(0.0))
+    out = docs.withColumn(key, F.unhex(F.md5(raw))).join(texts, key, "left")
+    return out.select(*[F.col(f"`{x}`") for x in docs.columns], n.alias(names[0]), ll.alias(names[1]), F.when(n > 0, ll / n).alias(names[2]))

@@ -59,3 +59,28 @@ def test_odd_rows_and_empty_table(spark):
     assert out[out.doc_id == 6].n_tokens.tolist() == [60_000]
     e = empty_docs(spark)
     assert masked_lm.score(e, masked_lm.fit(e)).count() == 0
+
+
+def test_words_outside_the_vocabulary_are_told_apart(spark, monkeypatch):
+    common = " ".join(f"w{i}" for i in range(1000)) + " "
+    docs = spark.createDataFrame([(i, common + "quaxing " * (i < 9) + f"zz{i}ing") for i in range(20)], "doc_id long, text string")
+    asked = spark.createDataFrame([(0, "w1 quaxing w2"), (1, "w1 zz3ing w2"), (2, "w1 nevering w2"), (2, "w1 nevering w2")], "doc_id long, text string")
+    told = []
+    for near in (0, 100_000):                            # joined, or sent to the tasks: the same scores
+        monkeypatch.setattr(masked_lm, "NEAR", near)
+        monkeypatch.setattr(masked_lm, "TOKENS", 1000 + masked_lm.ENDINGS)
+        model = masked_lm.fit(docs, rounds=1)
+        assert len(model.ids) == 1000 and sum(model.types) == 21 and bool(model.near) == bool(near)
+        told.append([r.log_likelihood for r in masked_lm.score(asked, model).orderBy("doc_id").collect()])
+    (often, once, never, again), other = told
+    assert often > once > never == again and np.allclose(told[0], other)
+    assert np.isclose(once - never, np.log(1.5 / 0.5))
+
+
+def test_vocabulary_grows_with_the_corpus(spark):
+    rows = [(f"w{i}".encode(), 40_000 - i) for i in range(5000)] + [(b"x", 1), (b"yz", 2)]
+    model = masked_lm.vocabulary(spark.createDataFrame(rows, "w binary, n long"))
+    assert len(model.ids) > 3 * masked_lm.TOKENS and model.size ** 2 >= len(model.ids) + masked_lm.ENDINGS
+    assert model.ids[b"w0"] == 0 and max(model.ids.values()) == len(model.ids) - 1
+    df = spark.createDataFrame([(b"x",), (b"yz",), (b"long word",), ("été".encode(),)], "w binary")
+    assert [r.e for r in df.select(masked_lm.ending_of("w").alias("e")).collect()] == [masked_lm.ending(bytes(r.w)) for r in df.collect()]
