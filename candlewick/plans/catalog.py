@@ -668,8 +668,12 @@ def oracle_sql() -> dict[str, str]:
 
 # -- streaming hot path (events through a running file-source query) -----------
 
-def _stream_stores(spark, sf):
-    return replay.stores(spark, replay.run_hot_path(spark, sf))
+# Fixed value: days of events that one micro-batch delivers.
+DAYS = 10
+
+
+def _stream_stores(spark, sf, days=DAYS):
+    return replay.stores(spark, replay.run_hot_path(spark, sf, days=days))
 
 
 SQL_STREAM_TRADES = f"""
@@ -714,13 +718,35 @@ k AS (SELECT *, CASE WHEN ps <= pl AND ma_short > ma_long THEN 'golden'
 SELECT symbol, kind, ts_ms AS event_time_ms, round(ma_short, 4) AS ma_short, round(ma_long, 4) AS ma_long
 FROM k WHERE kind IS NOT NULL AND back = 1""")
 def q_stream_alerts(spark, sf):
-    """STR-05: MA(5)/MA(20) cross alerts at each micro-batch's newest trade
-    per symbol, emitted once per (symbol, kind, event_time)."""
-    a = _stream_stores(spark, sf)["alerts"].read()
+    """STR-05: MA(5)/MA(20) cross alerts at the newest trade per symbol of all
+    events, taken as one micro-batch."""
+    return _alerts(_stream_stores(spark, sf, days=None))
+
+
+def _alerts(stores):
+    a = stores["alerts"].read()
     return shape(a.select("symbol", "kind", F.unix_millis("event_time").alias("event_time_ms"), "ma_short",
                           "ma_long"), {"ma_short": 4, "ma_long": 4})
 
 
+@register("stream_alerts_blocks", "WITH " + SQL_STREAM_TRADES + f""",
+b AS (SELECT *, floor(ts_ms / {DAYS * 86_400_000}.0) AS blk FROM tr),
+m AS (SELECT *, {_roll('avg', 'price', 5, 'symbol', 'ts_ms, event_id')} AS ma_short,
+             {_roll('avg', 'price', 20, 'symbol', 'ts_ms, event_id')} AS ma_long,
+             lead(blk) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS next_blk FROM b),
+l AS (SELECT *, lag(ma_short) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS ps,
+                lag(ma_long) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS pl FROM m),
+k AS (SELECT *, CASE WHEN ps <= pl AND ma_short > ma_long THEN 'golden'
+                     WHEN ps >= pl AND ma_short < ma_long THEN 'dead' END AS kind FROM l)
+SELECT symbol, kind, ts_ms AS event_time_ms, round(ma_short, 4) AS ma_short, round(ma_long, 4) AS ma_long
+FROM k WHERE kind IS NOT NULL AND (next_blk IS NULL OR next_blk <> blk)""")
+def q_stream_alerts_blocks(spark, sf):
+    """STR-05: MA(5)/MA(20) cross alerts at each micro-batch's newest trade
+    per symbol, emitted once per (symbol, kind, event_time); a batch is a
+    block of ten days."""
+    return _alerts(_stream_stores(spark, sf))
+
+
 @register("stream_rejected", f"""
 WITH {SQL_MESSAGES}
 SELECT event_id AS "offset", CASE WHEN k < 5 THEN NULL ELSE mtype END AS type, {SQL_REASON} AS reason

@@ -4,6 +4,10 @@
 messages with the Kafka column layout (offset = event id) inside the streaming
 plan and feed :class:`candlewick.streaming.hot_path.HotPath`. Stores and
 checkpoint lie under the shared checkpoint root that the session names.
+
+With ``days`` the events are first written once by blocks of that many days;
+the blocks are delivered in order into the watched folder, and after each the
+query restarts from its checkpoint (STR-06) and takes it as one micro-batch.
 """
 
 from __future__ import annotations
@@ -31,10 +35,35 @@ def kafka_records(events: DataFrame) -> DataFrame:
                     F.col("ts").cast("timestamp").alias("timestamp"))
 
 
-def run_hot_path(spark: SparkSession, sf_dir: str, cap: int = 10000) -> str:
-    """Stream all events through the hot path; returns the stores root (one
-    run per application, table folder and cap)."""
-    k = (spark.sparkContext.applicationId, sf_dir, cap)
+def block_of(ts: str, days: int):
+    return F.floor(F.unix_millis(F.col(ts).cast("timestamp")) / F.lit(days * 86_400_000.0))
+
+
+def _run_blocks(spark: SparkSession, sf_dir: str, cap: int, days: int) -> str:
+    base = scratch_path(spark, "hotpath")
+    staged, src, root = (os.path.join(base, n) for n in ("staged", "source", "stores"))
+    events = table(spark, sf_dir, "events")
+    events.withColumn("block", block_of("ts", days)).hint("rebalance", "block").write.partitionBy("block").parquet(staged)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(src))
+    names = [n for st in fs.listStatus(path(staged)) if (n := st.getPath().getName()).startswith("block=")]
+    number = lambda n: int(n[6:]) if n[6:].lstrip("-").isdigit() else float("inf")  # noqa: E731  (rows without a time come last)
+    for n in sorted(names, key=number):
+        if not fs.rename(path(os.path.join(staged, n)), path(os.path.join(src, n))):
+            raise RuntimeError(f"{n} could not be delivered to {src}")
+        arrived = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(src)
+        start_hot_path(kafka_records(arrived), root, os.path.join(base, "checkpoint"), cap, {"availableNow": True}).awaitTermination()
+    return root
+
+
+def run_hot_path(spark: SparkSession, sf_dir: str, cap: int = 10000, days: int | None = None) -> str:
+    """Stream all events through the hot path, in one micro-batch or in blocks
+    of ``days``; returns the stores root (one run per application, table
+    folder, cap and days)."""
+    k = (spark.sparkContext.applicationId, sf_dir, cap, days)
+    if k not in _DONE and days:
+        _DONE[k] = _run_blocks(spark, sf_dir, cap, days)
     if k not in _DONE:
         base = scratch_path(spark, "hotpath")
         schema = table(spark, sf_dir, "events").schema

@@ -25,7 +25,7 @@ from candlewick.sources.tables import table  # noqa: E402
 from candlewick.streaming import hot_path, replay  # noqa: E402
 
 # These read the stores that the stream left behind; the plans of its batches are listed instead.
-SKIP = {"stream_snapshot", "stream_recent", "stream_alerts", "stream_rejected", "stream_orderbook", "realtime_price"}
+SKIP = {"stream_snapshot", "stream_recent", "stream_alerts", "stream_alerts_blocks", "stream_rejected", "stream_orderbook", "realtime_price"}
 
 
 def batch_plans(spark, sf):
