@@ -40,4 +40,6 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         before, mark = mark, _mark(e)
         if mark == before:
             break
+    else:
+        raise RuntimeError(f"the components still change after {max_rounds} rounds")
     return e.select(u.alias("node"), v.alias("root"))

@@ -88,3 +88,13 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     assert simhash.near_duplicates(empty_docs(spark)).count() == 0
     assert simhash.keep_one(empty_docs(spark)).columns == [c.split()[0] for c in DOC.split(", ")]
+
+
+def test_components_do_not_end_unfinished(spark):
+    import pytest
+
+    from candlewick.llm.components import components
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components(chain, max_rounds=1)
+    assert {tuple(r) for r in components(chain).collect()} == {(i, 0) for i in range(1, 41)}
