@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, fingerprints, langid, licenses, masked_lm, mixing, simhash, toxicity, urls
+from . import alignment, chat, decontam, fingerprints, langid, licenses, masked_lm, mixing, simhash, toxicity, urls
 from .common import documents, map_rows
 
 
@@ -93,8 +93,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of every document under two tokenizers."""
+    return alignment.document_links(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_toxicity, op2_chat, op3_mixing, op4_urls, op5_masked_lm, op6_langid, op7_licenses, op8_fingerprints, op9_decontamination, op10_simhash)}
+    op1_toxicity, op2_chat, op3_mixing, op4_urls, op5_masked_lm, op6_langid, op7_licenses, op8_fingerprints, op9_decontamination, op10_simhash,
+    op12_alignment)}
 
 #: Queries that SQL expresses on whole tables in reasonable time.
 ORACLE_SQL: dict[str, str] = {
