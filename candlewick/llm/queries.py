@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, decontam, fingerprints, langid, licenses, masked_lm, mixing, simhash, toxicity, urls
+from . import alignment, chat, decontam, fingerprints, hard_negatives, langid, licenses, masked_lm, mixing, simhash, toxicity, urls
 from .common import documents, map_rows
 
 
@@ -98,9 +98,16 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.document_links(documents(spark, sf_dir))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive of the embeddings."""
+    v, label = documents(spark, sf_dir, "embeddings"), F.col("label").cast("long")
+    told = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(v.select("vec_id", "embedding", told.alias("label")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_chat, op3_mixing, op4_urls, op5_masked_lm, op6_langid, op7_licenses, op8_fingerprints, op9_decontamination, op10_simhash,
-    op12_alignment)}
+    op12_alignment, op13_hard_negatives)}
 
 #: Queries that SQL expresses on whole tables in reasonable time.
 ORACLE_SQL: dict[str, str] = {
@@ -136,4 +143,20 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS i
 SELECT doc.doc_id, len(doc.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(doc.w), false) AS contaminated
 FROM doc LEFT JOIN hit ON hit.doc_id = doc.doc_id LEFT JOIN items ON items.doc_id = doc.doc_id""",
+    "op13_hard_negatives": r"""
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 100 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
 }
