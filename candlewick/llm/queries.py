@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, decontam, fingerprints, hard_negatives, langid, licenses, masked_lm, mixing, simhash, toxicity, urls
+from . import alignment, chat, decontam, fingerprints, hard_negatives, langid, licenses, masked_lm, mixing, sharding, simhash, toxicity, urls
 from .common import documents, map_rows
 
 
@@ -93,6 +93,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, shards of near equal bytes."""
+    return sharding.place_documents(documents(spark, sf_dir), shards=16)
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens, groups and links of every document under two tokenizers."""
     return alignment.document_links(documents(spark, sf_dir))
@@ -107,7 +112,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_chat, op3_mixing, op4_urls, op5_masked_lm, op6_langid, op7_licenses, op8_fingerprints, op9_decontamination, op10_simhash,
-    op12_alignment, op13_hard_negatives)}
+    op11_sharding, op12_alignment, op13_hard_negatives)}
 
 #: Queries that SQL expresses on whole tables in reasonable time.
 ORACLE_SQL: dict[str, str] = {
