@@ -29,7 +29,6 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +41,13 @@ from .common import cut, fresh_name, map_rows, text_bytes
 #: Links of the documents that one block holds (a longer document is a block).
 BLOCK_LINKS = 4_000_000
 #: Ids of the windows that a task remembers; beyond it the memory starts anew.
-MEMO_IDS = 1_500_000
+MEMO_IDS = 3_000_000
 #: Fixed value: how the byte-level BPE cuts a text into words before it merges bytes.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Letters outside Latin, Greek and Cyrillic (and runs of blanks): the two
-#: libraries for (A) could class new letters differently, so such texts go to the one that reads the vocabulary file itself.
-NEWER = re.compile("[\u0530-\u1fff\u2c00-\U0010ffff]|\\s{100}")
+#: Texts for the library that reads the vocabulary file itself: with characters
+#: beyond Latin, Greek and Cyrillic (the two libraries for A could class newer
+#: letters differently) or with very long runs of blanks (the faster one's pattern search overflows on them).
+NEWER, BLANKS = re.compile("[^\x00-\u052f]"), re.compile(r"\s{1000}")
 #: Blocks are numbered (task, number within the task).
 TASK_SHIFT = 24
 
@@ -75,12 +75,16 @@ class Side:
         self.tokens = tokens
         self.length = np.array([len(t) for t in tokens], dtype=np.int64)
         self.spaced = np.array([t.startswith(b" ") for t in tokens])
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.first = np.cumsum(self.length) - self.length
 
     def ends(self, ids: np.ndarray) -> np.ndarray:
         return np.cumsum(self.length[ids])
 
-    def covers(self, ids: list[int], raw: bytes) -> bool:
-        return b"".join(map(self.tokens.__getitem__, ids)) == raw
+    def covers(self, ids: np.ndarray, raw: bytes) -> bool:
+        """Whether the tokens' bytes, put together, are ``raw``."""
+        n = self.length[ids]
+        return int(n.sum()) == len(raw) and bool((self.bytes[_ranges(self.first[ids], n)] == np.frombuffer(raw, np.uint8)).all())
 
 
 class Aligner:
@@ -113,7 +117,7 @@ class Aligner:
         self.b_words = np.array([[f"{i}{sign}" for i in range(len(self.b.tokens))] for sign in ",;"], dtype=object)
         self.forget()
 
-    def encode(self, raws: list[bytes | None]) -> list[tuple[list[int], list[int]] | None]:
+    def encode(self, raws: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both sides for each text, None where it has no tokens."""
         texts, at = [], []
         for i, raw in enumerate(raws):
@@ -124,14 +128,18 @@ class Aligner:
                 except UnicodeDecodeError:
                     pass
         out: list = [None] * len(raws)
-        a = [self.a_fast.encode_ordinary(" " + t) if not NEWER.search(t) else None for t in texts]
+        if not texts:
+            return out
+        a = [None if NEWER.search(t) or len(t) > 1000 and _blank(raws[i]) >= 1000 and BLANKS.search(t) else self.a_fast.encode_ordinary(" " + t)
+             for i, t in zip(at, texts)]
         rest = [k for k, x in enumerate(a) if x is None]
         for k, x in zip(rest, self.a_model.encode_batch_fast([" " + texts[k] for k in rest], add_special_tokens=False)):
             a[k] = x.ids
-        b = self.b_model.encode(texts, num_threads=1) if texts else []
-        for i, x, y in zip(at, a, b):
-            whole = b" " + raws[i]
-            if self.a.covers(x, whole) and self.b.covers(y, whole):
+        ids = [[np.array(x, dtype=np.int64) for x in side] for side in (a, self.b_model.encode(texts, num_threads=1))]
+        whole = [b" " + raws[i] for i in at]
+        fine = all(side.covers(np.concatenate(x), b"".join(whole)) for side, x in zip((self.a, self.b), ids))
+        for i, x, y, raw in zip(at, *ids, whole):
+            if fine or self.a.covers(x, raw) and self.b.covers(y, raw):
                 out[i] = (x, y)
         return out
 
@@ -172,20 +180,18 @@ class Aligner:
         return [("".join(words[w0:w1]), g1 - g0, links[l0:l1]) for w0, w1, g0, g1, l0, l1 in
                 zip(first_word, first_word[1:], first_group, first_group[1:], first_link, first_link[1:])]
 
-    def links(self, encoded: list[tuple[list[int], list[int]] | None]) -> list[tuple[str, int, np.ndarray]]:
+    def links(self, encoded: list[tuple[np.ndarray, np.ndarray] | None]) -> list[tuple[str, int, np.ndarray]]:
         """For each document its groups as text, their number, and all its links."""
         have = [x for x in encoded if x]
         if not have:
             return [("", 0, np.empty(0, np.int64))] * len(encoded)
         if self.held > MEMO_IDS:
             self.forget()
-        a_ids, b_ids = (list(chain.from_iterable(x[k] for x in have)) for k in (0, 1))
-        a, b = np.array(a_ids, dtype=np.int64), np.array(b_ids, dtype=np.int64)
+        a, b = (np.concatenate([x[k] for x in have]) for k in (0, 1))
         at, bt = self.anchors(a, b)
-        first, same = _distinct(a, b, at, bt)
+        first, same, keys = _distinct(a, b, at, bt)
         numbers, new = [], []
-        for w, i0, i1, j0, j1 in zip(first.tolist(), at[first].tolist(), at[first + 1].tolist(), bt[first].tolist(), bt[first + 1].tolist()):
-            key = (tuple(a_ids[i0:i1]), tuple(b_ids[j0:j1]))
+        for w, key in zip(first.tolist(), keys):
             n = self.memo.get(key)
             if n is None:
                 n = self.memo[key] = len(self.told) + len(new)
@@ -209,7 +215,7 @@ class Aligner:
         return [next(out) if x else ("", 0, np.empty(0, np.int64)) for x in encoded]
 
     def forget(self) -> None:
-        self.memo: dict[tuple, int] = {}
+        self.memo: dict[bytes | tuple, int] = {}
         self.told: list[str] = []                       # by number: a window's groups, ...
         self.sizes = np.empty((0, 2), np.int64)         # ... how many groups and links it has, ...
         self.starts = np.empty(0, np.int64)             # ... and where its links start in the pool
@@ -222,8 +228,9 @@ SHORT_IDS = 12
 _ODD = np.random.default_rng(12).integers(1, 2**63, SHORT_IDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _distinct(a: np.ndarray, b: np.ndarray, at: np.ndarray, bt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One window of each kind in a batch, and for every window which of those it equals."""
+def _distinct(a: np.ndarray, b: np.ndarray, at: np.ndarray, bt: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """One window of each kind in a batch, for every window which of those it
+    equals, and the id tuple of each kind (a short one packed: the number of A ids, the ids, then -1)."""
     n_a, n_b = np.diff(at), np.diff(bt)
     short = np.flatnonzero(n_a + n_b <= SHORT_IDS)
     n = n_a[short], n_b[short]
@@ -238,7 +245,13 @@ def _distinct(a: np.ndarray, b: np.ndarray, at: np.ndarray, bt: np.ndarray) -> t
     long = np.flatnonzero(n_a + n_b > SHORT_IDS)
     of = np.empty(len(n_a), np.int64)
     of[short], of[long] = same.reshape(-1), len(first) + np.arange(len(long))
-    return np.concatenate([short[first], long]), of
+    packed = rows[first].astype("<i4").view(f"V{4 * (SHORT_IDS + 1)}").reshape(-1).tolist()
+    keys = packed + [(tuple(a[at[w]:at[w + 1]].tolist()), tuple(b[bt[w]:bt[w + 1]].tolist())) for w in long.tolist()]
+    return np.concatenate([short[first], long]), of, keys
+
+
+def _blank(raw: bytes) -> int:
+    return len(raw) - len(raw.translate(None, b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f ")) + raw.count(b"\xc2\x85") + raw.count(b"\xc2\xa0")
 
 
 def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
