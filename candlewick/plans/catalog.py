@@ -27,14 +27,15 @@ from candlewick.operators.profile import correlation_matrix, describe, mean_by_h
 from candlewick.operators.windows import (Spec, apply_specs, diff, expand_features, rate_of_change, rolling_mean,
                                           rolling_std)
 from candlewick.functions.scalar import thousands
-from candlewick.plans import jobs, marts, messages, serving
+from candlewick.plans import jobs, marts, serving
 from candlewick.plans.compare import shape
 from candlewick.plans.ingest import ingest
-from candlewick.sources import derived, landing
+from candlewick.sources import derived, landing, messages
 from candlewick.sources.sinks import append_landing, read_mart
 from candlewick.session import scratch_path
 from candlewick.sources.tables import table
 from candlewick.streaming import replay
+from candlewick.streaming.hot_path import TOPICS, periodic_cross_check
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -666,14 +667,15 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 
 
-# -- streaming hot path (events through a running file-source query) -----------
+# -- streaming hot path (events through running file-source queries) ------------
 
-# Fixed value: days of events that one micro-batch delivers.
+# Days of a block in the block query, and the cap of the capped query (below most symbols' trades even at small scale).
 DAYS = 10
+SMALL_CAP = 22
 
 
-def _stream_stores(spark, sf, days=DAYS):
-    return replay.stores(spark, replay.run_hot_path(spark, sf, days=days))
+def _hot(spark, sf, cap=10000):
+    return replay.run_hot_path(spark, sf, cap)
 
 
 SQL_STREAM_TRADES = f"""
@@ -682,6 +684,28 @@ tr AS (SELECT 'KRW-U' || CAST(user_id AS VARCHAR) AS symbol, value AS price, (ep
               event_id
        FROM msgs WHERE mtype = 'trade' AND k >= 20)"""
 
+# Every trade with its means, the means before it, its cross and its place from the newest.
+SQL_CROSSES = f"""WITH {SQL_STREAM_TRADES},
+b AS (SELECT *, floor(ts_ms / {DAYS * 86_400_000}.0) AS blk FROM tr),
+m AS (SELECT *, {_roll('avg', 'price', 5, 'symbol', 'ts_ms, event_id')} AS ma_short,
+             {_roll('avg', 'price', 20, 'symbol', 'ts_ms, event_id')} AS ma_long,
+             lead(blk) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS next_blk,
+             row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC, event_id DESC) AS back FROM b),
+l AS (SELECT *, lag(ma_short) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS ps,
+                lag(ma_long) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS pl FROM m),
+k AS (SELECT *, CASE WHEN ps <= pl AND ma_short > ma_long THEN 'golden'
+                     WHEN ps >= pl AND ma_short < ma_long THEN 'dead' END AS kind FROM l),
+c AS (SELECT symbol, kind, ts_ms AS event_time_ms, round(ma_short, 4) AS ma_short, round(ma_long, 4) AS ma_long, event_id, blk, next_blk, back,
+             symbol || ' ' || kind || ' cross: MA5 ' || format('{{:,}}', CAST(round_even(k.ma_short, 0) AS BIGINT)) || ', MA20 '
+             || format('{{:,}}', CAST(round_even(k.ma_long, 0) AS BIGINT)) || ' at '
+             || regexp_replace(strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H:%M:%S.%f'), '\\.?0+$', '') AS message
+      FROM k WHERE kind IS NOT NULL)"""
+
+
+def _alerts(df, *extra):
+    return shape(df.select("symbol", "kind", F.unix_millis("event_time").alias("event_time_ms"), "ma_short", "ma_long", *extra),
+                 {"ma_short": 4, "ma_long": 4})
+
 
 @register("stream_snapshot", f"""
 WITH {SQL_MESSAGES},
@@ -691,60 +715,58 @@ SELECT symbol, price, ts_ms, event_id AS "offset"
 FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC, event_id DESC) AS rk FROM tk)
 WHERE rk = 1""")
 def q_stream_snapshot(spark, sf):
-    """STR-02/03, SNK-06: latest ticker per symbol after streaming all
+    """STR-02/03, SNK-06: latest ticker per symbol from the state after all
     events (event time, then offset, wins)."""
-    s = _stream_stores(spark, sf)["snapshot_ticker"].read()
+    s = _hot(spark, sf).latest(spark, "ticker")
     return s.select("symbol", "price", F.unix_millis("ts").alias("ts_ms"), "offset")
 
 
-@register("stream_recent", "WITH " + SQL_STREAM_TRADES + """
+def _recent_sql(cap):
+    return "WITH " + SQL_STREAM_TRADES + f"""
 SELECT symbol, event_id AS "offset", price, ts_ms
 FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC, event_id DESC) AS rk FROM tr)
-WHERE rk <= 10000""")
+WHERE rk <= {cap}"""
+
+
+def _recent(spark, sf, cap):
+    return _hot(spark, sf, cap).trades(spark).select("symbol", "offset", "price", F.unix_millis("ts").alias("ts_ms"))
+
+
+@register("stream_recent", _recent_sql(10000))
 def q_stream_recent(spark, sf):
     """STR-04, SNK-05: newest 10,000 trades per symbol kept by the stream."""
-    t = _stream_stores(spark, sf)["trades"].read()
-    return t.select("symbol", "offset", "price", F.unix_millis("ts").alias("ts_ms"))
+    return _recent(spark, sf, 10000)
 
 
-@register("stream_alerts", "WITH " + SQL_STREAM_TRADES + f""",
-m AS (SELECT *, {_roll('avg', 'price', 5, 'symbol', 'ts_ms, event_id')} AS ma_short,
-             {_roll('avg', 'price', 20, 'symbol', 'ts_ms, event_id')} AS ma_long,
-             row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC, event_id DESC) AS back FROM tr),
-l AS (SELECT *, lag(ma_short) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS ps,
-                lag(ma_long) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS pl FROM m),
-k AS (SELECT *, CASE WHEN ps <= pl AND ma_short > ma_long THEN 'golden'
-                     WHEN ps >= pl AND ma_short < ma_long THEN 'dead' END AS kind FROM l)
-SELECT symbol, kind, ts_ms AS event_time_ms, round(ma_short, 4) AS ma_short, round(ma_long, 4) AS ma_long
-FROM k WHERE kind IS NOT NULL AND back = 1""")
-def q_stream_alerts(spark, sf):
-    """STR-05: MA(5)/MA(20) cross alerts at the newest trade per symbol of all
-    events, taken as one micro-batch."""
-    return _alerts(_stream_stores(spark, sf, days=None))
+@register("stream_recent_capped", _recent_sql(SMALL_CAP))
+def q_stream_recent_capped(spark, sf):
+    """STR-04, SNK-05 with a cap that binds: trades are evicted on arrival."""
+    return _recent(spark, sf, SMALL_CAP)
 
 
-def _alerts(stores):
-    a = stores["alerts"].read()
-    return shape(a.select("symbol", "kind", F.unix_millis("event_time").alias("event_time_ms"), "ma_short",
-                          "ma_long"), {"ma_short": 4, "ma_long": 4})
+@register("stream_alerts_every", SQL_CROSSES + """
+SELECT symbol, kind, event_time_ms, ma_short, ma_long, message, event_id AS "offset" FROM c""")
+def q_stream_alerts_every(spark, sf):
+    """STR-05: a cross alert with its message at every trade, however the
+    trades are cut into micro-batches."""
+    return _alerts(_hot(spark, sf).alerts(spark), "message", "offset")
 
 
-@register("stream_alerts_blocks", "WITH " + SQL_STREAM_TRADES + f""",
-b AS (SELECT *, floor(ts_ms / {DAYS * 86_400_000}.0) AS blk FROM tr),
-m AS (SELECT *, {_roll('avg', 'price', 5, 'symbol', 'ts_ms, event_id')} AS ma_short,
-             {_roll('avg', 'price', 20, 'symbol', 'ts_ms, event_id')} AS ma_long,
-             lead(blk) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS next_blk FROM b),
-l AS (SELECT *, lag(ma_short) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS ps,
-                lag(ma_long) OVER (PARTITION BY symbol ORDER BY ts_ms, event_id) AS pl FROM m),
-k AS (SELECT *, CASE WHEN ps <= pl AND ma_short > ma_long THEN 'golden'
-                     WHEN ps >= pl AND ma_short < ma_long THEN 'dead' END AS kind FROM l)
-SELECT symbol, kind, ts_ms AS event_time_ms, round(ma_short, 4) AS ma_short, round(ma_long, 4) AS ma_long
-FROM k WHERE kind IS NOT NULL AND (next_blk IS NULL OR next_blk <> blk)""")
+@register("stream_alerts", SQL_CROSSES + """
+SELECT symbol, kind, event_time_ms, ma_short, ma_long FROM c WHERE back = 1""")
+def q_stream_alerts(spark, sf):
+    """STR-05 on a schedule: MA(5)/MA(20) crosses at the newest stored trade of each symbol."""
+    return _alerts(periodic_cross_check(spark, _hot(spark, sf).root, seconds=0))
+
+
+@register("stream_alerts_blocks", SQL_CROSSES + """
+SELECT symbol, kind, event_time_ms, ma_short, ma_long FROM c WHERE next_blk IS NULL OR next_blk <> blk""")
 def q_stream_alerts_blocks(spark, sf):
-    """STR-05: MA(5)/MA(20) cross alerts at each micro-batch's newest trade
-    per symbol, emitted once per (symbol, kind, event_time); a batch is a
-    block of ten days."""
-    return _alerts(_stream_stores(spark, sf))
+    """STR-05: of all alerts those at a symbol's newest trade of a block of ten days."""
+    hot = _hot(spark, sf)
+    block = F.floor(F.unix_millis("ts") / F.lit(DAYS * 86_400_000.0))
+    newest = hot.trades(spark).groupBy("symbol", block.alias("block")).agg(F.max("number"), F.max_by(F.struct("topic", "partition", "offset"), "number").alias("at"))
+    return _alerts(hot.alerts(spark).join(newest.select("symbol", "at.*"), ["symbol", "topic", "partition", "offset"], "left_semi"))
 
 
 @register("stream_rejected", f"""
@@ -753,8 +775,7 @@ SELECT event_id AS "offset", CASE WHEN k < 5 THEN NULL ELSE mtype END AS type, {
 FROM msgs WHERE (mtype IN ('trade', 'ticker', 'orderbook') AND k < 20) OR k < 5""")
 def q_stream_rejected(spark, sf):
     """STR-08: every invalid message lands in the dead-letter table with its reason."""
-    r = _stream_stores(spark, sf)["rejected"].read()
-    return r.select("offset", "type", "reason")
+    return _hot(spark, sf).rejected(spark).select("offset", "type", "reason")
 
 
 @register("stream_orderbook", f"""
@@ -765,11 +786,34 @@ SELECT symbol, total_ask_size, total_bid_size, ts_ms, event_id AS "offset"
 FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC, event_id DESC) AS rk FROM ob)
 WHERE rk = 1""")
 def q_stream_orderbook(spark, sf):
-    """SNK-06: latest order book per symbol, read back from its snapshot store."""
-    s = _stream_stores(spark, sf)["snapshot_orderbook"].read()
+    """SNK-06: latest order book per symbol, read back from the state."""
+    s = _hot(spark, sf).latest(spark, "orderbook")
     return s.select("symbol", "total_ask_size", "total_bid_size", F.unix_millis("ts").alias("ts_ms"), "offset")
 
 
+SQL_TOPICS = "CASE mtype " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TOPICS.items()) + " END"
+
+
+@register("stream_routed", f"""
+WITH {SQL_MESSAGES},
+v AS (SELECT *, 'KRW-U' || CAST(user_id AS VARCHAR) AS symbol, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS iso
+      FROM msgs WHERE mtype IN ('trade', 'ticker', 'orderbook') AND k >= 20)
+SELECT {SQL_TOPICS} AS topic, symbol AS key, mtype AS type, value AS price, CAST(k AS DOUBLE) AS qty, iso AS timestamp,
+       CASE mtype WHEN 'trade' THEN '{{"type":"trade","symbol":"' || symbol || '","trade_price":' || CAST(value AS VARCHAR) || ',"trade_volume":'
+         || CAST(CAST(k AS DOUBLE) AS VARCHAR) || ',"side":"' || CASE WHEN user_id % 2 = 0 THEN 'BID' ELSE 'ASK' END || '","timestamp":"' || iso || '"}}' END AS trade
+FROM v""")
+def q_stream_routed(spark, sf):
+    """SNK-04 / SRC-05 / PRJ-05: three topics as one subscription into the routing
+    sink; what the sink holds by topic and key, canonical names and JSON."""
+    r = spark.read.schema("topic string, key string, value string").parquet(replay.run_routing(spark, sf))
+    fields = {n: (f"$.{n}", t) for n, t in (("type", "string"), ("trade_price", "double"), ("total_bid_size", "double"), ("trade_volume", "double"),
+                                            ("acc_trade_volume_24h", "double"), ("total_ask_size", "double"), ("timestamp", "string"))}
+    t = json_fields(r, "value", fields)
+    return t.select("topic", "key", "type", F.coalesce("trade_price", "total_bid_size").alias("price"),
+                    F.coalesce("trade_volume", "acc_trade_volume_24h", "total_ask_size").alias("qty"), "timestamp",
+                    F.when(F.col("type") == "trade", F.col("value")).alias("trade"))
+
+
 # -- serving reads (PIP-09) and ingest (PIP-08) --------------------------------
 
 def _stats_mart(spark, sf):
@@ -836,8 +880,7 @@ tk AS (SELECT 'KRW-U' || CAST(user_id AS VARCHAR) AS symbol, value AS price, (ep
 SELECT symbol, price, ts_ms FROM tk ORDER BY ts_ms DESC, event_id DESC LIMIT 1""")
 def q_realtime_price(spark, sf):
     """PRJ-12: latest price of one market from the stream snapshot."""
-    snap = _stream_stores(spark, sf)["snapshot_ticker"].read()
-    r = serving.realtime_price(snap, "KRW-U1")
+    r = serving.realtime_price(_hot(spark, sf).latest(spark, "ticker"), "KRW-U1")
     return r.select("symbol", "price", F.unix_millis("timestamp").alias("ts_ms"))
 
 

@@ -143,16 +143,24 @@ def ma_cross_events(series: DataFrame, key: str, ts: str, price: str, short: int
     return rows.where(F.col("kind").isNotNull()).select(key, ts, "kind", "ma_short", "ma_long")
 
 
+def cross_message(key, kind, ma_short, ma_long, time, short: int = 5, long: int = 20) -> F.Column:
+    """The text of a cross alert."""
+    return F.format_string("%s %s cross: MA%d %s, MA%d %s at %s", F.col(key).cast("string"), F.col(kind), F.lit(short),
+                           F.format_number(ma_short, 0), F.lit(long), F.format_number(ma_long, 0), F.col(time).cast("string"))
+
+
 def detect_ma_cross(series: DataFrame, key: str, ts: str, price: str, short: int = 5, long: int = 20,
-                    tiebreak: str | Sequence[str] | None = None) -> DataFrame:
+                    tiebreak: str | Sequence[str] | None = None, time: str | None = None) -> DataFrame:
     """PIP-05: per key, the newest ``long + 1`` rows, MA short/long, the last
     two complete rows, and a golden/dead alert row with its message.
-    ``tiebreak`` (e.g. topic, partition and offset) orders rows with equal ``ts``.
+    ``tiebreak`` (e.g. topic, partition and offset) orders rows with equal
+    ``ts``; ``time`` is the column told as event time (default ``ts``).
 
     One exchange: the newest rows are limited in every task before it, and all
     further windows run on what is left of each key (``long + 1`` rows)."""
     order = [ts, *([tiebreak] if isinstance(tiebreak, str) else tiebreak or [])]
-    recent = newest_n_per_key(series.select(key, *order, price), key, order, long + 1)
+    told = [] if time in (None, *order) else [time]
+    recent = newest_n_per_key(series.select(key, *order, *told, price), key, order, long + 1)
     w = Window.partitionBy(key).orderBy(*order)
     mas = recent.select("*", rolling_mean(price, short)(w).alias("ma_short"), rolling_mean(price, long)(w).alias("ma_long"))
     mas = mas.where(F.col("ma_short").isNotNull() & F.col("ma_long").isNotNull())
@@ -161,10 +169,8 @@ def detect_ma_cross(series: DataFrame, key: str, ts: str, price: str, short: int
     golden = (F.col("_ps") <= F.col("_pl")) & (F.col("ma_short") > F.col("ma_long"))
     dead = (F.col("_ps") >= F.col("_pl")) & (F.col("ma_short") < F.col("ma_long"))
     kind = F.when(golden, F.lit("golden")).when(dead, F.lit("dead"))
-    out = last.where(F.col("_back") == 1).select(key, F.col(ts).alias("event_time"), "ma_short", "ma_long", kind.alias("kind"))
-    msg = F.format_string("%s %s cross: MA%d %s, MA%d %s at %s", F.col(key).cast("string"), F.col("kind"),
-                          F.lit(short), F.format_number("ma_short", 0), F.lit(long),
-                          F.format_number("ma_long", 0), F.col("event_time").cast("string"))
+    out = last.where(F.col("_back") == 1).select(key, F.col(time or ts).alias("event_time"), "ma_short", "ma_long", kind.alias("kind"))
+    msg = cross_message(key, "kind", "ma_short", "ma_long", "event_time", short, long)
     return out.where(F.col("kind").isNotNull()).select(key, "kind", "event_time", "ma_short", "ma_long", msg.alias("message"))
 
 

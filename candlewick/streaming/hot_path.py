@@ -1,19 +1,16 @@
 """Structured Streaming hot path (PIP-07: STR-01..08, SNK-04..06).
 
-Source -> micro-batch -> one VARIANT parse -> contract check -> one
-``foreachBatch`` that persists the batch once and updates:
-
-* ``snapshot_ticker`` / ``snapshot_orderbook``: latest message per symbol,
-  ordered by (event time, source offset) so an older event never overwrites
-  a newer one (SNK-06, STR-03);
-* ``trades``: the newest ``cap`` trades per symbol (SNK-05, STR-04);
-* ``alerts``: moving-average crosses at each symbol's newest trade,
-  deduplicated by (symbol, kind, event_time) (STR-05);
-* ``rejected``: dead letters with their reasons (STR-08).
-
-State lives in :mod:`candlewick.streaming.stores`, written idempotently per
-batch id, so a replayed batch after a restart (from the checkpoint, STR-06)
-gives the same tables. No event-time window or watermark is used: the count
+Source -> micro-batch -> one VARIANT parse -> contract check, then two running
+queries over the same source, each with its own checkpoint (STR-06):
+
+* the symbol query: valid messages into the keyed state of
+  :mod:`candlewick.streaming.keyed_state` (latest ticker and order book per
+  symbol, the newest ``cap`` trades, the sliding cross window); its output rows are the alerts of every
+  moving-average cross, appended to Parquet by Spark's exactly-once file sink;
+* the dead-letter query: rejected messages with their reasons, to Parquet (STR-08).
+
+A restart goes on from the checkpoints: offsets, state and sink logs are
+committed batch by batch. No event-time window or watermark is used: the count
 cap bounds the state.
 """
 
@@ -21,30 +18,23 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators import contract as C
-from candlewick.operators.dedupe import latest_per_key, newest_n_per_key
-from candlewick.plans.marts import detect_ma_cross
-from candlewick.streaming.stores import AppendLog, KeyedStore
+from candlewick.plans.marts import cross_message, detect_ma_cross
+from candlewick.streaming.keyed_state import ALERTS, INPUT, STATE_CONF, SymbolState, read_state
 
 # Kafka source columns (the file source in tests carries the same fields).
 KAFKA_SCHEMA = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 KEEP = ("topic", "partition", "offset")
+CARRIED = (*KEEP, "timestamp")
 
 # Topic per message type.
 TOPICS = {"trade": "upbit-trades", "ticker": "upbit-tickers", "orderbook": "upbit-orderbooks"}
 
-TRADE_SCHEMA = "symbol string, ts timestamp, topic string, partition int, offset bigint, price double, volume double, side string"
-TICKER_SCHEMA = "symbol string, ts timestamp, topic string, partition int, offset bigint, price double, data string, last_updated timestamp"
-ORDERBOOK_SCHEMA = ("symbol string, ts timestamp, topic string, partition int, offset bigint, total_ask_size double, total_bid_size double, "
-                    "data string, last_updated timestamp")
-SNAPSHOT_VALUES = {"ticker": {"price": "trade_price"}, "orderbook": {"total_ask_size": "total_ask_size", "total_bid_size": "total_bid_size"}}
-# Event time decides; equal times are ordered by where the message stands in the source.
-NEWEST = ["ts", *KEEP]
-ALERT_SCHEMA = "symbol string, kind string, event_time timestamp, ma_short double, ma_long double, message string, batch bigint"
 REJECT_SCHEMA = "topic string, partition int, offset bigint, type string, reason string, raw string"
 
 
@@ -67,10 +57,17 @@ def read_message_files(spark: SparkSession, path: str, max_files: int | None = N
     return r.json(path)
 
 
+def read_topic_files(spark: SparkSession, root: str, topics=tuple(TOPICS.values()), max_files: int | None = None) -> DataFrame:
+    """One subscription to several topics laid out as folders of JSON lines
+    (SRC-05 without the connector): a union of file sources, each with its own
+    offsets in the query's one checkpoint, from the earliest file on."""
+    return reduce(DataFrame.unionByName, [read_message_files(spark, os.path.join(root, t), max_files) for t in topics])
+
+
 def parse_stream(raw: DataFrame) -> DataFrame:
     """STR-01: decode, dispatch on ``type``, validate; bad messages survive
     as rows with ``errors``."""
-    return C.check_messages(C.parse_messages(raw, "value", KEEP), KEEP)
+    return C.check_messages(C.parse_messages(raw, "value", CARRIED), CARRIED)
 
 
 def route_by_type(checked: DataFrame) -> DataFrame:
@@ -85,88 +82,72 @@ def route_by_type(checked: DataFrame) -> DataFrame:
                   .select(topic.alias("topic"), sym.alias("key"), body.alias("value"))
 
 
-@dataclass
+def symbol_rows(checked: DataFrame) -> DataFrame:
+    """Valid messages of the three types as rows of the keyed state's input."""
+    t = F.col("_type")
+    body = lambda field, *kinds: F.coalesce(*[F.col(f"{k}.{field}") for k in kinds])
+    every = tuple(TOPICS)
+    return checked.where(t.isin(*TOPICS) & (F.size("errors") == 0)).select(
+        body("symbol", *every).alias("symbol"), t.alias("kind"), body("timestamp", *every).alias("ts"), F.col("timestamp").alias("arrived"), *KEEP,
+        body("trade_price", "trade", "ticker").alias("price"), F.col("trade.trade_volume").alias("volume"), F.col("trade.side").alias("side"),
+        F.col("orderbook.total_ask_size").alias("total_ask_size"), F.col("orderbook.total_bid_size").alias("total_bid_size"),
+        F.when(t == "ticker", F.to_json("ticker")).when(t == "orderbook", F.to_json("orderbook")).alias("data"),
+        F.current_timestamp().alias("last_updated")).select(*INPUT)
+
+
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    reason = F.col("errors")[0]
+    return checked.where(F.size("errors") > 0).select(*KEEP, F.when(~reason.startswith("malformed"), F.col("_type")).alias("type"),
+                                                      reason.alias("reason"), F.col("_text").alias("raw"))
+
+
+@dataclass(frozen=True)
 class HotPath:
-    """The ``foreachBatch`` body of STR-02 over a stores root folder."""
+    """Where a hot path keeps its tables and checkpoints."""
     root: str
-    cap: int = 10000
-    short: int = 5
-    long: int = 20
-    buckets: int = 16
-
-    def __post_init__(self):
-        if self.cap < self.long + 1:
-            raise ValueError(f"cap {self.cap} keeps fewer trades than the {self.long + 1} that a cross needs")
-
-    def stores(self, spark: SparkSession) -> dict:
-        j = lambda n: os.path.join(self.root, n)
-        return {
-            "trades": KeyedStore(spark, j("trades"), "symbol", TRADE_SCHEMA, self.buckets),
-            "snapshot_ticker": KeyedStore(spark, j("snapshot_ticker"), "symbol", TICKER_SCHEMA, self.buckets),
-            "snapshot_orderbook": KeyedStore(spark, j("snapshot_orderbook"), "symbol", ORDERBOOK_SCHEMA,
-                                             self.buckets),
-            "alerts": KeyedStore(spark, j("alerts"), "symbol", ALERT_SCHEMA, self.buckets),
-            "rejected": AppendLog(spark, j("rejected"), REJECT_SCHEMA),
-        }
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        st = self.stores(spark)
-        checked = parse_stream(batch).persist()
-        try:
-            ok = F.size("errors") == 0
-            now = F.current_timestamp()
-            trades = checked.where((F.col("_type") == "trade") & ok).select(
-                F.col("trade.symbol").alias("symbol"), F.col("trade.timestamp").alias("ts"), *KEEP,
-                F.col("trade.trade_price").alias("price"), F.col("trade.trade_volume").alias("volume"),
-                F.col("trade.side").alias("side"))
-            # buckets touched per store, for all stores in one small job
-            sym = F.coalesce(F.col("trade.symbol"), F.col("ticker.symbol"), F.col("orderbook.symbol"))
-            b = st["trades"].bucket_of("_sym")
-            hit: dict[str, set[int]] = {}
-            for r in checked.where(ok & F.col("_type").isin("trade", "ticker", "orderbook")) \
-                            .select(F.col("_type"), sym.alias("_sym")).select("_type", b.alias("b")) \
-                            .distinct().collect():                # <= 3 * buckets rows
-                hit.setdefault(r["_type"], set()).add(r["b"])
-            st["trades"].merge(trades, batch_id,
-                               lambda d: newest_n_per_key(d.dropDuplicates(["symbol", *KEEP]), "symbol", NEWEST, self.cap),
-                               touched=hit.get("trade", set()))
-            for kind, values in SNAPSHOT_VALUES.items():
-                snap = checked.where((F.col("_type") == kind) & ok).select(
-                    F.col(f"{kind}.symbol").alias("symbol"), F.col(f"{kind}.timestamp").alias("ts"), *KEEP,
-                    *[F.col(f"{kind}.{v}").alias(c) for c, v in values.items()], F.to_json(kind).alias("data"),
-                    now.alias("last_updated"))
-                st[f"snapshot_{kind}"].merge(snap, batch_id,
-                                             lambda d: latest_per_key(d, "symbol", NEWEST),
-                                             touched=hit.get(kind, set()))
-            rej = checked.where(F.size("errors") > 0).select(
-                *KEEP, F.when(~F.col("errors")[0].startswith("malformed"), F.col("_type")).alias("type"),
-                F.col("errors")[0].alias("reason"), F.col("_text").alias("raw"))
-            st["rejected"].write(rej, batch_id)
-            # STR-05: crosses at each symbol's newest trade; emit once
-            if not hit.get("trade"):
-                return
-            touched = trades.select("symbol").distinct()
-            series = st["trades"].read(only=hit["trade"]).join(touched, "symbol", "left_semi")
-            fresh = detect_ma_cross(series, "symbol", "ts", "price", self.short, self.long,
-                                    tiebreak=list(KEEP))
-            # an alert counts once, as the batch that found it first told it
-            w = Window.partitionBy("symbol", "kind", "event_time").orderBy("batch")
-            once = lambda d: d.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
-            st["alerts"].merge(fresh.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id, once, touched=hit["trade"])
-        finally:
-            checked.unpersist()
-
-
-def start_hot_path(raw: DataFrame, root: str, checkpoint: str, cap: int = 10000, trigger: dict | None = None,
-                   short: int = 5, long: int = 20, buckets: int = 16):
-    """STR-02: one subscription feeding every store through one
-    ``foreachBatch``; returns the running query. With many symbols choose more
-    ``buckets``: a batch rewrites the buckets that its symbols fall in."""
-    w = raw.writeStream.foreachBatch(HotPath(root, cap, short, long, buckets)).option("checkpointLocation", checkpoint)
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
+
+    def path(self, *parts: str) -> str:
+        return os.path.join(self.root, *parts)
+
+    def latest(self, spark: SparkSession, kind: str) -> DataFrame:
+        """The snapshot: newest ticker or order book of each symbol (STR-03)."""
+        return read_state(spark, self.path("checkpoint", "symbols"), kind)
+
+    def trades(self, spark: SparkSession) -> DataFrame:
+        """The newest ``cap`` trades of each symbol, ``number`` counting from its first trade (STR-04)."""
+        return read_state(spark, self.path("checkpoint", "symbols"), "trades")
+
+    def alerts(self, spark: SparkSession) -> DataFrame:
+        """Every cross, once, with its message (STR-05)."""
+        return spark.read.schema(ALERTS + ", message string").parquet(self.path("alerts"))
+
+    def rejected(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(REJECT_SCHEMA).parquet(self.path("rejected"))
+
+
+def start_hot_path(raw: DataFrame, root: str, cap: int = 10000, trigger: dict | None = None, short: int = 5, long: int = 20) -> list:
+    """STR-02: the two running queries over one subscription, with their
+    tables and checkpoints under ``root``. The number of state partitions is
+    ``spark.sql.shuffle.partitions`` of the first start."""
+    hot, spark = HotPath(root), raw.sparkSession
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    checked = parse_stream(raw)
+    alerts = symbol_rows(checked).groupBy("symbol").transformWithStateInPandas(SymbolState(cap, short, long), ALERTS, "Append", "None")
+    message = cross_message("symbol", "kind", "ma_short", "ma_long", "event_time", short, long)
+    out = []
+    for name, df, where in (("symbols", alerts.withColumn("message", message), "alerts"), ("rejected", rejected_rows(checked), "rejected")):
+        w = df.writeStream.format("parquet").outputMode("append").option("path", hot.path(where)) \
+              .option("checkpointLocation", hot.path("checkpoint", name))
+        out.append((w.trigger(**trigger) if trigger else w).start())
+    return out
+
+
+def run_available(raw: DataFrame, root: str, **options) -> HotPath:
+    """Take what the source holds now, then stop."""
+    for q in start_hot_path(raw, root, trigger={"availableNow": True}, **options):
+        q.awaitTermination()
+    return HotPath(root)
 
 
 def refresh_on_landing(spark: SparkSession, landing_path: str, schema: str, refresh, checkpoint: str):
@@ -186,10 +167,9 @@ def route_stream(raw: DataFrame, checkpoint: str, sink: str = "kafka", trigger:
     return (w.trigger(**trigger) if trigger else w).start()
 
 
-def periodic_cross_check(spark: SparkSession, root: str, seconds: int = 600, short: int = 5, long: int = 20, cap: int = 10000, buckets: int = 16) -> DataFrame:
-    """STR-05: crosses at the newest trade of every stored series, one row per
-    symbol with its message; ``seconds`` is the age of the newest trade from
-    which a series counts as stale and is left out (0: none). Run it on a schedule."""
-    trades = HotPath(root, cap, short, long, buckets).stores(spark)["trades"].read()
-    alerts = detect_ma_cross(trades, "symbol", "ts", "price", short, long, tiebreak=list(KEEP))
+def periodic_cross_check(spark: SparkSession, root: str, seconds: int = 600, short: int = 5, long: int = 20) -> DataFrame:
+    """STR-05 on a schedule: crosses at the newest trade of every stored
+    series, one row per symbol with its message; ``seconds`` is the age of the newest trade from
+    which a series counts as stale and is left out (0: none)."""
+    alerts = detect_ma_cross(HotPath(root).trades(spark), "symbol", "number", "price", short, long, time="ts")
     return alerts.where(F.col("event_time") >= F.current_timestamp() - F.make_interval(secs=F.lit(seconds))) if seconds else alerts

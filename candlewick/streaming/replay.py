@@ -1,13 +1,11 @@
-"""The driver ``events`` as a message stream through the hot path.
-
-``events`` is read by a file-source stream (``availableNow``); its rows become
-messages with the Kafka column layout (offset = event id) inside the streaming
-plan and feed :class:`candlewick.streaming.hot_path.HotPath`. Stores and
-checkpoint lie under the shared checkpoint root that the session names.
-
-With ``days`` the events are first written once by blocks of that many days;
-the blocks are delivered in order into the watched folder, and after each the
-query restarts from its checkpoint (STR-06) and takes it as one micro-batch.
+"""The driver ``events`` as topics of stream messages.
+
+``events`` is written once as files of the Kafka column layout (offset =
+event id), ``BLOCKS`` spans of time one after the other, in each span a
+symbol's messages in one file: the way a keyed topic holds them. The hot path
+then reads the files as one running subscription, a few files per trigger, so
+it takes many micro-batches. Files, tables and checkpoints lie under the shared
+checkpoint root that the session names.
 """
 
 from __future__ import annotations
@@ -17,10 +15,15 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.plans.messages import messages_from_events
 from candlewick.session import scratch_path
+from candlewick.sources.messages import messages_from_events
 from candlewick.sources.tables import table
-from candlewick.streaming.hot_path import TOPICS, HotPath, start_hot_path
+from candlewick.streaming.hot_path import TOPICS, HotPath, read_message_files, read_topic_files, route_stream, run_available
+
+#: Spans of time, and files of each span.
+BLOCKS, FILES = 12, 2
+#: Fixed value: what the names of topics begin with.
+TOPIC_PREFIX = os.path.commonprefix(list(TOPICS.values()))
 
 _DONE: dict[tuple, str] = {}
 
@@ -29,51 +32,60 @@ def kafka_records(events: DataFrame) -> DataFrame:
     """key, value, topic, partition, offset, timestamp."""
     m = messages_from_events(events)
     topic = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in TOPICS.items() for x in kv]),
-                                    F.col("mtype")), F.concat(F.lit("upbit-"), F.col("mtype")))
+                                    F.col("mtype")), F.concat(F.lit(TOPIC_PREFIX), F.col("mtype")))
     return m.select(F.concat(F.lit("KRW-U"), F.col("user_id").cast("string")).alias("key"), "value",
                     topic.alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
                     F.col("ts").cast("timestamp").alias("timestamp"))
 
 
-def block_of(ts: str, days: int):
-    return F.floor(F.unix_millis(F.col(ts).cast("timestamp")) / F.lit(days * 86_400_000.0))
-
-
-def _run_blocks(spark: SparkSession, sf_dir: str, cap: int, days: int) -> str:
-    base = scratch_path(spark, "hotpath")
-    staged, src, root = (os.path.join(base, n) for n in ("staged", "source", "stores"))
-    events = table(spark, sf_dir, "events")
-    events.withColumn("block", block_of("ts", days)).hint("rebalance", "block").write.partitionBy("block").parquet(staged)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(path(src))
-    names = [n for st in fs.listStatus(path(staged)) if (n := st.getPath().getName()).startswith("block=")]
-    number = lambda n: int(n[6:]) if n[6:].lstrip("-").isdigit() else float("inf")  # noqa: E731  (rows without a time come last)
-    for n in sorted(names, key=number):
-        if not fs.rename(path(os.path.join(staged, n)), path(os.path.join(src, n))):
-            raise RuntimeError(f"{n} could not be delivered to {src}")
-        arrived = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(src)
-        start_hot_path(kafka_records(arrived), root, os.path.join(base, "checkpoint"), cap, {"availableNow": True}).awaitTermination()
-    return root
-
-
-def run_hot_path(spark: SparkSession, sf_dir: str, cap: int = 10000, days: int | None = None) -> str:
-    """Stream all events through the hot path, in one micro-batch or in blocks
-    of ``days``; returns the stores root (one run per application, table
-    folder, cap and days)."""
-    k = (spark.sparkContext.applicationId, sf_dir, cap, days)
-    if k not in _DONE and days:
-        _DONE[k] = _run_blocks(spark, sf_dir, cap, days)
-    if k not in _DONE:
-        base = scratch_path(spark, "hotpath")
-        schema = table(spark, sf_dir, "events").schema
-        # as a pattern the path may name one file or a folder of part files
-        events = spark.readStream.schema(schema).parquet(os.path.join(sf_dir, "events.parque[t]"))
-        root = os.path.join(base, "stores")
-        start_hot_path(kafka_records(events), root, os.path.join(base, "checkpoint"), cap, {"availableNow": True}).awaitTermination()
-        _DONE[k] = root
-    return _DONE[k]
-
-
-def stores(spark: SparkSession, root: str, cap: int = 10000) -> dict:
-    return HotPath(root, cap).stores(spark)
+def blocks_of(records: DataFrame, blocks: int = BLOCKS, time: str = "timestamp"):
+    """Conditions that cut the records into equal spans of time; rows without a time are in the last."""
+    low, high = records.agg(F.min(F.unix_micros(time)), F.max(F.unix_micros(time))).first()
+    if low is None:
+        return [F.lit(True)]
+    width = max((high - low) // blocks + 1, 1)
+    number = F.coalesce(F.floor((F.unix_micros(time) - F.lit(low)) / F.lit(width)), F.lit(blocks - 1))
+    return [number == n for n in range(blocks)]
+
+
+def deliver(records: DataFrame, path: str, by_topic: bool = False) -> None:
+    """Append the records to the watched folder, span after span, in each span a key's messages in one file."""
+    for block in blocks_of(records):
+        out = records.where(block).repartition(FILES, "key").sortWithinPartitions("timestamp", "offset")
+        if by_topic:
+            out.withColumn("folder", F.col("topic")).write.mode("append").partitionBy("folder").json(path)
+        else:
+            out.write.mode("append").json(path)
+
+
+def _once(spark: SparkSession, key: tuple, make) -> str:
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _DONE:
+        _DONE[key] = make()
+    return _DONE[key]
+
+
+def run_hot_path(spark: SparkSession, sf_dir: str, cap: int = 10000) -> HotPath:
+    """Stream all events through the hot path, once per application, table folder and cap."""
+    def stage():
+        path = scratch_path(spark, "topics")
+        deliver(kafka_records(table(spark, sf_dir, "events")), path)
+        return path
+
+    def make():
+        src = _once(spark, ("staged", sf_dir), stage)
+        return run_available(read_message_files(spark, src, FILES), scratch_path(spark, "hotpath"), cap=cap).root
+    return HotPath(_once(spark, ("run", sf_dir, cap), make))
+
+
+def run_routing(spark: SparkSession, sf_dir: str) -> str:
+    """All events through a subscription to three topics into the routing sink; returns the sink's folder."""
+    def make():
+        base = scratch_path(spark, "routing")
+        src, out = os.path.join(base, "topics"), os.path.join(base, "routed")
+        records = kafka_records(table(spark, sf_dir, "events"))
+        deliver(records.where(F.col("topic").isin(*TOPICS.values())), src, by_topic=True)
+        folders = [f"folder={t}" for t in TOPICS.values()]
+        route_stream(read_topic_files(spark, src, folders, FILES), os.path.join(base, "checkpoint"), "parquet", {"availableNow": True}, path=out).awaitTermination()
+        return out
+    return _once(spark, ("routed", sf_dir), make)

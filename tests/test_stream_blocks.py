@@ -7,10 +7,15 @@ import __spark_entry__ as E
 from candlewick.plans import catalog
 from tests.test_oracle import SF, norm
 
-SF01 = "/root/testdata/sf0.01"
+@pytest.fixture(scope="module", autouse=True)
+def few_state_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.mark.parametrize("name", ["stream_alerts_blocks", "stream_alerts", "stream_recent", "stream_snapshot", "stream_orderbook", "stream_rejected", "realtime_price"])
+@pytest.mark.parametrize("name", ["stream_alerts_every", "stream_alerts_blocks", "stream_alerts", "stream_recent", "stream_recent_capped", "stream_routed", "stream_snapshot", "stream_orderbook", "stream_rejected", "realtime_price"])
 def test_stream_query_matches_sql(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF}/events.parquet')")
@@ -20,8 +25,13 @@ def test_stream_query_matches_sql(spark, name):
     assert norm(df.select(*cols).collect()) == exp and exp
 
 
-def test_alerts_come_from_several_batches(spark):
-    alerts = catalog._stream_stores(spark, SF01)["alerts"].read().collect()
-    assert len({a.batch for a in alerts}) > 1
-    last = {(a.symbol, a.event_time) for a in catalog._stream_stores(spark, SF01, days=None)["alerts"].read().collect()}
-    assert last < {(a.symbol, a.event_time) for a in alerts}
+def test_many_micro_batches_and_a_cap_that_binds(spark):
+    import json
+    import os
+    hot = catalog._hot(spark, SF, catalog.SMALL_CAP)
+    batches = [f for f in os.listdir(hot.path("checkpoint", "symbols", "commits")) if f.isdigit()]
+    assert len(batches) >= 10
+    per = {r["symbol"]: r["count"] for r in hot.trades(spark).groupBy("symbol").count().collect()}
+    assert max(per.values()) == catalog.SMALL_CAP < max(r["count"] for r in catalog._hot(spark, SF).trades(spark).groupBy("symbol").count().collect())
+    offsets = json.loads(open(hot.path("checkpoint", "symbols", "offsets", batches[0])).read().splitlines()[-1])
+    assert offsets["logOffset"] >= 0

@@ -1,16 +1,29 @@
-"""Hot path: idempotent replay, event-time snapshot, batching independence."""
+"""Hot path on Spark's keyed state: redelivery, event-time snapshot, batching independence, cap, crosses, restart."""
 
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from candlewick.streaming.hot_path import HotPath, read_message_files
+from candlewick.streaming.hot_path import HotPath, read_message_files, run_available
 
+SCHEMA = "key string, value string, topic string, partition int, offset long, timestamp timestamp"
+#: Rows of a symbol above one segment, so that segments are added and cut.
+MANY = 700
+
+
+@pytest.fixture(scope="module", autouse=True)
+def few_state_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
-def trade(sym, ms, price, off):
-    return (sym, json.dumps({"type": "trade", "code": sym, "trade_price": price, "trade_volume": 1.0,
-                             "ask_bid": "BID", "trade_timestamp": ms}), "upbit-trades", 0, off, None)
+
+def trade(sym, ms, price, off, arrived=None):
+    return (sym, json.dumps({"type": "trade", "code": sym, "trade_price": price, "trade_volume": 1.0, "ask_bid": "BID",
+                             "trade_timestamp": ms}), "upbit-trades", 0, off, arrived)
 
 
 def ticker(sym, ms, price, off):
@@ -20,53 +33,102 @@ def ticker(sym, ms, price, off):
             "upbit-tickers", 0, off, None)
 
 
-SCHEMA = "key string, value string, topic string, partition int, offset long, timestamp timestamp"
+class Run:
+    """A watched folder and the hot path over it; each delivery is taken as micro-batches of one file."""
+
+    def __init__(self, spark, tmp_dir, name="a", **options):
+        self.spark, self.options = spark, options
+        self.src, self.root = (os.path.join(tmp_dir, name, n) for n in ("src", "hot"))
+
+    def take(self, *batches):
+        for rows in batches:
+            self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").json(self.src)
+        self.hot = run_available(read_message_files(self.spark, self.src, 1), self.root, **self.options)
+        return self
+
+    def snapshot(self):
+        return {r["symbol"]: (r["price"], r["offset"]) for r in self.hot.latest(self.spark, "ticker").collect()}
+
+    def trades(self):
+        return sorted((r["symbol"], r["number"], r["offset"]) for r in self.hot.trades(self.spark).collect())
+
+    def alerts(self):
+        return sorted((r["symbol"], r["kind"], r["offset"], r["ma_short"], r["ma_long"], r["message"]) for r in self.hot.alerts(self.spark).collect())
+
+
+def test_snapshot_cap_and_restart(spark, tmp_dir):
+    run = Run(spark, tmp_dir, cap=3, short=1, long=2)
+    run.take([trade("A", 1000 + i, 10.0 + i, i) for i in range(5)] + [ticker("A", 1000, 5.0, 10)])
+    assert run.trades() == [("A", 2, 2), ("A", 3, 3), ("A", 4, 4)]                 # capped at the 3 newest
+    run.take([trade("A", 2000, 99.0, 20), ticker("A", 500, 1.0, 21)])               # a restart from the checkpoint
+    assert run.snapshot() == {"A": (5.0, 10)}                                       # an older event does not overwrite a newer one
+    assert run.trades() == [("A", 3, 3), ("A", 4, 4), ("A", 5, 20)]
+
+
+def test_redelivered_messages_change_nothing(spark, tmp_dir):
+    rows = [trade("A", 1000 + i, float(i % 7), i) for i in range(60)]
+    once, twice = Run(spark, tmp_dir, "once", cap=25).take(rows), Run(spark, tmp_dir, "twice", cap=25).take(rows[:40], rows[20:], rows[30:])
+    assert once.trades() == twice.trades() and len(once.trades()) == 25
+    assert once.alerts() == twice.alerts() and once.alerts()
+
+
+def test_result_does_not_depend_on_the_batches(spark, tmp_dir):
+    rows = [trade(f"S{i % 3}", 1000 + i, float((i * i) % 17), i) for i in range(90)] + [ticker(f"S{i % 3}", 1000 + i, float(i), 100 + i) for i in range(9)]
+    one = Run(spark, tmp_dir, "one", cap=21).take(rows)
+    many = Run(spark, tmp_dir, "many", cap=21).take(*[rows[i:i + 13] for i in range(0, len(rows), 13)])
+    assert one.snapshot() == many.snapshot() and one.trades() == many.trades() and one.alerts() == many.alerts()
+    # every cross, as a plain window over each symbol's trades in order tells it
+    want = []
+    for s in range(3):
+        prices = [(i, float((i * i) % 17)) for i in range(s, 90, 3)]
+        mean = lambda k, n: sum(p for _, p in prices[k - n + 1:k + 1]) / n
+        for k in range(20, len(prices)):
+            a, b, c, d = mean(k - 1, 5), mean(k - 1, 20), mean(k, 5), mean(k, 20)
+            kind = "golden" if a <= b and c > d else "dead" if a >= b and c < d else None
+            if kind:
+                want.append((f"S{s}", kind, prices[k][0], c, d))
+    assert [a[:5] for a in one.alerts()] == sorted(want) and want
+    assert one.alerts()[0][5].startswith(f"{want[0][0]} {one.alerts()[0][1]} cross: MA5 ")
+
+
+def test_segments_are_added_and_cut(spark, tmp_dir):
+    rows = [trade("A", 1000 + i, 1.0, i) for i in range(MANY)]
+    run = Run(spark, tmp_dir, cap=300).take(rows[:290], rows[290:310], rows[310:])
+    assert [t[1] for t in run.trades()] == list(range(MANY - 300, MANY))
+    small = Run(spark, tmp_dir, "s", cap=30).take(rows[:10], rows[10:MANY])             # a batch above the cap
+    assert [t[1] for t in small.trades()] == list(range(MANY - 30, MANY))
 
 
-def state(spark, hp):
-    st = hp.stores(spark)
-    snap = {r["symbol"]: (r["price"], r["offset"]) for r in st["snapshot_ticker"].read().collect()}
-    trades = sorted((r["symbol"], r["offset"]) for r in st["trades"].read().collect())
-    return snap, trades
-
-
-def test_replayed_batch_is_idempotent(spark, tmp_dir):
-    hp = HotPath(os.path.join(tmp_dir, "s"), cap=3, short=1, long=2)
-    b0 = spark.createDataFrame([trade("A", 1000 + i, 10.0 + i, i) for i in range(5)] +
-                               [ticker("A", 1000, 5.0, 10)], SCHEMA)
-    b1 = spark.createDataFrame([trade("A", 2000, 99.0, 20), ticker("A", 500, 1.0, 21)], SCHEMA)
-    hp(b0, 0)
-    hp(b1, 1)
-    first = state(spark, hp)
-    hp(b1, 1)                                          # replay after a failure
-    assert state(spark, hp) == first
-    snap, trades = first
-    assert snap["A"] == (5.0, 10)                      # older event (ts 500) did not overwrite newer
-    assert trades == [("A", 3), ("A", 4), ("A", 20)]   # capped at the 3 newest
-
-
-def test_one_or_many_batches_same_snapshot(spark, tmp_dir):
-    rows = [ticker(f"S{i % 4}", 1000 + i, float(i), i) for i in range(40)]
-    one, many = HotPath(os.path.join(tmp_dir, "one")), HotPath(os.path.join(tmp_dir, "many"))
-    one(spark.createDataFrame(rows, SCHEMA), 0)
-    for b in range(4):
-        many(spark.createDataFrame(rows[b * 10:(b + 1) * 10], SCHEMA), b)
-    assert state(spark, one)[0] == state(spark, many)[0]
-
-
-def test_file_stream_restart_from_checkpoint(spark, tmp_dir):
-    src, ckpt, root = (os.path.join(tmp_dir, n) for n in ("src", "ckpt", "stores"))
-    os.makedirs(src)
+def test_files_are_taken_once_and_rejected_rows_kept(spark, tmp_dir):
+    run = Run(spark, tmp_dir, cap=100)
     for part in range(2):
-        df = spark.createDataFrame([trade("B", 100 * part + i, float(i), 100 * part + i) for i in range(5)]
-                                   + [("B", "{bad json", "upbit-trades", 0, 999 + part, None)], SCHEMA)
-        df.write.mode("append").json(src)
-        q = read_message_files(spark, src).writeStream.foreachBatch(HotPath(root, cap=100)) \
-            .option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-        q.awaitTermination()
-    st = HotPath(root).stores(spark)
-    assert st["trades"].read().count() == 10                          # each file processed once
-    assert st["rejected"].read().where(F.col("reason") == "malformed json").count() == 2
+        run.take([trade("B", 100 * part + i, float(i), 100 * part + i) for i in range(5)] + [("B", "{bad json", "upbit-trades", 0, 999 + part, None)])
+    assert len(run.trades()) == 10
+    assert run.hot.rejected(spark).where(F.col("reason") == "malformed json").count() == 2
+
+
+def test_poison_message_is_rejected_and_the_rest_goes_on(spark, tmp_dir):
+    run = Run(spark, tmp_dir).take([trade("A", 9223372036854775807, 1.0, 1), trade("A", 1000, 2.0, 2)])
+    assert [(r["offset"], r["reason"]) for r in run.hot.rejected(spark).collect()] == [(1, "timestamp: invalid ts")]
+    assert [t[2] for t in run.trades()] == [2]
+
+
+def test_same_offsets_of_two_partitions(spark, tmp_dir):
+    a, b = trade("A", 1000, 1.0, 7), ("A", trade("A", 1000, 2.0, 3)[1], "upbit-trades", 1, 3, None)
+    run = Run(spark, tmp_dir).take([a, b], [a])
+    assert sorted((r["partition"], r["offset"]) for r in run.hot.trades(spark).collect()) == [(0, 7), (1, 3)]
+
+
+def test_nothing_delivered(spark, tmp_dir):
+    run = Run(spark, tmp_dir).take([("A", json.dumps({"type": "news"}), "upbit-news", 0, 1, None)])
+    assert run.trades() == [] and run.snapshot() == {} and run.alerts() == [] and run.hot.rejected(spark).count() == 0
+
+
+def test_parameters_are_checked():
+    from candlewick.streaming.keyed_state import SymbolState
+    for bad in ({"cap": 0}, {"short": 20, "long": 20}):
+        with pytest.raises(ValueError):
+            SymbolState(**bad)
 
 
 def test_anomaly_stream_static_join(spark, tmp_dir):
@@ -85,60 +147,25 @@ def test_anomaly_stream_static_join(spark, tmp_dir):
     assert sorted(got) == [("KRW-BTC", "move"), ("KRW-BTC", "volume")]   # unknown symbol: no baseline
 
 
-def test_state_versions_are_retained_two_deep(spark, tmp_dir):
-    from candlewick.streaming.stores import _listing
-    hp = HotPath(os.path.join(tmp_dir, "r"), cap=25, buckets=2)
-    for i in range(5):
-        hp(spark.createDataFrame([ticker("A", 1000 + i, float(i), i)], SCHEMA), i)
-    versions = _listing(spark, os.path.join(tmp_dir, "r", "snapshot_ticker"))
-    assert all(len(v) <= 2 for v in versions.values()) and max(max(v) for v in versions.values()) == 4
-    hp(spark.createDataFrame([ticker("A", 1004, 4.0, 4)], SCHEMA), 4)          # replay of the newest batch
-    assert state(spark, hp)[0]["A"] == (4.0, 4)
-
-
-def test_start_hot_path(spark, tmp_dir):
-    from candlewick.streaming.hot_path import start_hot_path
-    src, root = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "st")
-    spark.createDataFrame([trade("C", 1000 + i, float(i), i) for i in range(3)] + [ticker("C", 999, 7.0, 9)],
-                          SCHEMA).write.json(src)
-    q = start_hot_path(read_message_files(spark, src), root, os.path.join(tmp_dir, "ck"), cap=2, short=1, long=1,
-                       trigger={"availableNow": True})
-    q.awaitTermination()
-    snap, trades = state(spark, HotPath(root))
-    assert snap == {"C": (7.0, 9)} and trades == [("C", 1), ("C", 2)]
-
-
-def test_poison_message_is_rejected_and_the_rest_goes_on(spark, tmp_dir):
-    hp = HotPath(os.path.join(tmp_dir, "p"))
-    hp(spark.createDataFrame([trade("A", 9223372036854775807, 1.0, 1), trade("A", 1000, 2.0, 2)], SCHEMA), 0)
-    st = hp.stores(spark)
-    assert [(r["offset"], r["reason"]) for r in st["rejected"].read().collect()] == [(1, "timestamp: invalid ts")]
-    assert [r["offset"] for r in st["trades"].read().collect()] == [2]
-
-
-def test_redelivered_trades_and_equal_times(spark, tmp_dir):
-    hp = HotPath(os.path.join(tmp_dir, "d"))
-    a, b = trade("A", 1000, 1.0, 7), ("A", trade("A", 1000, 2.0, 3)[1], "upbit-trades", 1, 3, None)
-    hp(spark.createDataFrame([a, b], SCHEMA), 0)
-    hp(spark.createDataFrame([a], SCHEMA), 1)
-    assert sorted((r["partition"], r["offset"]) for r in hp.stores(spark)["trades"].read().collect()) == [(0, 7), (1, 3)]
-
-
-def test_cap_must_hold_a_cross(tmp_dir):
-    import pytest
-    with pytest.raises(ValueError):
-        HotPath(tmp_dir, cap=20, long=20)
-
-
-def test_route_stream_and_periodic_check(spark, tmp_dir):
-    from candlewick.streaming.hot_path import periodic_cross_check, route_stream
-    src, out, root = (os.path.join(tmp_dir, n) for n in ("in", "out", "st"))
-    rows = [trade("X", 1000 + i, 10.0 if i < 21 else 30.0, i) for i in range(22)]
-    spark.createDataFrame(rows + [ticker("X", 999, 7.0, 99)], SCHEMA).write.json(src)
-    route_stream(read_message_files(spark, src), os.path.join(tmp_dir, "ck"), "json", {"availableNow": True}, path=out).awaitTermination()
-    got = spark.read.json(out).groupBy("topic").count().collect()
-    assert {r["topic"]: r["count"] for r in got} == {"upbit-trades": 22, "upbit-tickers": 1}
-    HotPath(root)(spark.createDataFrame(rows, SCHEMA), 0)
-    alerts = periodic_cross_check(spark, root, seconds=0).collect()
+def test_topics_as_one_subscription_and_routing(spark, tmp_dir):
+    from candlewick.streaming.hot_path import TOPICS, read_topic_files, route_stream
+    src, out, ck = (os.path.join(tmp_dir, n) for n in ("in", "out", "ck"))
+    def deliver(kind, rows):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").json(os.path.join(src, TOPICS[kind]))
+    def routed():
+        route_stream(read_topic_files(spark, src, max_files=1), ck, "json", {"availableNow": True}, path=out).awaitTermination()
+        return {r["topic"]: r["count"] for r in spark.read.json(out).groupBy("topic").count().collect()}
+    deliver("trade", [trade("X", 1000 + i, 10.0, i) for i in range(22)])
+    deliver("ticker", [ticker("X", 999, 7.0, 99)])
+    deliver("orderbook", [("X", "{bad", "upbit-orderbooks", 0, 1, None)])
+    assert routed() == {"upbit-trades": 22, "upbit-tickers": 1}
+    deliver("ticker", [ticker("X", 1999, 8.0, 100)])                                     # a restart reads only what is new
+    assert routed() == {"upbit-trades": 22, "upbit-tickers": 2}
+
+
+def test_periodic_check(spark, tmp_dir):
+    from candlewick.streaming.hot_path import periodic_cross_check
+    run = Run(spark, tmp_dir).take([trade("X", 1000 + i, 10.0 if i < 21 else 30.0, i) for i in range(22)])
+    alerts = periodic_cross_check(spark, run.root, seconds=0).collect()
     assert [(a["symbol"], a["kind"]) for a in alerts] == [("X", "golden")] and alerts[0]["message"].startswith("X golden cross: MA5 14, MA20 11")
-    assert periodic_cross_check(spark, root, seconds=600).count() == 0
+    assert periodic_cross_check(spark, run.root, seconds=600).count() == 0
