@@ -11,7 +11,9 @@ offsets), are cut into chunks of ``chunk_rows`` positions, and the last
 ``lookback`` rows of each chunk are copied into the next one as a halo.
 Windows run per (key, chunk), so a key that holds a third of all rows is spread
 over many tasks, and only native rows are kept. ``lookback`` must cover every
-frame, lag and recurrence of all stages combined.
+frame and lag of all stages combined. Recurrences need no halo: each chunk
+tells what it does to the state before it, these are composed in the order of a key's chunks (one
+small row per chunk), and each chunk starts from the state that comes out.
 """
 
 from __future__ import annotations
@@ -31,14 +33,20 @@ DEFAULT_CHUNK_ROWS = 100_000
 
 
 class Recurrence(Protocol):
-    """Columns that depend on the whole past of a series but forget it within
-    ``lookback`` rows; ``compute`` gets the numpy inputs of one chunk in order."""
+    """Columns that depend on the whole past of a series through a state of a
+    few numbers (``start`` before the first row). ``summary`` tells what the rows of a chunk do
+    to a state, ``fold`` applies it, ``compute`` gives the outputs of a chunk
+    from the state before it; inputs are numpy arrays in order."""
 
     inputs: tuple[str, ...]
     outputs: tuple[str, ...]
-    lookback: int
+    start: tuple[float, ...]
 
-    def compute(self, inputs: dict) -> dict: ...
+    def summary(self, ins: dict) -> list[float]: ...
+
+    def fold(self, state: Sequence[float], told: Sequence[float]) -> tuple[float, ...]: ...
+
+    def compute(self, ins: dict, state: Sequence[float]) -> dict: ...
 
 
 def _cols(xs: str | Sequence[str]) -> list[str]:
@@ -103,7 +111,49 @@ def number_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket:
     return j.withColumn(name, F.col("_off") + F.row_number().over(w) - 1).drop("_bk", "_off")
 
 
-def _run_recurrences(df: DataFrame, group: list[str], recurrences: Sequence[Recurrence]) -> DataFrame:
+def _in_order(t, recurrence: Recurrence) -> dict:
+    import pyarrow as pa
+    return {c: t.column(c).cast(pa.float64()).fill_null(float("nan")).to_numpy() for c in recurrence.inputs}
+
+
+def _told(n: int) -> str:
+    return f"_told{n}"
+
+
+def _states(chunked: DataFrame, key: list[str], recurrences: Sequence[Recurrence]) -> DataFrame:
+    """The state before each chunk: one row per (key, chunk), an array for each
+    recurrence. Chunks are summed up in parallel; a key's rows to fold are one per chunk."""
+    names = [_told(n) for n in range(len(recurrences))]
+    fields = [chunked.schema[c] for c in (*key, "_chunk")]
+    schema = T.StructType(fields + [T.StructField(n, T.ArrayType(T.DoubleType())) for n in names])
+
+    def summed(t):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        t = t.filter(t.column("_native"))
+        t = t.take(pc.sort_indices(t.column("_rn")))
+        first = t.slice(0, 1)                                   # nothing where a chunk holds a halo only
+        cols = [pa.array([r.summary(_in_order(t, r)) for _ in range(len(first))], pa.list_(pa.float64())) for r in recurrences]
+        return pa.table([*(first.column(f.name) for f in fields), *cols], names=schema.names)
+
+    def folded(t):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        t = t.take(pc.sort_indices(t.column("_chunk")))
+        cols = []
+        for n, r in zip(names, recurrences):
+            state, before = r.start, []
+            for told in t.column(n).to_pylist():
+                before.append(list(state))
+                state = r.fold(state, told)
+            cols.append(pa.array(before, pa.list_(pa.float64())))
+        return pa.table([*(t.column(f.name) for f in fields), *cols], names=schema.names)
+
+    # whole rows, halo included: so the exchange by (key, chunk) is the one that the windows use
+    return chunked.groupBy(*key, "_chunk").applyInArrow(summed, schema).groupBy(*key).applyInArrow(folded, schema)
+
+
+def _run_recurrences(df: DataFrame, chunked: DataFrame, key: list[str], recurrences: Sequence[Recurrence]) -> DataFrame:
     """Chunk by chunk (bounded rows) in Arrow: sort by position, append the outputs."""
     names = [o for r in recurrences for o in r.outputs]
     schema = T.StructType(list(df.schema.fields) + [T.StructField(n, T.DoubleType()) for n in names])
@@ -113,13 +163,14 @@ def _run_recurrences(df: DataFrame, group: list[str], recurrences: Sequence[Recu
         import pyarrow as pa
         import pyarrow.compute as pc
         t = t.take(pc.sort_indices(t.column("_rn")))
-        for r in recurrences:
-            ins = {c: t.column(c).cast(pa.float64()).fill_null(float("nan")).to_numpy() for c in r.inputs}
-            for name, values in r.compute(ins).items():
+        for n, r in enumerate(recurrences):
+            state = t.column(_told(n))[0].as_py()
+            for name, values in r.compute(_in_order(t, r), state).items():
                 t = t.append_column(name, pa.array(np.asarray(values, dtype="float64"), from_pandas=True))
         return t.select(schema.names)
 
-    return df.groupBy(*group).applyInArrow(run, schema)
+    seeded = join_null_safe(df, _states(chunked, key, recurrences), [*key, "_chunk"])
+    return seeded.groupBy(*key, "_chunk").applyInArrow(run, schema)
 
 
 def ordered_stages(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
@@ -128,7 +179,6 @@ def ordered_stages(df: DataFrame, key: str | Sequence[str], order: str | Sequenc
     """Evaluate window ``stages``, then ``recurrences``, over each key's ordered
     rows; keys with fewer than ``min_rows`` rows are left out (FLT-06)."""
     key, order = _cols(key), _cols(order)
-    lookback = max([lookback, *(r.lookback for r in recurrences)])
     chunk_rows = max(chunk_rows or chunk_rows_for(df), lookback + 1)
     numbered = number_rows(df, key, order, bucket, min_rows=min_rows)
     c = F.floor(F.col("_rn") / F.lit(chunk_rows))
@@ -137,9 +187,10 @@ def ordered_stages(df: DataFrame, key: str | Sequence[str], order: str | Sequenc
     halo = F.struct((c + 1).alias("c"), F.lit(False).alias("nat"))
     copies = F.when(in_halo, F.array(native, halo)).otherwise(F.array(native))
     out = numbered.withColumn("_cp", F.explode(copies)).select("*", F.col("_cp.c").alias("_chunk"), F.col("_cp.nat").alias("_native")).drop("_cp")
-    w = Window.partitionBy(*key, "_chunk").orderBy("_rn")
+    chunked, w = out, Window.partitionBy(*key, "_chunk").orderBy("_rn")
     for st in stages:
         out = out.select("*", *[fn(w).alias(n) for n, fn in st.items()])
+    out = out.where(F.col("_native"))
     if recurrences:
-        out = _run_recurrences(out, [*key, "_chunk"], recurrences)
-    return out.where(F.col("_native")).drop("_chunk", "_native", "_rn")
+        out = _run_recurrences(out, chunked, key, recurrences)
+    return out.drop("_chunk", "_native", "_rn")

@@ -132,11 +132,9 @@ def test_result_independent_of_input_order(spark):
 
 
 def test_ewm_over_many_chunks_and_gaps(spark):
-    """Short memory, so that chunks are small: every chunk starts from its halo."""
-    from candlewick.operators.ewm import memory_rows
     df, pdf = walk(spark, keys=2, n=6000, seed=11)
     gaps = df.withColumn("close", F.when(F.col("t") % 5 != 3, F.col("close")))
-    out = collect(ewm_mean(gaps, "symbol", "t", {"e": ("close", 3)}, chunk_rows=memory_rows(3) + 1), ["e"])
+    out = collect(ewm_mean(gaps, "symbol", "t", {"e": ("close", 3)}, chunk_rows=1077), ["e"])
     pdf = pdf.assign(close=pdf.close.where(pdf.t % 5 != 3))
     exp = pd.concat([g.close.ewm(span=3, adjust=False).mean() for _, g in pdf.groupby("symbol")])
     assert np.max(np.abs(out.e.to_numpy() - exp.to_numpy())) < 1e-9
@@ -145,6 +143,38 @@ def test_ewm_over_many_chunks_and_gaps(spark):
     assert np.allclose(small.e, [1.0, 1.0, 7 / 3])
 
 
+@pytest.mark.parametrize("chunk_rows", [7, 400, 1200, 100_000])
+def test_ewm_and_macd_do_not_depend_on_the_chunks(spark, chunk_rows):
+    """Leading NULLs, gaps longer than several chunks, a span longer than the series, a NULL key, a key of NULLs only."""
+    n, rng = 3000, np.random.default_rng(5)
+    x = np.round(100 + np.cumsum(rng.normal(0, 1, n)), 2)
+    gap = x.copy()
+    gap[1:2999] = np.nan
+    some = x.copy()
+    some[:20], some[100:1400], some[1500:1507] = np.nan, np.nan, np.nan
+    told = {"gap": gap, "some": some, None: x, "none": np.full(50, np.nan)}
+    if chunk_rows == 7:
+        told = {k: v[:120] for k, v in told.items()}
+    df = spark.createDataFrame([(k, i, None if np.isnan(v) else float(v)) for k, xs in told.items() for i, v in enumerate(xs)], "symbol string, t long, close double")
+    ewm = ewm_mean(df, "symbol", "t", {"e3": ("close", 3), "e5000": ("close", 5000)}, chunk_rows=chunk_rows).toPandas()
+    both = macd(df, "symbol", "t", "close", chunk_rows=chunk_rows).toPandas()
+    for k, xs in told.items():
+        s = pd.Series(xs)
+        line = s.ewm(span=12, adjust=False).mean() - s.ewm(span=26, adjust=False).mean()
+        want = {"e3": s.ewm(span=3, adjust=False).mean(), "e5000": s.ewm(span=5000, adjust=False).mean(), "macd": line, "macd_signal": line.ewm(span=9, adjust=False).mean()}
+        for c, w in want.items():
+            d = ewm if c[0] == "e" else both
+            got = d[d.symbol.isna() if k is None else d.symbol == k].sort_values("t")[c].to_numpy(dtype=float)
+            assert np.allclose(got, w.to_numpy(), rtol=1e-9, atol=1e-9, equal_nan=True), (k, c)
+
+
+def test_recurrences_beside_windows_keep_halo_only_chunks_out(spark):
+    df, pdf = walk(spark, keys=1, n=20, seed=2)
+    from candlewick.operators.ewm import Ewm
+    out = collect(apply_specs(df, "symbol", "t", Spec([{"m": rolling_mean("close", 4)}], 3), chunk_rows=5, recurrences=[Ewm("e", "close", 4)]), ["m", "e"])
+    assert np.allclose(out.m, pdf.close.rolling(4).mean(), equal_nan=True) and np.allclose(out.e, pdf.close.ewm(span=4, adjust=False).mean())
+
+
 @pytest.mark.parametrize("kind", ["string", "double", "decimal(20,4)", "date", "timestamp", "binary", "int"])
 def test_every_orderable_type_has_a_bucket(spark, kind):
     """One key holds a third of the rows; positions equal the plain rank for any order type, NULL first."""
