@@ -50,8 +50,3 @@ def search(df: DataFrame, col: str, terms: str | Sequence[str]) -> DataFrame:
     for t in terms:
         cond = cond & F.contains(F.lower(F.col(col)), F.lower(F.lit(t)))
     return df.where(cond)
-
-
-def has_rows(df: DataFrame) -> bool:
-    """Empty-input guard (FLT-09): no rows means no write, the old mart stays."""
-    return not df.isEmpty()

@@ -9,6 +9,7 @@ the SQL twins round and format identically.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,7 @@ from candlewick.plans import jobs, marts, serving
 from candlewick.plans.compare import shape
 from candlewick.plans.ingest import ingest
 from candlewick.sources import derived, landing, messages
-from candlewick.sources.sinks import append_landing, read_mart
+from candlewick.sources.sinks import append_landing, conform, ensure_table, overwrite_mart, read_current, read_mart
 from candlewick.session import scratch_path
 from candlewick.sources.tables import table
 from candlewick.streaming import replay
@@ -1041,6 +1042,61 @@ def q_market_stats_mart(spark, sf):
     return _as_text(shape(read_mart(spark, mart).drop("created_at")), {"acc_trade_price_24h", "acc_trade_volume_24h"})
 
 
+@register("market_stats_incremental", f"""
+WITH {SQL_STATS}
+SELECT symbol, CAST(acc_trade_price_24h AS VARCHAR) AS acc_trade_price_24h,
+       CAST(acc_trade_volume_24h AS VARCHAR) AS acc_trade_volume_24h, source, ts_event FROM stats""")
+def q_market_stats_incremental(spark, sf):
+    """STR-07 / PIP-01: ticker polls land in three parts, each over the whole
+    time (so most are late) and the first one again at the end; after each
+    landing the mart is kept up from the landed files alone."""
+    base = scratch_path(spark, "incremental")
+    land, mart, checkpoint = (f"{base}/{n}" for n in ("landing", "mart", "checkpoint"))
+    polls = derived.ticker_landing(table(spark, sf, "events"))
+    part = F.pmod(F.xxhash64("payload"), F.lit(3))
+    for n in (0, 1, 2, 0):
+        append_landing(polls.where(part == n), land)
+        jobs.stats_on_landing(spark, land, landing.LANDING_SCHEMA + ", ingest_date DATE", mart, checkpoint)
+    return _as_text(shape(read_mart(spark, mart).drop("created_at")), {"acc_trade_price_24h", "acc_trade_volume_24h"})
+
+
+@register("mart_guards", f"""
+WITH {SQL_STATS}
+SELECT 'after an empty write' AS step, symbol, CAST(acc_trade_price_24h AS VARCHAR) AS acc_trade_price_24h FROM stats
+UNION ALL SELECT 'after a repeated key', symbol, CAST(acc_trade_price_24h AS VARCHAR) FROM stats
+UNION ALL SELECT 'the same version again', symbol, CAST(acc_trade_price_24h AS VARCHAR) FROM stats WHERE symbol <> 'view'""")
+def q_mart_guards(spark, sf):
+    """SNK-02/03, FLT-09: a write without rows and a write with a repeated key
+    leave the mart; the same version id written again replaces it."""
+    mart = scratch_path(spark, "guarded-mart")
+    stats = conform(_stats_mart(spark, sf), jobs.STATS_MART)
+    kept = lambda step: read_current(spark, mart).select(F.lit(step).alias("step"), "symbol", F.col("acc_trade_price_24h").cast("string").alias("acc_trade_price_24h"))
+    overwrite_mart(stats, mart, "day-1", unique=["symbol"])
+    overwrite_mart(stats.where("symbol is null"), mart, "day-1", unique=["symbol"])
+    out = [kept("after an empty write")]
+    try:
+        overwrite_mart(stats.unionByName(stats), mart, "day-2", unique=["symbol"])
+    except ValueError:
+        out.append(kept("after a repeated key"))
+    overwrite_mart(stats.where("symbol <> 'view'"), mart, "day-1", unique=["symbol"])
+    return reduce(DataFrame.unionByName, [*out, kept("the same version again")])
+
+
+@register("typed_table", """
+SELECT symbol, strftime(date, '%Y-%m-%d') AS date, CAST(CAST(close AS DECIMAL(20,4)) AS VARCHAR) AS close FROM (
+  SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date, arg_max(o_totalprice, o_orderkey) AS close FROM orders GROUP BY 1, 2)""")
+def q_typed_table(spark, sf):
+    """SNK-03: CREATE TABLE IF NOT EXISTS (twice) with typed columns, rows
+    conformed to it and inserted, the table read back."""
+    path = scratch_path(spark, "typed")
+    name = "typed_" + path.rsplit("-", 1)[-1]
+    schema = "symbol string, date date, close decimal(20,4)"
+    for _ in range(2):
+        ensure_table(spark, name, schema, path)
+    conform(_candles(spark, sf), schema).write.insertInto(name)
+    return spark.table(name).select("symbol", F.date_format("date", "yyyy-MM-dd").alias("date"), F.col("close").cast("string").alias("close"))
+
+
 @register("ingest_markets", """
 SELECT CASE WHEN event_id % 3 = 0 THEN 'BTC-' ELSE 'KRW-' END || event_type AS market, count(*) AS items
 FROM events WHERE event_id % 3 <> 0 GROUP BY 1""")

@@ -2,14 +2,16 @@
 
 Each job reads the landing table (partition-pruned to its endpoint), builds
 its mart with :mod:`candlewick.plans.marts` and replaces the mart with a
-versioned overwrite (no empty-table window; an empty input keeps the old
+versioned overwrite that enforces the mart's key (no empty-table window; an empty input keeps the old
 version, FLT-09). Each returns the version written or None. They can run on
 a schedule or from :func:`candlewick.streaming.hot_path.refresh_on_landing`
-when new landing files arrive (STR-07).
+when new landing files arrive (STR-07); the market stats are then kept up from
+the newly landed rows alone.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from candlewick.plans import marts
 from candlewick.sources.landing import (CANDLE_ENDPOINT, TICKER_ENDPOINT, candles_from_landing, read_landing,
                                         read_sentiment_landing)
-from candlewick.sources.sinks import conform, overwrite_mart
+from candlewick.sources.sinks import conform, current_version, overwrite_mart, read_current
 from candlewick.streaming.hot_path import refresh_on_landing
 
 # The marts' columns and types.
@@ -39,21 +41,21 @@ def _candles(spark: SparkSession, landing_path: str) -> DataFrame:
 def refresh_market_stats(spark: SparkSession, landing_path: str, mart_path: str, version=None):
     """PIP-01 daily job: newest ticker per market -> ``market_stats_24h``."""
     return overwrite_mart(conform(marts.build_market_stats_24h(read_landing(spark, landing_path, TICKER_ENDPOINT)), STATS_MART),
-                          mart_path, version)
+                          mart_path, version, unique=["symbol"])
 
 
 def refresh_trend_report(spark: SparkSession, landing_path: str, mart_path: str,
                          symbols: Sequence[str] | None = None, days: int | None = 200, as_of=None, version=None):
     """PIP-03 job: 200-day lookback on ingest time, then the trend report."""
     return overwrite_mart(conform(marts.build_trend_report(_candles(spark, landing_path), symbols, days, as_of), TREND_MART),
-                          mart_path, version)
+                          mart_path, version, unique=["symbol"])
 
 
 def refresh_anomaly_baseline(spark: SparkSession, landing_path: str, mart_path: str,
                              symbols: Sequence[str] | None = None, days: int | None = 60, as_of=None, version=None):
     """PIP-04 job: 60-day lookback, 30-day volume mean and 14-day ATR."""
     return overwrite_mart(conform(marts.build_anomaly_baseline(_candles(spark, landing_path), symbols, days, as_of), BASELINE_MART),
-                          mart_path, version)
+                          mart_path, version, unique=["symbol"])
 
 
 def refresh_feature_mart(spark: SparkSession, candle_landing_path: str, sentiment_landing_path: str,
@@ -61,11 +63,25 @@ def refresh_feature_mart(spark: SparkSession, candle_landing_path: str, sentimen
     """PIP-02 job: candles x sentiment -> feature mart."""
     fm = marts.build_feature_mart(_candles(spark, candle_landing_path),
                                   read_sentiment_landing(spark, sentiment_landing_path), symbols)
-    return overwrite_mart(conform(fm, FEATURE_MART), mart_path, version)
+    return overwrite_mart(conform(fm, FEATURE_MART), mart_path, version, unique=["symbol", "date"])
+
+
+def update_market_stats(landed: DataFrame, mart_path: str, version=None) -> str | None:
+    """PIP-01 kept up from newly landed rows: the newest poll of each symbol in
+    ``landed`` against the newest one known so far, which lies beside the mart with the times that
+    decide (``_newest``). Late and repeated polls change nothing, and a replayed batch gives the same mart. The work is that of
+    the landed rows and of one row per symbol."""
+    spark, known = landed.sparkSession, os.path.join(mart_path, "_newest")
+    new = marts.newest_tickers(landed)
+    if current_version(spark, known) is not None:
+        new = marts.newest_of(read_current(spark, known).unionByName(new))
+    if overwrite_mart(new, known, version, unique=["symbol"]) is None:
+        return None
+    return overwrite_mart(conform(marts.market_stats_of(read_current(spark, known)), STATS_MART), mart_path, version, unique=["symbol"])
 
 
 def stats_on_landing(spark: SparkSession, landing_path: str, schema: str, mart_path: str, checkpoint: str):
-    """STR-07 wired up: whenever files have landed, refresh the market stats
-    once, with the batch id as version (a replayed batch rewrites it)."""
+    """STR-07 wired up: whenever files have landed, take their rows (and no
+    others) into the market stats, with the batch id as version."""
     return refresh_on_landing(spark, landing_path, schema,
-                              lambda batch, batch_id: refresh_market_stats(spark, landing_path, mart_path, f"batch-{batch_id}"), checkpoint)
+                              lambda batch, batch_id: update_market_stats(batch, mart_path, f"batch-{batch_id}"), checkpoint)

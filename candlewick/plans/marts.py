@@ -56,19 +56,31 @@ def _prepare_candles(candles: DataFrame, symbols: Sequence[str] | None, days: in
     return df
 
 
+def newest_of(tickers: DataFrame) -> DataFrame:
+    """The newest ticker of each symbol: by ingest time, then exchange time, then amounts."""
+    return latest_per_key(tickers, "symbol", ["ingested_at", "_ts_ms", "acc_trade_price_24h", "acc_trade_volume_24h"])
+
+
+def newest_tickers(landing: DataFrame) -> DataFrame:
+    """The newest ticker item per market, typed, with the times that decide."""
+    t = landing.where(F.col("endpoint") == TICKER_ENDPOINT).select("payload", "ingested_at")
+    return newest_of(json_fields(t, "payload", TICKER_FIELDS).drop("payload"))
+
+
+def market_stats_of(newest: DataFrame, source: str = SOURCE_TAG, created_at=None) -> DataFrame:
+    return newest.select(
+        "symbol", "acc_trade_price_24h", "acc_trade_volume_24h", F.lit(source).alias("source"),
+        epoch_ms_to_ts_seconds("_ts_ms").alias("ts_event"),
+        (created_at if created_at is not None else F.current_timestamp()).alias("created_at"))
+
+
 def build_market_stats_24h(landing: DataFrame, source: str = SOURCE_TAG, created_at=None) -> DataFrame:
     """PIP-01: newest ticker item per market from the landing table.
 
     Output: symbol, acc_trade_price_24h, acc_trade_volume_24h (decimal(30,8)),
     source, ts_event (epoch ms truncated to seconds), created_at.
     """
-    t = landing.where(F.col("endpoint") == TICKER_ENDPOINT).select("payload", "ingested_at")
-    t = json_fields(t, "payload", TICKER_FIELDS).drop("payload")
-    latest = latest_per_key(t, "symbol", ["ingested_at", "_ts_ms"])
-    return latest.select(
-        "symbol", "acc_trade_price_24h", "acc_trade_volume_24h", F.lit(source).alias("source"),
-        epoch_ms_to_ts_seconds("_ts_ms").alias("ts_event"),
-        (created_at if created_at is not None else F.current_timestamp()).alias("created_at"))
+    return market_stats_of(newest_tickers(landing), source, created_at)
 
 
 def build_feature_mart(candles: DataFrame, sentiment: DataFrame, symbols: Sequence[str] | None = None,

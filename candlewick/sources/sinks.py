@@ -1,19 +1,21 @@
 """Sinks (SNK-01..03) and the mart read (SRC-04).
 
 Marts are overwritten without the empty-table gap of TRUNCATE + INSERT: each
-write goes to a new version directory, and only then a new numbered pointer
-file names it. Pointers are added, never replaced, so a reader always finds one
-and sees either the old or the new version. Writing a given version id twice
-rewrites the same directory, which makes a replayed batch idempotent.
+write goes to a folder of its own, and only then a new numbered pointer file
+names that folder. Folders and pointers are added, never rewritten, so a reader
+always finds a whole version. Rows and repeated keys are counted while the
+folder is written (``DataFrame.observe``, one scan); the pointer moves only if both are
+right. Writing a version id again (a replayed batch) points to the new folder.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import time
+import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -39,47 +41,63 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """(number, version) of each pointer, oldest first: names of a short folder."""
+def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
+    """(number, version, folder) of each pointer, oldest first: names of a short folder."""
     fs, p, _ = _fs(spark, os.path.join(path, POINTERS))
     if not fs.exists(p):
         return []
-    found = (re.fullmatch(r"(\d+)~(.+)", st.getPath().getName()) for st in fs.listStatus(p))
-    return sorted((int(m[1]), m[2]) for m in found if m)
+    found = (re.fullmatch(r"(\d+)~(.*)~(\w+)", st.getPath().getName()) for st in fs.listStatus(p))
+    return sorted((int(m[1]), m[2], m[3]) for m in found if m)
 
 
-def _point(spark: SparkSession, path: str, version: str, keep: int) -> None:
+def _folder(path: str, name: str) -> str:
+    return os.path.join(path, f"v={name}")
+
+
+def _point(spark: SparkSession, path: str, version: str, folder: str, keep: int) -> None:
     """Add the next pointer (creating an empty file is atomic), then drop
-    pointers and versions beyond the ``keep`` newest."""
+    pointers and folders beyond the ``keep`` newest."""
     old = _pointers(spark, path)
     number = old[-1][0] + 1 if old else 0
-    fs, p, jvm = _fs(spark, os.path.join(path, POINTERS, f"{number:012d}~{version}"))
+    fs, p, jvm = _fs(spark, os.path.join(path, POINTERS, f"{number:012d}~{version}~{folder}"))
     fs.create(p, False).close()
-    known = old + [(number, version)]
-    live = {v for _, v in known[-keep:]}
-    for n, v in known[:-keep]:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(os.path.join(path, POINTERS, f"{n:012d}~{v}")), False)
-        if v not in live:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(os.path.join(path, f"v={v}")), True)
+    for n, v, f in [*old, (number, version, folder)][:-keep]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(os.path.join(path, POINTERS, f"{n:012d}~{v}~{f}")), False)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(_folder(path, f)), True)
 
 
-def overwrite_mart(df: DataFrame, path: str, version: str | int | None = None,
-                   require_rows: bool = True, keep: int = KEEP_VERSIONS) -> str | None:
+def overwrite_mart(df: DataFrame, path: str, version: str | int | None = None, require_rows: bool = True,
+                   keep: int = KEEP_VERSIONS, unique: Sequence[str] = ()) -> str | None:
     """Write a new version of the mart and point to it (SNK-02). The plan runs once.
 
-    With ``require_rows`` a version without rows is not pointed to, so the old
-    one stays (FLT-09). Returns the version written, or None.
+    With ``require_rows`` a write without rows changes nothing (FLT-09) and
+    returns None. ``unique`` names the key columns: a write in which a key
+    (NULLs alike) is repeated changes nothing and raises ``ValueError``. Returns the version written.
     """
-    spark = df.sparkSession
-    v = str(version if version is not None else time.strftime("%Y%m%dT%H%M%S") + f"-{time.time_ns() % 1_000_000:06d}")
-    out = os.path.join(path, f"v={v}")
-    df.write.mode("overwrite").parquet(out)
-    if require_rows and spark.read.schema(df.schema).parquet(out).isEmpty():
-        if v not in {x for _, x in _pointers(spark, path)}:
-            fs, p, _ = _fs(spark, out)
-            fs.delete(p, True)
+    if keep < 1:
+        raise ValueError("keep at least the version that is written")
+    spark, folder = df.sparkSession, uuid.uuid4().hex[:16]
+    v = re.sub(r"[^\w.:+-]", "_", str(version if version is not None else folder))
+    out, seen = _folder(path, folder), Observation()
+    if unique:
+        again = "_again"
+        while again in df.columns:
+            again = "_" + again
+        keys = [F.col(f"`{c}`") for c in unique]
+        nth = df.withColumn(again, F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)))
+        counted = nth.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum((F.col(again) == 2).cast("long")).alias("repeated")).drop(again)
+    else:
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.parquet(out)
+    told = seen.get
+    rows, repeated = told.get("rows") or 0, told.get("repeated") or 0
+    if repeated or (require_rows and not rows):
+        fs, p, _ = _fs(spark, out)
+        fs.delete(p, True)
+        if repeated:
+            raise ValueError(f"{repeated} values of {', '.join(unique)} are repeated; the mart stays as it was")
         return None
-    _point(spark, path, v, keep)
+    _point(spark, path, v, folder, keep)
     return v
 
 
@@ -89,10 +107,10 @@ def current_version(spark: SparkSession, path: str) -> str | None:
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    v = current_version(spark, path)
-    if v is None:
+    found = _pointers(spark, path)
+    if not found:
         raise FileNotFoundError(f"no mart version under {path}")
-    return spark.read.parquet(os.path.join(path, f"v={v}"))
+    return spark.read.parquet(_folder(path, found[-1][2]))
 
 
 def read_mart(spark: SparkSession, path: str, order: str = "ts_event") -> DataFrame:

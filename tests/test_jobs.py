@@ -54,3 +54,27 @@ def test_refresh_feature_mart(spark, tmp_dir):
     got = read_current(spark, mart).drop("updated_at")
     assert got.count() == direct.count() > 0
     assert got.select("symbol", "date", "fng_value").exceptAll(direct.select("symbol", "date", "fng_value")).isEmpty()
+
+
+def test_stats_kept_up_from_landed_rows(spark, tmp_dir):
+    from candlewick.sources.landing import LANDING_SCHEMA
+    land, mart, ck = (os.path.join(tmp_dir, n) for n in ("landing", "mart", "ck"))
+    schema = LANDING_SCHEMA + ", ingest_date DATE"
+    polls = derived.ticker_landing(table(spark, SF, "events"))
+    late = F.pmod(F.xxhash64("payload"), F.lit(3))
+    def same():
+        from candlewick.plans.marts import build_market_stats_24h
+        from candlewick.sources.landing import read_landing
+        want = build_market_stats_24h(read_landing(spark, land)).drop("created_at")
+        got = read_current(spark, mart).drop("created_at")
+        return sorted(map(tuple, want.collect())) == sorted(map(tuple, got.collect()))
+    for n in (1, 2, 0, 2):                                              # every part has early and late polls; one lands twice
+        append_landing(polls.where(late == n), land)
+        jobs.stats_on_landing(spark, land, schema, mart, ck)
+        assert same()
+    version = current_version(spark, mart)
+    jobs.stats_on_landing(spark, land, schema, mart, ck)                # nothing landed: nothing is read or written
+    assert current_version(spark, mart) == version
+    # a replayed batch gives the same mart, one without tickers changes nothing
+    assert jobs.update_market_stats(polls.where(late == 1), mart, "batch-9") == "batch-9" and same()
+    assert jobs.update_market_stats(polls.where("endpoint = 'none'").limit(0), mart + "-other", 1) is None

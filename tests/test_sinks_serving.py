@@ -40,3 +40,36 @@ def test_versioned_overwrite_keeps_old_on_empty(spark, tmp_dir):
     assert current_version(spark, path) == v1
     overwrite_mart(stats(spark).where("symbol = 'KRW-BTC'"), path, version=3)
     assert read_current(spark, path).count() == 1
+
+
+def test_rewritten_version_without_rows_keeps_the_mart(spark, tmp_dir):
+    path = tmp_dir + "/mart"
+    overwrite_mart(stats(spark), path, version=1)
+    assert overwrite_mart(stats(spark).limit(0), path, version=1) is None
+    assert overwrite_mart(stats(spark).where("symbol = 'none'"), path, version=1, unique=["symbol"]) is None
+    assert read_current(spark, path).count() == 2
+    assert overwrite_mart(stats(spark).where("symbol = 'KRW-BTC'"), path, version=1) == "1"       # a replay with other rows
+    assert read_current(spark, path).count() == 1
+    assert overwrite_mart(stats(spark).limit(0), path, version=2, require_rows=False) == "2" and read_current(spark, path).count() == 0
+
+
+def test_repeated_keys_keep_the_mart(spark, tmp_dir):
+    import os
+
+    import pytest
+    path = tmp_dir + "/mart"
+    overwrite_mart(stats(spark), path, version=1, unique=["symbol"])
+    twice = stats(spark).unionByName(stats(spark)).selectExpr("*", "source AS _again")
+    with pytest.raises(ValueError, match="2 values of symbol"):
+        overwrite_mart(twice, path, version=2, unique=["symbol"])
+    assert current_version(spark, path) == "1" and read_current(spark, path).count() == 2
+    assert len([n for n in os.listdir(path) if n.startswith("v=")]) == 1                         # nothing is left behind
+    assert overwrite_mart(twice, path, version=3, unique=()) == "3"
+
+
+def test_old_versions_are_dropped(spark, tmp_dir):
+    import os
+    path = tmp_dir + "/mart"
+    for n in range(5):
+        overwrite_mart(stats(spark), path, version=f"day/{n}", keep=2)
+    assert current_version(spark, path) == "day_4" and len([n for n in os.listdir(path) if n.startswith("v=")]) == 2
