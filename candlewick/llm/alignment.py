@@ -29,8 +29,10 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,10 +46,15 @@ BLOCK_LINKS = 4_000_000
 MEMO_IDS = 3_000_000
 #: Fixed value: how the byte-level BPE cuts a text into words before it merges bytes.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Texts for the library that reads the vocabulary file itself: with characters
-#: beyond Latin, Greek and Cyrillic (the two libraries for A could class newer
-#: letters differently) or with very long runs of blanks (the faster one's pattern search overflows on them).
-NEWER, BLANKS = re.compile("[^\x00-\u052f]"), re.compile(r"\s{1000}")
+#: Words go to the library that reads the vocabulary file itself if a character
+#: lies beyond Latin, Greek and Cyrillic (the two libraries for A could class newer letters
+#: differently; in UTF-8 these are the first bytes from 0xD4 on) or if they hold
+#: 1,000 blanks (the faster one's pattern search overflows on very long runs).
+_OLD = bytes(range(0xD4))
+#: Single spaces between other characters, and spaces beside other white space.
+SINGLE, BESIDE = re.compile(r"(?<=\S) (?=\S)"), re.compile(r" \s|\s ")
+#: Characters of the words that a task remembers; beyond it the memory starts anew.
+MEMO_CHARS = 4_000_000
 #: Blocks are numbered (task, number within the task).
 TASK_SHIFT = 24
 
@@ -87,6 +94,23 @@ class Side:
         return int(n.sum()) == len(raw) and bool((self.bytes[_ranges(self.first[ids], n)] == np.frombuffer(raw, np.uint8)).all())
 
 
+class Pool:
+    """Short arrays by number, kept end to end."""
+
+    def __init__(self):
+        self.ids, self.size, self.start = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, parts: list) -> None:
+        flat = parts if parts and isinstance(parts[0], np.ndarray) else [np.fromiter(chain.from_iterable(parts), np.int64)]
+        self.ids = np.concatenate([self.ids, *flat])
+        self.size = np.concatenate([self.size, np.array([len(x) for x in parts], dtype=np.int64)])
+        self.start = np.cumsum(self.size) - self.size
+
+    def take(self, no: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The arrays of these numbers end to end, and their sizes."""
+        return self.ids[_ranges(self.start[no], self.size[no])], self.size[no]
+
+
 class Aligner:
     """Both tokenizers, and the remembered windows of a task."""
 
@@ -115,28 +139,53 @@ class Aligner:
                        for i in range(sp.get_piece_size())])
         self.a_words = np.array([[f"{i}{sign}" for i in range(len(self.a.tokens))] for sign in ",|"], dtype=object)
         self.b_words = np.array([[f"{i}{sign}" for i in range(len(self.b.tokens))] for sign in ",;"], dtype=object)
+        pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not sp.is_byte(i)]
+        self.by_word = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.word_no, self.chars, self.a_ids, self.b_ids = {}, 0, Pool(), Pool()
         self.forget()
 
+    def words(self, text: str) -> list[str]:
+        """A text cut at single spaces between other characters. No token of
+        either side crosses such a space from the left, so the words' tokens in order are the text's."""
+        if not self.by_word:
+            return [text]
+        return SINGLE.split(text) if " " in (text[0], text[-1]) or BESIDE.search(text) else text.split(" ")
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words not met before, each once."""
+        a = []
+        for w in words:
+            raw = w.encode()
+            plain = not raw.translate(None, _OLD) and (len(raw) < 1000 or _blank(raw) < 1000)
+            a.append(self.a_fast.encode_ordinary(" " + w) if plain else self.a_model.encode(" " + w, add_special_tokens=False).ids)
+        for pool, ids in zip((self.a_ids, self.b_ids), (a, self.b_model.encode(words, num_threads=1))):
+            pool.add(ids)
+        self.word_no.update(zip(words, range(len(self.word_no), len(self.word_no) + len(words))))
+        self.chars += sum(map(len, words))
+
     def encode(self, raws: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both sides for each text, None where it has no tokens."""
         texts, at = [], []
         for i, raw in enumerate(raws):
             if raw:
                 try:
-                    texts.append(raw.decode())
+                    texts.append(self.words(raw.decode()))
                     at.append(i)
                 except UnicodeDecodeError:
                     pass
         out: list = [None] * len(raws)
         if not texts:
             return out
-        a = [None if NEWER.search(t) or len(t) > 1000 and _blank(raws[i]) >= 1000 and BLANKS.search(t) else self.a_fast.encode_ordinary(" " + t)
-             for i, t in zip(at, texts)]
-        rest = [k for k, x in enumerate(a) if x is None]
-        for k, x in zip(rest, self.a_model.encode_batch_fast([" " + texts[k] for k in rest], add_special_tokens=False)):
-            a[k] = x.ids
-        ids = [[np.array(x, dtype=np.int64) for x in side] for side in (a, self.b_model.encode(texts, num_threads=1))]
-        whole = [b" " + raws[i] for i in at]
+        if self.chars > MEMO_CHARS:
+            self.word_no, self.chars, self.a_ids, self.b_ids = {}, 0, Pool(), Pool()
+        known = self.word_no
+        self._learn(list(dict.fromkeys([w for ws in texts for w in ws if w not in known])))
+        no = np.array([known[w] for ws in texts for w in ws])
+        of = np.cumsum([0, *map(len, texts)])
+        whole, ids = [b" " + raws[i] for i in at], []
+        for pool in (self.a_ids, self.b_ids):
+            got, size = pool.take(no)
+            ids.append(np.split(got, np.concatenate([[0], np.cumsum(size)])[of[1:-1]]))
         fine = all(side.covers(np.concatenate(x), b"".join(whole)) for side, x in zip((self.a, self.b), ids))
         for i, x, y, raw in zip(at, *ids, whole):
             if fine or self.a.covers(x, raw) and self.b.covers(y, raw):
@@ -201,13 +250,12 @@ class Aligner:
             at0, n_a, bt0, n_b = at[new], np.diff(at)[new], bt[new], np.diff(bt)[new]
             found = self._tell(a[_ranges(at0, n_a)], b[_ranges(bt0, n_b)], np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b)
             self.told += [f[0] for f in found]
-            self.sizes = np.concatenate([self.sizes, [(f[1], len(f[2])) for f in found]])
-            self.starts = np.cumsum(self.sizes[:, 1]) - self.sizes[:, 1]
-            self.pool = np.concatenate([self.pool, *(f[2] for f in found)])
+            self.n_groups = np.concatenate([self.n_groups, [f[1] for f in found]])
+            self.pool.add([f[2] for f in found])
             self.held += int(n_a.sum() + n_b.sum())
         number = np.array(numbers)[same]
-        told, (groups, n_links) = [self.told[n] for n in number.tolist()], self.sizes[number].T
-        links = self.pool[_ranges(self.starts[number], n_links)]
+        told, groups = [self.told[n] for n in number.tolist()], self.n_groups[number]
+        links, n_links = self.pool.take(number)
         cuts = np.searchsorted(at, np.cumsum([0, *(len(x[0]) for x in have)]))
         link_cuts, group_cuts = (np.concatenate([[0], np.cumsum(x)])[cuts].tolist() for x in (n_links, groups))
         out = iter([("".join(told[w0:w1])[:-1], g1 - g0, links[l0:l1]) for w0, w1, g0, g1, l0, l1 in
@@ -217,9 +265,8 @@ class Aligner:
     def forget(self) -> None:
         self.memo: dict[bytes | tuple, int] = {}
         self.told: list[str] = []                       # by number: a window's groups, ...
-        self.sizes = np.empty((0, 2), np.int64)         # ... how many groups and links it has, ...
-        self.starts = np.empty(0, np.int64)             # ... and where its links start in the pool
-        self.pool = np.empty(0, np.int64)
+        self.n_groups = np.empty(0, np.int64)           # ... how many they are, ...
+        self.pool = Pool()                              # ... and its links
         self.held = 0
 
 
@@ -239,7 +286,8 @@ def _distinct(a: np.ndarray, b: np.ndarray, at: np.ndarray, bt: np.ndarray) -> t
     for ids, start, size, col in ((a, at, n[0], np.ones(len(short), int)), (b, bt, n[1], 1 + n[0])):
         rows[np.repeat(np.arange(len(short)), size), _ranges(col, size)] = ids[_ranges(start[short], size)]
     digest = (rows.view(np.uint64) * _ODD).sum(axis=1, dtype=np.uint64)
-    _, first, same = np.unique(digest, return_index=True, return_inverse=True)
+    same, _ = pd.factorize(digest)                       # numbered as they come
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(same), prepend=-1))
     if not (rows == rows[first[same]]).all():           # a digest that two kinds share
         _, first, same = np.unique(rows, axis=0, return_index=True, return_inverse=True)
     long = np.flatnonzero(n_a + n_b > SHORT_IDS)
@@ -302,7 +350,9 @@ _BLOCK = {"block": "long", "doc_id": "array<long>", **{c: "array<long>" for c in
 def _one_block(number: int, ids: list, counts: list, shas: list, links: list) -> pa.RecordBatch:
     """Documents as a sparse matrix over the block's pairs, and how many of them hold each pair."""
     of = np.repeat(np.arange(len(links)), [len(x) for x in links])
-    pairs, no = np.unique(np.concatenate(links), return_inverse=True)
+    no, pairs = pd.factorize(np.concatenate(links))
+    order = np.argsort(pairs)
+    no, pairs = np.argsort(order)[no], pairs[order]
     cells, times = np.unique(of * max(len(pairs), 1) + no, return_counts=True)
     doc, no = np.divmod(cells, max(len(pairs), 1))
     first = np.searchsorted(doc, np.arange(len(links) + 1))
