@@ -131,7 +131,7 @@ _OUT = [("n_words", T.LongType()), ("n_hit", T.LongType()), ("n_items", T.LongTy
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id",
-                  block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+                  block_windows: int = BLOCK_WINDOWS, names: tuple[str, ...] = tuple(n for n, _ in _OUT)) -> DataFrame:
     """``docs`` plus n_words, n_hit (words inside any occurrence of a window),
     n_items, items_sha256 (item ids as strings, sorted, comma-joined) and
     contaminated (n_hit > 0 and 20 * n_hit >= n_words).
@@ -140,10 +140,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_te
     NULL or wordless items have no window. A NULL item id marks words but is
     not listed; rows that repeat an item id count as one item. Documents are
     judged row by row and other columns pass through (those named like an
-    output are replaced). With several blocks of windows each block runs
+    output of ``names`` are replaced). With several blocks of windows each block runs
     against all documents, and the hits of a text are joined by its digest.
     """
-    docs = docs.drop(*[n for n, _ in _OUT])
+    outputs = [(n, t) for n, (_, t) in zip(names, _OUT, strict=True)]
+    docs = docs.drop(*names)
     spark = docs.sparkSession
     table = cut(windows(items, item_text, item_id).groupBy("window").agg(F.collect_list("item_id").alias("items")), "windows")
     n_blocks = max(1, -(-table.count() // block_windows))
@@ -161,7 +162,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_te
                     words = alnum_words(raw)
                     return _verdict(len(words), *match(words, index, first))
                 return judge
-            return annotate(docs, text, make, _OUT)
+            return annotate(docs, text, make, outputs)
 
         def run(batches, shared=shared):
             index, first = shared.value
@@ -189,8 +190,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_te
     def facts():
         return lambda raw: (hashlib.sha256(raw or b"").digest(), len(alnum_words(raw)))
     base = annotate(docs, text, facts, [(key, T.BinaryType()), (size, T.LongType())])
-    empty = hashlib.sha256(b"").hexdigest()
-    hit = F.coalesce("_hit", F.lit(0)).cast("long")
-    return base.join(per, F.col(key) == F.col("_digest"), "left").select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col(size).alias("n_words"), hit.alias("n_hit"), F.coalesce("_items", F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce("_sha", F.lit(empty)).alias("items_sha256"), ((hit > 0) & (20 * hit >= F.col(size))).alias("contaminated"))
+    own = {c: fresh_name(base, c) for c in per.columns}
+    per = per.withColumnsRenamed(own)
+    empty, of = hashlib.sha256(b"").hexdigest(), lambda c: F.col(own[c])
+    hit = F.coalesce(of("_hit"), F.lit(0)).cast("long")
+    values = (F.col(size), hit, F.coalesce(of("_items"), F.lit(0)).cast("long"), F.coalesce(of("_sha"), F.lit(empty)), (hit > 0) & (20 * hit >= F.col(size)))
+    return base.join(per, F.col(key) == of("_digest"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], *[v.alias(n) for v, n in zip(values, names)])

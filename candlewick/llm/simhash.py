@@ -12,10 +12,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_rows, plain_words, text_bytes
+from .common import cut, fresh_name, map_rows, plain_words, text_bytes
 from .components import components
 
 #: Rows of a block value that are compared in one piece; larger ones are cut
@@ -158,11 +158,18 @@ def hex_fingerprint(fp: str = "fp") -> Column:
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: one document of each
-    component, the one that names it. If several rows have that id, the first
-    by the values of its columns stays; all columns pass through."""
-    kept = (near_duplicates(docs, text, doc_id, **options)
-            .where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct())
-    w = Window.partitionBy("_kept_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != doc_id])
-    out = docs.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept_id")))
-    return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` without near-duplicates: one row of each component,
+    that with the smallest doc_id (NULLs last), of several the first as the rows were read.
+
+    Ids need not be unique or present: the rows are written once with a number
+    of their own, which the components and the final semi join run on, so
+    only numbers, ids and fingerprints meet in joins beside that one. All columns, of any
+    type and name, come out as they were."""
+    row = fresh_name(docs, "row_number")
+    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    at, given = F.col(row), F.col(f"`{doc_id}`")
+    near = near_duplicates(rows, text, row, **options).select(F.col("doc_id").alias("at"), "component_id")
+    ids = rows.select(at.alias("at"), given.isNull().alias("absent"), given.alias("id"))
+    first = near.join(ids, "at").groupBy("component_id").agg(F.min(F.struct("absent", "id", "at")).alias("x"))
+    kept = first.select(F.col("x.at").alias(row))
+    return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -37,8 +37,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold benchmark passages beyond the contract's share."""
-    judged = decontam.decontaminate(docs, documents(spark, sf_dir, "benchmark"))
-    return judged.where(~F.col("contaminated")).select(*docs.columns)
+    names = tuple(fresh_name(docs, n) for n in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated"))
+    judged = decontam.decontaminate(docs, documents(spark, sf_dir, "benchmark"), names=names)
+    return judged.where(~F.col(names[4])).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

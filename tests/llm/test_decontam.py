@@ -61,3 +61,14 @@ def test_odd_rows_and_empty_tables(spark):
     assert not none.contaminated.any() and len(none) == len(out)
     assert decontam.decontaminate(empty_docs(spark), items).count() == 0
     assert [c.split()[0] for c in DOC.split(", ")] == empty_docs(spark).columns
+
+
+def test_many_blocks_beside_clashing_columns(spark):
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    for n in ("digest", "_digest", "words", "_hit", "_items", "_sha", "n_hit"):
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id").cast("string")))
+    items = spark.read.parquet(f"{SF001}/benchmark.parquet")
+    own = ("w", "h", "i", "s", "c")
+    one, many = (sorted(map(tuple, decontam.decontaminate(docs, items, block_windows=k, names=own).drop("text").collect())) for k in (10**6, 50))
+    assert one == many and any(r[-1] for r in one)

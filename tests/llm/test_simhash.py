@@ -85,6 +85,23 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id is not None, r.doc_id or 0) for r in kept.collect()) == [(False, 0), (True, 1), (True, 4), (True, 6), (True, 7), (True, 8)]
 
 
+def test_absent_and_repeated_ids_lose_no_text(spark):
+    absent = spark.createDataFrame([(None, "first text of its own kind"), (None, "quite another matter altogether here"), (None, "third thing, unlike both others")], "doc_id long, text string")
+    assert simhash.keep_one(absent).count() == 3
+    twice = spark.createDataFrame([(1, "text A of some words that stand here"), (2, "another B with words that differ much"), (2, "text A of some words that stand here")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text[:6]) for r in simhash.keep_one(twice).collect()) == [(1, "text A"), (2, "anothe")]
+
+
+def test_columns_of_any_name_and_type_come_out_as_they_were(spark):
+    from pyspark.sql import functions as F
+    d = spark.createDataFrame([(i, f"text number {i // 2} with words {i // 2} of its own {i // 2}") for i in range(8)], "doc_id long, text string")
+    d = (d.withColumn("_rn", F.col("doc_id") + 100).withColumn("_kept_id", F.lit("k")).withColumn("tags", F.create_map(F.lit("a"), F.col("doc_id")))
+         .withColumn("row_number", F.col("doc_id") * 2).withColumn("at", F.lit("x")).withColumn("component_id", F.lit(None).cast("int")))
+    out = {r.doc_id: r for r in simhash.keep_one(d).collect()}
+    assert sorted(out) == [0, 2, 4, 6]
+    assert all(out[r.doc_id] == r for r in d.collect() if r.doc_id in out)
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(empty_docs(spark)).count() == 0
     assert simhash.keep_one(empty_docs(spark)).columns == [c.split()[0] for c in DOC.split(", ")]
