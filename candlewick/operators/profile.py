@@ -1,20 +1,21 @@
 """Profiling aggregates (AGG-01..06).
 
-All of them are partial aggregates (map-side combine), so the shuffle carries
-one small buffer per task and group, whatever the skew. All but the
-correlation matrix (a k x k result of Spark ML) are lazy.
+All of them are lazy plans of partial aggregates (map-side combine), so the
+shuffle carries one small buffer per task and group, whatever the skew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.timestamps import weekday_name
 
+
 def mean_by_hour(df: DataFrame, ts: str, x: str | dict[str, str], name: str | None = None) -> DataFrame:
     """Mean of ``x`` per hour of day 0-23; ``x`` may be ``{name: column}``
     for several means in the same aggregate."""
@@ -35,63 +36,80 @@ def _magnitude(x: Column) -> Column:
     return F.signum(x) * F.floor(F.log1p(F.abs(x)) * F.lit(4096.0))
 
 
-def quantile_row(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
-    """One row with ``q``: exact quantiles (linear interpolation, the pandas /
-    numpy default) of the numbers in ``col``, NULL without any.
-
-    One lazy plan of the same shape at every size. Rows are counted per value
-    (partial aggregates, so a value that fills a third of the table is one row
-    per task), values are totalled per magnitude bucket, a running total over
-    the few buckets gives each its first rank, and running counts inside the
-    buckets place every value; the rows around each rank are picked by an
-    aggregate. Nothing is sorted as a whole.
+def _profile(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """One row per column number ``i``: n, mean, std, least, most and ``q``, the
+    exact quantiles (linear interpolation, the pandas / numpy default). NULL and NaN are left out.
+
+    One lazy plan and one scan for any number of columns, the same at every
+    size. Rows are counted per (column, value) by partial aggregates, so a value that fills a
+    third of the table is one row per task. Values are totalled per magnitude bucket,
+    with moments about the bucket's middle (no cancellation); running totals over a column's buckets
+    say which bucket holds each rank asked for, and running counts inside those
+    buckets pick the values. Nothing is sorted as a whole.
     """
-    x = F.col("x")
-    src = df.select(F.col(col).cast("double").alias("x")).where(x.isNotNull() & ~F.isnan(x))
-    values = src.groupBy("x").agg(F.count(F.lit(1)).alias("c")).withColumn("b", _magnitude(x))
-    totals = values.groupBy("b").agg(F.sum("c").alias("t"))
-    order = Window.orderBy("b")                              # buckets, not rows or values
-    first = totals.select(F.col("b").alias("_b"), (F.sum("t").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("t")).alias("before"),
-                          F.sum("t").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"))
-    inside = Window.partitionBy("b").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    placed = values.withColumn("run", F.sum("c").over(inside)).join(first, F.col("b") == F.col("_b"))
-    hi = F.col("before") + F.col("run")
-    lo = hi - F.col("c")
-    picks = []
-    for i, p in enumerate(probs):
-        at = F.lit(float(p)) * (F.col("n") - 1)
-        for name, k in (("l", F.floor(at)), ("h", F.ceil(at))):
-            picks.append(F.max(F.when((lo <= k) & (k < hi), x)).alias(f"{name}{i}"))
-        picks.append(F.max(at - F.floor(at)).alias(f"f{i}"))
-    row = placed.agg(*picks)
-    return row.select(F.array(*[F.col(f"l{i}") + (F.col(f"h{i}") - F.col(f"l{i}")) * F.col(f"f{i}") for i in range(len(probs))]).alias("q"))
+    x, c, i, b, n = (F.col(k) for k in ("x", "c", "i", "b", "n"))
+    cells = F.array(*[F.struct(F.lit(k).alias("i"), F.col(f"`{name}`").cast("double").alias("x")) for k, name in enumerate(cols)])
+    long = df.select(F.explode(cells).alias("v")).select("v.*").where(x.isNotNull() & ~F.isnan(x))
+    values = long.groupBy("i", "x").agg(F.count(F.lit(1)).alias("c")).withColumn("b", _magnitude(x))
+    inside = Window.partitionBy("i", "b").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    placed = values.withColumn("run", F.sum("c").over(inside))
+    middle = F.signum(b) * F.expm1(F.abs(b) / F.lit(4096.0))
+    d = x - middle
+    totals = placed.groupBy("i", "b").agg(F.sum("c").alias("t"), F.sum(c * d).alias("s"), F.sum(c * d * d).alias("ss"), F.min("x").alias("least"), F.max("x").alias("most"))
+    of = Window.partitionBy("i")
+    t = F.col("t")
+    centre = middle + F.col("s") / t
+    ranked = totals.select("*", (F.sum("t").over(of.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)) - t).alias("before"), F.sum("t").over(of).alias("n"),
+                           (F.sum(t * centre).over(of) / F.sum("t").over(of)).alias("mean"))
+    at = [F.lit(float(p)) * (n - 1) for p in probs]
+    ranks = [r for a in at for r in (F.floor(a), F.ceil(a))]
+    lo = F.col("before")
+    per = ranked.groupBy("i").agg(
+        F.max("n").alias("n"), F.max("mean").alias("mean"),
+        F.sum(F.col("ss") - F.col("s") * F.col("s") / t + t * (centre - F.col("mean")) * (centre - F.col("mean"))).alias("spread"),
+        F.min("least").alias("least"), F.max("most").alias("most"),
+        F.array(*[F.max(F.when((lo <= r) & (r < lo + t), F.struct(b.alias("b"), (r - lo).alias("r")))) for r in ranks]).alias("asked"))
+    # two ranks of each quantile and column: a few rows, broadcast
+    asked = per.select(i.alias("ai"), F.posexplode("asked").alias("k", "w")).select("ai", "k", F.col("w.b").alias("ab"), F.col("w.r").alias("r"))
+    run = F.col("run")
+    hit = placed.join(F.broadcast(asked), (i == F.col("ai")) & (b == F.col("ab")) & (run - c <= F.col("r")) & (F.col("r") < run))
+    picks = hit.groupBy(i.alias("pi")).agg(*[F.max(F.when(F.col("k") == k, x)).alias(f"v{k}") for k in range(len(ranks))])
+    q = [F.col(f"v{2 * k}") + (F.col(f"v{2 * k + 1}") - F.col(f"v{2 * k}")) * (a - F.floor(a)) for k, a in enumerate(at)]
+    std = F.when(n > 1, F.sqrt(F.greatest(F.col("spread"), F.lit(0.0)) / (n - 1)))
+    return per.join(F.broadcast(picks), i == F.col("pi")).select("i", "n", "mean", std.alias("std"), "least", "most", F.array(*q).alias("q"))
+
+
+def quantile_row(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """One row with ``q``: exact quantiles of the numbers in ``col``, NULL without any."""
+    one = df.sparkSession.range(1).select(F.lit(0).alias("z"))
+    return one.join(_profile(df, [col], probs), F.col("z") == F.col("i"), "left").select("q")
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
     """The quantiles of :func:`quantile_row` as numbers."""
-    return list(quantile_row(df, col, probs).first()["q"])
+    return list(quantile_row(df, col, probs).first()["q"] or [None] * len(probs))
 
 
 def describe(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """count, mean, std (n-1), min, 25/50/75 % (linear interpolation), max,
-    one row per column, as one lazy plan.
-
-    Moments come from partial aggregates; the exact quartiles from
-    :func:`quantile_row`; ``approx=True`` uses a fixed-size sketch instead.
-    """
-    probs, out = [0.25, 0.5, 0.75], None
-    for c in cols:
-        x = F.col(c)
-        aggs = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max")]
-        if approx:
-            row = df.agg(*aggs, F.percentile_approx(x, probs, accuracy).cast("array<double>").alias("q"))
-        else:
-            one = quantile_row(df, c, probs).withColumn("_one", F.lit(1))
-            row = df.agg(*aggs).withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one")      # one row each
-        row = row.select(F.lit(c).alias("column"), "count", "mean", "std", "min", *[F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))], "max")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """count, mean, std (n-1), min, 25/50/75 % (linear interpolation), max, one
+    row per column, as one lazy plan of one scan: see :func:`_profile`.
+    ``approx=True`` uses moments and a fixed-size sketch in one aggregate instead."""
+    probs, cols = [0.25, 0.5, 0.75], list(cols)
+    names = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(c).alias("column")) for k, c in enumerate(cols)])
+    every = df.sparkSession.range(1).select(F.explode(names).alias("e")).select("e.*")
+    if approx:
+        aggs = []
+        for k, name in enumerate(cols):
+            x = F.col(f"`{name}`").cast("double")
+            x = F.when(~F.isnan(x), x)
+            aggs.append(F.struct(F.lit(k).alias("i"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("least"), F.max(x).alias("most"),
+                                 F.percentile_approx(x, probs, accuracy).cast("array<double>").alias("q")).alias(f"a{k}"))
+        per = df.agg(*aggs).select(F.explode(F.array(*[F.col(f"a{k}") for k in range(len(cols))])).alias("a")).select("a.*")
+    else:
+        per = _profile(df, cols, probs)
+    out = every.join(per, F.col("k") == F.col("i"), "left")
+    return out.select("column", F.coalesce("n", F.lit(0)).cast("bigint").alias("count"), "mean", "std", F.col("least").alias("min"),
+                      *[F.col("q")[k].alias(p) for k, p in enumerate(("p25", "p50", "p75"))], F.col("most").alias("max"))
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -107,33 +125,20 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson matrix after listwise NULL removal, long form (col_a, col_b, r).
-
-    Rows with any NULL are skipped by the assembler; Spark ML's ``Correlation``
-    then tree-aggregates the centered Gram matrix (a partial aggregate of
-    ``len(cols)^2`` numbers per task), so only the k x k result reaches the
-    driver, whatever the row count. A constant column gives NULL.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
+    """Pearson matrix after listwise removal of NULL and NaN, long form (col_a,
+    col_b, r). One lazy aggregate holds the mergeable co-moments of every pair,
+    so each task sends one row, whatever the row count. A constant column, and a frame without rows, give NULL."""
     cols = list(cols)
-    spark = df.sparkSession
-    clean = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna(how="any")
-    vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="skip").transform(clean) \
-        .select("_features").persist(StorageLevel.MEMORY_AND_DISK)   # Correlation makes several passes
-    try:
-        rows = Correlation.corr(vec, "_features", "pearson").first()
-    finally:
-        vec.unpersist()
-    data = []
-    if rows is not None:
-        m = rows[0].toArray()
-        for i, a in enumerate(cols):
-            for j, b in enumerate(cols):
-                v = float(m[i, j])
-                data.append((a, b, None if v != v else v))
-    return spark.createDataFrame(data, "col_a string, col_b string, r double")
+    x = [F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(cols)]
+    names = [f"x{i}" for i in range(len(cols))]
+    clean = df.select(*x).where(reduce(and_, [F.col(n).isNotNull() & ~F.isnan(n) for n in names]))
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    moments = clean.agg(*[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs], *[F.stddev_pop(n).alias(f"s{i}") for i, n in enumerate(names)])
+    row = moments.select(*[F.try_divide(F.col(f"c{i}_{j}"), F.col(f"s{i}") * F.col(f"s{j}")).alias(f"r{i}_{j}") for i, j in pairs])
+    told = [F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"r{min(i, j)}_{max(i, j)}").alias("r"))
+            for i in range(len(cols)) for j in range(len(cols))]
+    r = F.col("p.r")
+    return row.select(F.explode(F.array(*told)).alias("p")).select("p.col_a", "p.col_b", F.when(~F.isnan(r), r).alias("r"))
 
 
 def row_count(df: DataFrame) -> DataFrame:

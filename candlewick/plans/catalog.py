@@ -24,7 +24,7 @@ from candlewick.operators.filters import search
 from candlewick.operators.indicators import atr, bollinger, rsi
 from candlewick.operators.joins import detect_anomalies, join_calls_events, orphan_events
 from candlewick.operators.ordering import after, head, order_by, paginate, tail, top_k, with_total
-from candlewick.operators.profile import correlation_matrix, describe, mean_by_hour, mean_by_weekday, null_profile
+from candlewick.operators.profile import correlation_matrix, describe, mean_by_hour, mean_by_weekday, null_profile, quantile_row
 from candlewick.operators.windows import (Spec, apply_specs, diff, expand_features, rate_of_change, rolling_mean,
                                           rolling_std)
 from candlewick.functions.scalar import thousands
@@ -419,6 +419,22 @@ def q_describe(spark, sf):
     return shape(out, {"mean": 6, "std": 6, "p25": 6, "p50": 6, "p75": 6})
 
 
+@register("describe_approx", f"""WITH {SQL_TICKS}
+SELECT 'acc_trade_price_24h' AS "column", count(acc_trade_price_24h) AS count, round(avg(acc_trade_price_24h), 6) AS mean, round(stddev_samp(acc_trade_price_24h), 6) AS std,
+  CAST(min(acc_trade_price_24h) AS DOUBLE) AS min, CAST(max(acc_trade_price_24h) AS DOUBLE) AS max, 3 AS quartiles_within FROM ticks""")
+def q_describe_approx(spark, sf):
+    """AGG-03 by sketch: the moments, and how many of the sketch's quartiles lie
+    within one rank in a thousand of the exact ones."""
+    ticks, col = _ticks(spark, sf), "acc_trade_price_24h"
+    a = describe(ticks, [col], approx=True)
+    around = [quantile_row(ticks, col, [max(p + s * 0.001, 0.0) for p in (0.25, 0.5, 0.75)]).withColumnRenamed("q", n) for s, n in ((-1, "low"), (1, "high"))]
+    j = a.withColumn("_one", F.lit(1))
+    for r in around:
+        j = j.join(F.broadcast(r.withColumn("_one", F.lit(1))), "_one")
+    within = sum(((F.col(p) >= F.col("low")[k]) & (F.col(p) <= F.col("high")[k])).cast("int") for k, p in enumerate(("p25", "p50", "p75")))
+    return shape(j.select("column", "count", "mean", "std", "min", "max", within.alias("quartiles_within")), {"mean": 6, "std": 6})
+
+
 NULL_COLS = ["acc_trade_price_24h", "acc_trade_volume_24h", "price_ma5", "volume_ma5", "price_ma10", "volume_ma10",
              "price_ma20", "volume_ma20", "price_roc1", "price_roc3", "price_roc5", "hour_of_day", "day_of_week",
              "price_lag1", "volume_lag1", "price_lag2", "volume_lag2", "price_lag3", "volume_lag3"]
@@ -1060,6 +1076,26 @@ def q_market_stats_incremental(spark, sf):
     return _as_text(shape(read_mart(spark, mart).drop("created_at")), {"acc_trade_price_24h", "acc_trade_volume_24h"})
 
 
+def _daily(spark, sf, update, name):
+    """The candles in five parts of time, the newest day of each again in the next, one job run each."""
+    mart = f"{scratch_path(spark, name)}/mart"
+    c = _candles(spark, sf).withColumn("ingested_at", F.col("date").cast("timestamp"))
+    low, high = c.agg(F.min("date"), F.max("date")).first()
+    step = (high - low) / 5
+    for n in range(5):
+        start, end = low + n * step, low + (n + 1) * step if n < 4 else high
+        update(c.where((F.col("date") >= F.lit(start)) & (F.col("date") <= F.lit(end))), mart, f"run-{n}")
+    return read_current(spark, mart)
+
+
+@register("trend_report_daily", SQL_TREND_ROWS + """
+SELECT symbol, CAST(CAST(close_price AS DECIMAL(20,4)) AS VARCHAR) AS close_price, is_golden_cross, trend_score FROM report""")
+def q_trend_report_daily(spark, sf):
+    """PIP-03 run after run from a stored tail of 61 days: equal to one run over the whole history."""
+    t = _daily(spark, sf, jobs.update_trend_report, "trend-daily")
+    return t.select("symbol", F.col("close_price").cast("string").alias("close_price"), "is_golden_cross", "trend_score")
+
+
 @register("mart_guards", f"""
 WITH {SQL_STATS}
 SELECT 'after an empty write' AS step, symbol, CAST(acc_trade_price_24h AS VARCHAR) AS acc_trade_price_24h FROM stats

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from candlewick.operators.dedupe import dedupe_latest, newest_n_per_key
 from candlewick.plans import marts
 from candlewick.sources.landing import (CANDLE_ENDPOINT, TICKER_ENDPOINT, candles_from_landing, read_landing,
                                         read_sentiment_landing)
@@ -66,6 +67,35 @@ def refresh_feature_mart(spark: SparkSession, candle_landing_path: str, sentimen
     return overwrite_mart(conform(fm, FEATURE_MART), mart_path, version, unique=["symbol", "date"])
 
 
+#: Rows of a symbol that its newest trend row and baseline depend on: the longest window, one row more for lags and crosses.
+TREND_TAIL, BASELINE_TAIL = 61, 31
+
+
+def _from_tail(candles: DataFrame, mart_path: str, version, depth: int, schema: str, build) -> str | None:
+    """Keep a newest-row mart up from new candles and a stored tail: each
+    symbol's last ``depth`` days (the newest ingest of each) lie beside the mart
+    (``_tail``), the new candles are merged into them, and the mart is built from the
+    merged tail. Re-polled and late days inside the tail count; days older than it cannot matter any more."""
+    spark, stored = candles.sparkSession, os.path.join(mart_path, "_tail")
+    rows = candles.select("symbol", "date", "open", "high", "low", "close", "volume", "ingested_at")
+    if current_version(spark, stored) is not None:
+        rows = read_current(spark, stored).unionByName(rows)
+    days = dedupe_latest(rows, ["symbol", "date"], ["ingested_at", "open", "high", "low", "close", "volume"])
+    if overwrite_mart(newest_n_per_key(days, "symbol", "date", depth), stored, version, unique=["symbol", "date"]) is None:
+        return None
+    return overwrite_mart(conform(build(read_current(spark, stored)), schema), mart_path, version, unique=["symbol"])
+
+
+def update_trend_report(candles: DataFrame, mart_path: str, version=None) -> str | None:
+    """PIP-03 from a day's new candles (symbol, date, prices, volume, ingested_at): equal to a run over all of them."""
+    return _from_tail(candles, mart_path, version, TREND_TAIL, TREND_MART, marts.build_trend_report)
+
+
+def update_anomaly_baseline(candles: DataFrame, mart_path: str, version=None) -> str | None:
+    """PIP-04 from a day's new candles: equal to a run over all of them."""
+    return _from_tail(candles, mart_path, version, BASELINE_TAIL, BASELINE_MART, marts.build_anomaly_baseline)
+
+
 def update_market_stats(landed: DataFrame, mart_path: str, version=None) -> str | None:
     """PIP-01 kept up from newly landed rows: the newest poll of each symbol in
     ``landed`` against the newest one known so far, which lies beside the mart with the times that

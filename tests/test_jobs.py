@@ -78,3 +78,31 @@ def test_stats_kept_up_from_landed_rows(spark, tmp_dir):
     # a replayed batch gives the same mart, one without tickers changes nothing
     assert jobs.update_market_stats(polls.where(late == 1), mart, "batch-9") == "batch-9" and same()
     assert jobs.update_market_stats(polls.where("endpoint = 'none'").limit(0), mart + "-other", 1) is None
+
+
+def test_day_by_day_runs_equal_one_run(spark, tmp_dir):
+    """Late and re-polled days inside the tail; a symbol that starts late; runs without new days."""
+    import datetime as dt
+    import random
+    rnd, day = random.Random(3), dt.date(2024, 1, 1)
+    rows = []
+    for s, first in (("A", 0), ("B", 0), ("LATE", 70)):
+        for n in range(first, 100):
+            p = 100 + 20 * rnd.random()
+            rows.append((s, day + dt.timedelta(n), p, p + 1, p - 1, p + rnd.random(), float(rnd.randrange(1, 9)), dt.datetime(2024, 1, 1) + dt.timedelta(n)))
+    late = [(s, d, o, h, l, c + 5, v, i + dt.timedelta(3)) for s, d, o, h, l, c, v, i in rows if d.day % 9 == 0]          # corrected closes, landing 3 days later
+    schema = "symbol string, date date, open double, high double, low double, close double, volume double, ingested_at timestamp"
+    every = spark.createDataFrame(rows + late, schema).cache()
+    from candlewick.plans import marts
+    trend, base = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "b")
+    for n in (0, 40, 75, 90, 103):
+        start = {0: -1, 40: 0, 75: 40, 90: 75, 103: 90}[n]
+        new = every.where(F.datediff("ingested_at", F.lit("2024-01-01")).between(start + 1, n))
+        jobs.update_trend_report(new, trend, n)
+        jobs.update_anomaly_baseline(new, base, n)
+    def told(df):
+        return sorted(tuple(str(x) for x in r) for r in df.drop("created_at", "updated_at").collect())
+    from candlewick.sources.sinks import conform
+    assert told(read_current(spark, trend)) == told(conform(marts.build_trend_report(every), jobs.TREND_MART)) and len(told(read_current(spark, trend))) == 2
+    assert told(read_current(spark, base)) == told(conform(marts.build_anomaly_baseline(every), jobs.BASELINE_MART))
+    assert read_current(spark, trend + "/_tail").count() == 61 + 61 + 30
