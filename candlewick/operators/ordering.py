@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +52,60 @@ def after(df: DataFrame, order: str, last, size: int = 100) -> DataFrame:
     return df.where(F.col(order) > F.lit(last)).orderBy(order).limit(size)
 
 
+@dataclass(frozen=True)
+class PageIndex:
+    """Consecutive blocks of an ordered frame: rows, and the least and greatest
+    value of the first order column (None, None: its NULLs). No two blocks share a value."""
+    df: DataFrame
+    order: tuple[str, ...]
+    blocks: tuple[tuple[int, object, object], ...]
+
+    @property
+    def total(self) -> int:
+        return sum(n for n, _, _ in self.blocks)
+
+    def page(self, number: int, size: int = 100) -> DataFrame:
+        """Rows of the 1-based page: a filter for the blocks it lies in (pushed
+        down to the scan), a top-n inside them. Any page reads about one block."""
+        start, before, asked = (number - 1) * size, 0, []
+        for n, low, high in self.blocks:
+            if before < start + size and before + n > start:
+                asked.append((before, low, high))
+            before += n
+        first = F.col(self.order[0].lstrip("-"))
+        if not asked:
+            return self.df.limit(0)
+        spans = [(low, high) for _, low, high in asked if low is not None]
+        cond = first.isNull() if len(spans) < len(asked) else None
+        if spans:
+            within = (first >= F.lit(min(x for x, _ in spans))) & (first <= F.lit(max(x for _, x in spans)))
+            cond = within if cond is None else cond | within
+        return self.df.where(cond).orderBy(*_sort(self.order)).offset(start - asked[0][0]).limit(size)
+
+
+def page_index(df: DataFrame, *order: str, ranges: int = 256) -> PageIndex:
+    """An index of the pages of ``df`` in a total ``order`` (ORD-05). Spark
+    range-partitions the order columns and counts each range; ``ranges`` rows
+    reach the driver. The counts give every page's place and the total; ranges that share a boundary value are one block."""
+    name = order[0].lstrip("-")
+    x = F.col(name)
+    dealt = df.select(*dict.fromkeys(c.lstrip("-") for c in order)).repartitionByRange(ranges, *_sort(order))
+    rows = dealt.groupBy(F.spark_partition_id().alias("range")).agg(F.count(F.lit(1)).alias("n"), F.count(x).alias("known"), F.min(x).alias("low"), F.max(x).alias("high")) \
+                .orderBy("range").collect()
+    blocks: list[list] = []
+    for r in rows:
+        if r["known"]:
+            if blocks and blocks[-1][1] <= r["high"] and r["low"] <= blocks[-1][2]:
+                last = blocks[-1]
+                blocks[-1] = [last[0] + r["known"], min(last[1], r["low"]), max(last[2], r["high"])]
+            else:
+                blocks.append([r["known"], r["low"], r["high"]])
+    absent = sum(r["n"] - r["known"] for r in rows)
+    if absent:
+        blocks.insert(len(blocks) if order[0].startswith("-") else 0, [absent, None, None])
+    return PageIndex(df, tuple(order), tuple(map(tuple, blocks)))
+
+
 def head(df: DataFrame, n: int, *order) -> DataFrame:
     return df.orderBy(*_sort(order)).limit(n)
 

@@ -18,16 +18,16 @@ from pyspark.sql import functions as F
 from candlewick.functions.json import json_fields
 from candlewick.functions.timestamps import epoch_s_to_ts, iso_text
 from candlewick.operators import contract as C
-from candlewick.operators.dedupe import dedupe_latest, enforce_unique, min_history, newest_n_per_key, unique_violations
+from candlewick.operators.dedupe import dedupe_latest, enforce_unique, latest_two, min_history, newest_n_per_key, unique_violations
 from candlewick.operators.ewm import ewm_mean, macd
 from candlewick.operators.filters import search
 from candlewick.operators.indicators import atr, bollinger, rsi
 from candlewick.operators.joins import detect_anomalies, join_calls_events, orphan_events
-from candlewick.operators.ordering import after, head, order_by, paginate, tail, top_k, with_total
+from candlewick.operators.ordering import after, head, order_by, page_index, paginate, tail, top_k, with_total
 from candlewick.operators.profile import correlation_matrix, describe, mean_by_hour, mean_by_weekday, null_profile, quantile_row
 from candlewick.operators.windows import (Spec, apply_specs, diff, expand_features, rate_of_change, rolling_mean,
                                           rolling_std)
-from candlewick.functions.scalar import thousands
+from candlewick.functions.scalar import thousands, to_json_payload
 from candlewick.plans import jobs, marts, serving
 from candlewick.plans.compare import shape
 from candlewick.plans.ingest import ingest
@@ -640,6 +640,36 @@ def q_page_two(spark, sf):
     return with_total(rows, total)
 
 
+@register("page_deep", """
+WITH n AS (SELECT count(*) AS total FROM orders)
+SELECT o_orderkey, o_totalprice, total FROM orders, n
+QUALIFY row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) BETWEEN 100 * (total // 200) + 1 AND 100 * (total // 200) + 100""")
+def q_page_deep(spark, sf):
+    """ORD-05 by index: a page in the middle reads about one range of the order, the total comes with the index."""
+    index = page_index(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "-o_totalprice", "o_orderkey")
+    return index.page(index.total // 200 + 1, 100).withColumn("total", F.lit(index.total).cast("bigint"))
+
+
+@register("latest_two", """
+SELECT event_type, event_id, value, 3 - rk AS pos_from_old, rk AS pos
+FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rk FROM events WHERE value IS NOT NULL) WHERE rk <= 2""")
+def q_latest_two(spark, sf):
+    """WIN-16: last and previous complete row of each series."""
+    two = latest_two(table(spark, sf, "events").select("event_type", "event_id", "ts", "value"), "event_type", ["ts", "event_id"], ["value"])
+    return two.select("event_type", "event_id", "value", (3 - F.col("pos")).cast("bigint").alias("pos_from_old"), F.col("pos").cast("bigint").alias("pos"))
+
+
+@register("strict_cast", """
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, strftime(l_shipdate, '%Y-%m-%d') AS day, l_returnflag FROM lineitem""")
+def q_strict_cast(spark, sf):
+    """PRJ-05 / PRJ-02: rows serialized to one JSON text and read back with casts that fail the query on a bad value."""
+    src = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("string").alias("l_quantity"),
+                                              "l_extendedprice", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), "l_returnflag")
+    fields = {"l_orderkey": "bigint", "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double", "day": "date", "l_returnflag": "string"}
+    back = json_fields(to_json_payload(src), "payload", {n: (f"$.{n}", t) for n, t in fields.items()}, keep=False, strict=True)
+    return back.withColumn("day", F.col("day").cast("string"))
+
+
 @register("history_union", """
 SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders""")
 def q_history_union(spark, sf):
@@ -1174,6 +1204,32 @@ def q_text_forms(spark, sf):
     return table(spark, sf, "events").select("event_id", iso_text("ts").alias("iso"), thousands(F.floor(F.col("value") * 1000)).alias("amount"))
 
 
+def _explore_sql() -> str:
+    feats, ticks = "feats WHERE symbol = 'view'", "ticks WHERE symbol = 'view'"
+    parts = []
+    for c in ("acc_trade_price_24h", "acc_trade_volume_24h"):
+        for m, x in (("count", f"count({c})"), ("mean", f"avg({c})"), ("std", f"stddev_samp({c})"), ("p50", f"quantile_cont({c}, 0.5)"), ("max", f"max({c})")):
+            parts.append(f"SELECT 'describe' AS part, '{c}' AS item, '{m}' AS measure, round(CAST({x} AS DOUBLE), 6) AS value FROM {ticks}")
+    parts += [f"SELECT 'nulls', '{c}', 'nulls', CAST(count(*) - count({c}) AS DOUBLE) FROM {feats}" for c in NULL_COLS]
+    parts.append(f"SELECT 'by_hour', CAST(hour(ts_event) AS VARCHAR), 'acc_trade_volume_24h', round(avg(acc_trade_volume_24h), 6) FROM {feats} GROUP BY 2")
+    parts.append(f"SELECT 'by_weekday', CAST(day_of_week AS VARCHAR), 'price_roc1', round(avg(price_roc1), 6) FROM {feats} AND price_roc1 IS NOT NULL GROUP BY 2")
+    return "WITH " + SQL_TICK_FEATURES + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("explore_whole", _explore_sql())
+def q_explore_whole(spark, sf):
+    """PIP-06: every part of the exploration of one symbol but its matrix, in long form."""
+    x = marts.explore_symbol(_ticks(spark, sf), "view")
+    told = lambda df, part, item, measures: [df.select(F.lit(part).alias("part"), item.cast("string").alias("item"), F.lit(m).alias("measure"),
+                                                       F.col(c).cast("double").alias("value")) for m, c in measures]
+    same = lambda *names: [(n, n) for n in names]
+    nulls = x["nulls"].where(F.col("column").isin(NULL_COLS))
+    parts = [*told(x["describe"], "describe", F.col("column"), same("count", "mean", "std", "p50", "max")), *told(nulls, "nulls", F.col("column"), same("nulls")),
+             *told(x["by_hour"], "by_hour", F.col("hour_of_day"), [("acc_trade_volume_24h", "avg_acc_trade_volume_24h")]),
+             *told(x["by_weekday"], "by_weekday", F.col("day_of_week"), [("price_roc1", "avg_price_roc1")])]
+    return shape(reduce(DataFrame.unionByName, parts), {"value": 6})
+
+
 @register("explore_one_symbol", _corr_sql().replace("FROM feats WHERE", "FROM feats WHERE symbol = 'view' AND"))
 def q_explore_one_symbol(spark, sf):
     """PIP-06 as one pipeline: one symbol's features to its correlation matrix."""
