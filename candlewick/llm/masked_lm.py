@@ -39,6 +39,9 @@ SMOOTH = 0.5
 #: Words outside the vocabulary whose shares are sent to every task; those of all others are joined.
 NEAR = 100_000
 
+#: Different words that a counting task holds before it hands them on.
+HELD_WORDS = 300_000
+
 #: Tokens that one training step sees, and the slices in which tasks hand over their weights.
 STEP_TOKENS, SLICES = 16_384, 16
 
@@ -72,19 +75,41 @@ def initial(seed: int = 42, k: int = CLASSES) -> np.ndarray:
     return flat
 
 
-def encode(texts: list[bytes | None], ids: dict[bytes, int], k: int = CLASSES, outside: list[list[bytes]] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all texts with SIDE pads (id k * k) around each, and the number of tokens of each.
-    ``outside`` gets each text's words outside the vocabulary."""
-    out, sizes = [k * k] * SIDE, []
-    get, first_ending = ids.get, k * k - ENDINGS
-    for t in texts:
-        words = alnum_words(t)
-        sizes.append(len(words))
-        if outside is not None:
-            outside.append([w for w in words if w not in ids])
-        out += [i if (i := get(w)) is not None else first_ending + zlib.crc32(w[-2:]) % ENDINGS for w in words]
-        out += [k * k] * SIDE
-    return np.array(out, np.int32), np.array(sizes, np.int64)
+class Words:
+    """Ids of words: those of the vocabulary, and of frequent words outside it
+    the id of their ending with their log share, looked up once for each token."""
+
+    def __init__(self, ids: dict[bytes, int], near: dict[bytes, float], k: int):
+        self.pad, self.first_ending = k * k, k * k - ENDINGS
+        self.number = dict(zip([*ids, *near], range(len(ids) + len(near))))
+        self.id = np.array([*ids.values(), *(self.first_ending + ending(w) for w in near)], dtype=np.int32)
+        self.share = np.array([0.0] * len(ids) + list(near.values()))
+
+    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
+        """Ids of all texts with SIDE pads around each; of each text the number
+        of tokens, the sum of its words' log shares, and its words that are neither in the vocabulary nor among the frequent ones."""
+        get, numbers, sizes, far = self.number.get, [], [], []
+        for t in texts:
+            words = alnum_words(t)
+            found = [get(w, -1) for w in words]
+            sizes.append(len(words))
+            numbers += found
+            far.append([w for w, n in zip(words, found) if n < 0] if -1 in found else [])
+        sizes, number = np.array(sizes, np.int64), np.array(numbers, np.int64)
+        unknown = number < 0
+        ids, share = (np.append(x, 0)[number] for x in (self.id, self.share))
+        ids[unknown] = [self.first_ending + ending(w) for words in far for w in words]
+        starts = np.cumsum(sizes + SIDE) - sizes
+        stream = np.full(int(sizes.sum()) + SIDE * (len(sizes) + 1), self.pad, np.int32)
+        stream[np.arange(len(ids)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)] = ids
+        sums = np.concatenate([[0.0], np.cumsum(share)])
+        ends = np.cumsum(sizes)
+        return stream, sizes, sums[ends] - sums[ends - sizes], far
+
+
+def encode(texts: list[bytes | None], ids: dict[bytes, int], k: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all texts with SIDE pads (id k * k) around each, and the number of tokens of each."""
+    return Words(ids, {}, k).encode(texts)[:2]
 
 
 def _context(stream: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -98,14 +123,14 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def forward(w: dict, stream: np.ndarray, at: np.ndarray):
-    """For the tokens at ``at``, sorted by class: hidden states, class and member probabilities."""
+def _logits(w: dict, stream: np.ndarray, at: np.ndarray):
+    """For the tokens at ``at``, sorted by class: contexts, hidden states, class and member logits, classes and where each begins."""
     ctx = _context(stream, at)
     h = w["bias"] + w["embed"][0][ctx[0]]
     for o in range(1, 2 * SIDE):
         h += w["embed"][o][ctx[o]]
     h = np.tanh(h)
-    pc = _softmax(h @ w["cls"] + w["cls_bias"])
+    pc = h @ w["cls"] + w["cls_bias"]
     k = w["cls"].shape[1]
     c = stream[at] // k
     edges = np.searchsorted(c, np.arange(k + 1))
@@ -113,23 +138,41 @@ def forward(w: dict, stream: np.ndarray, at: np.ndarray):
     for k in np.flatnonzero(np.diff(edges)):
         s = slice(edges[k], edges[k + 1])
         pm[s] = h[s] @ w["mem"][k] + w["mem_bias"][k]
-    return ctx, h, pc, _softmax(pm), c, edges
+    return ctx, h, pc, pm, c, edges
+
+
+def forward(w: dict, stream: np.ndarray, at: np.ndarray):
+    """As ``_logits``, with class and member probabilities."""
+    ctx, h, pc, pm, c, edges = _logits(w, stream, at)
+    return ctx, h, _softmax(pc), _softmax(pm), c, edges
+
+
+def _log_softmax_at(z: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Log-probability of entry k of each row; at least log(1e-12)."""
+    z -= z.max(axis=1, keepdims=True)
+    told = z[np.arange(len(z)), k]
+    np.exp(z, out=z)
+    return np.maximum(told - np.log(z.sum(axis=1)), np.float32(math.log(1e-12)))
 
 
 def _steps(stream: np.ndarray, k: int):
     at = np.flatnonzero(stream != k * k)
     for i in range(0, len(at), STEP_TOKENS):
         part = at[i:i + STEP_TOKENS]
-        yield part[np.argsort(stream[part] // k, kind="stable")]
+        yield part[_order(stream[part] // k, k)]
+
+
+def _order(x: np.ndarray, most: int) -> np.ndarray:
+    """A stable order; small numbers are sorted by their digits."""
+    return np.argsort(x.astype(np.uint16) if most < 2 ** 16 else x, kind="stable")
 
 
 def log_probabilities(w: dict, stream: np.ndarray) -> np.ndarray:
     """Of each position of the stream its token's log-probability given both sides (pads: 0)."""
     out, k = np.zeros(len(stream)), w["cls"].shape[1]
     for at in _steps(stream, k):
-        _, _, pc, pm, c, _ = forward(w, stream, at)
-        rows = np.arange(len(at))
-        out[at] = np.log(np.maximum(pc[rows, c], 1e-12)) + np.log(np.maximum(pm[rows, stream[at] % k], 1e-12))
+        _, _, pc, pm, c, _ = _logits(w, stream, at)
+        out[at] = _log_softmax_at(pc, c).astype(float) + _log_softmax_at(pm, stream[at] % k)
     return out
 
 
@@ -146,22 +189,21 @@ def train(flat: np.ndarray, squares: np.ndarray, stream: np.ndarray, rate: float
         n, rows = len(at), np.arange(len(at))
         pc[rows, c] -= 1
         pm[rows, stream[at] % size] -= 1
-        pc /= n
-        pm /= n
         gh = pc @ w["cls"].T
         for k in np.flatnonzero(np.diff(edges)):
             s = slice(edges[k], edges[k + 1])
             gh[s] += pm[s] @ w["mem"][k].T
-            move("mem", k, h[s].T @ pm[s])
-            move("mem_bias", k, pm[s].sum(axis=0))
-        move("cls", ..., h.T @ pc)
-        move("cls_bias", ..., pc.sum(axis=0))
-        gh *= 1 - h * h
+            move("mem", k, h[s].T @ pm[s] / n)
+            move("mem_bias", k, pm[s].sum(axis=0) / n)
+        move("cls", ..., h.T @ pc / n)
+        move("cls_bias", ..., pc.sum(axis=0) / n)
+        gh *= (1 - h * h) / n
         move("bias", ..., gh.sum(axis=0))
         for o in range(2 * SIDE):
-            order = np.argsort(ctx[o], kind="stable")
-            ids, first = np.unique(ctx[o][order], return_index=True)
-            move("embed", (o, ids), np.add.reduceat(gh[order], first, axis=0))
+            order = _order(ctx[o], size * size)
+            ids = ctx[o][order]
+            first = np.flatnonzero(np.diff(ids, prepend=-1))
+            move("embed", (o, ids[first]), np.add.reduceat(gh[order], first, axis=0))
         seen += n
     return seen
 
@@ -197,42 +239,53 @@ def log_share(n: int, tokens: int, types: int) -> float:
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(w, n): every word of all documents and its count."""
+    """(w, n): every word of all documents and its count, added up in the tasks first."""
+    def told(n: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], names=["w", "n"])
+
     def run(batches):
+        n = Counter()
         for b in batches:
-            n = Counter()
             for t in b.column(0).to_pylist():
                 n.update(alnum_words(t))
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], names=["w", "n"])
+            if len(n) > HELD_WORDS:
+                yield told(n)
+                n = Counter()
+        yield told(n)
     counts = map_rows(docs.select(text_bytes(docs, text).alias("raw")), run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
     return cut(counts, "words")
 
 
-def _least_count(of_count: list[tuple[int, int]], room: int) -> int:
-    """The smallest count from which on at most ``room`` words are counted; ``of_count``: (count, words) by falling count."""
+def _least_count(of_count: list[tuple[int, int]], room: int) -> tuple[int, int, int]:
+    """(least, edge, left): the smallest count from which on at most ``room``
+    words are counted, the next smaller count (0: none) and the room left; ``of_count``: (count, words) by falling count."""
     least = of_count[0][0] + 1 if of_count else 1
     for n, words in of_count:
+        if words > room:
+            return least, n, room
         room -= words
-        if room < 0:
-            break
         least = n
-    return least
+    return least, 0, room
 
 
 def vocabulary(counts: DataFrame) -> WindowModel:
     """Untrained model of a corpus of the given word counts. The vocabulary are
-    the words above a count that about a third of the tokens' square root reach
-    (960 words at least); ids by falling count (ties by word)."""
+    the most frequent words, as many as about a third of the tokens' square root
+    (960 words at least), of words with one count the first by their bytes; ids by falling count, then word."""
     spark = counts.sparkSession
     of_count = [(r["n"], r["words"]) for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.col("n").desc()).collect()]   # n values need n * n / 2 tokens
     room = max(TOKENS - ENDINGS, math.isqrt(sum(n * words for n, words in of_count)) // 3)
-    least, low = _least_count(of_count, room), _least_count(of_count, room + NEAR)
+    (least, edge, left), (low, _, _) = _least_count(of_count, room), _least_count(of_count, room + NEAR)
     top = sorted(((r["n"], bytes(r["w"])) for r in counts.where(F.col("n") >= low).toLocalIterator()), key=lambda x: (-x[0], x[1]))
-    ids = {w: i for i, (n, w) in enumerate(top) if n >= least}
+    tied = [bytes(r["w"]) for r in counts.where(F.col("n") == edge).orderBy("w").limit(left).collect()] if edge and left else []
+    ids = {w: i for i, w in enumerate([*(w for n, w in top if n >= least), *tied])}
     tokens, types = [0] * ENDINGS, [0] * ENDINGS
     for r in counts.where(F.col("n") < least).groupBy(ending_of("w").alias("e")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
         tokens[r["e"]], types[r["e"]] = r["n"], r["words"]
-    near = {w: log_share(n, tokens[ending(w)], types[ending(w)]) for n, w in top if n < least}
+    for w in tied:
+        tokens[ending(w)] -= edge
+        types[ending(w)] -= 1
+    near = {w: log_share(n, tokens[ending(w)], types[ending(w)]) for n, w in top if w not in ids}
     k = max(CLASSES, math.isqrt(len(ids) + ENDINGS - 1) + 1)
     return WindowModel(ids, initial(k=k), tokens, types, near, counts.where(F.col("n") < low))
 
@@ -267,11 +320,12 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = 3, seed: int = 42) ->
     flat = initial(seed, k)
     src = docs.select(text_bytes(docs, text).alias("raw")).where(F.col("raw").isNotNull())
     for r in range(rounds):
-        shared = spark.sparkContext.broadcast((ids, flat))
+        shared = spark.sparkContext.broadcast((ids, model.near, flat))
 
         def run(batches, shared=shared):
             from pyspark import TaskContext
-            ids, start = shared.value
+            ids, near, start = shared.value
+            words = Words(ids, near, k)
             w, squares, seen, held = start.copy(), np.zeros_like(start), 0, []
             size = 0
             for b in batches:
@@ -279,9 +333,9 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = 3, seed: int = 42) ->
                     held.append(t)
                     size += len(t)
                     if size > 8 * STEP_TOKENS:
-                        seen += train(w, squares, encode(held, ids, k)[0])
+                        seen += train(w, squares, words.encode(held)[0])
                         held, size = [], 0
-            seen += train(w, squares, encode(held, ids, k)[0])
+            seen += train(w, squares, words.encode(held)[0])
             if seen:
                 pieces = np.array_split(w, SLICES)
                 pid = TaskContext.get().partitionId()
@@ -310,15 +364,12 @@ def score(docs: DataFrame, model: WindowModel, text: str = "text",
 
     def run(batches):
         ids, flat, near = shared.value
-        w = unpack(flat)
+        w, words = unpack(flat), Words(ids, near, k)
         for b in batches:
-            outside: list[list[bytes]] = []
-            stream, sizes = encode(b.column("raw").to_pylist(), ids, k, outside)
+            stream, sizes, shares, far = words.encode(b.column("raw").to_pylist())
             sums = np.concatenate([[0.0], np.cumsum(log_probabilities(w, stream))])
             ends = np.cumsum(sizes + SIDE) + SIDE            # a text ends before the pads that follow it
-            totals = sums[ends - SIDE] - sums[ends - SIDE - sizes]
-            totals += [sum(near.get(x, 0.0) for x in words) for words in outside]
-            far = [[x for x in words if x not in near] for words in outside]
+            totals = sums[ends - SIDE] - sums[ends - SIDE - sizes] + shares
             yield pa.RecordBatch.from_arrays([b.column("text_key"), pa.array(sizes, pa.int64()), pa.array(totals, pa.float64()), pa.array(far, pa.list_(pa.binary()))], names=["text_key", "n", "ll", "far"])
     raw = text_bytes(docs, text)
     src = docs.select(F.unhex(F.md5(raw)).alias("text_key"), raw.alias("raw")).where(F.col("raw").isNotNull())

@@ -84,3 +84,24 @@ def test_vocabulary_grows_with_the_corpus(spark):
     assert model.ids[b"w0"] == 0 and max(model.ids.values()) == len(model.ids) - 1
     df = spark.createDataFrame([(b"x",), (b"yz",), (b"long word",), ("été".encode(),)], "w binary")
     assert [r.e for r in df.select(masked_lm.ending_of("w").alias("e")).collect()] == [masked_lm.ending(bytes(r.w)) for r in df.collect()]
+
+
+def test_vocabulary_is_filled_where_counts_tie(spark):
+    rows = [(f"w{i:04d}".encode(), 20) for i in range(2000)]
+    model = masked_lm.vocabulary(spark.createDataFrame(rows, "w binary, n long"))
+    assert list(model.ids) == [w for w, _ in rows[:masked_lm.TOKENS - masked_lm.ENDINGS]]
+    assert sum(model.types) == 2000 - len(model.ids) and sum(model.tokens) == 20 * sum(model.types)
+    assert set(model.near) | set(model.ids) == {w for w, _ in rows}
+
+
+def test_words_are_encoded_as_one_by_one():
+    ids, near = {b"a": 0, b"the": 1}, {b"often": -1.5, b"word": -2.0}
+    k = masked_lm.CLASSES
+    texts = [b"a the often rare", None, b"", b"word word x9 a", "été".encode()]
+    stream, sizes, shares, far = masked_lm.Words(ids, near, k).encode(texts)
+    out = [k * k] * masked_lm.SIDE
+    for t in texts:
+        words = masked_lm.alnum_words(t)
+        out += [ids.get(w, k * k - masked_lm.ENDINGS + masked_lm.ending(w)) for w in words] + [k * k] * masked_lm.SIDE
+    assert stream.tolist() == out and sizes.tolist() == [4, 0, 0, 4, 1]
+    assert shares.tolist() == [-1.5, 0, 0, -4.0, 0] and far == [[b"rare"], [], [], [b"x9"], ["été".encode()]]
