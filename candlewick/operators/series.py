@@ -120,9 +120,11 @@ def _told(n: int) -> str:
     return f"_told{n}"
 
 
-def _states(chunked: DataFrame, key: list[str], recurrences: Sequence[Recurrence]) -> DataFrame:
-    """The state before each chunk: one row per (key, chunk), an array for each
-    recurrence. Chunks are summed up in parallel; a key's rows to fold are one per chunk."""
+def _states(chunked: DataFrame, key: list[str], recurrences: Sequence[Recurrence], seeds: DataFrame | None = None) -> DataFrame:
+    """The state before each chunk, and after a key's last one (as the state
+    before the chunk that would follow): one row per (key, chunk), an array for each
+    recurrence. Chunks are summed up in parallel; a key's rows to fold are one per chunk.
+    ``seeds`` (key, ``_seed0``, ...) are the states to start from; other keys start anew."""
     names = [_told(n) for n in range(len(recurrences))]
     fields = [chunked.schema[c] for c in (*key, "_chunk")]
     schema = T.StructType(fields + [T.StructField(n, T.ArrayType(T.DoubleType())) for n in names])
@@ -136,24 +138,33 @@ def _states(chunked: DataFrame, key: list[str], recurrences: Sequence[Recurrence
         cols = [pa.array([r.summary(_in_order(t, r)) for _ in range(len(first))], pa.list_(pa.float64())) for r in recurrences]
         return pa.table([*(first.column(f.name) for f in fields), *cols], names=schema.names)
 
+    seeded = seeds is not None
+
     def folded(t):
         import pyarrow as pa
         import pyarrow.compute as pc
         t = t.take(pc.sort_indices(t.column("_chunk")))
+        t = pa.concat_tables([t, t.slice(len(t) - 1)])           # the last row again, for the state after it
         cols = []
-        for n, r in zip(names, recurrences):
-            state, before = r.start, []
-            for told in t.column(n).to_pylist():
-                before.append(list(state))
-                state = r.fold(state, told)
-            cols.append(pa.array(before, pa.list_(pa.float64())))
-        return pa.table([*(t.column(f.name) for f in fields), *cols], names=schema.names)
+        for k, (n, r) in enumerate(zip(names, recurrences)):
+            given = t.column(f"_seed{k}")[0].as_py() if seeded else None
+            states = [tuple(r.start if given is None else given)]
+            for told in t.column(n).to_pylist()[:-1]:
+                states.append(r.fold(states[-1], told))
+            cols.append(pa.array([list(s) for s in states], pa.list_(pa.float64())))
+        chunk = t.column("_chunk").to_pylist()
+        chunk[-1] += 1
+        keys = [pa.array(chunk, t.column("_chunk").type) if f.name == "_chunk" else t.column(f.name) for f in fields]
+        return pa.table([*keys, *cols], names=schema.names)
 
     # whole rows, halo included: so the exchange by (key, chunk) is the one that the windows use
-    return chunked.groupBy(*key, "_chunk").applyInArrow(summed, schema).groupBy(*key).applyInArrow(folded, schema)
+    told = chunked.groupBy(*key, "_chunk").applyInArrow(summed, schema)
+    if seeded:
+        told = join_null_safe(told, seeds, key, "left")
+    return told.groupBy(*key).applyInArrow(folded, schema)
 
 
-def _run_recurrences(df: DataFrame, chunked: DataFrame, key: list[str], recurrences: Sequence[Recurrence]) -> DataFrame:
+def _run_recurrences(df: DataFrame, states: DataFrame, key: list[str], recurrences: Sequence[Recurrence]) -> DataFrame:
     """Chunk by chunk (bounded rows) in Arrow: sort by position, append the outputs."""
     names = [o for r in recurrences for o in r.outputs]
     schema = T.StructType(list(df.schema.fields) + [T.StructField(n, T.DoubleType()) for n in names])
@@ -169,8 +180,31 @@ def _run_recurrences(df: DataFrame, chunked: DataFrame, key: list[str], recurren
                 t = t.append_column(name, pa.array(np.asarray(values, dtype="float64"), from_pandas=True))
         return t.select(schema.names)
 
-    seeded = join_null_safe(df, _states(chunked, key, recurrences), [*key, "_chunk"])
-    return seeded.groupBy(*key, "_chunk").applyInArrow(run, schema)
+    return join_null_safe(df, states, [*key, "_chunk"]).groupBy(*key, "_chunk").applyInArrow(run, schema)
+
+
+def _chunked(df: DataFrame, key: list[str], order: list[str], lookback: int, bucket: Column | None, chunk_rows: int, min_rows: int) -> DataFrame:
+    """Rows with their chunk and position, and the halo copies (``_native`` false)."""
+    numbered = number_rows(df, key, order, bucket, min_rows=min_rows)
+    c = F.floor(F.col("_rn") / F.lit(chunk_rows))
+    in_halo = (F.col("_rn") % F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
+    native = F.struct(c.alias("c"), F.lit(True).alias("nat"))
+    halo = F.struct((c + 1).alias("c"), F.lit(False).alias("nat"))
+    copies = F.when(in_halo, F.array(native, halo)).otherwise(F.array(native))
+    return numbered.withColumn("_cp", F.explode(copies)).select("*", F.col("_cp.c").alias("_chunk"), F.col("_cp.nat").alias("_native")).drop("_cp")
+
+
+def resume(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str], recurrences: Sequence[Recurrence],
+           seeds: DataFrame | None = None, bucket: Column | None = None, chunk_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``recurrences`` over the rows that follow ``seeds`` (key columns,
+    ``_seed0``, ...: the states that an earlier call returned; keys without one start anew), and the
+    states after them, of the keys that have rows."""
+    key = _cols(key)
+    chunked = _chunked(df, key, _cols(order), 0, bucket, chunk_rows or chunk_rows_for(df), 0)
+    states = _states(chunked, key, recurrences, seeds)
+    rows = _run_recurrences(chunked, states, key, recurrences).drop("_chunk", "_native", "_rn")
+    after = states.groupBy(*key).agg(*[F.max_by(_told(n), "_chunk").alias(f"_seed{n}") for n in range(len(recurrences))])
+    return rows, after
 
 
 def ordered_stages(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
@@ -180,17 +214,11 @@ def ordered_stages(df: DataFrame, key: str | Sequence[str], order: str | Sequenc
     rows; keys with fewer than ``min_rows`` rows are left out (FLT-06)."""
     key, order = _cols(key), _cols(order)
     chunk_rows = max(chunk_rows or chunk_rows_for(df), lookback + 1)
-    numbered = number_rows(df, key, order, bucket, min_rows=min_rows)
-    c = F.floor(F.col("_rn") / F.lit(chunk_rows))
-    in_halo = (F.col("_rn") % F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
-    native = F.struct(c.alias("c"), F.lit(True).alias("nat"))
-    halo = F.struct((c + 1).alias("c"), F.lit(False).alias("nat"))
-    copies = F.when(in_halo, F.array(native, halo)).otherwise(F.array(native))
-    out = numbered.withColumn("_cp", F.explode(copies)).select("*", F.col("_cp.c").alias("_chunk"), F.col("_cp.nat").alias("_native")).drop("_cp")
+    out = _chunked(df, key, order, lookback, bucket, chunk_rows, min_rows)
     chunked, w = out, Window.partitionBy(*key, "_chunk").orderBy("_rn")
     for st in stages:
         out = out.select("*", *[fn(w).alias(n) for n, fn in st.items()])
     out = out.where(F.col("_native"))
     if recurrences:
-        out = _run_recurrences(out, chunked, key, recurrences)
+        out = _run_recurrences(out, _states(chunked, key, recurrences), key, recurrences)
     return out.drop("_chunk", "_native", "_rn")

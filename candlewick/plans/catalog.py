@@ -32,7 +32,7 @@ from candlewick.plans import jobs, marts, serving
 from candlewick.plans.compare import shape
 from candlewick.plans.ingest import ingest
 from candlewick.sources import derived, landing, messages
-from candlewick.sources.sinks import append_landing, conform, ensure_table, overwrite_mart, read_current, read_mart
+from candlewick.sources.sinks import append_landing, conform, ensure_table, overwrite_mart, read_current, read_mart, read_runs
 from candlewick.session import scratch_path
 from candlewick.sources.tables import table
 from candlewick.streaming import replay
@@ -175,6 +175,10 @@ WHERE rsi_14 IS NOT NULL AND macd IS NOT NULL AND macd_signal IS NOT NULL AND bb
 def q_feature_mart(spark, sf):
     """PIP-02: candles x sentiment, RSI/MACD/Bollinger/MA, complete rows only."""
     fm = marts.build_feature_mart(_candles(spark, sf), derived.sentiment(table(spark, sf, "lineitem")))
+    return _features_shape(fm)
+
+
+def _features_shape(fm: DataFrame) -> DataFrame:
     return shape(fm.drop("updated_at"), {"rsi_14": 6, "macd": 4, "macd_signal": 4, "bb_upper": 2,
                                          "bb_lower": 2, "ma_7": 4, "ma_30": 4})
 
@@ -1032,8 +1036,7 @@ def q_feature_mart_repolled(spark, sf):
         return old.withColumn(column, F.col(column).cast(dict(df.dtypes)[column])).unionByName(
             df.withColumn("ingested_at", F.lit("2024-01-02").cast("timestamp")))
     fm = marts.build_feature_mart(polls(_candles(spark, sf), "close"), polls(derived.sentiment(table(spark, sf, "lineitem")), "fng_value"))
-    return shape(fm.drop("updated_at"), {"rsi_14": 6, "macd": 4, "macd_signal": 4, "bb_upper": 2,
-                                         "bb_lower": 2, "ma_7": 4, "ma_30": 4})
+    return _features_shape(fm)
 
 
 @register("ewm_with_gaps", f"""
@@ -1126,6 +1129,19 @@ def q_trend_report_daily(spark, sf):
     return t.select("symbol", F.col("close_price").cast("string").alias("close_price"), "is_golden_cross", "trend_score")
 
 
+@register("feature_mart_daily", ORACLE["feature_mart"])
+def q_feature_mart_daily(spark, sf):
+    """PIP-02 run after run from new days, a stored tail and the stored MACD state: equal to one run over the whole history."""
+    mart = f"{scratch_path(spark, 'features-daily')}/mart"
+    c, s = _candles(spark, sf), derived.sentiment(table(spark, sf, "lineitem"))
+    low, high = c.agg(F.min("date"), F.max("date")).first()
+    step = (high - low) / 4
+    for n in range(4):
+        start, end = low + n * step, low + (n + 1) * step if n < 3 else high
+        jobs.update_feature_mart(c.where((F.col("date") >= F.lit(start)) & (F.col("date") <= F.lit(end))), s, mart, f"run-{n}")
+    return _features_shape(read_runs(spark, mart))
+
+
 @register("mart_guards", f"""
 WITH {SQL_STATS}
 SELECT 'after an empty write' AS step, symbol, CAST(acc_trade_price_24h AS VARCHAR) AS acc_trade_price_24h FROM stats

@@ -15,12 +15,18 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlewick.operators.dedupe import dedupe_latest, newest_n_per_key
+from candlewick.operators.ewm import Macd
+from candlewick.operators.filters import drop_incomplete
+from candlewick.operators.series import join_null_safe, resume
+from candlewick.operators.windows import apply_specs
 from candlewick.plans import marts
 from candlewick.sources.landing import (CANDLE_ENDPOINT, TICKER_ENDPOINT, candles_from_landing, read_landing,
                                         read_sentiment_landing)
-from candlewick.sources.sinks import conform, current_version, overwrite_mart, read_current
+from candlewick.session import scratch_path
+from candlewick.sources.sinks import append_run, conform, current_version, overwrite_mart, read_current
 from candlewick.streaming.hot_path import refresh_on_landing
 
 # The marts' columns and types.
@@ -96,6 +102,39 @@ def update_anomaly_baseline(candles: DataFrame, mart_path: str, version=None) ->
     return _from_tail(candles, mart_path, version, BASELINE_TAIL, BASELINE_MART, marts.build_anomaly_baseline)
 
 
+def update_feature_mart(candles: DataFrame, sentiment: DataFrame, mart_path: str, version) -> str | None:
+    """PIP-02 from new days only: the mart grows by a run's rows (``read_runs``).
+
+    Beside it lie, per symbol, the last days that the windows look back on and
+    the MACD state after them (``_tail``, one write, so that both move together). Days up to a symbol's newest known one are not taken again:
+    a corrected past needs ``refresh_feature_mart``. Rows without all features
+    (the warm-up) count for the state and are not in the mart, as in a whole run."""
+    spark = candles.sparkSession
+    tail_path = os.path.join(mart_path, "_tail")
+    specs = marts.feature_specs()
+    back = max(s.lookback for s in specs)
+    cols = ["symbol", "date", "open", "high", "low", "close", "volume", "fng_value", "fng_class"]
+    days = marts.feature_days(candles, sentiment).select(*cols)
+    known = current_version(spark, tail_path) is not None
+    stored = read_current(spark, tail_path) if known else None
+    tail = stored.select(*cols) if known else days.limit(0)
+    seeds = stored.groupBy("symbol").agg(F.first("_seed0").alias("_seed0")) if known else None
+    last = tail.groupBy("symbol").agg(F.max("date").alias("_last"))
+    new = join_null_safe(days, last, ["symbol"], "left").where(F.col("_last").isNull() | (F.col("date") > F.col("_last"))).drop("_last")
+    path = scratch_path(spark, "new-days")
+    new.write.parquet(path)
+    new = spark.read.schema(new.schema).parquet(path)
+    lines, after = resume(new, "symbol", "date", [Macd("close")], seeds)
+    both = tail.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+    feats = apply_specs(both, "symbol", "date", *specs).where("_new")
+    rows = join_null_safe(feats, lines.select("symbol", "date", "macd", "macd_signal"), ["symbol", "date"]).select(*marts.FEATURE_COLUMNS)
+    done = append_run(conform(drop_incomplete(rows).withColumn("updated_at", F.current_timestamp()), FEATURE_MART), mart_path, version, unique=["symbol", "date"])
+    kept = seeds.join(after.withColumnsRenamed({"symbol": "s", "_seed0": "t"}), F.col("symbol").eqNullSafe(F.col("s")), "left_anti").unionByName(after) if known else after
+    rest = newest_n_per_key(both.drop("_new"), "symbol", "date", back)
+    overwrite_mart(join_null_safe(rest, kept, ["symbol"]), tail_path, version, unique=["symbol", "date"])
+    return done
+
+
 def update_market_stats(landed: DataFrame, mart_path: str, version=None) -> str | None:
     """PIP-01 kept up from newly landed rows: the newest poll of each symbol in
     ``landed`` against the newest one known so far, which lies beside the mart with the times that

@@ -83,24 +83,31 @@ def build_market_stats_24h(landing: DataFrame, source: str = SOURCE_TAG, created
     return market_stats_of(newest_tickers(landing), source, created_at)
 
 
-def build_feature_mart(candles: DataFrame, sentiment: DataFrame, symbols: Sequence[str] | None = None,
-                       updated_at=None) -> DataFrame:
-    """PIP-02: candles joined with the daily sentiment, then RSI(14, strict),
-    MACD(12, 26, 9), Bollinger(20, 2), MA 7/30; rows with any NULL dropped.
+FEATURE_COLUMNS = ["symbol", "date", "open", "high", "low", "close", "volume", "fng_value", "fng_class",
+                   "rsi_14", "macd", "macd_signal", "bb_upper", "bb_lower", "ma_7", "ma_30"]
 
-    Both sides may hold re-polled days: the newest ingest of each counts
-    (without an ingest time the largest row), so the join keeps one row per
-    symbol and day. All indicators share one numbering and one chunk layout."""
+
+def feature_days(candles: DataFrame, sentiment: DataFrame, symbols: Sequence[str] | None = None) -> DataFrame:
+    """One row per symbol and day that both sides have. Both may hold
+    re-polled days: the newest ingest of each counts (without an ingest time the largest row)."""
     c = _prepare_candles(candles, symbols, None, None, None)
     newest = [x for x in ("ingested_at", "fng_value", "fng_class") if x in sentiment.columns]
     s = dedupe_latest(sentiment.select("date", *newest), "date", newest).select("date", "fng_value", "fng_class")
-    feats = apply_specs(join_on_day(c, s), "symbol", "date",
-                        rsi("close", 14, "strict"), bollinger("close", 20, 2.0),
-                        Spec([{"ma_7": rolling_mean("close", 7), "ma_30": rolling_mean("close", 30)}], 29),
-                        recurrences=[Macd("close")])
-    cols = ["symbol", "date", "open", "high", "low", "close", "volume", "fng_value", "fng_class",
-            "rsi_14", "macd", "macd_signal", "bb_upper", "bb_lower", "ma_7", "ma_30"]
-    out = drop_incomplete(feats.select(*cols))
+    return join_on_day(c, s)
+
+
+def feature_specs() -> list[Spec]:
+    """The window features; they look back ``max(lookback)`` days."""
+    return [rsi("close", 14, "strict"), bollinger("close", 20, 2.0), Spec([{"ma_7": rolling_mean("close", 7), "ma_30": rolling_mean("close", 30)}], 29)]
+
+
+def build_feature_mart(candles: DataFrame, sentiment: DataFrame, symbols: Sequence[str] | None = None,
+                       updated_at=None) -> DataFrame:
+    """PIP-02: candles joined with the daily sentiment, then RSI(14, strict),
+    MACD(12, 26, 9), Bollinger(20, 2), MA 7/30; rows with any NULL dropped.
+    All indicators share one numbering and one chunk layout."""
+    feats = apply_specs(feature_days(candles, sentiment, symbols), "symbol", "date", *feature_specs(), recurrences=[Macd("close")])
+    out = drop_incomplete(feats.select(*FEATURE_COLUMNS))
     return out.withColumn("updated_at", updated_at if updated_at is not None else F.current_timestamp())
 
 

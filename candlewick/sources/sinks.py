@@ -113,6 +113,20 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(_folder(path, found[-1][2]))
 
 
+def append_run(df: DataFrame, path: str, version: str | int, unique: Sequence[str] = ()) -> str | None:
+    """Add the rows of a run to a mart that grows (:func:`read_runs`): as
+    ``overwrite_mart``, but earlier runs stay. A run written again under its version id takes the place of the first."""
+    return overwrite_mart(df, path, version, unique=unique, keep=1 << 62)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all runs of a growing mart."""
+    folders = {v: f for _, v, f in _pointers(spark, path)}
+    if not folders:
+        raise FileNotFoundError(f"no mart version under {path}")
+    return spark.read.parquet(*[_folder(path, f) for f in folders.values()])
+
+
 def read_mart(spark: SparkSession, path: str, order: str = "ts_event") -> DataFrame:
     """Full read of the mart's current version, newest first (SRC-04)."""
     return read_current(spark, path).orderBy(F.col(order).desc())

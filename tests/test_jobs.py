@@ -106,3 +106,22 @@ def test_day_by_day_runs_equal_one_run(spark, tmp_dir):
     assert told(read_current(spark, trend)) == told(conform(marts.build_trend_report(every), jobs.TREND_MART)) and len(told(read_current(spark, trend))) == 2
     assert told(read_current(spark, base)) == told(conform(marts.build_anomaly_baseline(every), jobs.BASELINE_MART))
     assert read_current(spark, trend + "/_tail").count() == 61 + 61 + 30
+
+
+def test_feature_mart_grows_by_new_days(spark, tmp_dir):
+    from candlewick.plans.marts import build_feature_mart
+    from candlewick.sources.sinks import read_runs
+    mart = os.path.join(tmp_dir, "features")
+    c = derived.candles(table(spark, SF, "orders")).cache()
+    s = derived.sentiment(table(spark, SF, "lineitem")).cache()
+    edges = ["1900-01-01", "1992-02-01", "1992-04-01", "1996-01-01", "1996-01-02", "2100-01-01"]       # runs of a month, years, a day
+    for n, (a, b) in enumerate(zip(edges, edges[1:])):
+        part = c.where((F.col("date") >= F.lit(a).cast("date")) & (F.col("date") < F.lit(b).cast("date")))
+        seen = c.where(F.col("date") < F.lit(a).cast("date")).limit(50)                                   # days polled again are not taken again
+        jobs.update_feature_mart(part.unionByName(seen) if n else part, s, mart, f"run-{n}")
+    want = build_feature_mart(c, s).drop("updated_at").toPandas().sort_values(["symbol", "date"]).reset_index(drop=True)
+    got = read_runs(spark, mart).drop("updated_at").toPandas().sort_values(["symbol", "date"]).reset_index(drop=True)
+    assert len(want) == len(got) > 500 and (want[["symbol", "date", "fng_value", "fng_class"]] == got[["symbol", "date", "fng_value", "fng_class"]]).all().all()
+    for col in ("close", "rsi_14", "macd", "macd_signal", "bb_upper", "bb_lower", "ma_7", "ma_30"):
+        assert ((want[col] - got[col]).abs() < 1e-6).all(), col
+    assert read_current(spark, mart + "/_tail").groupBy("symbol").count().agg(F.max("count")).first()[0] == 29
