@@ -51,6 +51,7 @@ def _profile(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> Data
     cells = F.array(*[F.struct(F.lit(k).alias("i"), F.col(f"`{name}`").cast("double").alias("x")) for k, name in enumerate(cols)])
     long = df.select(F.explode(cells).alias("v")).select("v.*").where(x.isNotNull() & ~F.isnan(x))
     values = long.groupBy("i", "x").agg(F.count(F.lit(1)).alias("c")).withColumn("b", _magnitude(x))
+    values = values.where(i.isNotNull() & b.isNotNull())      # as the join below tells: both uses share one exchange
     inside = Window.partitionBy("i", "b").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     placed = values.withColumn("run", F.sum("c").over(inside))
     middle = F.signum(b) * F.expm1(F.abs(b) / F.lit(4096.0))
@@ -69,14 +70,16 @@ def _profile(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> Data
         F.sum(F.col("ss") - F.col("s") * F.col("s") / t + t * (centre - F.col("mean")) * (centre - F.col("mean"))).alias("spread"),
         F.min("least").alias("least"), F.max("most").alias("most"),
         F.array(*[F.max(F.when((lo <= r) & (r < lo + t), F.struct(b.alias("b"), (r - lo).alias("r")))) for r in ranks]).alias("asked"))
-    # two ranks of each quantile and column: a few rows, broadcast
-    asked = per.select(i.alias("ai"), F.posexplode("asked").alias("k", "w")).select("ai", "k", F.col("w.b").alias("ab"), F.col("w.r").alias("r"))
+    # two ranks of each quantile and column: a few rows, broadcast, which carry the column's figures along
+    figures = ("n", "mean", "spread", "least", "most")
+    asked = per.select(i.alias("ai"), *[F.col(f).alias(f"p_{f}") for f in figures], F.posexplode("asked").alias("k", "w")) \
+               .select("ai", *[f"p_{f}" for f in figures], "k", F.col("w.b").alias("ab"), F.col("w.r").alias("r"))
     run = F.col("run")
     hit = placed.join(F.broadcast(asked), (i == F.col("ai")) & (b == F.col("ab")) & (run - c <= F.col("r")) & (F.col("r") < run))
-    picks = hit.groupBy(i.alias("pi")).agg(*[F.max(F.when(F.col("k") == k, x)).alias(f"v{k}") for k in range(len(ranks))])
+    row = hit.groupBy("i").agg(*[F.max(f"p_{f}").alias(f) for f in figures], *[F.max(F.when(F.col("k") == k, x)).alias(f"v{k}") for k in range(len(ranks))])
     q = [F.col(f"v{2 * k}") + (F.col(f"v{2 * k + 1}") - F.col(f"v{2 * k}")) * (a - F.floor(a)) for k, a in enumerate(at)]
     std = F.when(n > 1, F.sqrt(F.greatest(F.col("spread"), F.lit(0.0)) / (n - 1)))
-    return per.join(F.broadcast(picks), i == F.col("pi")).select("i", "n", "mean", std.alias("std"), "least", "most", F.array(*q).alias("q"))
+    return row.select("i", "n", "mean", std.alias("std"), "least", "most", F.array(*q).alias("q"))
 
 
 def quantile_row(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
@@ -126,19 +129,21 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix after listwise removal of NULL and NaN, long form (col_a,
-    col_b, r). One lazy aggregate holds the mergeable co-moments of every pair,
-    so each task sends one row, whatever the row count. A constant column, and a frame without rows, give NULL."""
-    cols = list(cols)
-    x = [F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(cols)]
-    names = [f"x{i}" for i in range(len(cols))]
-    clean = df.select(*x).where(reduce(and_, [F.col(n).isNotNull() & ~F.isnan(n) for n in names]))
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    moments = clean.agg(*[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs], *[F.stddev_pop(n).alias(f"s{i}") for i, n in enumerate(names)])
-    row = moments.select(*[F.try_divide(F.col(f"c{i}_{j}"), F.col(f"s{i}") * F.col(f"s{j}")).alias(f"r{i}_{j}") for i, j in pairs])
-    told = [F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"r{min(i, j)}_{max(i, j)}").alias("r"))
-            for i in range(len(cols)) for j in range(len(cols))]
-    r = F.col("p.r")
-    return row.select(F.explode(F.array(*told)).alias("p")).select("p.col_a", "p.col_b", F.when(~F.isnan(r), r).alias("r"))
+    col_b, r). One lazy aggregate: every row meets the mergeable co-moments of
+    each pair of columns, so each task sends one row per pair, whatever the row
+    count. A constant column, and a frame without rows, give NULL."""
+    cols, k = list(cols), len(cols)
+    x = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
+    clean = df.select(x.alias("x")).where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(k) for j in range(i, k)])
+    long = clean.select("x", F.explode(pairs).alias("p")).select(F.col("p.i").alias("i"), F.col("p.j").alias("j"), F.get("x", F.col("p.i")).alias("a"), F.get("x", F.col("p.j")).alias("b"))
+    r = F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b"))
+    found = long.groupBy("i", "j").agg(r.alias("r")).withColumnsRenamed({"i": "fi", "j": "fj"})
+    told = F.array(*[F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.lit(min(i, j)).alias("i"), F.lit(max(i, j)).alias("j"))
+                     for i in range(k) for j in range(k)])
+    every = df.sparkSession.range(1).select(F.explode(told).alias("t")).select("t.*")
+    out = every.join(F.broadcast(found), (F.col("i") == F.col("fi")) & (F.col("j") == F.col("fj")), "left")       # k * (k + 1) / 2 rows
+    return out.select("col_a", "col_b", F.when(~F.isnan("r"), F.col("r")).alias("r"))
 
 
 def row_count(df: DataFrame) -> DataFrame:
