@@ -43,10 +43,15 @@ def plain(tools, text):
         while ranges[1][j][1] <= s:
             j += 1
         links += [(i, k) for x, y, k in ranges[1][j:j + e - s + 1] if x < e and y > s]
-    groups, last = [], 0
+    groups, at = [], [0, 0]
     for end in sorted({e for _, e, _ in ranges[0]} & {e for _, e, _ in ranges[1]}):
-        groups.append("|".join(",".join(str(i) for s, e, i in r if s >= last and e <= end) for r in ranges))
-        last = end
+        told = []
+        for k, r in enumerate(ranges):
+            start = at[k]
+            while at[k] < len(r) and r[at[k]][1] <= end:
+                at[k] += 1
+            told.append(",".join(str(i) for _, _, i in r[start:at[k]]))
+        groups.append("|".join(told))
     return a, b, ";".join(groups), links
 
 
