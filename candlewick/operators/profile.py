@@ -137,13 +137,15 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     clean = df.select(x.alias("x")).where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
     pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(k) for j in range(i, k)])
     long = clean.select("x", F.explode(pairs).alias("p")).select(F.col("p.i").alias("i"), F.col("p.j").alias("j"), F.get("x", F.col("p.i")).alias("a"), F.get("x", F.col("p.j")).alias("b"))
-    r = F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b"))
-    found = long.groupBy("i", "j").agg(r.alias("r")).withColumnsRenamed({"i": "fi", "j": "fj"})
+    place = lambda i, j: i * F.lit(k) + j
+    found = long.groupBy("i", "j").agg(F.covar_pop("a", "b").alias("c"))
+    row = found.agg(F.map_from_entries(F.collect_list(F.struct(place(F.col("i"), F.col("j")), "c"))).alias("c"))      # k * (k + 1) / 2 entries
     told = F.array(*[F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.lit(min(i, j)).alias("i"), F.lit(max(i, j)).alias("j"))
                      for i in range(k) for j in range(k)])
-    every = df.sparkSession.range(1).select(F.explode(told).alias("t")).select("t.*")
-    out = every.join(F.broadcast(found), (F.col("i") == F.col("fi")) & (F.col("j") == F.col("fj")), "left")       # k * (k + 1) / 2 rows
-    return out.select("col_a", "col_b", F.when(~F.isnan("r"), F.col("r")).alias("r"))
+    out = row.select("c", F.explode(told).alias("t")).select("c", "t.*")
+    of = lambda i, j: F.try_element_at("c", place(F.col(i), F.col(j)))
+    r = F.try_divide(of("i", "j"), F.sqrt(of("i", "i")) * F.sqrt(of("j", "j")))
+    return out.select("col_a", "col_b", r.alias("r")).select("col_a", "col_b", F.when(~F.isnan("r"), F.col("r")).alias("r"))
 
 
 def row_count(df: DataFrame) -> DataFrame:
