@@ -129,21 +129,21 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix after listwise removal of NULL and NaN, long form (col_a,
-    col_b, r). One lazy aggregate: every row meets the mergeable co-moments of
-    each pair of columns, so each task sends one row per pair, whatever the row
+    col_b, r). One lazy aggregate of mergeable co-moments, a group for each
+    column with its covariances to all, so each task sends one row per column, whatever the row
     count. A constant column, and a frame without rows, give NULL."""
     cols, k = list(cols), len(cols)
-    x = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
-    clean = df.select(x.alias("x")).where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(k) for j in range(i, k)])
-    long = clean.select("x", F.explode(pairs).alias("p")).select(F.col("p.i").alias("i"), F.col("p.j").alias("j"), F.get("x", F.col("p.i")).alias("a"), F.get("x", F.col("p.j")).alias("b"))
-    place = lambda i, j: i * F.lit(k) + j
-    found = long.groupBy("i", "j").agg(F.covar_pop("a", "b").alias("c"))
-    row = found.agg(F.map_from_entries(F.collect_list(F.struct(place(F.col("i"), F.col("j")), "c"))).alias("c"))      # k * (k + 1) / 2 entries
+    names = [f"x{i}" for i in range(k)]
+    clean = df.select(*[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(cols, names)])
+    clean = clean.where(reduce(and_, [F.col(n).isNotNull() & ~F.isnan(n) for n in names]))
+    each = F.array(*[F.struct(F.lit(i).alias("i"), F.col(n).alias("a")) for i, n in enumerate(names)])
+    long = clean.select(*names, F.explode(each).alias("e")).select(*names, "e.i", "e.a")
+    found = long.groupBy("i").agg(*[F.covar_pop("a", n).alias(f"c{j}") for j, n in enumerate(names)])
+    row = found.agg(F.map_from_entries(F.collect_list(F.struct("i", F.array(*[F.col(f"c{j}") for j in range(k)])))).alias("c"))      # one entry per column
     told = F.array(*[F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.lit(min(i, j)).alias("i"), F.lit(max(i, j)).alias("j"))
                      for i in range(k) for j in range(k)])
     out = row.select("c", F.explode(told).alias("t")).select("c", "t.*")
-    of = lambda i, j: F.try_element_at("c", place(F.col(i), F.col(j)))
+    of = lambda i, j: F.get(F.try_element_at("c", F.col(i)), F.col(j))
     r = F.try_divide(of("i", "j"), F.sqrt(of("i", "i")) * F.sqrt(of("j", "j")))
     return out.select("col_a", "col_b", r.alias("r")).select("col_a", "col_b", F.when(~F.isnan("r"), F.col("r")).alias("r"))
 
