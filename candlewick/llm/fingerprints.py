@@ -3,7 +3,8 @@
 Byte windows are ranked by how rare their entropy is over all documents; the
 rarest of each neighbourhood becomes a feature. Features go, in text order,
 into a chain of Bloom filters, and two chains are compared by their bit
-overlap beyond chance.
+overlap beyond chance. A short text holds few long windows, so it is read in short
+ones; texts about the border have both, short ones in filters of their own.
 """
 
 from __future__ import annotations
@@ -23,30 +24,37 @@ from .common import map_rows, text_bytes
 WINDOW, NEIGHBOURS, LEVELS = 64, 32, 1000
 FILTER_BITS, FILTER_FEATURES, HASHES = 1024, 80, 5
 
+#: Fixed values for short texts: bytes of a window, neighbours, and the border in bytes: texts below
+#: twice the border are read in short windows, texts from the border on in long ones.
+SHORT, SHORT_NEIGHBOURS, BORDER = 8, 2, 256
+
 #: Texts are digested together up to about so many bytes; a longer text alone.
 CHUNK_BYTES = 262_144
 
 _GAIN = np.round(np.arange(WINDOW + 1) * np.log2(np.maximum(np.arange(WINDOW + 1), 1)) * 65_536).astype(np.int64)
+
+#: Window sizes with their neighbours and the text lengths they are for (from, below).
+SIZES = ((SHORT, SHORT_NEIGHBOURS, SHORT, 2 * BORDER), (WINDOW, NEIGHBOURS, BORDER, None))
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
-def window_levels(x: np.ndarray) -> np.ndarray:
-    """Entropy level (0 .. LEVELS) of each window of ``WINDOW`` bytes.
+def window_levels(x: np.ndarray, size: int = WINDOW) -> np.ndarray:
+    """Entropy level (0 .. LEVELS) of each window of ``size`` bytes (``WINDOW`` at most).
 
     Sum of c log c over the byte counts c of a window, in whole numbers and
     carried from window to window: a byte that enters meets the equal bytes
     before it, one that leaves the equal bytes after it.
     """
     before, after = np.zeros(len(x), np.uint8), np.zeros(len(x), np.uint8)
-    for d in range(1, min(WINDOW, len(x))):
+    for d in range(1, min(size, len(x))):
         same = (x[d:] == x[:-d]).view(np.uint8)
         before[d:] += same
         after[:-d] += same
     step = np.diff(_GAIN)
     s = step[before]
-    s[WINDOW:] -= step[after[:-WINDOW]]
-    s = np.cumsum(s)[WINDOW - 1:]
-    return ((_GAIN[WINDOW] - s) * LEVELS // _GAIN[WINDOW]).astype(np.int64)
+    s[size:] -= step[after[:-size]]
+    s = np.cumsum(s)[size - 1:]
+    return ((_GAIN[size] - s) * LEVELS // _GAIN[size]).astype(np.int64)
 
 
 _POWERS: dict[str, np.ndarray] = {}
@@ -69,19 +77,19 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def window_hashes(x: np.ndarray) -> np.ndarray:
+def window_hashes(x: np.ndarray, size: int = WINDOW) -> np.ndarray:
     """A 64-bit hash of each window's bytes, the same wherever it stands."""
     up, down = _powers(len(x) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((x.astype(np.uint64) + np.uint64(1)) * up[:len(x)])])
-    return _mix((sums[WINDOW:] - sums[:-WINDOW]) * down[:len(x) - WINDOW + 1])
+    return _mix((sums[size:] - sums[:-size]) * down[:len(x) - size + 1])
 
 
-def _joined(texts: list[bytes]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """Texts of a window or more, joined up to CHUNK_BYTES: their numbers, the bytes, the ends."""
+def _joined(texts: list[bytes], least: int, below: int | None) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Texts from ``least`` to less than ``below`` bytes, joined up to CHUNK_BYTES: their numbers, the bytes, the ends."""
     own: list[int] = []
     total = 0
     for i, t in enumerate(texts):
-        if len(t) < WINDOW:
+        if len(t) < least or (below is not None and len(t) >= below):
             continue
         if own and total + len(t) > CHUNK_BYTES:
             yield own, np.frombuffer(b"".join(texts[k] for k in own), np.uint8), np.cumsum([len(texts[k]) for k in own])
@@ -92,26 +100,29 @@ def _joined(texts: list[bytes]) -> Iterator[tuple[list[int], np.ndarray, np.ndar
         yield own, np.frombuffer(b"".join(texts[k] for k in own), np.uint8), np.cumsum([len(texts[k]) for k in own])
 
 
-def _inside(n: int, ends: np.ndarray) -> np.ndarray:
+def _inside(n: int, ends: np.ndarray, size: int) -> np.ndarray:
     """Which windows lie in one text."""
-    ok = np.ones(n - WINDOW + 1, bool)
+    ok = np.ones(n - size + 1, bool)
     for e in ends[:-1]:
-        ok[max(0, e - WINDOW + 1):e] = False
+        ok[max(0, e - size + 1):e] = False
     return ok
 
 
-def level_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Windows of each entropy level over all documents."""
+def level_counts(docs: DataFrame, text: str = "text") -> dict[int, np.ndarray]:
+    """By window size: windows of each entropy level over all documents read in that size."""
     def run(batches):
         for b in batches:
-            n = np.zeros(LEVELS + 1, np.int64)
-            for _, x, ends in _joined([t or b"" for t in b.column(0).to_pylist()]):
-                n += np.bincount(window_levels(x)[_inside(len(x), ends)], minlength=LEVELS + 1)
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], names=["level", "n"])
-    out = np.zeros(LEVELS + 1, np.int64)
-    for r in map_rows(docs.select(text_bytes(docs, text).alias("raw")), run, "level long, n long").groupBy("level").agg(F.sum("n").alias("n")).collect():
-        out[r["level"]] = r["n"]                             # LEVELS + 1 rows at most
+            texts = [t or b"" for t in b.column(0).to_pylist()]
+            for size, _, least, below in SIZES:
+                n = np.zeros(LEVELS + 1, np.int64)
+                for _, x, ends in _joined(texts, least, below):
+                    n += np.bincount(window_levels(x, size)[_inside(len(x), ends, size)], minlength=LEVELS + 1)
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), size), pa.int64()), pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], names=["size", "level", "n"])
+    out = {size: np.zeros(LEVELS + 1, np.int64) for size, *_ in SIZES}
+    told = map_rows(docs.select(text_bytes(docs, text).alias("raw")), run, "size long, level long, n long")
+    for r in told.groupBy("size", "level").agg(F.sum("n").alias("n")).collect():
+        out[r["size"]][r["level"]] = r["n"]                  # LEVELS + 1 rows a size at most
     return out
 
 
@@ -123,10 +134,10 @@ def rarity(counts: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _spread(p: np.ndarray) -> np.ndarray:
-    """Largest value among NEIGHBOURS on either side."""
-    width, size = 2 * NEIGHBOURS + 1, 1
-    m = np.concatenate([np.zeros(NEIGHBOURS, p.dtype), p, np.zeros(NEIGHBOURS, p.dtype)])
+def _spread(p: np.ndarray, near: int) -> np.ndarray:
+    """Largest value among ``near`` neighbours on either side."""
+    width, size = 2 * near + 1, 1
+    m = np.concatenate([np.zeros(near, p.dtype), p, np.zeros(near, p.dtype)])
     while 2 * size <= width:
         m = np.maximum(m[:-size], m[size:])
         size *= 2
@@ -143,20 +154,23 @@ def _filters(features: np.ndarray) -> bytes:
     return np.packbits(bits, axis=1).tobytes()
 
 
-def digests(texts: list[bytes], rank: np.ndarray) -> list[bytes]:
-    """The chained filters of each text. A text shorter than a window is one
-    feature; an empty one has no filter."""
-    out = [_filters(np.array([xxhash.xxh64_intdigest(t)], np.uint64)) if 0 < len(t) < WINDOW else b"" for t in texts]
-    for own, x, ends in _joined(texts):
-        h = window_hashes(x)
-        p = (rank[window_levels(x)] << np.uint64(48)) | (h >> np.uint64(16))
-        p[~_inside(len(x), ends)] = 0
-        at = np.flatnonzero((p == _spread(p)) & (p > 0))
-        cuts = np.searchsorted(at, ends - WINDOW, side="right")
-        for i, a, b in zip(own, np.concatenate([[0], cuts[:-1]]), cuts):
-            f = h[at[a:b]]
-            _, first = np.unique(f, return_index=True)
-            out[i] = _filters(f[np.sort(first)])
+def digests(texts: list[bytes], rank: np.ndarray, short_rank: np.ndarray | None = None) -> list[bytes]:
+    """The chained filters of each text, those of short windows first. A text below a
+    short window is one feature; an empty one has no filter. ``rank`` and
+    ``short_rank`` are the rarity of the levels of long and short windows (default: alike)."""
+    ranks = {WINDOW: rank, SHORT: np.ones(LEVELS + 1, np.uint64) if short_rank is None else short_rank}
+    out = [_filters(np.array([xxhash.xxh64_intdigest(t)], np.uint64)) if 0 < len(t) < SHORT else b"" for t in texts]
+    for size, near, least, below in SIZES:
+        for own, x, ends in _joined(texts, least, below):
+            h = window_hashes(x, size)
+            p = (ranks[size][window_levels(x, size)] << np.uint64(48)) | (h >> np.uint64(16))
+            p[~_inside(len(x), ends, size)] = 0
+            at = np.flatnonzero((p == _spread(p, near)) & (p > 0))
+            cuts = np.searchsorted(at, ends - size, side="right")
+            for i, a, b in zip(own, np.concatenate([[0], cuts[:-1]]), cuts):
+                f = h[at[a:b]]
+                _, first = np.unique(f, return_index=True)
+                out[i] += _filters(f[np.sort(first)])
     return out
 
 
@@ -233,7 +247,7 @@ def compare_in_order(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     text is empty; an only document is its own next. Repeated rows stay.
     Entropy statistics cover all documents. Only id and text are read.
     """
-    rank = rarity(level_counts(docs, text))
+    ranks = [rarity(n) for n in map(level_counts(docs, text).get, (WINDOW, SHORT))]
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def finish(rows, ahead):
@@ -243,8 +257,8 @@ def compare_in_order(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
             t = raw.decode("utf-8", "replace")
             k = len(t) // 3
             edited.append((t[:len(t) - k] + following.decode("utf-8", "replace")[:k]).encode("utf-8", "replace") if p == q else b"")
-        own = ([ahead] if ahead is not None else []) + digests([r[3] for r in rows[ahead is not None:]], rank)
-        changed = digests(edited, rank)
+        own = ([ahead] if ahead is not None else []) + digests([r[3] for r in rows[ahead is not None:]], *ranks)
+        changed = digests(edited, *ranks)
         out = [(r[2], len(r[3].decode("utf-8", "replace")), hashlib.sha256(e).hexdigest(), own[i].hex(), changed[i].hex(), likeness(own[i], changed[i]), likeness(own[i], own[i + 1]))
                for i, (r, e) in enumerate(zip(rows, edited)) if not r[1]]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()))], names=names), own[-1]

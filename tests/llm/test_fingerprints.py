@@ -93,6 +93,28 @@ def test_odd_rows(spark):
     assert by[8][0].near_next == 0.0 or by[8][0].near_next < 0.5
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.binary(min_size=fp.SHORT, max_size=80), st.integers(1, 255))
+def test_short_windows(data, cut):
+    x = np.frombuffer(bytes(b % cut for b in data), np.uint8)
+    got, h = fp.window_levels(x, fp.SHORT), fp.window_hashes(x, fp.SHORT)
+    parts = [bytes(x[i:i + fp.SHORT]) for i in range(len(x) - fp.SHORT + 1)]
+    for i, w in enumerate(parts):
+        e = -sum(c / fp.SHORT * log2(c / fp.SHORT) for c in Counter(w).values())
+        assert abs(got[i] - e / log2(fp.SHORT) * fp.LEVELS) <= 1.01
+    assert len(set(h.tolist())) == len(set(parts))
+
+
+def test_short_texts_keep_their_likeness(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(3, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words, 120))[:n] for n in (20, 40, 63, 64, 65, 100, 191, 255, 256, 300, 511, 512, 600) for _ in range(12)]
+    out = fp.compare_in_order(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for n in {len(t) for t in texts}:
+        mine = [r for r in out if r.n_chars == n]
+        assert np.mean([r.near_edited for r in mine]) > 0.4 and np.mean([r.near_next for r in mine]) < 0.15, n
+
+
 def test_one_document_and_empty_table(spark):
     one = fp.compare_in_order(spark.createDataFrame([(3, "abcdef")], "doc_id long, text string")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0 and one[0].edited_sha256 == hashlib.sha256(b"abcdab").hexdigest()
