@@ -69,15 +69,16 @@ def chain(rows: DataFrame, tree: str, order: list[str]) -> DataFrame:
 
 
 def _reach(step: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
-    """Tables (mid, anc): the ancestor 1, 2, 4, ... steps up, as far as any
-    goes; and those with as many steps above them as there are links, which
-    only messages on or below a cycle have."""
+    """Tables (mid, anc, total): the ancestor 1, 2, 4, ... steps up, as far as any
+    goes, with the scores summed from the message to just before it; and those with as
+    many steps above them as there are links, which only messages on or below a cycle have."""
     out, links, up = [], step.count(), step
     while up.limit(1).count():
         if 2 ** len(out) > links:
             return out, up
         out.append(up)
-        up = cut(up.alias("a").join(up.alias("b"), F.col("a.anc") == F.col("b.mid")).select("a.mid", "b.anc"), "reach")
+        up = cut(up.alias("a").join(up.alias("b"), F.col("a.anc") == F.col("b.mid"))
+                 .select("a.mid", "b.anc", (F.col("a.total") + F.col("b.total")).alias("total")), "reach")
     return out, None
 
 
@@ -86,38 +87,47 @@ def paths(messages: DataFrame, tree: str = "tree", node: str = "node", parent: s
     each message on each chosen root-to-leaf path; depth 0 is the root.
 
     Branches of a tree rank by the mean score of their messages (NULL: 0),
-    then by leaf; the ``best`` first are chosen (None: all). A parent that
+    then by the leaf's id and content; the ``best`` first are chosen (None: all). A parent that
     is NULL or that no message has makes a root. Messages with a NULL id
-    cannot be replied to; of messages that share an id replies hang on the
-    first one read. Trees may be NULL (a tree of its own). Messages on or below
-    a cycle have no root and thus no path.
-
-    Pointer doubling: log2(depth) self-joins on single message ids, then as
-    many to walk up from the leaves, in which every path gains its rows once;
-    no join key is hot, and the rows are those of the result.
+    cannot be replied to; of messages that share an id replies hang on one
+    chosen by content, so the order of the rows does not matter. Trees may be NULL (a tree of
+    its own). Messages on or below a cycle have no root and thus no path.
+
+    Pointer doubling: log2(depth) self-joins on single message ids, whose pointers carry
+    the sums of scores. Each leaf climbs to its root in as many joins and is ranked
+    by the sum, one row a leaf; only the chosen leaves are walked, in as many joins again, and
+    each of their paths gains its rows once. A message that very many
+    leaves hang on is a frequent key of the climb, which AQE splits.
     """
-    m = messages.withColumn("mid", F.monotonically_increasing_id())
+    content = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in messages.columns])))
+    m = messages.withColumn("mid", F.monotonically_increasing_id()).withColumn("_c", content)
     m = m.withColumn("_s", F.coalesce(F.col(score).cast("double"), F.lit(0.0)) if score else F.lit(0.0))
     m = cut(m, "messages")
     key = F.coalesce(F.concat(F.lit("t"), F.col(tree).cast("string")), F.lit("n"))
-    ids = m.select("mid", "_s", key.alias("t"), F.col(node).alias("n"), F.col(parent).alias("p"))
-    first = ids.where(F.col("n").isNotNull()).groupBy("t", "n").agg(F.min("mid").alias("anc")).select(F.col("t").alias("_t"), F.col("n").alias("_n"), "anc")
-    step = cut(ids.join(first, (F.col("t") == F.col("_t")) & (F.col("p") == F.col("_n"))).select("mid", "anc"), "step")
+    ids = m.select("mid", "_c", "_s", key.alias("t"), F.col(node).alias("n"), F.col(parent).alias("p"))
+    first = ids.where(F.col("n").isNotNull()).groupBy("t", "n").agg(F.min(F.struct("_c", "mid"))["mid"].alias("anc")).select(F.col("t").alias("_t"), F.col("n").alias("_n"), "anc")
+    step = cut(ids.join(first, (F.col("t") == F.col("_t")) & (F.col("p") == F.col("_n"))).select("mid", "anc", F.col("_s").alias("total")), "step")
     up, endless = _reach(step)
-    walk = ids.select("mid").join(step.select(F.col("anc").alias("mid")).distinct(), "mid", "left_anti")
+    leaf = ids.join(step.select(F.col("anc").alias("mid")).distinct(), "mid", "left_anti")
     if endless is not None:
-        walk = walk.join(endless, "mid", "left_anti")
-    walk = cut(walk.select(F.col("mid").alias("leaf"), "mid", F.lit(0).cast("long").alias("height")), "walk")
+        leaf = leaf.join(endless, "mid", "left_anti")
+    climb = leaf.select("t", "n", "_c", F.col("mid").alias("leaf"), F.col("mid").alias("at"), F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("top"))
     for k in reversed(range(len(up))):
-        more = walk.join(up[k], "mid").select("leaf", F.col("anc").alias("mid"), (F.col("height") + 2 ** k).alias("height"))
-        walk = cut(walk.unionByName(more), "walk")
-    whole = walk.join(ids.select("mid", "t", "_s"), "mid")
-    ranked = whole.groupBy("t", "leaf").agg(F.avg("_s").alias("score"), F.max("height").alias("top"))
-    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("t").orderBy(F.col("score").desc(), "leaf")))
+        over = up[k].select(F.col("mid").alias("at"), "anc", "total")
+        climb = climb.join(over, "at", "left").select("t", "n", "_c", "leaf", F.coalesce("anc", "at").alias("at"), (F.col("sum") + F.coalesce("total", F.lit(0.0))).alias("sum"),
+                                                      F.when(F.col("anc").isNull(), F.col("top")).otherwise(F.col("top") + 2 ** k).alias("top"))
+    climb = climb.join(ids.select(F.col("mid").alias("at"), "_s"), "at")
+    ranked = climb.select("t", "n", "_c", "leaf", "top", ((F.col("sum") + F.col("_s")) / (F.col("top") + 1)).alias("score"))
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("t").orderBy(F.col("score").desc(), F.col("n").asc_nulls_last(), "_c", "leaf")))
     if best is not None:
         ranked = ranked.where(F.col("rank") <= best)
-    chosen = walk.join(ranked.select("leaf", "rank", "score", "top"), "leaf").select("leaf", "rank", F.col("score").alias("path_score"), (F.col("top") - F.col("height")).alias("depth"), "mid")
-    return chosen.join(m.drop("_s"), "mid")
+    ranked = cut(ranked.select("leaf", "rank", "score", "top"), "ranked")
+    walk = ranked.select("leaf", F.col("leaf").alias("mid"), F.lit(0).cast("long").alias("height"))
+    for k in reversed(range(len(up))):
+        more = walk.join(up[k], "mid").select("leaf", F.col("anc").alias("mid"), (F.col("height") + 2 ** k).alias("height"))
+        walk = cut(walk.unionByName(more), "walk")
+    chosen = walk.join(ranked, "leaf").select("leaf", "rank", F.col("score").alias("path_score"), (F.col("top") - F.col("height")).alias("depth"), "mid")
+    return chosen.join(m.drop("_s", "_c"), "mid")
 
 
 def conversations(chosen: DataFrame, tree: str = "tree", role: str = "role", text: str = "text") -> DataFrame:

@@ -76,6 +76,33 @@ def test_reply_trees(spark, best):
     assert sorted(len(chat.read_back(r.formatted)) for r in done) == sorted(len(p) for ps in want.values() for p in ps)
 
 
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    rows = [("t", 1, None, "user", "root", 1.0)] + [("t", 10 + i, 1, "user", f"y{i}", 2.0) for i in range(6)]
+    rows += [("t", 2, 1, "user", "first of an id", 0.0), ("t", 2, 1, "user", "second of an id", 0.0), ("t", 3, 2, "user", "reply", 9.0)]
+    seen = set()
+    for seed in range(4):
+        mixed = rows[:]
+        random.Random(seed).shuffle(mixed)
+        df = chat.paths(spark.createDataFrame(mixed, MESSAGES).repartition(3), score="score", best=3)
+        seen.add(tuple((r["rank"], r.depth, r.text) for r in df.orderBy("rank", "depth").collect()))
+    assert len(seen) == 1 and [x[2] for x in next(iter(seen)) if x[0] == 2] == ["root", "y0"]
+
+
+def test_only_chosen_branches_are_walked(spark, monkeypatch):
+    """A trunk of 300 messages with 2,000 leaves at its end: tables hold rows of messages and of one path."""
+    rows = [("t", i, i - 1 if i else None, "user", "m", 0.0) for i in range(300)] + [("t", 1000 + i, 299, "user", f"leaf {i}", float(i)) for i in range(2000)]
+    sizes, plain = {}, chat.cut
+
+    def counted(df, name):
+        out = plain(df, name)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(chat, "cut", counted)
+    got = chat.paths(spark.createDataFrame(rows, MESSAGES), score="score").collect()
+    assert len(got) == 301 and max(sizes["walk"]) == 301 and sizes["ranked"] == [1]
+    assert max(r.depth for r in got) == 300 and [r.text for r in got if r.depth == 300] == ["leaf 1999"] and abs(got[0].path_score - 1999 / 301) < 1e-9
+
+
 def test_chain_of_odd_rows_and_empty_table(spark):
     rows = [(1, 0, "user", "a", "x"), (1, 0, "user", "a", "x"), (1, None, None, None, "x"), (None, 3, "assistant", "b" * 200_000, "x"), (2, 1, "assistant", "", "x")]
     t = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, score string")
