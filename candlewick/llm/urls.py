@@ -98,8 +98,9 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", page_id: str =
     """(page_id, host, path, rule, verdict, p_block): one row per page.
 
     A rule's verdict stands; other URLs get the trees' (block from p_block 0.5
-    on). Trees are fitted on at most about ``max_labelled`` labelled URLs, those
-    with the smallest hashes; suffix counts and blocked shares cover all rows. NULL
+    on). Trees are fitted on about ``max_labelled`` labelled URLs at most, up to half of them
+    of each verdict (those with the smallest hashes), weighted back to the verdicts'
+    numbers, so a rare verdict is never lost; suffix counts and blocked shares cover all rows. NULL
     URLs and URLs without ``://`` have empty host and path and fit no rule.
     Without labelled URLs of both kinds nothing is blocked but by rule. Repeated
     rows are judged one by one; only id and url are read.
@@ -108,16 +109,21 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", page_id: str =
     blocked, labelled = F.col("decided") == BLOCK, F.col("decided").isNotNull()
     stats = (rows.groupBy("suffix").agg(F.count("*").alias("n"), F.sum(F.when(blocked, 1).otherwise(0)).alias("blocked"))
              .select(F.col("suffix").alias("_s"), F.log1p("n").alias("seen"), ((F.col("blocked") + 1) / (F.col("n") + 2)).alias("blocked_share")))
-    size = {r["decided"]: r["n"] for r in rows.where(labelled).groupBy("decided").agg(F.count("*").alias("n")).collect()}
+    parts, hashed = 1_000_000, F.xxhash64("page_id", "host", "path")
+    size = {r["decided"]: r for r in rows.where(labelled).groupBy("decided").agg(F.count("*").alias("n"), F.min(hashed).alias("least")).collect()}     # a row per verdict
     every = rows.join(stats, F.col("suffix") == F.col("_s")).withColumn("features", array_to_vector(F.concat("x", F.array("seen", "blocked_share"))))
     if len(size) < 2:
         return every.select("page_id", "host", "path", "rule", F.coalesce("decided", F.lit(ALLOW)).alias("verdict"), F.lit(0.0).alias("p_block"))
-    parts = 1_000_000
-    within = F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(parts)) < max(1, min(parts, parts * max_labelled // sum(size.values())))
-    sample = cut(every.where(labelled & within).select("features", F.when(blocked, 1.0).otherwise(0.0).alias("label")), "labelled-urls").repartition(4)
-    if sample.select("label").distinct().count() < 2:
-        return every.select("page_id", "host", "path", "rule", F.coalesce("decided", F.lit(ALLOW)).alias("verdict"), F.lit(0.0).alias("p_block"))
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed).fit(sample)
+    within = F.lit(False)
+    for verdict, r in size.items():              # the smallest hash stays at any rate
+        rate = min(parts, parts * max_labelled // (2 * r["n"]))
+        within = within | ((F.col("decided") == verdict) & ((F.pmod(hashed, F.lit(parts)) < rate) | (hashed == r["least"])))
+    sample = cut(every.where(labelled & within).select("features", F.when(blocked, 1.0).otherwise(0.0).alias("label")), "labelled-urls")
+    taken = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    scale = sum(taken.values()) / sum(r["n"] for r in size.values())
+    weight = {label: size[verdict]["n"] / taken[label] * scale for verdict, label in ((BLOCK, 1.0), (ALLOW, 0.0))}
+    sample = sample.withColumn("weight", F.when(F.col("label") == 1.0, weight[1.0]).otherwise(weight[0.0])).repartition(4)
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, weightCol="weight").fit(sample)
     p = F.element_at(vector_to_array(F.col("probability")), 2)
     told = model.transform(every).withColumn("p_block", p)
     verdict = F.coalesce("decided", F.when(F.col("p_block") >= 0.5, BLOCK).otherwise(ALLOW))

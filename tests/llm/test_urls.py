@@ -49,6 +49,15 @@ def test_trees_learn_lexical_signs(spark):
     assert sum((r.page_id >= 1000) == (r.verdict == "block") for r in out) / len(out) > 0.95
 
 
+def test_a_rare_verdict_stays_in_the_sample(spark):
+    """Three blocked URLs among 6,000 labelled ones, of which 40 are sampled."""
+    rows = [(i, f"http://good.example.org/news/{i}") for i in range(6000)] + [(9000 + i, f"http://bad.example.org/win/{i:030d}?a=1&b=2&c=3") for i in range(3)]
+    rows += [(9500 + i, f"http://other.example.org/win/{i * 7:030d}?a=1&b=2&c=3") for i in range(5)] + [(9600 + i, f"http://other.example.org/news/{i}") for i in range(5)]
+    rules = [urls.Rule("good.example.org", "/", "allow"), urls.Rule("bad.example.org", "/", "block")]
+    out = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules, max_labelled=40, trees=3).where("rule is null").collect()
+    assert len(out) == 10 and all((r.verdict == "block") == (r.page_id < 9600) for r in out)
+
+
 def test_too_many_rules(spark):
     with pytest.raises(ValueError):
         urls.features(spark.createDataFrame(URLS, "page_id long, url string"), [urls.Rule("a", "/", "block")] * (urls.MAX_RULES + 1))
