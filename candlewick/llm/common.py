@@ -73,9 +73,11 @@ def annotate(df: DataFrame, text: str, make: Callable[[], Callable], outputs: li
 
     ``make()`` runs once in each task and returns the function of one text
     (UTF-8 bytes or None) that gives the output values, or, if ``together``,
-    of the texts of a batch. The rows stay where they are: no shuffle. Output
-    names must not clash with columns of ``df`` (see ``fresh_name``).
+    of the texts of a batch. The rows stay where they are: no shuffle. An output
+    whose name ``df`` already has gets underscores in front (see ``fresh_name``);
+    the columns of ``df`` stay as they are.
     """
+    outputs = [(fresh_name(df, n), t) for n, t in outputs]
     raw = fresh_name(df, "utf8")
     arrow = {T.BooleanType(): pa.bool_(), T.DoubleType(): pa.float64(), T.LongType(): pa.int64(), T.StringType(): pa.string(),
              T.BinaryType(): pa.binary()}

@@ -353,12 +353,14 @@ def score(docs: DataFrame, model: WindowModel, text: str = "text",
     """``docs`` plus tokens, summed log-probability and its mean per token.
 
     Whole texts are scored. NULL, empty and wordless texts have 0 tokens, sum
-    0.0 and mean NULL. Rows are scored one by one; other columns pass through.
+    0.0 and mean NULL. Rows are scored one by one; other columns pass through, and
+    an output whose name one of them has gets underscores in front.
 
     The shares of words beyond the most frequent are joined by word (each is
     rare, so no word is hot) and added up by the text's digest; copies of a
     text bring the same words and are averaged.
     """
+    names = tuple(fresh_name(docs, n) for n in names)
     shared = docs.sparkSession.sparkContext.broadcast((model.ids, model.flat, model.near))
     k = model.size
 
