@@ -14,7 +14,7 @@ class Handle:
     def __init__(self):
         self.value, self.map, self.calls = None, {}, 0
 
-    def getValueState(self, name, schema):
+    def getValueState(self, *names):
         return self
 
     getMapState = getValueState
