@@ -1,11 +1,13 @@
 """Contract rules: one accepted and one rejected message per rule."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from candlewick.functions.timestamps import epoch_ms_to_ts_seconds, epoch_s_to_ts, smart_timestamp, weekday_name
+from candlewick.operators import contract as C
 from candlewick.streaming.hot_path import parse_stream, route_by_type
 
 TRADE_WIRE = {"type": "trade", "code": "KRW-BTC", "trade_price": 100.5, "trade_volume": 2.0, "ask_bid": "BID",
@@ -86,3 +88,11 @@ def test_time_functions(spark):
     assert r["sec"].microsecond == 0                                         # integer division drops the fraction
     assert str(r["zero"]).startswith("1970-01-01")
     assert r["wd"] == "Mon"
+
+
+def test_every_step_of_the_check_is_compiled(spark):
+    """The JVM leaves methods of 8,000 bytes and more to its interpreter."""
+    checked = C.check_messages(C.parse_messages(spark.range(1).selectExpr("string(id) AS value"), "value"))
+    code = spark._jvm.PythonSQLUtils.explainString(checked._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8_000
