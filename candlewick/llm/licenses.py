@@ -87,7 +87,10 @@ class LicenseModel:
 
     def probabilities(self, df: DataFrame) -> DataFrame:
         """``df`` (with ``words``) plus ``p``, the probability of each label."""
-        seen = self.vectorizer.transform(_grams(df))
+        return self.judge(self.vectorizer.transform(_grams(df)))
+
+    def judge(self, seen: DataFrame) -> DataFrame:
+        """``probabilities`` of rows that have their ``features``."""
         return self.classifier.transform(seen).withColumn("p", vector_to_array("probability")).drop("features", "rawPrediction", "probability", "prediction")
 
 
@@ -100,10 +103,10 @@ def fit(docs: DataFrame, templates=TEMPLATES, text: str = "text", doc_id: str =
     """Train on the templates' notices and on paragraphs of the corpus.
 
     Positives: each notice, whole and with up to a third of its words cut off
-    at either end. Negatives (``unknown``): about ``max_negatives`` lines,
-    those with the smallest hashes, and the blocks that begin with one of them, that hold
-    less than half of any template.
-    A quarter of them is held out: the threshold on 1 - P(unknown) lets at
+    at either end. Negatives (``unknown``): all paragraphs that hold less than
+    half of any template, counted by their known grams; together they weigh
+    as much as ``max_negatives`` examples, or each one if there are fewer.
+    A quarter of them is held out by hash: the threshold on 1 - P(unknown) lets at
     most ``false_share`` of the held-out negatives through, and is 0.5 at least.
     """
     spark: SparkSession = docs.sparkSession
@@ -117,20 +120,24 @@ def fit(docs: DataFrame, templates=TEMPLATES, text: str = "text", doc_id: str =
     vectorizer = CountVectorizer(inputCol="grams", outputCol="features", minDF=1.0, binary=True).fit(positive)
     whole = _grams(notices.withColumn("words", words(F.col("text"))))
     known = [(r["family"], sorted(set(r["grams"]))) for r in whole.select("family", "grams").collect()]
-    paras = paragraphs(docs, text, doc_id)
-    hashed = F.xxhash64("doc_id", "paragraph")
-    total = docs.select(F.sum(F.size(F.split(F.col(f"`{text}`").cast("string"), "\n"))).alias("n")).first()["n"] or 0
-    parts = 1_000_000_000
-    chosen = paras.where(F.pmod(hashed, F.lit(parts)) < max(1, min(parts, parts * max_negatives // max(1, total)))).withColumn("words", words(F.col("text")))
-    negative = _grams(chosen).withColumn("held", F.pmod(F.xxhash64(F.lit(7), "doc_id", "paragraph"), F.lit(4)) == 0)
     model = LicenseModel(families, vectorizer, None, 0.5, known)  # type: ignore[arg-type]
-    negative = negative.where(_share(model, families[1:]) < 0.5)
-    negative = cut(negative.select(F.lit(0.0).alias("label"), "words", "grams", "held"), "license-negatives")
+    paras = paragraphs(docs, text, doc_id).withColumn("words", words(F.col("text"))).select("doc_id", "paragraph", "lines", "words")
+    held = F.pmod(F.xxhash64(F.lit(7), "doc_id", "paragraph"), F.lit(4)) == 0
+    seen = vectorizer.transform(_grams(paras)).select("features", F.least("lines", F.lit(2)).alias("lines"), held.alias("held"))
+    counts = seen.groupBy("features", "lines").agg(F.count_if("held").alias("held"), F.count_if(~F.col("held")).alias("trained"))
+    vocabulary = F.array(*[F.lit(g) for g in vectorizer.vocabulary])
+    grams = F.array_compact(F.zip_with(vector_to_array("features"), vocabulary, lambda x, g: F.when(x > 0, g)))
+    # explode of one value: the grams are told once, not once for each template
+    negative = counts.select("*", F.explode(F.array(grams)).alias("grams")).where(_share(model, families[1:]) < 0.5)
+    negative = cut(negative.groupBy("features", "grams").agg(F.sum("held").alias("held"), F.sum("trained").alias("trained")), "license-negatives")
+    total = negative.agg(F.sum("trained")).first()[0] or 0
+    weight = F.col("trained") * F.lit(min(1.0, max_negatives / max(1, total)))
     blank = _rows(spark, [F.struct(F.lit(0.0).alias("label"), F.array().cast("array<string>").alias("grams"))])      # unknown always has an example
-    examples = positive.select("label", "grams").unionByName(negative.where(~F.col("held")).select("label", "grams")).unionByName(blank)
-    classifier = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=40).fit(vectorizer.transform(examples).repartition(4))
+    known_rows = vectorizer.transform(positive.select("label", "grams").unionByName(blank)).select("label", "features", F.lit(1.0).alias("weight"))
+    examples = known_rows.unionByName(negative.where("trained > 0").select(F.lit(0.0).alias("label"), "features", weight.alias("weight")))
+    classifier = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=40, weightCol="weight").fit(examples)
     model = LicenseModel(families, vectorizer, classifier, 0.5, known)
-    doubt = model.probabilities(negative.where("held")).select(F.percentile(1 - F.element_at("p", 1), 1 - false_share).alias("q")).first()["q"]
+    doubt = model.judge(negative.where("held > 0")).select(F.percentile(1 - F.element_at("p", 1), 1 - false_share, F.col("held")).alias("q")).first()["q"]
     return LicenseModel(families, vectorizer, classifier, max(0.5, doubt or 0.0), known)
 
 

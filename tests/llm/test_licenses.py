@@ -87,3 +87,23 @@ def test_paragraphs_are_lines_and_blocks(spark):
 def test_empty_table(spark):
     e = empty_docs(spark)
     assert licenses.scan(e, licenses.fit(e)).count() == 0
+
+
+def test_every_line_counts(spark):
+    """More lines than ``max_negatives``, most of them near a notice: the threshold is that of all, not of a few."""
+    line = "released under the rules of the harbour"
+    lines = [f"{line} {k}" if k % 50 == 0 else f"plain words {k}" for k in range(6000)]
+    docs = spark.createDataFrame([(k, "\n\n".join(lines[k * 60:k * 60 + 60])) for k in range(100)], "doc_id long, text string")
+    seen = []
+    judge = licenses.LicenseModel.judge
+
+    def spy(self, df):
+        if "held" in df.columns:
+            seen.append(df.agg({"held": "sum", "trained": "sum"}).first())
+        return judge(self, df)
+    licenses.LicenseModel.judge = spy
+    try:
+        licenses.fit(docs, max_negatives=40)
+    finally:
+        licenses.LicenseModel.judge = judge
+    assert seen and seen[0]["sum(held)"] > 1200
