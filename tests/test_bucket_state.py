@@ -68,3 +68,46 @@ def test_log_is_cut_and_holds_the_newest():
 def test_files_of_a_span_grow_with_the_events(spark):
     small, large = (replay.files_of(spark.range(n)) for n in (1000, 12 * 20_000 * 5))
     assert (small, large) == (replay.FILES, 5)
+
+
+def test_a_symbol_is_a_few_values_in_the_state():
+    """Spark turns every value of a state row over in Python at each micro-batch."""
+    h, s, symbols = Handle(), SymbolState(), 50
+    s.init(h)
+    for at in range(0, 30 * symbols, symbols):
+        list(s.handleInputRows((0,), iter([frame(range(at, at + symbols), symbols)]), None))
+    values = lambda x: sum(map(values, x)) if isinstance(x, (tuple, list)) else 1
+    assert values(h.value[0]) <= 6 * symbols
+
+
+def test_windows_of_symbols_do_not_mix():
+    """Crosses of symbols that share a bucket, new and known, cut into batches anyhow, are those of each alone."""
+    prices = {f"S{n}": [float((i * i + n) % 17) for i in range(2, 4 + 9 * n)] for n in range(6)}
+    rows = sorted((i + 7 * (n % 3), n, f"S{n}", p) for n in range(6) for i, p in enumerate(prices[f"S{n}"]))
+    t = dt.datetime(2024, 1, 1)
+    df = pd.DataFrame([(0, s, "trade", t, t, "x", 0, o, p, 1.0, "BID", None, None, None, t) for o, (_, _, s, p) in enumerate(rows)], columns=INPUT)
+    df = df.assign(**{c: pd.to_datetime(df[c]) for c in ("ts", "arrived", "last_updated")})
+    mean = lambda x, k, n: sum(x[k - n + 1:k + 1]) / n
+    want = []
+    for s, x in prices.items():
+        for k in range(20, len(x)):
+            a, b, c, d = (mean(x, j, n) for j in (k - 1, k) for n in (5, 20))
+            want += [(s, "golden" if a <= b and c > d else "dead", round(c, 9), round(d, 9))] if (a <= b and c > d) or (a >= b and c < d) else []
+    for step in (3, 40, len(df)):
+        h, state = Handle(), SymbolState()
+        state.init(h)
+        got = [r for at in range(0, len(df), step) for out in state.handleInputRows((0,), iter([df[at:at + step].reset_index(drop=True)]), None) for r in out.itertuples()]
+        assert sorted((r.symbol, r.kind, round(r.ma_short, 9), round(r.ma_long, 9)) for r in got) == sorted(want) and want
+
+
+def test_latest_values_that_are_no_numbers_are_read_back(spark):
+    from pyspark.sql import functions as F
+
+    from candlewick.streaming.keyed_state import LATEST
+    df = frame(range(3), 3).assign(kind="ticker", price=[float("nan"), float("-inf"), 0.1], data='{"a":"\u00e9\\"x"}')
+    h, s = Handle(), SymbolState()
+    s.init(h)
+    list(s.handleInputRows((0,), iter([df]), None))
+    read = spark.createDataFrame([(r[1],) for r in sorted(h.value[0])], "v string").select(F.from_json("v", f"struct<{LATEST['ticker']}>").alias("v")).select("v.*").collect()
+    assert [str(r["price"]) for r in read] == ["nan", "-inf", "0.1"] and read[0]["data"] == '{"a":"\u00e9\\"x"}'
+    assert [r["offset"] for r in read] == [0, 1, 2] and read[0]["ts"] == 1_704_067_200_000_000
