@@ -113,7 +113,7 @@ def encode(texts: list[bytes | None], ids: dict[bytes, int], k: int = CLASSES) -
 
 
 def _context(stream: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return np.stack([stream[at + o] for o in (*range(-SIDE, 0), *range(1, SIDE + 1))])
+    return np.stack([stream.take(at + o) for o in (*range(-SIDE, 0), *range(1, SIDE + 1))])
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -126,10 +126,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def _logits(w: dict, stream: np.ndarray, at: np.ndarray):
     """For the tokens at ``at``, sorted by class: contexts, hidden states, class and member logits, classes and where each begins."""
     ctx = _context(stream, at)
-    h = w["bias"] + w["embed"][0][ctx[0]]
+    h = w["bias"] + w["embed"][0].take(ctx[0], axis=0)
     for o in range(1, 2 * SIDE):
-        h += w["embed"][o][ctx[o]]
-    h = np.tanh(h)
+        h += w["embed"][o].take(ctx[o], axis=0)
+    np.tanh(h, out=h)
     pc = h @ w["cls"] + w["cls_bias"]
     k = w["cls"].shape[1]
     c = stream[at] // k
@@ -137,7 +137,8 @@ def _logits(w: dict, stream: np.ndarray, at: np.ndarray):
     pm = np.empty((len(at), k), np.float32)
     for k in np.flatnonzero(np.diff(edges)):
         s = slice(edges[k], edges[k + 1])
-        pm[s] = h[s] @ w["mem"][k] + w["mem_bias"][k]
+        np.matmul(h[s], w["mem"][k], out=pm[s])
+        pm[s] += w["mem_bias"][k]
     return ctx, h, pc, pm, c, edges
 
 
@@ -201,9 +202,9 @@ def train(flat: np.ndarray, squares: np.ndarray, stream: np.ndarray, rate: float
         move("bias", ..., gh.sum(axis=0))
         for o in range(2 * SIDE):
             order = _order(ctx[o], size * size)
-            ids = ctx[o][order]
+            ids = ctx[o].take(order)
             first = np.flatnonzero(np.diff(ids, prepend=-1))
-            move("embed", (o, ids[first]), np.add.reduceat(gh[order], first, axis=0))
+            move("embed", (o, ids[first]), np.add.reduceat(gh.take(order, axis=0), first, axis=0))
         seen += n
     return seen
 
