@@ -111,3 +111,22 @@ def test_latest_values_that_are_no_numbers_are_read_back(spark):
     read = spark.createDataFrame([(r[1],) for r in sorted(h.value[0])], "v string").select(F.from_json("v", f"struct<{LATEST['ticker']}>").alias("v")).select("v.*").collect()
     assert [str(r["price"]) for r in read] == ["nan", "-inf", "0.1"] and read[0]["data"] == '{"a":"\u00e9\\"x"}'
     assert [r["offset"] for r in read] == [0, 1, 2] and read[0]["ts"] == 1_704_067_200_000_000
+
+
+def test_rows_are_one_text_in_the_store(spark):
+    """What a state call carries does not grow in values with the bucket's symbols or trades, and Spark reads it back whole."""
+    from candlewick.streaming.keyed_state import SYMBOL, TRADE, PackedSymbolState, unpacked
+    plain, packed, symbols = Handle(), Handle(), 40
+    for h, s in ((plain, SymbolState(cap=30)), (packed, PackedSymbolState(cap=30))):
+        s.init(h)
+        for at in range(0, 100 * symbols, 25 * symbols):
+            df = frame(range(at, at + 25 * symbols), symbols)
+            df = df.assign(topic=[None if o % 3 else "a\u00e9\U0001f600\"" for o in df["offset"]], price=[float("nan") if o % 11 == 0 else o / 7 for o in df["offset"]])
+            list(s.handleInputRows((0,), iter([df]), None))
+        tick = frame(range(4000, 4000 + symbols // 2), symbols).assign(kind="ticker", data='{"a":1}')
+        list(s.handleInputRows((0,), iter([tick]), None))
+    assert len(packed.value) == 4 and isinstance(packed.value[0], str) and all(len(v) == 1 and isinstance(v[0], str) for v in packed.map.values())
+    assert packed.value[1:] == plain.value[1:] and packed.calls == plain.calls
+    read = lambda texts, columns: sorted(map(str, map(tuple, unpacked(spark.createDataFrame([(t,) for t in texts], "t string"), "t", columns).collect())))
+    assert read([v[0] for v in packed.map.values()], TRADE) == sorted(str(tuple(r)) for v in plain.map.values() for r in v[0])
+    assert read([packed.value[0]], SYMBOL) == sorted(str((r[0], r[1], r[2], *r[3])) for r in plain.value[0])
