@@ -48,7 +48,7 @@ TEMPLATES = (
 
 def words(text: Column) -> Column:
     """Lower-cased words of letters and digits, as an array without empty strings."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
 def paragraphs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -59,7 +59,7 @@ def paragraphs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     held = F.split(F.col(f"`{text}`").cast("string"), "\n")
     # explode of one value: the text is split once, not once for each use
     src = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.explode(F.array(held)).alias("held"))
-    full = F.transform("held", lambda x: F.regexp_replace(x, r"\s+", "") != "")
+    full = F.transform("held", lambda x: F.rlike(x, F.lit(r"\S")))
     src = src.select("doc_id", "row", "held", F.explode(F.array(full)).alias("full")).where(F.exists("full", lambda x: x))
     every = F.sequence(F.lit(0), F.size("held") - 1)
     starts = F.filter(every, lambda i: F.get("full", i) & ~F.coalesce(F.get("full", i - 1), F.lit(False)))
@@ -72,9 +72,19 @@ def paragraphs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     return src.select("doc_id", "row", "block", F.explode(units).alias("u")).select("doc_id", "row", "block", "u.*")
 
 
-def _grams(df: DataFrame) -> DataFrame:
-    """Adds ``grams``: words and word pairs of ``words``."""
-    return NGram(n=2, inputCol="words", outputCol="pairs").transform(df).withColumn("grams", F.concat("words", "pairs")).drop("pairs")
+def _grams(df: DataFrame, among: list[str] | None = None) -> DataFrame:
+    """Adds ``grams``: words and word pairs of ``words``. With ``among``, the grams of
+    these words are all there, of the others only those that begin right after one."""
+    near = F.col("words")
+    if among is not None:          # the word after a known one stays, so that no words become neighbours
+        near = F.filter("words", lambda w, i: w.isin(among) | F.get("words", i - 1).isin(among))
+    paired = NGram(n=2, inputCol="near", outputCol="pairs").transform(df.withColumn("near", near))
+    return paired.withColumn("grams", F.concat("near", "pairs")).drop("near", "pairs")
+
+
+def _single(vectorizer: CountVectorizerModel) -> list[str]:
+    """The words of a vocabulary; the words of its pairs are among them."""
+    return [g for g in vectorizer.vocabulary if " " not in g]
 
 
 @dataclass(frozen=True)
@@ -87,7 +97,7 @@ class LicenseModel:
 
     def probabilities(self, df: DataFrame) -> DataFrame:
         """``df`` (with ``words``) plus ``p``, the probability of each label."""
-        return self.judge(self.vectorizer.transform(_grams(df)))
+        return self.judge(self.vectorizer.transform(_grams(df, _single(self.vectorizer))))
 
     def judge(self, seen: DataFrame) -> DataFrame:
         """``probabilities`` of rows that have their ``features``."""
@@ -123,7 +133,7 @@ def fit(docs: DataFrame, templates=TEMPLATES, text: str = "text", doc_id: str =
     model = LicenseModel(families, vectorizer, None, 0.5, known)  # type: ignore[arg-type]
     paras = paragraphs(docs, text, doc_id).withColumn("words", words(F.col("text"))).select("doc_id", "paragraph", "lines", "words")
     held = F.pmod(F.xxhash64(F.lit(7), "doc_id", "paragraph"), F.lit(4)) == 0
-    seen = vectorizer.transform(_grams(paras)).select("features", F.least("lines", F.lit(2)).alias("lines"), held.alias("held"))
+    seen = vectorizer.transform(_grams(paras, _single(vectorizer))).select("features", F.least("lines", F.lit(2)).alias("lines"), held.alias("held"))
     counts = seen.groupBy("features", "lines").agg(F.count_if("held").alias("held"), F.count_if(~F.col("held")).alias("trained"))
     vocabulary = F.array(*[F.lit(g) for g in vectorizer.vocabulary])
     grams = F.array_compact(F.zip_with(vector_to_array("features"), vocabulary, lambda x, g: F.when(x > 0, g)))
